@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, mixing, sharding, simhash
+from skyloom.llm import decontaminate, mixing, sharding, simhash, suffix_arrays, suffix_trees
 from skyloom.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("mix_rate", F.round("mix_rate", 6))
 
 
+def op6_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_trees.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -35,8 +40,21 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.verdicts(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_arrays.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_mix_sources, op7_histogram_shards, op8_simhash)
+    f.__name__: f for f in (
+        op1_decontaminate,
+        op4_mix_sources,
+        op6_suffix_trees,
+        op7_histogram_shards,
+        op8_simhash,
+        op9_suffix_arrays,
+    )
+
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_mix_sources": mixing.sql()}
