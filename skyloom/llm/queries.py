@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, mixing, sharding, simhash, suffix_arrays, suffix_trees
+from skyloom.llm import decontaminate, language, mixing, sharding, simhash, suffix_arrays, suffix_trees
 from skyloom.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("mix_rate", F.round("mix_rate", 6))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_trees.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate,
         op4_mix_sources,
+        op5_language_id,
         op6_suffix_trees,
         op7_histogram_shards,
         op8_simhash,
