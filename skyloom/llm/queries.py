@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, language, mixing, sharding, simhash, suffix_arrays, suffix_trees
+from skyloom.llm import decontaminate, language, mixing, sharding, simhash, suffix_arrays, suffix_trees, topk
 from skyloom.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate,
@@ -58,8 +62,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_histogram_shards,
         op8_simhash,
         op9_suffix_arrays,
+        op10_top_k,
     )
 
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_mix_sources": mixing.sql()}
+ORACLE_SQL: dict[str, str] = {"op4_mix_sources": mixing.sql(), "op10_top_k": topk.sql()}
