@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, language, mixing, sharding, simhash, suffix_arrays, suffix_trees, topk
+from skyloom.llm import decontaminate, kneser_ney, language, lm_scoring, mixing, sharding, simhash, suffix_arrays, suffix_trees, topk
 from skyloom.llm.common import table
 
 
@@ -15,6 +15,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("mix_rate", F.round("mix_rate", 6))
 
@@ -56,6 +64,8 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate,
+        op2_kneser_ney,
+        op3_masked_lm,
         op4_mix_sources,
         op5_language_id,
         op6_suffix_trees,

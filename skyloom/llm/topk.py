@@ -166,7 +166,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard_rows: int =
         ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int64)
         return ids, np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint16).reshape(len(ids), -1)
 
-    def meet(data: pa.Table, queries: pa.Table) -> pa.Table:
+    def meet(data, queries):
         if not data.num_rows or not queries.num_rows:
             found = (np.zeros(0, np.int64),) * 3
         else:
