@@ -21,11 +21,14 @@ none; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skyloom.llm.common import LOWER, byte_rows, checkpointed
 
@@ -127,35 +130,46 @@ def _roots(n: int, pairs) -> np.ndarray:
     return label
 
 
-def _pairs_in(codes: np.ndarray, group: np.ndarray, radius: int, split: int, width: int, bits: int, chunk: int = 20_000):
-    """Pairs within the radius among codes of equal group; large groups are dealt by further slices."""
+def _pairs_in(codes: np.ndarray, group: np.ndarray, free: Callable[[int], list[int]], radius: int, split: int, chunk: int = 20_000):
+    """Pairs within the radius among codes of equal group (sorted).
+
+    free(g): the bits in which codes of group g may differ.  A group of more
+    than ``split`` codes is cut into radius + 1 slices of these bits; a pair
+    agrees on one of them, so the groups of equal slices hold all pairs.
+    """
     start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     size = np.diff(np.append(start, len(group)))
-    large = np.repeat(size > split, size) if bits >= 2 * (radius + 1) else np.zeros(len(group), bool)
-    small = np.flatnonzero(~large)
+    alone = (size <= split) | np.array([n > split and len(free(g)) < 4 * (radius + 1) for g, n in zip(group[start].tolist(), size.tolist(), strict=True)], bool)
+    small = np.flatnonzero(np.repeat(alone & (size > 1), size))
     if len(small):
         forest = BKForest(codes[small], group[small])
         for k in range(0, len(small), chunk):
             for a, b in forest.within(np.arange(k, min(k + chunk, len(small))), radius):
                 yield small[a], small[b]
-    if large.any():
-        rest = np.flatnonzero(large)
-        narrow = width // (radius + 1)  # the shift of the slice in use decides nothing: all bits are sliced again
-        for k in range(64 // narrow):
-            part = (codes[rest] >> np.uint64(k * narrow)) & np.uint64((1 << narrow) - 1)
-            order = np.lexsort((part, group[rest]))
-            new = np.cumsum(np.concatenate([[True], (np.diff(part[order].astype(np.int64)) != 0) | (np.diff(group[rest][order]) != 0)]))
-            if new[-1] == len(np.unique(group[rest])):
-                continue  # the slice that the group already shares
-            for a, b in _pairs_in(codes[rest][order], new, radius, split, narrow, bits - width):
-                yield rest[order[a]], rest[order[b]]
+    for at, n in zip(start[~alone].tolist(), size[~alone].tolist(), strict=True):
+        bits = free(int(group[at]))
+        for k in range(radius + 1):
+            own = bits[k * len(bits) // (radius + 1) : (k + 1) * len(bits) // (radius + 1)]
+            value = codes[at : at + n] & np.uint64(sum(1 << b for b in own))
+            order = np.argsort(value, kind="stable")
+            value = value[order]
+            part = np.cumsum(np.concatenate([[0], value[1:] != value[:-1]]))
+            rest = [b for b in bits if b not in set(own)]
+            for a, b in _pairs_in(codes[at : at + n][order], part, lambda _, rest=rest: rest, radius, split):
+                yield at + order[a], at + order[b]
 
 
 def local_edges(part: np.ndarray, code: np.ndarray, node: np.ndarray, radius: int = RADIUS, split: int = SPLIT) -> tuple[np.ndarray, np.ndarray]:
     """For rows sorted by part: each node with the least node of its local group."""
     order = np.lexsort((node, part))
     part, code, node = part[order], code[order], node[order]
-    label = _roots(len(code), _pairs_in(code, part, radius, split, 64 // (radius + 1), 64))
+    width = 64 // (radius + 1)
+
+    def free(group: int) -> list[int]:
+        shared = range((group >> 32) * width, (group >> 32) * width + width)
+        return [b for b in range(64) if b not in shared]
+
+    label = _roots(len(code), _pairs_in(code, part, free, radius, split))
     moved = label != np.arange(len(code))
     return node[moved], node[label[moved]]
 
@@ -233,6 +247,12 @@ def verdicts(found: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs of which one document of each component stays, the least doc_id."""
-    kept = near_duplicates(docs).where("doc_id <=> component").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """docs of which one document of each component stays, the least doc_id, as one row.
+
+    Rows without doc_id cannot be told apart: they stay if one of them is alone.
+    """
+    key = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
+    kept = near_duplicates(docs).where("doc_id <=> component").select(key(F.col("doc_id")).alias("_kept")).distinct()
+    found = docs.withColumn("_key", key(F.col("doc_id").cast("long"))).join(kept, F.col("_key") == F.col("_kept"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # in the order that the join leaves
+    return found.withColumn("_n", first).where("_n = 1 or doc_id is null").select(docs.columns)
