@@ -65,15 +65,14 @@ def add_pixel(df: DataFrame, ra: str, dec: str, level: int, name: str = "pixel")
     out = out.withColumns({"_fp": F.shiftright(c("_jp"), level), "_fm": F.shiftright(c("_jm"), level)})
     belt, north = c("_za") <= F.lit(2.0) / F.lit(3.0), c("_z") >= 0
     belt_face = F.when(c("_fp") == c("_fm"), c("_fp").bitwiseOR(F.lit(4).cast("long"))).when(c("_fp") < c("_fm"), c("_fp")).otherwise(c("_fm") + 8)
-    out = out.withColumns(
-        {
-            "_face": F.when(belt, belt_face).when(north, c("_ntt")).otherwise(c("_ntt") + 8),
-            "_x": F.when(belt, c("_jm").bitwiseAND(mask)).when(north, edge - c("_cm")).otherwise(c("_cp")),
-            "_y": F.when(belt, edge - c("_jp").bitwiseAND(mask)).when(north, edge - c("_cp")).otherwise(c("_cm")),
-        }
-    )
+    face = F.when(c("_z").isNull(), None).when(belt, belt_face).when(north, c("_ntt")).otherwise(c("_ntt") + 8)
+    x = F.when(belt, c("_jm").bitwiseAND(mask)).when(north, edge - c("_cm")).otherwise(c("_cp"))
+    y = F.when(belt, edge - c("_jp").bitwiseAND(mask)).when(north, edge - c("_cp")).otherwise(c("_cm"))
+    # a filter on the pixel (also one that a join infers) stops at this generator
+    # instead of being rewritten in terms of ra and dec, which would copy them all again
+    out = out.select(*df.columns, F.inline(F.array(F.struct(face.alias("_face"), x.alias("_x"), y.alias("_y")))))
     found = F.shiftleft(c("_face"), 2 * level) + _spread(c("_x"), level) + F.shiftleft(_spread(c("_y"), level), 1)
-    return out.withColumn(name, F.when(c("_z").isNotNull(), found)).drop("_z", "_tt", "_za", "_ntt", "_jp", "_jm", "_cp", "_cm", "_fp", "_fm", "_face", "_x", "_y")
+    return out.withColumn(name, found).drop("_face", "_x", "_y")
 
 
 def parent(pix: Column, levels: int = 1) -> Column:

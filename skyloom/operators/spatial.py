@@ -32,13 +32,12 @@ def with_starts(counts: DataFrame, by: str = "partition_index") -> DataFrame:
 
 
 def sparse_index(df: DataFrame, level: int, by: str = "partition_index") -> DataFrame:
-    """Occupied pixels of every level with start and size; each level rolls up the one below by a shift."""
-    finest = pixel_counts(df, level, by)
-    levels = finest
-    for up in range(1, level + 1):
-        rolled = finest.groupBy(by, healpix.parent(F.col("pixel"), up).alias("pixel")).agg(F.sum("size").alias("size"))
-        levels = levels.unionByName(rolled.withColumn("level", F.lit(level - up)))
-    return with_starts(levels, by).select(by, "level", "pixel", "start", F.col("size").cast("long").alias("size"))
+    """Occupied pixels of every level with start and size; one pass over the finest counts rolls them all up by shifts."""
+    finest = pixel_counts(df, level, by).drop("level")
+    levels = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(level))))
+    up = F.expr(f"shiftright(pixel, 2 * ({level} - level))")
+    rolled = levels.groupBy(by, "level", up.alias("pixel")).agg(F.sum("size").alias("size"))
+    return with_starts(rolled, by).select(by, "level", "pixel", "start", F.col("size").cast("long").alias("size"))
 
 
 def dense_index(sparse: DataFrame, level: int, by: str = "partition_index") -> DataFrame:
