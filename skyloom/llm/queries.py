@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, kneser_ney, language, lm_scoring, mixing, sharding, simhash, suffix_arrays, suffix_trees, topk
+from skyloom.llm import decontaminate, kneser_ney, language, lm_scoring, mixing, oracles, sharding, simhash, suffix_arrays, suffix_trees, topk
 from skyloom.llm.common import table
 
 
@@ -77,4 +77,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_mix_sources": mixing.sql(), "op10_top_k": topk.sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": oracles.DECONTAMINATE,
+    "op4_mix_sources": mixing.sql(),
+    "op6_suffix_trees": oracles.SUFFIX_TREES,
+    "op9_suffix_arrays": oracles.SUFFIX_ARRAYS,
+    "op10_top_k": topk.sql(),
+}
