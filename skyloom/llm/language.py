@@ -34,8 +34,8 @@ from skyloom.llm.suffix_trees import _powers
 PER_LANGUAGE, STRETCH, SEED = 500, 120, 11
 BUCKETS = 1 << 16
 LEXICON_COUNT = 3
-#: Text labelled at once.
-PIECE_BYTES = 4 << 20
+#: Text labelled at once, and text whose features are held at once.
+PIECE_BYTES, FEATURE_BYTES = 4 << 20, 384 << 10
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -250,21 +250,28 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], list[floa
     labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if not model.labels:
         return labels, scores
-    low = [_lowered(t) for t in texts]
     first = 0
-    while first < len(low):
+    while first < len(texts):
         end, size = first, 0
-        while end < len(low) and (end == first or size + len(low[end]) <= PIECE_BYTES):
-            size += len(low[end])
-            end += 1
-        words = words_of(low[first:end])
-        p, _, _ = forward_backward(model.emissions(words, model.lexicon_rows(words.code)), words.text, model.move, model.start)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        while end < len(texts) and size < PIECE_BYTES:
+            low, start = [], end
+            held = 0
+            while end < len(texts) and held < FEATURE_BYTES:
+                low.append(_lowered(texts[end]))
+                held += len(low[-1]) + 1
+                end += 1
+            size += held
+            words = words_of(low)
+            found.append((model.emissions(words, model.lexicon_rows(words.code)), words.text + (start - first)))
+        emission, text = (np.concatenate(x) for x in zip(*found, strict=True))
+        p, _, _ = forward_backward(emission, text, model.move, model.start)
         if len(p):
-            begin = np.flatnonzero(np.concatenate([[True], words.text[1:] != words.text[:-1]]))
+            begin = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
             share = np.add.reduceat(p, begin, axis=0, dtype=np.float64)
             share /= share.sum(axis=1, keepdims=True)
             best = share.argmax(axis=1)
-            for i, b, s in zip(words.text[begin].tolist(), best.tolist(), share.max(axis=1).tolist(), strict=True):
+            for i, b, s in zip(text[begin].tolist(), best.tolist(), share.max(axis=1).tolist(), strict=True):
                 labels[first + i], scores[first + i] = model.labels[b], min(1.0, s)
         first = end
     return labels, scores
