@@ -15,7 +15,7 @@ from skyloom.functions.names import group_number
 #: Rows of a numbering bucket; windows never hold more of dense keys.
 BUCKET_ROWS = 1 << 20
 #: Most offset rows that are broadcast (a few per patch).
-BROADCAST_ROWS = 1 << 18
+BROADCAST_ROWS = 1 << 17
 
 
 def exclusive_sum(value: Column, partition: list[str], order: list[str]) -> Column:
@@ -33,8 +33,12 @@ def group_offsets(catalog: DataFrame, patch: str = "skypatch", group: str = "cor
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df, hinted for broadcast only if it has at most ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """df, computed once and hinted for broadcast if it has at most ``limit`` rows; else df as it is.
+
+    The large side of the join then needs no shuffle and the small one no second pass.
+    """
+    found = df.limit(limit + 1).toArrow()
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if found.num_rows <= limit else df
 
 
 def number_rows(catalog: DataFrame, row: str = "row_in_group", patch: str = "skypatch", group: str = "core_group", bucket_rows: int = BUCKET_ROWS) -> DataFrame:

@@ -84,9 +84,10 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             checks.verify_report(catalog, lum).show()
             checks.require([("sources are misaligned", checks.endpoint_differences(catalog, lum))])
             return
+        plain = catalog
         catalog, lum, phot = pipeline.numbered_sources(catalog, lum, phot)
         specs = pipeline.projection.resolve_columns(catalog, lum, phot, layout.load_band_names(spark, a.bands))
-        found = pipeline.repartition(catalog, lum, phot, specs, a.n_partitions, a.decimals)
+        found = pipeline.repartition(catalog, lum, phot, specs, a.n_partitions, a.decimals, plain)
         pipeline.publish_one(found.data, posixpath.join(a.output_dir, "data"), a.overwrite, "partition_index")
         pipeline.publish_one(found.manifest(), posixpath.join(a.output_dir, "manifest"), a.overwrite)
         pipeline.binning.balance(found.counts, found.edges).orderBy("partition_index").show(1000)

@@ -46,9 +46,14 @@ def numbered_sources(catalog: DataFrame, luminosities: DataFrame, photometry: Da
     return rows.number_rows(catalog), luminosities, photometry
 
 
-def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], n_partitions: int = 16, decimals: int = 2) -> Repartitioned:
-    """Lossless: each object to the range of its key.  Sources carry skypatch and source_global_row."""
-    edges = binning.quantile_edges(catalog, KEY, n_partitions, decimals)
+def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], n_partitions: int = 16, decimals: int = 2, keys_from: DataFrame | None = None) -> Repartitioned:
+    """Lossless: each object to the range of its key.  Sources carry skypatch and source_global_row.
+
+    Edges and counts need two columns only; ``keys_from`` is the catalogue
+    before it was numbered, which spares them the numbering.
+    """
+    plain = (catalog if keys_from is None else keys_from).select("skypatch", KEY)
+    edges = binning.quantile_edges(plain, KEY, n_partitions, decimals)
     own = {"lightcone_catalogs": catalog, "luminosities": luminosities, "photometry": photometry}
     keys = ["skypatch", "source_global_row"]
     parts = []
@@ -58,8 +63,8 @@ def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFra
         parts.append(projection.projected(df, mine, extra))
     joined = rows.with_provenance(rows.positional_join(*parts)).drop("core_group")
     data = binning.assign_bins(joined, KEY, edges)
-    counts = binning.bin_counts(binning.assign_bins(catalog.select(KEY), KEY, edges), n_partitions)
-    patches = sorted(r[0] for r in layout.distinct_patches(catalog).collect())
+    counts = binning.bin_counts(binning.assign_bins(plain, KEY, edges), n_partitions)
+    patches = sorted(r[0] for r in layout.distinct_patches(plain).collect())
     return Repartitioned(data, edges, counts, patches)
 
 
@@ -127,7 +132,7 @@ def shard_table(spark: SparkSession, root: str, patch: int | None = None) -> Dat
     files = spark.createDataFrame(names, "name string, patch int, shard int, declared int")
     meta_ = spark.read.parquet(posixpath.join(root, "shards.parquet"))
     meta_ = meta_ if patch is None else meta_.where(F.col("patch") == int(patch))
-    both = meta_.join(F.broadcast(files), ["patch", "shard"], "full")
+    both = meta_.drop("name").join(F.broadcast(files), ["patch", "shard"], "full")
     checks.require_none(both.where("declared is null or nshards is null or declared <> nshards"), "shard files and metadata differ")
     return both.drop("declared")
 
@@ -192,13 +197,14 @@ def run(
         raise LayoutError(f"{out} holds data already")  # before any work
     chosen = layout.selected_patches(layout.discover_skypatches(spark, raw_root), patches)
     catalog, lum, phot = (layout.read_kind(spark, raw_root, kind, chosen) for kind in layout.KINDS)
+    plain = catalog
     catalog, lum, phot = numbered_sources(catalog, lum, phot)
     if KEY in lum.columns:
         checks.require([("sources are misaligned", checks.endpoint_differences(catalog, lum, KEY))])
     specs = projection.resolve_columns(catalog, lum, phot, layout.load_band_names(spark, bands_path))
     sources = {"luminosities": lum, "photometry": phot}
     checks.require((f"{d} is not {w} wide", projection.width_violations(sources[k], d, w)) for (k, d), w in projection.matrix_widths(specs).items())
-    found = repartition(catalog, lum, phot, specs, n_partitions, decimals)
+    found = repartition(catalog, lum, phot, specs, n_partitions, decimals, plain)
     indexed = spatially_indexed(found.data, level)
     if sed_root is not None:
         shards = shard_table(spark, sed_root)
