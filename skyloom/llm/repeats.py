@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.common import byte_rows, mix64, text_volume
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Text whose arrays are worked on at once; a longer document is one piece.
 PIECE_BYTES = 192 << 10
 LAST = (1 << 63) - 1
