@@ -26,8 +26,8 @@ def bin_of(x: Column, edges: list[float]) -> Column:
 
 def is_close(a: Column, b: Column, tolerance: float) -> Column:
     """|a - b| <= tolerance, or equal infinities; NaN and NULL are never close."""
-    known = ~F.coalesce(F.isnan(a) | F.isnan(b), F.lit(True))
-    return known & ((F.abs(a - b) <= F.lit(tolerance)) | (a == b))
+    near = ~F.isnan(a) & ~F.isnan(b) & ((F.abs(a - b) <= F.lit(tolerance)) | (a == b))
+    return F.coalesce(near, F.lit(False))
 
 
 def same_in_single_precision(a: Column, b: Column) -> Column:

@@ -65,13 +65,15 @@ def occupancy(dense_or_sparse: DataFrame, level: int, by: str = "partition_index
     )
 
 
-def ordered_rows(df: DataFrame, by: str = "partition_index", row: str = "input_row") -> DataFrame:
+def ordered_rows(df: DataFrame, by: str = "partition_index", row: str = "input_row", counts_from: DataFrame | None = None) -> DataFrame:
     """Adds output_row: the place in its partition after the stable sort by pixel.
 
     The start of a row's pixel plus its rank inside the pixel; both go by
-    (partition, pixel), so rows move once.
+    (partition, pixel), so rows move once.  ``counts_from`` has the same pixels
+    in a cheaper table.
     """
-    starts = with_starts(df.groupBy(by, "pixel").agg(F.count(F.lit(1)).alias("size")).withColumn("level", F.lit(0)), by).select(by, "pixel", "start")
+    counts = (df if counts_from is None else counts_from).groupBy(by, "pixel").agg(F.count(F.lit(1)).alias("size"))
+    starts = with_starts(counts.withColumn("level", F.lit(0)), by).select(by, "pixel", "start")
     rank = F.row_number().over(Window.partitionBy(by, "pixel").orderBy(row))
     return df.withColumn("_rank", rank).join(starts, [by, "pixel"]).withColumn("output_row", (F.col("start") + F.col("_rank") - 1).cast("long")).drop("_rank", "start")
 

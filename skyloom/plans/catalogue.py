@@ -250,14 +250,14 @@ def published_catalogue(spark: SparkSession, d: str) -> DataFrame:
     """The whole lazy run on the stand-ins: number, join three sources, bin, order by pixel."""
     from skyloom.plans import pipeline
 
-    plain = catalog_of(spark, d)
+    plain = catalog_of(spark, d).withColumns({"ra": F.pmod(F.col("redshift") * 7.3, F.lit(360.0)), "dec": F.pmod(F.col("core_tag") * F.lit(0.5545), F.lit(180.0)) - 90.0})
     cat = rows.number_rows(plain)
-    cat = cat.withColumns({"ra": F.pmod(F.col("redshift") * 7.3, F.lit(360.0)), "dec": F.pmod(F.col("core_tag") * F.lit(0.5545), F.lit(180.0)) - 90.0})
     keys = ["skypatch", "source_global_row"]
     lum = cat.select(*keys, F.col("redshift").cast("float").alias("redshift"), F.array("ra", "dec").alias("M_ABS_SDSS"))
     phot = cat.select(*keys, F.array(F.col("redshift") * 2, F.col("redshift") * 3).alias("survey"))
     specs = projection.resolve_columns(cat, lum, phot, {"_LUM_M_ABS_SDSS": ["g", "r"], "survey": ["u.txt", "a.b-c"]})
-    indexed = pipeline.spatially_indexed(pipeline.repartition(cat, lum, phot, specs, BINS, DECIMALS, plain).data, LEVEL)
+    found = pipeline.repartition(cat, lum, phot, specs, BINS, DECIMALS, plain)
+    indexed = pipeline.spatially_indexed(found.data, LEVEL, positions=found.positions, places=found.places)
     return indexed.data.select("partition_index", "output_row", "input_row", "pixel", *keys, "redshift", F.round("mag_u", 6).alias("mag_u"))
 
 

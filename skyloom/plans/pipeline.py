@@ -28,6 +28,10 @@ class Repartitioned:
     edges: list[float]
     counts: DataFrame
     patches: list[int]
+    #: partition_index, ra and dec of every object by a scan of the catalogue alone.
+    positions: DataFrame | None = None
+    #: partition_index, skypatch and source_global_row of every object, before the other sources are joined.
+    places: DataFrame | None = None
 
     def manifest(self, prefix: str = "catalogue") -> DataFrame:
         return meta.manifest(self.counts, self.edges, self.patches, prefix)
@@ -52,7 +56,8 @@ def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFra
     Edges and counts need two columns only; ``keys_from`` is the catalogue
     before it was numbered, which spares them the numbering.
     """
-    plain = (catalog if keys_from is None else keys_from).select("skypatch", KEY)
+    source = catalog if keys_from is None else keys_from
+    plain = source.select("skypatch", KEY)
     edges = binning.quantile_edges(plain, KEY, n_partitions, decimals)
     own = {"lightcone_catalogs": catalog, "luminosities": luminosities, "photometry": photometry}
     keys = ["skypatch", "source_global_row"]
@@ -65,26 +70,32 @@ def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFra
     data = binning.assign_bins(joined, KEY, edges)
     counts = binning.bin_counts(binning.assign_bins(plain, KEY, edges), n_partitions)
     patches = sorted(r[0] for r in layout.distinct_patches(plain).collect())
-    return Repartitioned(data, edges, counts, patches)
+    positions = binning.assign_bins(source, KEY, edges).select("partition_index", "ra", "dec") if {"ra", "dec"} <= set(source.columns) else None
+    places = binning.assign_bins(catalog.select(*keys, KEY), KEY, edges).drop(KEY)
+    return Repartitioned(data, edges, counts, patches, positions, places)
 
 
-def spatially_indexed(data: DataFrame, level: int = 5, row: str | None = None) -> Indexed:
-    """Rows in pixel order with output_row, the sparse index of every level and the permutation."""
+def spatially_indexed(data: DataFrame, level: int = 5, row: str | None = None, positions: DataFrame | None = None, places: DataFrame | None = None) -> Indexed:
+    """Rows in pixel order with output_row, the sparse index of every level and the permutation.
+
+    ``positions`` and ``places`` (of the same objects, see Repartitioned) spare
+    the counts the joins behind data.
+    """
     level = healpix.checked_level(level)
     checks.require_columns(data, ("ra", "dec"), "the data")
     if row is None:  # the place before the sort: patch, then row in the patch
-        counts = data.groupBy("partition_index", "skypatch").agg(F.count(F.lit(1)).alias("n_objects"))
-        starts = rows.bounded_broadcast(binning.patch_starts(counts).select("partition_index", "skypatch", "bin_start"))
-        ranked = data.withColumn("_bucket", F.floor(F.col("source_global_row") / rows.BUCKET_ROWS))
-        offsets = ranked.groupBy("partition_index", "skypatch", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        offsets = offsets.withColumn("_offset", rows.exclusive_sum(F.col("_n"), ["partition_index", "skypatch"], ["_bucket"])).drop("_n")
+        bucket = F.floor(F.col("source_global_row") / rows.BUCKET_ROWS).alias("_bucket")
+        sizes = (data if places is None else places).groupBy("partition_index", "skypatch", bucket).agg(F.count(F.lit(1)).alias("_n"))
+        offsets = sizes.withColumn("_offset", rows.exclusive_sum(F.col("_n"), ["partition_index"], ["skypatch", "_bucket"])).drop("_n")
+        ranked = data.withColumn("_bucket", bucket)
         place = F.row_number().over(rows.Window.partitionBy("partition_index", "skypatch", "_bucket").orderBy("source_global_row"))
-        ranked = ranked.withColumn("_rank", place).join(rows.bounded_broadcast(offsets), ["partition_index", "skypatch", "_bucket"]).join(starts, ["partition_index", "skypatch"])
-        data = ranked.withColumn("input_row", F.col("bin_start") + F.col("_offset") + F.col("_rank") - 1).drop("_bucket", "_rank", "_offset", "bin_start")
+        ranked = ranked.withColumn("_rank", place).join(rows.bounded_broadcast(offsets), ["partition_index", "skypatch", "_bucket"])
+        data = ranked.withColumn("input_row", F.col("_offset") + F.col("_rank") - 1).drop("_bucket", "_rank", "_offset")
         row = "input_row"
     placed = spatial.with_pixel(data, level)
-    ordered = spatial.ordered_rows(placed, row=row)
-    return Indexed(ordered, spatial.sparse_index(placed.select("partition_index", "pixel"), level), spatial.provenance(ordered, row=row))
+    pixels = (placed if positions is None else spatial.with_pixel(positions, level)).select("partition_index", "pixel")
+    ordered = spatial.ordered_rows(placed, row=row, counts_from=pixels)
+    return Indexed(ordered, spatial.sparse_index(pixels, level), spatial.provenance(ordered, row=row))
 
 
 def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overwrite: bool = False, samples: int = spectra.SAMPLES) -> DataFrame:
@@ -205,7 +216,7 @@ def run(
     sources = {"luminosities": lum, "photometry": phot}
     checks.require((f"{d} is not {w} wide", projection.width_violations(sources[k], d, w)) for (k, d), w in projection.matrix_widths(specs).items())
     found = repartition(catalog, lum, phot, specs, n_partitions, decimals, plain)
-    indexed = spatially_indexed(found.data, level)
+    indexed = spatially_indexed(found.data, level, positions=found.positions, places=found.places)
     if sed_root is not None:
         shards = shard_table(spark, sed_root)
         source = spectra.concatenated(read_shards(spark, sed_root), shards)
