@@ -94,6 +94,10 @@ class Model:
     move: np.ndarray
     start: np.ndarray
 
+    def plain(self) -> tuple:
+        """What a worker that lacks the package can unpickle; Model(*plain) is the model."""
+        return self.labels, self.grams, self.lexicon, self.lexical, self.move, self.start
+
     def lexicon_rows(self, code: np.ndarray) -> np.ndarray:
         if not len(self.lexicon):
             return np.zeros(len(code), np.int64)
@@ -308,11 +312,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETC
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
     model = fit(docs) if model is None else model
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # tables of fixed size
 
     def run(batches):
+        own = Model(*shared.value)
         for batch in batches:
-            labels, scores = predict(batch.column("text").to_pylist(), shared.value)
+            labels, scores = predict(batch.column("text").to_pylist(), own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -323,11 +328,12 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """docs without those that have no language, or none with a share of ``least``."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs).plain())
 
     def run(batches):
+        own = Model(*shared.value)
         for batch in batches:
-            labels, scores = predict(batch.column("text").to_pylist(), shared.value)
+            labels, scores = predict(batch.column("text").to_pylist(), own)
             yield batch.filter(pa.array([label != UNKNOWN and s >= least for label, s in zip(labels, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
