@@ -225,4 +225,6 @@ def run(
     if header_path is not None:
         targets = found.counts.select("partition_index", F.lit(False).alias("is_source"), F.lit(False).alias("has_header"))
         headers = meta.specialised_headers(targets, spark.read.parquet(header_path), found.data, found.manifest(), first_step, replace=True)
+        if sed_root is not None and layout.exists(spark, grid := posixpath.join(sed_root, "wave_rest.parquet")):
+            headers = meta.with_spectrum_header(headers, spark.read.parquet(grid))
     publish(found, indexed, out, overwrite, headers)

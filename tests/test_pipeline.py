@@ -49,6 +49,7 @@ def raw(spark, tmp_path):
     spark.createDataFrame(metadata, schema).write.parquet(str(sed / "shards.parquet"))
     (tmp_path / "bands.json").write_text(json.dumps({"_LUM_M_ABS_SDSS": ["g", "r"], "survey": ["u.txt", "a.b-c"]}))
     spark.createDataFrame([(9.0, 0, [0.0, 9.0], "run")], "file_redshift double, file_step long, z_range array<double>, simulation string").write.parquet(str(tmp_path / "donor"))
+    spark.createDataFrame([([1.0, 2.0, 3.0],)], "wave_rest array<double>").write.parquet(str(sed / "wave_rest.parquet"))
     return tmp_path
 
 
@@ -82,6 +83,8 @@ def test_published_tables(spark, raw):
     assert {(r.partition_index, r.output_row, r.input_row) for r in data} == set(map(tuple, found["provenance"].select("partition_index", "output_row", "input_row").collect()))
     headers = sorted(found["header"].collect(), key=lambda r: r.partition_index)
     assert [h.file_step for h in headers] == [5, 6, 7] and all(h.simulation == "run" for h in headers)
+    assert headers[0].sed_wave_rest == [1.0, 2.0, 3.0] and headers[0].sed_flux_unit == "Jy"
+    assert found["header"].schema["sed_wave_rest"].metadata["unit"] == "Angstrom"
     assert headers[0].z_range == [manifest[0].z_min, manifest[0].z_max]
     units = {f.name: f.metadata for f in found["data"].schema.fields}
     assert units["ra"]["unit"] == "deg" and units["mag_u"]["unit"] == "mag" and "core_tag" in units and "description" in units["core_tag"]
@@ -215,6 +218,16 @@ def test_headers_say_what_stayed(spark):
     assert [r.file_step for r in meta.specialised_headers(targets, donor, data, None, replace=True).orderBy("partition_index").collect()] == [0, None, 1, 2]
 
 
+def test_wavelength_grids_must_agree(spark):
+    grid = spark.createDataFrame([([1.0, 2.0],)], "wave_rest array<double>")
+    header = spark.createDataFrame([("run", [1.0, 2.0])], "simulation string, sed_wave_rest array<double>")
+    assert meta.with_spectrum_header(header, grid).first().sed_wavelength_axis == "1"
+    with pytest.raises(LayoutError, match="differs"):
+        meta.with_spectrum_header(header, spark.createDataFrame([([1.0, 2.5],)], "wave_rest array<double>"))
+    with pytest.raises(LayoutError, match="need a header"):
+        meta.with_spectrum_header(header.where("false"), grid)
+
+
 def test_names_collide_loudly(spark):
     cat = spark.createDataFrame([(1.0, 1.0)], "redshift double, mag_u double")
     lum = spark.createDataFrame([(1.0,)], "redshift float")
