@@ -102,6 +102,12 @@ def test_mixing_edges(docs, no_docs):
     assert keys != sorted(keys) or len(keys) < 2 or mixed.rdd.getNumPartitions() == 1
 
 
+def test_many_sources_are_joined_by_shuffle(docs, monkeypatch):
+    want = sorted(map(str, mixing.counted(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)
+    assert sorted(map(str, mixing.counted(docs).collect())) == want
+
+
 # --- sharding -----------------------------------------------------------------
 
 
