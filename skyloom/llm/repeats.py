@@ -15,7 +15,10 @@ then
    somewhere else;
 5. the blocks gather their windows to remove and finish each document.
 
-A passage of a third of all documents costs one entry a block.  Blocks and
+A passage of a third of all documents costs one entry a block.  Where its
+surroundings differ everywhere, its anchor would gather all of them: an anchor
+with more than ``hot`` occurrences has its windows sent one by one to buckets
+of their own hashes instead.  Blocks and
 buckets grow in number with the input, not in size.  Rows that repeat a doc_id
 count as one document whose parts all start at 0.
 """
@@ -27,12 +30,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import byte_rows, mix64, text_volume
 
 BLOCK_BYTES = 8 << 20
+#: Occurrences of an anchor that one bucket takes.
+HOT = 50_000
 #: Text whose arrays are worked on at once; a longer document is one piece.
 PIECE_BYTES = 192 << 10
 LAST = (1 << 63) - 1
@@ -177,7 +183,7 @@ def _runs(which: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return which[first], offset[first], np.diff(np.append(first, len(which)))
 
 
-def removed_windows(docs: DataFrame, method: Method) -> DataFrame:
+def removed_windows(docs: DataFrame, method: Method, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id and the columns that method.finish returns."""
     spark = docs.sparkSession
     _, volume = text_volume(docs)
@@ -201,7 +207,7 @@ def removed_windows(docs: DataFrame, method: Method) -> DataFrame:
     def send_anchors(key, blocks):
         _, texts = _documents(blocks)
         anchor, times = np.unique(_all_contexts(texts, method)[3], return_counts=True)
-        where, blobs = _dealt({"anchor": pa.array(anchor), "many": pa.array(times > 1)}, (anchor % np.uint64(blocks_n)).astype(np.int32))
+        where, blobs = _dealt({"anchor": pa.array(anchor), "n": pa.array(times.astype(np.uint32))}, (anchor % np.uint64(blocks_n)).astype(np.int32))
         return table([(w, key[0].as_py(), 0, b) for w, b in zip(where, blobs, strict=True)], sent_type)
 
     def shared_anchors(sent):
@@ -209,34 +215,47 @@ def removed_windows(docs: DataFrame, method: Method) -> DataFrame:
         size = [b.num_rows for b in batches]
         origin = np.repeat(sent.column("origin").to_numpy(), size)
         anchor = np.concatenate([b.column("anchor").to_numpy() for b in batches])
-        many = np.concatenate([b.column("many").to_numpy(zero_copy_only=False) for b in batches])
+        n = np.concatenate([b.column("n").to_numpy() for b in batches]).astype(np.int64)
         order = np.argsort(anchor, kind="stable")
-        same = anchor[order][1:] == anchor[order][:-1]
-        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | many[order]
-        chosen = order[shared]
-        where, blobs = _dealt({"anchor": pa.array(anchor[chosen])}, origin[chosen])
+        first = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
+        size_of = np.diff(np.append(first, len(order)))
+        total = np.empty(len(order), np.int64)
+        total[order] = np.repeat(np.add.reduceat(n[order], first), size_of)
+        chosen = np.flatnonzero(total > 1)
+        where, blobs = _dealt({"anchor": pa.array(anchor[chosen]), "hot": pa.array(total[chosen] > hot)}, origin[chosen])
         return table([(w, 0, 0, b) for w, b in zip(where, blobs, strict=True)], sent_type)
 
     def send_contexts(key, blocks, shared):
         if not blocks.num_rows or not shared.num_rows:
             return table([], sent_type)
         ids, texts = _documents(blocks)
-        known = np.sort(np.concatenate([b.column("anchor").to_numpy() for b in _open(shared.column("blob"))]))
+        batches = _open(shared.column("blob"))
+        known = np.concatenate([b.column("anchor").to_numpy() for b in batches])
+        common = np.concatenate([b.column("hot").to_numpy(zero_copy_only=False) for b in batches])
+        order = np.argsort(known)
+        known, common = known[order], common[order]
         doc, start, count, anchor = _all_contexts(texts, method)
-        at = np.searchsorted(known, anchor)
-        hot = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == anchor)
+        at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+        there = np.flatnonzero(known[at] == anchor)
+        alone = common[at[there]]  # windows of common anchors go one by one
+        each = np.where(alone, count[there], 1)
+        step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        there, alone = np.repeat(there, each), np.repeat(alone, each)
+        doc, start, count, anchor = doc[there], start[there] + step, np.where(alone, 1, count[there]), anchor[there]
         number = np.array([LAST if i is None else i for i in ids], np.int64)
-        hot = hot[np.lexsort((start[hot], number[doc[hot]]))]
-        doc, start, count, anchor = doc[hot], start[hot], count[hot], anchor[hot]
+        order = np.lexsort((start, number[doc]))
+        doc, start, count, anchor, alone = (x[order] for x in (doc, start, count, anchor, alone))
         own = number[doc]
         first: dict[tuple[bytes, int], int] = {}
         keep, text, gone = [], [], []
         cut, last = None, -1
-        ids_, starts_ = own.tolist(), start.tolist()
+        ids_, starts_, single = own.tolist(), start.tolist(), alone.tolist()
         for i, (d, s, n) in enumerate(zip(doc.tolist(), starts_, count.tolist(), strict=True)):
             if d != last:
                 cut, last = method.slicer(texts[d]), d
             context = cut(s, n)
+            if single[i]:
+                anchor[i] = xxhash.xxh64_intdigest(context)
             earlier = first.setdefault((context, n), i)
             # contexts are in order of doc_id and start
             if earlier != i and (ids_[earlier] != ids_[i] or method.within and starts_[earlier] != s):

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skyloom.llm.repeats import Method, Occurrences, _runs, gram_anchors, removed_windows, rolled
+from skyloom.llm.repeats import HOT, Method, Occurrences, _runs, gram_anchors, removed_windows, rolled
 
 LENGTH, GRAM = 100, 32
 #: Context bytes of one suffix array.
@@ -39,16 +39,25 @@ def _words(text: np.ndarray) -> np.ndarray:
     return ((four[:-4] << np.uint64(32)) | four[4:])[: len(text)]
 
 
+def _symbols(text: np.ndarray) -> np.ndarray:
+    """The seven bytes from each position on, each plus one in nine bits; 0 is past the end."""
+    v = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
+    n = len(text)
+    pair = (v[:-1] << np.uint64(9)) | v[1:]
+    four = (pair[:-2] << np.uint64(18)) | pair[2:]
+    return (four[:n] << np.uint64(27)) | (pair[4 : n + 4] << np.uint64(9)) | v[6 : n + 6]
+
+
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of their first ``depth`` bytes (at least 8)."""
+    """Positions in the order of their first ``depth`` bytes (at least 7); a suffix comes before its extensions."""
     n = len(text)
-    key = _words(text)
+    key = _symbols(text)
     sa = np.argsort(key, kind="stable")
     new = np.ones(n, bool)
     new[1:] = key[sa][1:] != key[sa][:-1]
     rank = np.empty(n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0)) + 1  # 0 is past the end
-    have = 8
+    have = 7
     while have < depth:
         step = min(have, depth - have)  # the last step overlaps
         alone = new & np.append(new[1:], True)
@@ -213,7 +222,7 @@ def byte_contexts(length: int, gram: int):
     return contexts
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, removed spans (start, end) and kept bytes' digest per document."""
 
     def finish(text: bytes, windows: list[tuple[int, int]]):
@@ -240,4 +249,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             ("n_bytes", "n_removed", "spans", "kept_sha256"), (pa.int64(), pa.int64(), span, pa.string()),
             "n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string",
         ),
+        hot,
     )

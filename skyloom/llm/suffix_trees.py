@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skyloom.llm.common import mix64
-from skyloom.llm.repeats import _BASE, Method, Occurrences, _runs, gram_anchors, removed_windows, rolled
+from skyloom.llm.repeats import _BASE, HOT, Method, Occurrences, _runs, gram_anchors, removed_windows, rolled
 
 LENGTH, GRAM = 13, 5
 #: Suffixes of one tree.
@@ -180,7 +180,7 @@ def solver(length: int, limit: int):
     return solve
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, removed spans of words and the kept words' digest per document."""
 
     def finish(text: bytes, windows: list[tuple[int, int]]):
@@ -209,4 +209,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
             ("n_words", "n_removed", "spans", "kept_sha256"), (pa.int64(), pa.int64(), span, pa.string()),
             "n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string",
         ),
+        hot,
     )

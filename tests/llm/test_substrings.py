@@ -38,9 +38,9 @@ def brute(corpus, units, length, within):
     return out
 
 
-@pytest.mark.parametrize("length", [13, 5])
-def test_suffix_trees_equal_brute_force(docs, corpus, length):
-    found = suffix_trees.remove_repeats(docs, length=length, gram=min(5, length - 1), limit=40)
+@pytest.mark.parametrize(("length", "hot"), [(13, 50_000), (5, 50_000), (13, 2), (5, 4)])
+def test_suffix_trees_equal_brute_force(docs, corpus, length, hot):
+    found = suffix_trees.remove_repeats(docs, length=length, gram=min(5, length - 1), limit=40, hot=hot)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found.collect())
     want = []
     for (doc, text, *_), gone in zip(corpus, brute(corpus, WORD.findall, length, False), strict=True):
@@ -50,9 +50,9 @@ def test_suffix_trees_equal_brute_force(docs, corpus, length):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize(("length", "gram"), [(100, 32), (30, 9)])
-def test_suffix_arrays_equal_brute_force(docs, corpus, length, gram):
-    found = suffix_arrays.remove_repeats(docs, length=length, gram=gram, shard_bytes=700)
+@pytest.mark.parametrize(("length", "gram", "hot"), [(100, 32, 50_000), (30, 9, 50_000), (100, 32, 3), (30, 9, 8)])
+def test_suffix_arrays_equal_brute_force(docs, corpus, length, gram, hot):
+    found = suffix_arrays.remove_repeats(docs, length=length, gram=gram, shard_bytes=700, hot=hot)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in found.collect())
     want = []
     for (doc, text, *_), gone in zip(corpus, brute(corpus, lambda b: b, length, True), strict=True):
