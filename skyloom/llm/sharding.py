@@ -34,7 +34,7 @@ SHARDS = 24
 #: Keys sampled from a bracket in a round; a bracket of fewer rows is listed.
 SAMPLE = 64
 #: Ranges that a shard is cut into for the exchange, and rows aimed at in one.
-RANGES, RANGE_ROWS = 8, 200_000
+RANGES, RANGE_ROWS, REFINEMENTS = 8, 200_000, 4
 
 _NULL = -(1 << 63)
 
@@ -152,13 +152,27 @@ def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tu
     return [h[0] for h in high], total, count
 
 
-def _shard(docs: DataFrame, shards: int, sample: int) -> DataFrame:
+def _shard(docs: DataFrame, shards: int, sample: int, range_rows: int) -> DataFrame:
     rows = keyed(docs)
     keys = checkpointed(rows.select("shard_hash", "shard_id", "shard_bytes"))
     cuts, _, count = splitters(keys, shards, sample)
-    ranges = max(RANGES, -(-count // (shards * RANGE_ROWS)))
+    ranges = max(RANGES, -(-count // (shards * range_rows)))
     step = (1 << 64) // (shards * ranges)
     fine = sorted({c for c in cuts if c is not None} | {(-(1 << 63) + k * step, _NULL) for k in range(1, shards * ranges)})
+    for turn in range(REFINEMENTS):  # ranges that hold too many rows (copies of one text) are cut at sampled keys
+        _, below = _histogram(keys, fine)
+        rows_in = np.diff([0, *below])
+        heavy = {k: min(1.0, 4.0 * SAMPLE / n) for k, n in enumerate(rows_in.tolist()) if n > 2 * range_rows}
+        if not heavy:
+            break
+        seen: dict[int, list[tuple[int, int]]] = {}
+        for at, h, i, _ in _sampled(keys, fine, heavy, 1000 + turn):
+            seen.setdefault(at, []).append((h, i))
+        for at, found in seen.items():
+            found = sorted(set(found))
+            parts = min(len(found), -(-int(rows_in[at]) // range_rows))
+            fine = [*fine, *(found[len(found) * j // parts] for j in range(1, parts))]
+        fine = sorted(set(fine))
     _, below = _histogram(keys, fine)
     starts = [0, *below[:-1]]  # rows before each range
     of = [sum(c is not None and c <= p for c in cuts) for p in fine]
@@ -180,7 +194,7 @@ def _shard(docs: DataFrame, shards: int, sample: int) -> DataFrame:
     return rows.withColumn("shard_slot", lookup(offset).cast("long") + F.row_number().over(order) - 1).withColumn("shard", lookup(shard_of).cast("int"))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, sample: int = SAMPLE, range_rows: int = RANGE_ROWS) -> DataFrame:
     """docs with shard, shard_slot, shard_bytes and shard_crc; texts move once."""
     docs = docs.drop("shard", "shard_slot", "shard_bytes", "shard_crc", "shard_hash", "shard_id", "shard_range")
-    return _shard(docs, shards, sample).select(*docs.columns, "shard", "shard_slot", "shard_bytes", "shard_crc")
+    return _shard(docs, shards, sample, range_rows).select(*docs.columns, "shard", "shard_slot", "shard_bytes", "shard_crc")

@@ -35,6 +35,11 @@ from skyloom.llm.common import LOWER, byte_rows, checkpointed
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Fingerprints of one slice value beyond which it is dealt again.
 SPLIT = 4096
+#: Fingerprints of one slice value that a task takes; more are dealt to other
+#: tasks by further bits.  The list of such values is broadcast up to MOST_HEAVY.
+TASK, MOST_HEAVY = 1 << 20, 10_000
+#: Tag of these second slices, which may differ in any bit.
+SECOND = 64
 
 #: For each byte a word whose eight byte lanes are its bits, least first.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").reshape(-1).view("<u8").copy()
@@ -166,7 +171,7 @@ def local_edges(part: np.ndarray, code: np.ndarray, node: np.ndarray, radius: in
     width = 64 // (radius + 1)
 
     def free(group: int) -> list[int]:
-        shared = range((group >> 32) * width, (group >> 32) * width + width)
+        shared = range((group >> 32) * width, (group >> 32) * width + width) if group >> 32 < SECOND else ()
         return [b for b in range(64) if b not in shared]
 
     label = _roots(len(code), _pairs_in(code, part, free, radius, split))
@@ -174,11 +179,30 @@ def local_edges(part: np.ndarray, code: np.ndarray, node: np.ndarray, radius: in
     return node[moved], node[label[moved]]
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, split: int = SPLIT, task: int = TASK) -> DataFrame:
     """Edges (u, v), v < u, that connect all fingerprints within the radius."""
     width = 64 // (radius + 1)
-    slices = F.array(*[F.lit(k << 32) + (F.shiftrightunsigned("fp", k * width).bitwiseAND((1 << width) - 1)) for k in range(radius + 1)])
-    dealt = nodes.select("fp", "node", F.explode(slices).alias("part")).repartition("part").sortWithinPartitions("part")
+
+    def sliced(first: int, size: int, count: int, tag: int):
+        cut = lambda k: F.shiftrightunsigned("fp", first + k * size).bitwiseAND((1 << size) - 1)
+        return [F.lit((tag + k) << 32) + cut(k) for k in range(count)]
+
+    dealt = nodes.select("fp", "node", F.explode(F.array(*sliced(0, width, radius + 1, 0))).alias("part"))
+    # slice values that too many fingerprints share are dealt again, with a slice of the other bits
+    sizes = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > task)
+    heavy = [r[0] for r in sizes.select("part").limit(MOST_HEAVY + 1).collect()]
+    if heavy:
+        listed = sizes.select(F.col("part").alias("heavy"))
+        listed = F.broadcast(listed) if len(heavy) <= MOST_HEAVY else listed
+        narrow = width // (radius + 1)
+        finer = F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in enumerate(sliced(0, narrow, 64 // narrow, 0))])
+        finer = F.filter(finer, lambda x: F.floor(x["k"] * narrow / width) != F.shiftright("part", 32))
+        # radius + 1 unions of the other slices: a pair agrees on one of them
+        lanes = F.transform(F.sequence(F.lit(0), F.lit(radius)), lambda j: F.xxhash64("part", j, F.transform(F.filter(finer, lambda x: x["k"] % (radius + 1) == j), lambda x: x["v"])))
+        joined = dealt.join(listed, dealt["part"] == listed["heavy"], "left")
+        again = F.when(F.col("heavy").isNull(), F.array("part")).otherwise(F.transform(lanes, lambda h: F.lit(SECOND << 32) + F.pmod(h, F.lit(1 << 32))))
+        dealt = joined.select("fp", "node", F.explode(again).alias("part"))
+    dealt = dealt.repartition("part").sortWithinPartitions("part")
 
     def run(batches):
         held: list[tuple[np.ndarray, ...]] = []
@@ -232,11 +256,11 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.withColumnRenamed("u", "node").unionByName(tops)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, split: int = SPLIT, task: int = TASK) -> DataFrame:
     """doc_id, fp and component: the least doc_id reachable over links."""
     prints = checkpointed(fingerprints(docs, shingle))
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    found = components(links(nodes.where("node is not null"), radius, split))
+    found = components(links(nodes.where("node is not null"), radius, split, task))
     resolved = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
     return prints.join(resolved, "fp")
 

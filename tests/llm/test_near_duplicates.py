@@ -42,8 +42,9 @@ def plain_components(prints, names, radius=3):
     return [least.get(find(i)) for i in range(len(prints))]
 
 
-def test_components_equal_brute_force(docs, corpus):
-    got = sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in simhash.verdicts(simhash.near_duplicates(docs)).collect())
+@pytest.mark.parametrize(("split", "task"), [(simhash.SPLIT, simhash.TASK), (2, 1)])
+def test_components_equal_brute_force(docs, corpus, split, task):
+    got = sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in simhash.verdicts(simhash.near_duplicates(docs, split=split, task=task)).collect())
     prints = [plain_fingerprint(t) for _, t, *_ in corpus]
     want = plain_components(prints, [r[0] for r in corpus])
     assert got == sorted((str(r[0]), f"{p:016x}", str(c)) for r, p, c in zip(corpus, prints, want, strict=True))
@@ -69,6 +70,17 @@ def test_bk_trees_find_all_pairs(seeds, split):
     assert label == plain_components([int(c) for c in codes], list(range(len(codes))))
 
 
+def test_heavy_slices_lose_no_link(spark):
+    base = 0x0F0F0F0F0F0F0F0F
+    codes = sorted({base ^ (1 << a) ^ (1 << b) ^ (1 << (c * 7 % 64)) for a in range(0, 64, 5) for b in range(0, 64, 9) for c in range(3)})
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    nodes = spark.createDataFrame(list(zip(signed, range(len(codes)), strict=True)), "fp long, node long")
+    for task in (5, 1 << 20):
+        got = {r.node: r.component for r in simhash.components(simhash.links(nodes, task=task)).collect()}
+        want = plain_components(codes, list(range(len(codes))))
+        assert [got.get(i, i) for i in range(len(codes))] == want
+
+
 def test_long_chains_meet(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(101, 100)], "u long, v long")
     got = {r.node: r.component for r in simhash.components(edges).collect()}

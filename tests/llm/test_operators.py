@@ -132,6 +132,10 @@ def test_shards_equal_brute_force(docs, corpus, shards, sample):
 
 def test_many_copies_of_one_text_are_split(spark):
     rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "same text").otherwise(F.col("id").cast("string")).alias("text"))
+    fine = sharding._shard(rows, 24, 64, 20).groupBy("shard_range").count().agg(F.max("count")).first()[0]
+    assert fine <= 60  # no range holds a shard's copies at once
+    whole, cut = (sorted(map(tuple, sharding.shard(rows, range_rows=n).select("doc_id", "shard", "shard_slot").collect())) for n in (200_000, 20))
+    assert whole == cut
     sizes = sharding.shard(rows).groupBy("shard").agg(F.sum("shard_bytes").alias("b")).collect()
     assert len(sizes) == 24 and max(r.b for r in sizes) - min(r.b for r in sizes) < 40
     one = spark.createDataFrame([(7, "x")] * 500, "doc_id long, text string")
