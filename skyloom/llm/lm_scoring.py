@@ -145,21 +145,16 @@ def frequent_words(docs: DataFrame) -> np.ndarray:
 
     def count(batches):
         for batch in batches:
-            codes = []
-            for text in byte_rows(batch):
-                codes.append((text or b"").translate(LOWER))
-            parts, size = [], 0
-            found, times = [], []
-            for text in [*codes, None]:
-                if text is None or size > PIECE_BYTES:
-                    if parts:
-                        c, n = np.unique(word_hashes(np.frombuffer(b" ".join(parts), np.uint8))[1], return_counts=True)
-                        found.append(c)
-                        times.append(n)
+            found, times, parts, size = [], [], [], 0
+            texts = byte_rows(batch)
+            for i, text in enumerate(texts, 1):
+                parts.append((text or b"").translate(LOWER))
+                size += len(parts[-1]) + 1
+                if size > PIECE_BYTES or i == len(texts):
+                    c, n = np.unique(word_hashes(np.frombuffer(b" ".join(parts), np.uint8))[1], return_counts=True)
+                    found.append(c)
+                    times.append(n)
                     parts, size = [], 0
-                if text is not None:
-                    parts.append(text)
-                    size += len(text) + 1
             if found:
                 code, back = np.unique(np.concatenate(found), return_inverse=True)
                 total = np.bincount(back, weights=np.concatenate(times)).astype(np.int64)

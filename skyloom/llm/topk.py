@@ -99,12 +99,11 @@ class MultiIndex:
                 for q, c, d in self._met(open_, codes, s, r):
                     np.add.at(seen, (q, d), self.size[c])
                     met.append((q, c, d))
-                within = m * r + s
-                done = (seen[open_, : within + 1].sum(axis=1) >= k) | (seen[open_].sum(axis=1) == len(self.ids))
-                bound[open_[done]] = np.minimum(within, m * SEGMENT) if r <= SEGMENT else bound[open_[done]]
-                everything = done & (seen[open_].sum(axis=1) == len(self.ids))
-                bound[open_[everything]] = m * SEGMENT
-                open_ = open_[~done]
+                within = min(m * r + s, m * SEGMENT)
+                enough = seen[open_, : within + 1].sum(axis=1) >= k
+                everything = seen[open_].sum(axis=1) == len(self.ids)
+                bound[open_] = np.where(everything, m * SEGMENT, within)
+                open_ = open_[~(enough | everything)]
                 if not len(open_):
                     break
             if not len(open_):
