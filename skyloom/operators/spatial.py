@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skyloom.functions import healpix
-from skyloom.operators.rows import exclusive_sum
+from skyloom.operators.rows import bounded_broadcast, exclusive_sum
 
 #: Levels above the finest by which starts are summed first, so that no window holds all pixels.
 COARSER = 5
@@ -46,8 +46,8 @@ def dense_index(sparse: DataFrame, level: int, by: str = "partition_index") -> D
     A pixel's start is all before it; windows run over coarse pixels only, so
     even the finest level's 805 million pixels spread over tasks.
     """
-    every = sparse.select(by).distinct().withColumn("_base", F.explode(F.sequence(F.lit(0), F.lit(healpix.BASE_PIXELS - 1))))
-    every = every.withColumn("pixel", F.explode(F.sequence(F.shiftleft(F.col("_base").cast("long"), 2 * level), F.shiftleft(F.col("_base").cast("long") + 1, 2 * level) - 1))).drop("_base")
+    groups = bounded_broadcast(sparse.select(by).distinct())
+    every = sparse.sparkSession.range(healpix.pixel_count(level)).withColumnRenamed("id", "pixel").crossJoin(groups)
     own = sparse.where(F.col("level") == level).select(by, "pixel", "size")
     filled = every.join(own, [by, "pixel"], "left").select(by, "pixel", F.coalesce("size", F.lit(0)).cast("long").alias("size")).withColumn("level", F.lit(level))
     return with_starts(filled, by).select(by, "level", "pixel", "start", "size")
