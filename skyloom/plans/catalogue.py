@@ -364,10 +364,9 @@ def observed_wavelengths(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", F.round(F.get(wide, F.lit(0)), 6).alias("first_wave"), F.size(wide).alias("n_waves"))
 
 
-@query("SELECT 0 AS patch, vec_id::INTEGER AS shard FROM embeddings WHERE vec_id < 40 AND vec_id % 7 = 3")
+@query("SELECT 0 AS patch, vec_id::INTEGER AS shard FROM embeddings WHERE label <> (SELECT label FROM embeddings ORDER BY vec_id LIMIT 1)")
 def grid_violations(spark: SparkSession, d: str) -> DataFrame:
-    step = F.when(F.col("vec_id") % 7 == 3, 1.0).otherwise(0.0)
-    grids = table(spark, d, "embeddings").where("vec_id < 40").select(F.lit(0).alias("patch"), F.col("vec_id").cast("int").alias("shard"), F.lit(3).alias("width"), F.array(F.lit(1.0), F.lit(2.0), 3.0 + step).alias("wave_rest"))
+    grids = table(spark, d, "embeddings").select(F.lit(0).alias("patch"), F.col("vec_id").cast("int").alias("shard"), F.lit(3).alias("width"), F.array(F.lit(1.0), F.lit(2.0), F.col("label").cast("double")).alias("wave_rest"))
     return spectra.grid_violations(grids).select("patch", "shard")
 
 
@@ -407,13 +406,12 @@ def matrix_width_violations(spark: SparkSession, d: str) -> DataFrame:
     return projection.width_violations(cut, "embedding", 64).select("vec_id")
 
 
-_KEYS_SQL = "keys AS (SELECT DISTINCT event_type AS grp, (event_id % 9)::VARCHAR AS key FROM events WHERE NOT (event_type = 'click' AND event_id % 9 = 3) AND NOT (event_type = 'view' AND event_id % 9 = 5)), fst AS (SELECT DISTINCT key FROM keys WHERE grp = (SELECT min(grp) FROM keys))"
+_KEYS_SQL = "keys AS (SELECT DISTINCT o_orderpriority AS grp, o_custkey::VARCHAR AS key FROM orders), fst AS (SELECT DISTINCT key FROM keys WHERE grp = (SELECT min(grp) FROM keys))"
 
 
 @query(f"WITH {_KEYS_SQL} SELECT g.grp, fst.key, 'missing' AS side FROM (SELECT DISTINCT grp FROM keys) g, fst WHERE NOT EXISTS (SELECT 1 FROM keys k WHERE k.grp = g.grp AND k.key = fst.key) UNION ALL SELECT grp, key, 'extra' FROM keys WHERE key NOT IN (SELECT key FROM fst)")
 def schema_symmetric_difference(spark: SparkSession, d: str) -> DataFrame:
-    lost = ((F.col("event_type") == "click") & (F.col("event_id") % 9 == 3)) | ((F.col("event_type") == "view") & (F.col("event_id") % 9 == 5))
-    return projection.group_key_difference(table(spark, d, "events").where(~lost).select(F.col("event_type").alias("grp"), (F.col("event_id") % 9).cast("string").alias("key")))
+    return projection.group_key_difference(table(spark, d, "orders").select(F.col("o_orderpriority").alias("grp"), F.col("o_custkey").cast("string").alias("key")))
 
 
 def _advice_sql(columns: dict[str, str]) -> str:
@@ -440,10 +438,9 @@ def unit_annotations(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(f.name, f.metadata.get("unit"), f.metadata.get("description")) for f in made.schema.fields], "column string, unit string, description string")
 
 
-@query("SELECT DISTINCT a.n_name AS name FROM nation a WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = a.n_nationkey AND s_suppkey % 3 = 0)")
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def missing_keys(spark: SparkSession, d: str) -> DataFrame:
-    there = table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("n_nationkey"))
-    return table(spark, d, "nation").join(there, "n_nationkey", "left_anti").select(F.col("n_name").alias("name"))
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left_anti")
 
 
 # --- checks ---------------------------------------------------------------
@@ -464,12 +461,12 @@ def verify_report(spark: SparkSession, d: str) -> DataFrame:
     return checks.verify_report(rows.number_rows(catalog_of(spark, d)), _flat(spark, d))
 
 
-@query("WITH f AS (SELECT DISTINCT o_custkey % 40 AS skypatch, CASE o_orderstatus WHEN 'O' THEN 'lightcone_catalogs' WHEN 'F' THEN 'luminosities' ELSE 'photometry' END AS kind FROM orders WHERE o_orderkey % 41 < 2) SELECT p.skypatch, k.kind FROM (SELECT DISTINCT skypatch FROM f) p, (VALUES ('lightcone_catalogs'), ('luminosities'), ('photometry')) k(kind) WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.skypatch = p.skypatch AND f.kind = k.kind)")
+@query("WITH f AS (SELECT DISTINCT o_custkey AS skypatch, CASE o_orderstatus WHEN 'O' THEN 'lightcone_catalogs' WHEN 'F' THEN 'luminosities' ELSE 'photometry' END AS kind FROM orders) SELECT p.skypatch, k.kind FROM (SELECT DISTINCT skypatch FROM f) p, (VALUES ('lightcone_catalogs'), ('luminosities'), ('photometry')) k(kind) WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.skypatch = p.skypatch AND f.kind = k.kind)")
 def patch_parity(spark: SparkSession, d: str) -> DataFrame:
     from skyloom.sources.layout import KINDS
 
     kind = F.when(F.col("o_orderstatus") == "O", "lightcone_catalogs").when(F.col("o_orderstatus") == "F", "luminosities").otherwise("photometry")
-    found = table(spark, d, "orders").where("o_orderkey % 41 < 2").select((F.col("o_custkey") % 40).alias("skypatch"), kind.alias("kind"))
+    found = table(spark, d, "orders").select(F.col("o_custkey").alias("skypatch"), kind.alias("kind"))
     return checks.missing_kinds(found, list(KINDS))
 
 
@@ -478,18 +475,20 @@ def patch_selection(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(8).select(F.col("id").alias("skypatch")).subtract(catalog_of(spark, d).select(F.col("skypatch").cast("long")))
 
 
-@query("WITH c AS (SELECT (user_id % 4)::INTEGER AS skypatch, count(*) AS n_catalog FROM events GROUP BY 1), o AS (SELECT (user_id % 4)::INTEGER AS skypatch, count(*) AS n_other FROM events WHERE NOT (user_id % 4 = 2 AND event_id < 50) GROUP BY 1) SELECT skypatch, n_catalog, n_other, 'photometry' AS kind FROM c FULL JOIN o USING (skypatch) WHERE n_catalog IS DISTINCT FROM n_other")
+@query("WITH c AS (SELECT (user_id % 4)::INTEGER AS skypatch, count(*) AS n_catalog FROM events GROUP BY 1), o AS (SELECT (o_custkey % 4)::INTEGER AS skypatch, count(*) AS n_other FROM orders GROUP BY 1) SELECT skypatch, n_catalog, n_other, 'photometry' AS kind FROM c FULL JOIN o USING (skypatch) WHERE n_catalog IS DISTINCT FROM n_other")
 def row_count_parity(spark: SparkSession, d: str) -> DataFrame:
     cat = catalog_of(spark, d)
-    short = cat.where(~((F.col("skypatch") == 2) & (F.col("core_tag") < 50)))
-    return checks.row_count_differences(cat, {"luminosities": cat, "photometry": short})
+    other = table(spark, d, "orders").select((F.col("o_custkey") % 4).cast("int").alias("skypatch"))
+    return checks.row_count_differences(cat, {"luminosities": cat, "photometry": other})
 
 
-@query(f"WITH RECURSIVE {BINNED_SQL}, a AS (SELECT partition_index, count(*) AS n FROM binned GROUP BY 1), b AS (SELECT partition_index, count(*) AS n FROM binned WHERE core_tag % 1000 <> 1 GROUP BY 1) SELECT partition_index, a.n AS n_objects, coalesce(b.n, 0) AS n_written FROM a LEFT JOIN b USING (partition_index) WHERE a.n <> coalesce(b.n, 0)")
+@query(f"WITH RECURSIVE {BINNED_SQL}, a AS (SELECT partition_index, count(*) AS n FROM binned GROUP BY 1), b AS (SELECT greatest(0, least({BINS - 1}, len(list_filter(es, lambda x: x <= ceil(redshift))) - 1))::INTEGER AS partition_index, count(*) AS n FROM cat, edges GROUP BY 1) SELECT partition_index, coalesce(a.n, 0) AS n_objects, coalesce(b.n, 0) AS n_written FROM a FULL JOIN b USING (partition_index) WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)")
 def written_vs_expected(spark: SparkSession, d: str) -> DataFrame:
-    binned, _ = _binned(spark, d)
-    a, b = (x.groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects")) for x in (binned, binned.where("core_tag % 1000 <> 1")))
-    return checks.count_differences(a, b, ["partition_index"]).select("partition_index", "n_objects", F.coalesce("_other", F.lit(0)).alias("n_written"))
+    edges, cat = _edges(spark, d), catalog_of(spark, d)
+    both = (cat, cat.withColumn("redshift", F.ceil("redshift").cast("double")))  # written from rounded keys
+    a, b = (binning.assign_bins(x, "redshift", edges).groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects")) for x in both)
+    found = checks.count_differences(a, b, ["partition_index"])
+    return found.select("partition_index", F.coalesce("n_objects", F.lit(0)).alias("n_objects"), F.coalesce("_other", F.lit(0)).alias("n_written"))
 
 
 @query("WITH c AS (SELECT (user_id % 4)::INTEGER AS skypatch, count(*) AS n FROM events GROUP BY 1) SELECT skypatch, n AS n_catalog, n AS n_luminosities, n + CASE WHEN skypatch = 1 THEN 4 ELSE 0 END AS n_sed FROM c WHERE skypatch = 1")
