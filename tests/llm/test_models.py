@@ -174,6 +174,20 @@ def test_classifier_edges(spark, docs, no_docs):
     assert all(r.perplexity == pytest.approx(256) for r in none.collect() if r.perplexity is not None)
 
 
+def test_thresholds_use_all_trusted_documents(spark):
+    dice = random.Random(8)
+    rows = [(i, "".join(dice.choice("abcde ") for _ in range(30)), "en" if i % 10 else "fr") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    trained = {r.doc_id for r in kneser_ney.trusted_ids(labels, 60, known=docs.select("doc_id", "lang")).collect()}
+    assert 30 < len(trained) < 90 and len({i for i in trained if i % 10 == 0}) > 15
+    found = kneser_ney.classify(docs, labels, max_trusted=60).collect()
+    for lang in ("en", "fr"):
+        own = sorted(r.perplexity for r in found if r.lang == lang and r.doc_id not in trained)
+        assert {r.threshold for r in found if r.lang == lang} == {own[math.ceil(0.99 * len(own)) - 1]}
+    assert kneser_ney.language_quota([(270.0, 1), (30.0, 1)], 60) == 30 and kneser_ney.language_quota([(4.0, 2), (90.0, 1)], 20) == 12
+
+
 # --- masked language model ----------------------------------------------------
 
 
