@@ -5,7 +5,9 @@ are runs of digits, letters a-z and any character from U+0080 on.  The
 translation maps bytes one to one, so a word's offsets in the normalised
 text are its byte offsets in the original.  Every window of ``n`` item words
 (a shorter item is one window) becomes a pattern; each document is scanned
-once and each word inside an occurrence counts as hit.
+by one automaton (by several in turn if the benchmark is large) and each word
+inside an occurrence counts as hit.  Rows are judged one by one whatever the
+size of the benchmark; nothing is shuffled.
 
 Defined cases: a null or wordless text has no words and no hits; repeated
 rows and repeated items give repeated equal results; an empty benchmark hits
@@ -14,6 +16,8 @@ nothing; further columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -26,6 +30,8 @@ WINDOW = 13
 #: Item text that one automaton holds (its trie has some 13 nodes a byte); a
 #: larger benchmark is split by item.
 AUTOMATON_BYTES = 256 << 10
+#: Documents' text that several automata are built for, one after the other.
+HELD_BYTES = 32 << 20
 
 _WORD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -60,11 +66,10 @@ def automaton(windows: dict[bytes, tuple[int, list[str]]]):
     return built
 
 
-def scan_text(text: bytes | None, machine) -> tuple[int, list[int], list[str], list[dict]]:
-    """Words, hit word indexes, items hit and original byte spans of a text."""
-    words = words_of(text)
+def hits_of(words: list[bytes], machine) -> tuple[np.ndarray | None, set[str]]:
+    """Whether each word is hit (None if none is), and the items hit."""
     if not words or not len(machine):
-        return len(words), [], [], []
+        return None, set()
     plain = f" {b' '.join(words).decode()} "
     at = seen = 0
     marks, items = [], set()
@@ -74,12 +79,18 @@ def scan_text(text: bytes | None, machine) -> tuple[int, list[int], list[str], l
         marks.append((seen - 1 - size, seen - 1))
         items.update(ids)
     if not marks:
-        return len(words), [], [], []
+        return None, items
     depth = np.zeros(len(words) + 1, np.int64)
     for start, end in marks:
         depth[start] += 1
         depth[end] -= 1
-    hit = np.cumsum(depth[:-1]) > 0
+    return np.cumsum(depth[:-1]) > 0, items
+
+
+def described(text: bytes | None, n_words: int, hit: np.ndarray | None, items: set[str]) -> tuple[int, list[int], list[str], list[dict]]:
+    """Words, hit word indexes, items hit and original byte spans of a text."""
+    if hit is None:
+        return n_words, [], [], []
     # offsets of the words in the original bytes
     solid = np.frombuffer(text.translate(_WORD), np.uint8) != 32
     edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
@@ -89,29 +100,52 @@ def scan_text(text: bytes | None, machine) -> tuple[int, list[int], list[str], l
         {"start": int(first[a]), "end": int(last[b - 1])}
         for a, b in zip(np.flatnonzero(runs == 1), np.flatnonzero(runs == -1), strict=True)
     ]
-    return len(words), np.flatnonzero(hit).tolist(), sorted(items), spans
+    return n_words, np.flatnonzero(hit).tolist(), sorted(items), spans
 
 
-def _pass(docs: DataFrame, items: list[tuple[str, bytes | None]], n: int) -> DataFrame:
-    windows = docs.sparkSession.sparkContext.broadcast(windows_of(items, n))
+def scan_text(text: bytes | None, machine) -> tuple[int, list[int], list[str], list[dict]]:
+    words = words_of(text)
+    return described(text, len(words), *hits_of(words, machine))
 
-    def scan(batches):
-        machine = automaton(windows.value)
-        for batch in batches:
-            rows = [scan_text(text, machine) for text in byte_rows(batch)]
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").cast(pa.int64()),
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                    pa.array([r[2] for r in rows], pa.list_(pa.string())),
-                    pa.array([r[3] for r in rows], span),
-                ],
-                names=["doc_id", "n_words", "hit_words", "items", "spans"],
-            )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, _SCHEMA)
+def _held(batches: Iterable[pa.RecordBatch]) -> Iterable[list[pa.RecordBatch]]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _scanned(batches: Iterable[pa.RecordBatch], groups: list[list[tuple[str, bytes | None]]], n: int):
+    """Each batch with what scan_text() would return for its rows by one automaton of all groups."""
+    if len(groups) == 1:
+        machine = automaton(windows_of(groups[0], n))
+        for batch in batches:
+            yield batch, [scan_text(text, machine) for text in byte_rows(batch)]
+        return
+    for held in _held(batches):
+        texts = [text for batch in held for text in byte_rows(batch)]
+        sizes = [0] * len(texts)
+        hits: list[np.ndarray | None] = [None] * len(texts)
+        items: list[set[str]] = [set() for _ in texts]
+        for group in groups:
+            machine = automaton(windows_of(group, n))
+            for i, text in enumerate(texts):
+                words = words_of(text)
+                hit, ids = hits_of(words, machine)
+                sizes[i] = len(words)
+                if hit is not None:
+                    hits[i] = hit if hits[i] is None else hits[i] | hit
+                    items[i] |= ids
+            del machine  # before the next is built
+        at = 0
+        for batch in held:
+            yield batch, [described(texts[i], sizes[i], hits[i], items[i]) for i in range(at, at + batch.num_rows)]
+            at += batch.num_rows
 
 
 def _groups(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, bytes | None]]]:
@@ -128,25 +162,29 @@ def _groups(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, bytes
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_bytes: int = AUTOMATON_BYTES) -> DataFrame:
-    """doc_id, n_words, hit_words, items and original byte spans per document.
+    """doc_id, n_words, hit_words, items and original byte spans of each row.
 
-    Broadcast at most about ``max_bytes`` of item text at once: a larger
-    benchmark is dealt by item hash into parts that are scanned in turn and
-    merged by doc_id (rows that repeat a doc_id then become one).
+    An automaton holds about ``max_bytes`` of item text: a larger benchmark is
+    dealt by item hash into parts whose automata are built in turn over the
+    rows at hand, and each row's hits are united in place.
     """
-    passes = [_pass(docs, items, n) for items in _groups(benchmark, max_bytes)]
-    if len(passes) == 1:
-        return passes[0]
-    merged = passes[0]
-    for more in passes[1:]:
-        merged = merged.unionByName(more)
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    return merged.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        flat("hit_words").alias("hit_words"),
-        flat("items").alias("items"),
-        flat("spans").alias("spans"),
-    )
+    groups = docs.sparkSession.sparkContext.broadcast(_groups(benchmark, max_bytes))
+
+    def run(batches):
+        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for batch, rows in _scanned(batches, groups.value, n):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").cast(pa.int64()),
+                    pa.array([r[0] for r in rows], pa.int64()),
+                    pa.array([r[1] for r in rows], pa.list_(pa.int32())),
+                    pa.array([r[2] for r in rows], pa.list_(pa.string())),
+                    pa.array([r[3] for r in rows], span),
+                ],
+                names=["doc_id", "n_words", "hit_words", "items", "spans"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
 
 
 def verdicts(found: DataFrame) -> DataFrame:
@@ -161,21 +199,11 @@ def verdicts(found: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_bytes: int = AUTOMATON_BYTES) -> DataFrame:
-    """docs without the documents of which a twentieth of the words is hit.
-
-    With one automaton the rows are filtered where they are read; nothing is
-    shuffled.
-    """
-    groups = _groups(benchmark, max_bytes)
-    if len(groups) > 1:
-        bad = verdicts(scan(docs, benchmark, n, max_bytes)).where("contaminated").select("doc_id")
-        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
-    windows = docs.sparkSession.sparkContext.broadcast(windows_of(groups[0], n))
+    """docs without the rows of which a twentieth of the words is hit."""
+    groups = docs.sparkSession.sparkContext.broadcast(_groups(benchmark, max_bytes))
 
     def clean(batches):
-        machine = automaton(windows.value)
-        for batch in batches:
-            rows = (scan_text(text, machine) for text in byte_rows(batch))
+        for batch, rows in _scanned(batches, groups.value, n):
             yield batch.filter(pa.array([not (hit and 20 * len(hit) >= words) for words, hit, _, _ in rows], pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)

@@ -54,6 +54,17 @@ def test_decontamination_equals_brute_force(spark, docs, corpus, items, max_byte
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(g[0] for g in got if not g[-1])
 
 
+def test_size_of_the_benchmark_does_not_matter(spark, docs, corpus, items, monkeypatch):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [corpus[5][1], "quite clean", corpus[1][1]]
+    more = docs.unionByName(spark.createDataFrame([(i, t, None, None, None) for i in (None, 7777) for t in texts], docs.schema))
+    monkeypatch.setattr(decontaminate, "HELD_BYTES", 2000)
+    found = [sorted(repr(r) for r in decontaminate.scan(more, bench, max_bytes=b).collect()) for b in (1 << 20, 200)]
+    assert len(found[0]) == len(corpus) + 6 and found[0] == found[1]
+    clean = [sorted(repr(r) for r in decontaminate.drop_contaminated(more, bench, max_bytes=b).collect()) for b in (1 << 20, 200)]
+    assert clean[0] == clean[1] and sum("quite clean" in r for r in clean[1]) == 2 and not any("doc_id=7777" in r and texts[0] in r for r in clean[1])
+
+
 def test_offsets_lead_to_the_original():
     text = "Quoth: «Ünder, the—Green» tree, and more of it."
     machine = decontaminate.automaton(decontaminate.windows_of([("1", "the GREEN tree".encode()), ("2", b"of it")]))
