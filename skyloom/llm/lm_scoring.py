@@ -1,17 +1,23 @@
 """Masked pseudo-likelihood by a bidirectional window network in numpy.
 
 Words are lower-cased; the most frequent of the whole corpus have a number
-each, the others share hashed ones.  The network predicts the word at each
+each, the others share hashed ones (buckets).  The network predicts the word at each
 position from the ``side`` words on its left and on its right: position-wise
 embeddings are summed, squashed and read out by a class softmax and a softmax
 within the class.  It is trained on a hashed share of masked positions of
 every document: each partition runs its own gradient steps from the shared
 parameters, which are then averaged by trained positions, block by block, for
-``rounds`` rounds.  A document's score is the sum of the conditional
-log-probabilities of all its words.
-
-What is broadcast are the parameters, of a size that is fixed by VOCABULARY,
-HIDDEN and ``side``.
+``rounds`` rounds.  A word of a bucket has the bucket's conditional probability
+times its own within the bucket: its count in the whole corpus, over those of
+all words of the bucket and an unknown word, which counts as often as there
+are words seen once (once at least).  A document's score is the sum of the
+conditional log-probabilities of all its words.
+
+The counts grow with the corpus and stay distributed: documents are dealt into
+packed blocks, each asks the shards of its words for their counts and scores
+its rows with the answers.  What is broadcast are the parameters and the
+totals of buckets, of a size that is fixed by VOCABULARY, HIDDEN and ``side``.
+As context, words of one bucket count alike.
 
 Defined cases: a null, empty or blank text has no words, sum 0 and no mean;
 repeated rows get equal results; a missing neighbour counts as nothing;
@@ -25,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import LOWER, byte_rows, mix64
+from skyloom.llm.common import LOWER, byte_rows, checkpointed, mix64, text_volume
+from skyloom.llm.repeats import BLOCK_BYTES, _dealt, _documents, _open
 from skyloom.llm.suffix_trees import word_hashes
 
 #: Numbers of words: half for frequent words, half shared by the others.
@@ -48,7 +55,7 @@ def fresh(side: int = SIDE, seed: int = SEED) -> Parameters:
 
 
 def pieces(texts: list[bytes | None], frequent: np.ndarray):
-    """(number of first text, words of each text, word numbers, text of each word) a piece."""
+    """(number of first text, words of each text, word numbers, text and hash of each word) a piece."""
     first = 0
     while first < len(texts):
         end, size, part = first, 0, []
@@ -63,7 +70,7 @@ def pieces(texts: list[bytes | None], frequent: np.ndarray):
         at = np.minimum(np.searchsorted(frequent[:, 0], code), max(0, len(frequent) - 1))
         shared = (half + code % np.uint64(half)).astype(np.int64)
         word = np.where(frequent[at, 0] == code, frequent[at, 1].astype(np.int64), shared) if len(frequent) else shared
-        yield first, np.bincount(text, minlength=len(part)), word, text
+        yield first, np.bincount(text, minlength=len(part)), word, text, code
         first = end
 
 
@@ -140,8 +147,8 @@ def gradient_step(p: Parameters, sums: Parameters, near: np.ndarray, word: np.nd
         p[name] -= rate * g / np.sqrt(sums[name])
 
 
-def frequent_words(docs: DataFrame) -> np.ndarray:
-    """Hash and number of the most frequent words, counted over all texts, in order of the hash."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """code and n of every word of all texts."""
 
     def count(batches):
         for batch in batches:
@@ -160,12 +167,37 @@ def frequent_words(docs: DataFrame) -> np.ndarray:
                 total = np.bincount(back, weights=np.concatenate(times)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(total)], names=["code", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "code").limit(VOCABULARY // 2).collect()
+    return docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(docs: DataFrame, counts: DataFrame | None = None) -> np.ndarray:
+    """Hash and number of the most frequent words, counted over all texts, in order of the hash."""
+    top = (word_counts(docs) if counts is None else counts).orderBy(F.desc("n"), "code").limit(VOCABULARY // 2).collect()
     table = np.array([[int(r["code"]) % (1 << 64), i] for i, r in enumerate(top)], np.uint64).reshape(-1, 2)
     return table[np.argsort(table[:, 0])]
 
 
+def bucket_totals(counts: DataFrame, frequent: np.ndarray) -> np.ndarray:
+    """Occurrences of the words of each bucket and of its unknown word."""
+    half = VOCABULARY // 2
+
+    def add(batches):
+        n, once = np.zeros(half, np.int64), np.zeros(half, np.int64)
+        for batch in batches:
+            code, times = batch.column("code").to_numpy().view(np.uint64), batch.column("n").to_numpy()
+            own = ~np.isin(code, frequent[:, 0])
+            bucket = (code[own] % np.uint64(half)).astype(np.int64)
+            np.add.at(n, bucket, times[own])
+            np.add.at(once, bucket, times[own] == 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(half), pa.int32()), pa.array(n), pa.array(once)], names=["bucket", "n", "once"])
+
+    sums = counts.mapInArrow(add, "bucket int, n long, once long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect()
+    out = np.ones(half)
+    for r in sums:
+        out[r["bucket"]] = r["n"] + max(r["once"], 1)
+    return out
+
+
 def _flat(p: Parameters) -> np.ndarray:
     return np.concatenate([p[k].reshape(-1) for k in sorted(p)])
 
@@ -193,7 +225,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, masked: f
             seen = 0
             held: list[tuple[np.ndarray, np.ndarray]] = []
             for batch in batches:
-                for _, _, word, text in pieces(byte_rows(batch), known):
+                for _, _, word, text, _ in pieces(byte_rows(batch), known):
                     if not len(word):
                         continue
                     place = np.arange(len(word), dtype=np.uint64)
@@ -244,31 +276,79 @@ def _steps(own: Parameters, sums: Parameters, held: list[tuple[np.ndarray, np.nd
     return len(word)
 
 
-def score_texts(texts: list[bytes | None], p: Parameters, frequent: np.ndarray, side: int = SIDE) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed log-probabilities of each text."""
+def score_texts(texts: list[bytes | None], p: Parameters, frequent: np.ndarray, side: int = SIDE, within: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Words and summed log-probabilities of each text.
+
+    within: sorted hashes of the texts' words of buckets, and the logarithm of
+    their share of the bucket; without it a word counts as its bucket.
+    """
     words, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    for first, count, word, text in pieces(texts, frequent):
+    for first, count, word, text, code in pieces(texts, frequent):
         words[first : first + len(count)] = count
         for low in range(0, len(word), CHUNK):
             at = np.arange(low, min(low + CHUNK, len(word)))
             log = log_probabilities(p, neighbours(word, text, at, side), word[at])
             sums[first : first + len(count)] += np.bincount(text[at], weights=log, minlength=len(count))
+        shared = np.flatnonzero(word >= VOCABULARY // 2)
+        if within is not None and len(shared):
+            log = within[1][np.searchsorted(within[0], code[shared])]
+            sums[first : first + len(count)] += np.bincount(text[shared], weights=log, minlength=len(count))
     return words, sums
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED) -> DataFrame:
     """doc_id, n_words, pseudo_log_likelihood and its mean per word."""
-    frequent = frequent_words(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((train(docs, frequent, rounds, masked, side, seed), frequent))
-
-    def run(batches):
-        p, known = shared.value
+    spark = docs.sparkSession
+    counts = checkpointed(word_counts(docs))
+    frequent = frequent_words(docs, counts)
+    shared = spark.sparkContext.broadcast((train(docs, frequent, rounds, masked, side, seed), frequent, bucket_totals(counts, frequent)))
+    _, volume = text_volume(docs)
+    parts = max(-(-volume // BLOCK_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), volume // (64 << 10) + 1))
+    sent_type = pa.schema([("part", pa.int32()), ("origin", pa.int32()), ("blob", pa.binary())])
+    scored_type = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("pseudo_log_likelihood", pa.float64())])
+
+    def to_blocks(batches):
         for batch in batches:
-            words, sums = score_texts(byte_rows(batch), p, known, side)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(words), pa.array(sums)],
-                names=["doc_id", "n_words", "pseudo_log_likelihood"],
-            )
-
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, pseudo_log_likelihood double")
+            texts = pa.array([t or b"" for t in byte_rows(batch)], pa.binary())
+            where, blobs = _dealt({"doc_id": batch.column("doc_id").cast(pa.int64()), "text": texts}, batch.column("part").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
+
+    def sent(where, origin, blobs):
+        return pa.Table.from_arrays([pa.array(where, pa.int32()), pa.array(origin, pa.int32()), pa.array(blobs, pa.binary())], schema=sent_type)
+
+    def ask(key, block):
+        """A block's words of buckets, with their counts there, to the words' shards."""
+        _, texts = _documents(block)
+        found = [np.unique(code[word >= VOCABULARY // 2], return_counts=True) for _, _, word, _, code in pieces(texts, shared.value[1])]
+        code, back = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([n for _, n in found]), minlength=len(code)).astype(np.int64)
+        where, blobs = _dealt({"code": pa.array(code), "n": pa.array(n)}, (mix64(code) % np.uint64(parts)).astype(np.int32))
+        return sent(where, [key[0].as_py()] * len(where), blobs)
+
+    def answer(key, asked):
+        """The counts of the whole corpus to each block that asked."""
+        batches = _open(asked.column("blob"))
+        origin = np.repeat(asked.column("origin").to_numpy(), [b.num_rows for b in batches])
+        code = np.concatenate([b.column("code").to_numpy() for b in batches])
+        _, back = np.unique(code, return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([b.column("n").to_numpy() for b in batches])).astype(np.int64)[back]
+        where, blobs = _dealt({"code": pa.array(code), "n": pa.array(n)}, origin)
+        return sent(where, [key[0].as_py()] * len(where), blobs)
+
+    def run(key, block, answers):
+        p, known, totals = shared.value
+        ids, texts = _documents(block)
+        batches = _open(answers.column("blob"))
+        code = np.concatenate([np.zeros(0, np.uint64), *(b.column("code").to_numpy() for b in batches)])
+        n = np.concatenate([np.zeros(0, np.int64), *(b.column("n").to_numpy() for b in batches)])
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+        words, sums = score_texts(texts, p, known, side, (code, np.log(n / totals[(code % np.uint64(len(totals))).astype(np.int64)])))
+        return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(words), pa.array(sums)], schema=scored_type)
+
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("part"))
+    blocks = dealt.mapInArrow(to_blocks, "part int, blob binary")
+    message = "part int, origin int, blob binary"
+    answers = blocks.groupBy("part").applyInArrow(ask, message).groupBy("part").applyInArrow(answer, message)
+    scored = blocks.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(run, "doc_id long, n_words long, pseudo_log_likelihood double")
     return scored.withColumn("mean_log_probability", F.try_divide("pseudo_log_likelihood", "n_words"))

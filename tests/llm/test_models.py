@@ -242,6 +242,25 @@ def test_frequent_words(spark):
     assert {int(c): int(i) for c, i in found} == {int(c): i for i, c in enumerate(codes)}
 
 
+def test_words_of_a_bucket_have_their_own_probabilities(spark):
+    half = lm_scoring.VOCABULARY // 2
+    names = [f"w{i}" for i in range(4000)]
+    codes = [int(c) for c in word_hashes(np.frombuffer(" ".join(names).encode(), np.uint8))[1]]
+    by_bucket = defaultdict(list)
+    for name, code in zip(names[half:], codes[half:], strict=True):
+        by_bucket[code % half].append(name)
+    often, twice, once = next(v for v in by_bucket.values() if len(v) >= 3)[:3]
+    texts = [" ".join(names[:half])] * 30 + [often] * 20 + [twice] * 2 + [once]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
+    assert len(found) == len(texts) and all(r.n_words == len(texts[i].split()) for i, r in found.items())
+    log = {texts[i]: r.pseudo_log_likelihood for i, r in found.items()}
+    assert log[often] - log[once] == pytest.approx(math.log(20), abs=1e-4) and log[often] - log[twice] == pytest.approx(math.log(10), abs=1e-4)
+    # 23 occurrences, and one of an unknown word
+    totals = lm_scoring.bucket_totals(lm_scoring.word_counts(docs), lm_scoring.frequent_words(docs))
+    assert sorted(totals.tolist())[-2:] == [1, 24]
+
+
 def test_sample_of_trusted_documents(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(4000)], "doc_id long, quality int, toxic int")
     n = kneser_ney.trusted_ids(labels, max_trusted=500).count()
