@@ -99,6 +99,15 @@ def shard_range_violations(shards: DataFrame) -> DataFrame:
     return covered.where("n_gaps > 0 or n_covered <> n_global")
 
 
+def shard_row_violations(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """Shards whose rows (patch, shard, local_row) aren't exactly the declared 0 to n_rows - 1; only keys are read."""
+    each = rows.groupBy("patch", "shard", "local_row").agg(F.count(F.lit(1)).alias("_n"))
+    counted = each.groupBy("patch", "shard").agg(F.sum("_n").alias("n_counted"), F.count("local_row").alias("n_distinct"), F.min("local_row").alias("low"), F.max("local_row").alias("high"))
+    both = shards.select("patch", "shard", "n_rows").join(counted, ["patch", "shard"], "full")
+    right = "n_rows is not null and coalesce(n_counted, 0) = n_rows and (n_rows = 0 or n_distinct = n_rows and low = 0 and high = n_rows - 1)"
+    return both.where(f"not ({right})")
+
+
 def count_differences(a: DataFrame, b: DataFrame, keys: list[str], value: str = "n_objects") -> DataFrame:
     """Keys whose counts differ, a missing one being 0: two passes, or expected and written."""
     right = b.select(*keys, F.col(value).alias("_other"))

@@ -81,6 +81,11 @@ def source_violations(spectra: DataFrame, catalog: DataFrame, luminosities: Data
     return rows.join(cat, keys, "left").join(lum, keys, "left").where(~F.coalesce(same, F.lit(False)))
 
 
+def grid_width_violations(grids: DataFrame) -> DataFrame:
+    """Shards (patch, shard, width, wave_rest) without a grid, or with one of another length than the width."""
+    return grids.where("wave_rest is null or width is null or size(wave_rest) <> width")
+
+
 def grid_violations(grids: DataFrame) -> DataFrame:
     """Shards (patch, shard, width, wave_rest) whose width or grid differs from the first shard's; all are checked."""
     first = grids.orderBy("patch", "shard").limit(1).select(F.col("wave_rest").alias("_grid"), F.col("width").alias("_width"))

@@ -51,6 +51,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--output-dir", required=True)
     p.add_argument("--patch", type=int, action="append")
     p.add_argument("--verify", action="store_true")
+    p.add_argument("--raw-root", help="catalogue and luminosities to compare with (default: those beside the spectra, if any)")
+    p.add_argument("--verify-samples", type=int, default=16, help="rows a shard to compare (0: counts only)")
     p.add_argument("--overwrite", action="store_true")
     p = command("header", help="put a donor's header on every partition")
     p.add_argument("--source", required=True)
@@ -86,7 +88,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             return
         plain = catalog
         catalog, lum, phot = pipeline.numbered_sources(catalog, lum, phot)
-        specs = pipeline.projection.resolve_columns(catalog, lum, phot, layout.load_band_names(spark, a.bands))
+        specs = pipeline.checked_specs(catalog, lum, phot, layout.load_band_names(spark, a.bands))
         found = pipeline.repartition(catalog, lum, phot, specs, a.n_partitions, a.decimals, plain)
         pipeline.publish_one(found.data, posixpath.join(a.output_dir, "data"), a.overwrite, "partition_index")
         pipeline.publish_one(found.manifest(), posixpath.join(a.output_dir, "manifest"), a.overwrite)
@@ -105,15 +107,14 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         shards = pipeline.shard_table(spark, a.sed_dir)
         source = pipeline.spectra.concatenated(pipeline.read_shards(spark, a.sed_dir), shards)
         final = spark.read.parquet(posixpath.join(a.catalog_dir, "data"))
-        wide = pipeline.append_spectra(final, source, shards, a.overwrite, a.verify_samples)
+        wide = pipeline.append_spectra(final, source, shards, a.overwrite, a.verify_samples, grids=pipeline.shard_grids(spark, a.sed_dir, shards))
         pipeline.publish_one(wide, posixpath.join(a.output_dir, "data"), a.overwrite, "partition_index", a.compression, a.compression_level)
     elif a.command == "convert":
         for patch in a.patch or [None]:
             if a.verify:
-                shards = pipeline.shard_table(spark, a.input_dir, patch)
-                checks.require([("shard sets", checks.shard_set_violations(shards)), ("shard ranges", checks.shard_range_violations(shards))])
+                pipeline.verified_shards(spark, a.input_dir, patch, a.raw_root, a.verify_samples)
             else:
-                pipeline.converted_spectra(spark, a.input_dir, a.output_dir, patch, a.overwrite)
+                pipeline.converted_spectra(spark, a.input_dir, a.output_dir, patch, a.overwrite, a.raw_root, a.verify_samples)
     elif a.command == "header":
         found = spark.read.parquet(posixpath.join(a.target_dir, "manifest"))
         old = posixpath.join(a.target_dir, "header")

@@ -6,6 +6,7 @@ Everything is one lazy plan between two points that need results: the edges
 
 from __future__ import annotations
 
+import functools
 import posixpath
 import uuid
 from dataclasses import dataclass
@@ -50,6 +51,16 @@ def numbered_sources(catalog: DataFrame, luminosities: DataFrame, photometry: Da
     return rows.number_rows(catalog), luminosities, photometry
 
 
+def checked_specs(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, bands: dict[str, list[str]]) -> list[projection.ColumnSpec]:
+    """The output columns, after the checks that numbered sources are aligned and matrices as wide as their bands."""
+    if KEY in luminosities.columns:
+        checks.require([("sources are misaligned", checks.endpoint_differences(catalog, luminosities, KEY))])
+    specs = projection.resolve_columns(catalog, luminosities, photometry, bands)
+    sources = {"luminosities": luminosities, "photometry": photometry}
+    checks.require((f"{d} is not {w} wide", projection.width_violations(sources[k], d, w)) for (k, d), w in projection.matrix_widths(specs).items())
+    return specs
+
+
 def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], n_partitions: int = 16, decimals: int = 2, keys_from: DataFrame | None = None) -> Repartitioned:
     """Lossless: each object to the range of its key.  Sources carry skypatch and source_global_row.
 
@@ -98,17 +109,38 @@ def spatially_indexed(data: DataFrame, level: int = 5, row: str | None = None, p
     return Indexed(ordered, spatial.sparse_index(pixels, level), spatial.provenance(ordered, row=row))
 
 
-def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overwrite: bool = False, samples: int = spectra.SAMPLES) -> DataFrame:
+def shard_checks(rows: DataFrame, shards: DataFrame, grids: DataFrame) -> list[tuple[str, DataFrame]]:
+    """What must hold for shards whatever refers to them; rows: patch, shard and local_row of their spectra."""
+    return [
+        ("shard metadata", checks.shard_metadata_violations(shards)),
+        ("shard sets", checks.shard_set_violations(shards)),
+        ("shard ranges", checks.shard_range_violations(shards)),
+        ("shard rows differ from those declared", checks.shard_row_violations(rows, shards)),
+        ("wavelength grids and widths differ", spectra.grid_width_violations(grids)),
+        ("wavelength grids disagree", spectra.grid_violations(grids)),
+    ]
+
+
+def require_same_objects(source: DataFrame, catalog: DataFrame, luminosities: DataFrame, shards: DataFrame, samples: int = spectra.SAMPLES) -> None:
+    """Counts of catalogue, luminosities and spectra agree, and so do sampled tags and redshifts of all three (samples = 0: counts only)."""
+    checks.require([("row counts differ", checks.total_differences(catalog, luminosities, shards))])
+    if samples:
+        checks.require_columns(source, ("core_tag", KEY), "the table of spectra")
+        checks.require_columns(catalog, ("core_tag", KEY), "the catalogue")
+        checks.require_columns(luminosities, (KEY,), "the table of luminosities")
+        checks.require([("spectra are misaligned", spectra.source_violations(source, catalog, luminosities, shards, samples))])
+
+
+def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overwrite: bool = False, samples: int = spectra.SAMPLES, *, grids: DataFrame) -> DataFrame:
     """final with SED from the shards, after all reference checks."""
     checks.require_appendable(final, overwrite)
     refs = final.select("skypatch", "source_global_row")
     checks.require(
         [
-            ("shard metadata", checks.shard_metadata_violations(shards)),
-            ("incomplete shard sets", checks.shard_set_violations(shards)),
-            ("shard ranges", checks.shard_range_violations(shards)),
+            *shard_checks(source.select(F.col("skypatch").alias("patch"), "shard", "local_row"), shards, grids),
             ("rows outside the spectra", spectra.out_of_range(refs, shards)),
             ("rows named twice", spectra.duplicate_references(refs)),
+            ("rows without a spectrum", spectra.missing_spectra(refs, source)),
         ]
     )
     if {"core_tag", KEY, "output_row"} <= set(final.columns) and {"core_tag", KEY} <= set(source.columns):
@@ -116,10 +148,39 @@ def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overw
     return spectra.gathered(final.drop("SED"), source)
 
 
-def converted_spectra(spark: SparkSession, root: str, out: str, patch: int | None = None, overwrite: bool = False) -> list[str]:
-    """One table a patch from its shards, rows in global order; an earlier good table stays until the new one is whole."""
+def companions(spark: SparkSession, root: str, patches: list[int], required: bool) -> tuple[DataFrame, DataFrame] | None:
+    """Numbered catalogue and luminosities of the patches, beside the spectra or in a raw root; None if there are none and none are required."""
+    kinds = ("lightcone_catalogs", "luminosities")
+    if not required and not any(layout.exists(spark, path) for p in patches for k in kinds for path in (layout.patch_path(root, p, k), posixpath.join(root, posixpath.basename(layout.patch_path(root, p, k))))):
+        return None
+    found = []
+    for kind in kinds:
+        parts = [spark.read.parquet(layout.companion_path(spark, root, p, kind)).withColumn("skypatch", F.lit(int(p))) for p in patches]
+        found.append(functools.reduce(DataFrame.unionByName, parts))
+    return rows.number_rows(found[0]), found[1]
+
+
+def verified_shards(spark: SparkSession, root: str, patch: int | None = None, raw_root: str | None = None, samples: int = spectra.SAMPLES) -> DataFrame:
+    """The shard table, after all checks of the shards and of the catalogue and luminosities.
+
+    These are sought in raw_root, and then must be there, else beside the
+    spectra; if there are none, that is printed.
+    """
     shards = shard_table(spark, root, patch)
-    checks.require([("shard sets", checks.shard_set_violations(shards)), ("shard ranges", checks.shard_range_violations(shards))])
+    read = read_shards(spark, root, patch)
+    checks.require(shard_checks(read, shards, shard_grids(spark, root, shards)))
+    patches = sorted({n[1] for n in layout.shard_names(spark, root, patch)})
+    found = companions(spark, root if raw_root is None else raw_root, patches, raw_root is not None)
+    if found is None:
+        print(f"no catalogue and luminosities beside the spectra of {patches}: neither counts nor identities were compared")
+    else:
+        require_same_objects(spectra.concatenated(read, shards), *found, shards, samples)
+    return shards
+
+
+def converted_spectra(spark: SparkSession, root: str, out: str, patch: int | None = None, overwrite: bool = False, raw_root: str | None = None, samples: int = spectra.SAMPLES) -> list[str]:
+    """One table a patch from its shards, rows in global order; an earlier good table stays until the new one is whole."""
+    shards = verified_shards(spark, root, patch, raw_root, samples)
     written = []
     for p in sorted({n[1] for n in layout.shard_names(spark, root, patch)}):
         target = posixpath.join(out, f"seds_skypatch_{p}.parquet")
@@ -148,6 +209,20 @@ def shard_table(spark: SparkSession, root: str, patch: int | None = None) -> Dat
     return both.drop("declared")
 
 
+def shard_grids(spark: SparkSession, root: str, shards: DataFrame) -> DataFrame:
+    """patch, shard, width and wave_rest of every shard, from ``<root>/wave_rest.parquet``: a row a shard, or one for all."""
+    path = posixpath.join(root, "wave_rest.parquet")
+    if not layout.exists(spark, path):
+        raise LayoutError(f"no wavelength grid: {path} is missing")
+    grids = spark.read.parquet(path)
+    keys = ["patch", "shard"]
+    if set(keys) <= set(grids.columns):
+        return shards.select(*keys, "width").join(grids.select(*keys, "wave_rest"), keys, "left")
+    if grids.limit(2).count() != 1:
+        raise LayoutError(f"{path} needs one row, or patch and shard of each")
+    return shards.select(*keys, "width").crossJoin(F.broadcast(grids.select("wave_rest")))
+
+
 def publish_one(df: DataFrame, target: str, overwrite: bool = False, partition_by: str | None = None, codec: str = "blosc", level: int = 5) -> None:
     """Writes beside the target and swaps on success, so a failure leaves the old table."""
     spark = df.sparkSession
@@ -210,17 +285,14 @@ def run(
     catalog, lum, phot = (layout.read_kind(spark, raw_root, kind, chosen) for kind in layout.KINDS)
     plain = catalog
     catalog, lum, phot = numbered_sources(catalog, lum, phot)
-    if KEY in lum.columns:
-        checks.require([("sources are misaligned", checks.endpoint_differences(catalog, lum, KEY))])
-    specs = projection.resolve_columns(catalog, lum, phot, layout.load_band_names(spark, bands_path))
-    sources = {"luminosities": lum, "photometry": phot}
-    checks.require((f"{d} is not {w} wide", projection.width_violations(sources[k], d, w)) for (k, d), w in projection.matrix_widths(specs).items())
+    specs = checked_specs(catalog, lum, phot, layout.load_band_names(spark, bands_path))
     found = repartition(catalog, lum, phot, specs, n_partitions, decimals, plain)
     indexed = spatially_indexed(found.data, level, positions=found.positions, places=found.places)
     if sed_root is not None:
         shards = shard_table(spark, sed_root)
         source = spectra.concatenated(read_shards(spark, sed_root), shards)
-        indexed.data = append_spectra(indexed.data, source, shards, overwrite, samples)
+        indexed.data = append_spectra(indexed.data, source, shards, overwrite, samples, grids=shard_grids(spark, sed_root, shards))
+        require_same_objects(source, catalog, lum, shards.where(F.col("patch").isin(chosen)), samples)
     headers = None
     if header_path is not None:
         targets = found.counts.select("partition_index", F.lit(False).alias("is_source"), F.lit(False).alias("has_header"))

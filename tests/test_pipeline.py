@@ -270,6 +270,60 @@ def test_commands(spark, raw):
         cli.main(["spatial", "--input-dir", str(raw / "r"), "--output-dir", str(raw / "r")], spark)
 
 
+def _rewritten(spark, path, change):
+    rows = change(spark.read.parquet(path))
+    held = spark.createDataFrame(rows.collect(), rows.schema)
+    held.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+@pytest.mark.parametrize(
+    ("file", "change", "message"),
+    [
+        ("shards.parquet", lambda d: d.withColumn("complete", F.col("shard") == 0), "not complete"),
+        ("seds_skypatch_1.shard1of2.parquet", lambda d: d.where("local_row <> 1"), "shard rows"),
+        ("seds_skypatch_1.shard1of2.parquet", lambda d: d.withColumn("local_row", F.greatest("local_row", F.lit(1)).cast("long")), "shard rows"),
+        ("wave_rest.parquet", lambda d: d.withColumn("wave_rest", F.slice("wave_rest", 1, 2)), "grids and widths"),
+        ("wave_rest.parquet", lambda d: d.selectExpr("explode(array(0, 1)) patch", "wave_rest").selectExpr("patch", "explode(array(0, 1)) shard", "transform(wave_rest, x -> x + patch * shard) wave_rest"), "grids disagree"),
+        ("seds_skypatch_1.shard1of2.parquet", lambda d: d.withColumn("core_tag", F.col("core_tag") + 1), "spectra are misaligned|identities differ"),
+    ],
+)
+def test_every_run_checks_its_spectra(spark, raw, file, change, message):
+    sed = str(raw / "sed")
+    _rewritten(spark, f"{sed}/{file}", change)
+    args = ["convert", "--input-dir", sed, "--output-dir", str(raw / "c"), "--raw-root", str(raw / "raw")]
+    for more in ([], ["--verify"]):
+        with pytest.raises(LayoutError, match=message):
+            cli.main([*args, *more], spark)
+    with pytest.raises(LayoutError, match=message):
+        run(spark, raw)
+    assert not layout.exists(spark, str(raw / "c")) and not layout.exists(spark, str(raw / "out"))
+
+
+def test_counts_of_all_three_sources_are_compared(spark, raw):
+    cli.main(["convert", "--input-dir", str(raw / "sed"), "--output-dir", str(raw / "c"), "--raw-root", str(raw / "raw"), "--verify"], spark)
+    path = layout.patch_path(str(raw / "raw"), 1, "luminosities")
+    _rewritten(spark, path, lambda d: d.where("source_global_row < 5"))
+    with pytest.raises(LayoutError, match="row counts"):
+        cli.main(["convert", "--input-dir", str(raw / "sed"), "--output-dir", str(raw / "c"), "--raw-root", str(raw / "raw")], spark)
+    with pytest.raises(LayoutError, match="no luminosities"):
+        layout_root = str(raw / "empty")
+        spark.read.parquet(layout.patch_path(str(raw / "raw"), 0, "lightcone_catalogs")).write.parquet(layout.patch_path(layout_root, 0, "lightcone_catalogs"))
+        cli.main(["convert", "--input-dir", str(raw / "sed"), "--output-dir", str(raw / "c"), "--raw-root", layout_root, "--patch", "0"], spark)
+
+
+def test_missing_spectra_and_misaligned_repartition_are_refused(spark, raw):
+    shards = pipeline.shard_table(spark, str(raw / "sed"))
+    source = pipeline.spectra.concatenated(pipeline.read_shards(spark, str(raw / "sed")), shards)
+    grids = pipeline.shard_grids(spark, str(raw / "sed"), shards)
+    final = source.select("skypatch", "source_global_row")
+    assert pipeline.append_spectra(final, source, shards, grids=grids).where("SED is null").count() == 0
+    with pytest.raises(LayoutError, match="without a spectrum"):
+        pipeline.append_spectra(final, source.where("source_global_row <> 3"), shards, grids=grids)
+    _rewritten(spark, layout.patch_path(str(raw / "raw"), 1, "luminosities"), lambda d: d.withColumn("redshift", F.col("redshift") + F.lit(1).cast("float")))
+    with pytest.raises(LayoutError, match="misaligned"):
+        cli.main(["repartition", "--raw-root", str(raw / "raw"), "--bands", str(raw / "bands.json"), "--n-partitions", "3", "--output-dir", str(raw / "r")], spark)
+
+
 def test_hdf5_needs_its_library(spark):
     try:
         import h5py  # noqa: F401
