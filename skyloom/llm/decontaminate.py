@@ -11,7 +11,7 @@ size of the benchmark; nothing is shuffled.
 
 Defined cases: a null or wordless text has no words and no hits; repeated
 rows and repeated items give repeated equal results; an empty benchmark hits
-nothing; further columns are ignored, whatever their names.
+nothing; an item without an item_id is no item (the SQL counts its hits); further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
