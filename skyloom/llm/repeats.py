@@ -76,6 +76,22 @@ class Method:
     ddl: str
 
 
+def _least(grams: np.ndarray, window: int) -> np.ndarray:
+    """Position of the least gram of each window, by overlapping parts whose positions fit the low bits."""
+    parts, step = [], int(_POSITION) + 2 - window
+    for low in range(0, len(grams) - window + 1, step):
+        own = grams[low : low + step + window - 1]
+        least = (own & ~_POSITION) | np.arange(len(own), dtype=np.uint64)
+        size = 1
+        while 2 * size <= window:
+            least = np.minimum(least[:-size], least[size:])
+            size *= 2
+        if size < window:
+            least = np.minimum(least[: size - window], least[window - size :])
+        parts.append((least & _POSITION).astype(np.int64) + low)
+    return np.concatenate(parts)
+
+
 def gram_anchors(grams: np.ndarray, window: int, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, windows, anchor) of each run of valid windows with one anchor.
 
@@ -86,15 +102,8 @@ def gram_anchors(grams: np.ndarray, window: int, valid: np.ndarray) -> tuple[np.
     if len(grams) < window:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
-    least = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
-    size = 1
-    while 2 * size <= window:
-        least = np.minimum(least[:-size], least[size:])
-        size *= 2
-    if size < window:
-        least = np.minimum(least[: size - window], least[window - size :])
-    at = np.flatnonzero(valid[: len(least)])
-    chosen = (least[at] & _POSITION).astype(np.int64)
+    at = np.flatnonzero(valid[: len(grams) - window + 1])
+    chosen = _least(grams, window)[at]
     new = np.ones(len(at), bool)
     new[1:] = (chosen[1:] != chosen[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)

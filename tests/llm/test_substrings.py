@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyloom.llm import suffix_arrays, suffix_trees
+from skyloom.llm import repeats, suffix_arrays, suffix_trees
 from skyloom.llm.repeats import LAST, Occurrences, rolled
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -106,6 +106,20 @@ def test_tree_nodes():
     assert sorted(tree.nodes) == [(1, 0, 4), (2, 0, 3), (3, 1, 3), (4, 4, 6)] and tree.deep(3) == [(1, 3), (4, 6)]
 
 
+@pytest.mark.parametrize("window", [1, 2, 13, 64, 90])
+def test_positions_beyond_their_bits(window, monkeypatch):
+    dice = np.random.default_rng(window)
+    grams = dice.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    grams[2000:2500] = grams[100:600]
+    valid = dice.random(3000) < 0.95
+    want = repeats.gram_anchors(grams, window, valid)
+    monkeypatch.setattr(repeats, "_POSITION", np.uint64((1 << 8) - 1))
+    got = repeats.gram_anchors(grams, window, valid)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True))
+    least = [grams[i : i + window].min() for i in range(3000 - window + 1)]
+    assert all((grams[:0] if n == 0 else np.array(least[s : s + n]) == a).all() for s, n, a in zip(*got, strict=True))
+
+
 def test_hashes_by_value():
     dice = random.Random(1)
     values = np.array([dice.randrange(5) for _ in range(400)], np.uint64)
