@@ -3,24 +3,24 @@
 A window is a fixed number of consecutive units (bytes or words) of one
 document.  The least hash of the window's short grams is its anchor: equal
 windows have equal anchors, and neighbouring windows mostly share one, so few
-anchors stand for all windows.  Documents are dealt into packed blocks and
-then
+anchors stand for all windows.  Documents are dealt into packed blocks (see
+``blocks``) and then
 
 1. every block sends its distinct anchors to the anchors' buckets;
 2. a bucket returns to each block those that occur elsewhere too;
-3. a block sends, for each such anchor, the context that its windows cover,
-   once for equal contexts, since the earliest of these decides for the rest;
-4. a bucket merges equal contexts and hands the different ones to the
-   operator's suffix structure, which finds the windows that start earlier
-   somewhere else;
-5. the blocks gather their windows to remove and finish each document.
+3. a block sends, for each such anchor, the contexts that its windows cover,
+   equal ones once, with the earliest place, and notes where the others lie;
+4. a bucket puts each different context, with its earliest place, into the
+   operator's suffix structure, whose nodes tell where each window starts
+   first, and returns these places to the blocks;
+5. a block compares each of its occurrences with them and finishes its
+   documents.
 
 A passage of a third of all documents costs one entry a block.  Where its
 surroundings differ everywhere, its anchor would gather all of them: an anchor
 with more than ``hot`` occurrences has its windows sent one by one to buckets
-of their own hashes instead.  Blocks and
-buckets grow in number with the input, not in size.  Rows that repeat a doc_id
-count as one document whose parts all start at 0.
+of their own hashes instead.  Rows that repeat a doc_id count as one document
+whose parts all start at 0.
 """
 
 from __future__ import annotations
@@ -32,23 +32,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from skyloom.llm.common import byte_rows, mix64, text_volume
+from skyloom.llm.blocks import BLOCK_BYTES, FAN, LAST, SENT, Exchange, block_count, documents, in_blocks, notes_of, table
+from skyloom.llm.common import mix64, text_volume
 
-BLOCK_BYTES = 8 << 20
 #: Occurrences of an anchor that one bucket takes.
 HOT = 50_000
 #: Text whose arrays are worked on at once; a longer document is one piece.
 PIECE_BYTES = 192 << 10
-LAST = (1 << 63) - 1
 _POSITION = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
 @dataclass
 class Occurrences:
-    """Contexts of a bucket; each covers ``count`` windows from ``start`` on."""
+    """Different contexts in order of their anchors; each covers ``count`` windows and first begins at (doc, start)."""
 
     anchor: np.ndarray
     doc: np.ndarray
@@ -65,8 +63,8 @@ class Method:
     contexts: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     #: text -> function (start, windows) -> context
     slicer: Callable[[bytes], Callable[[int, int], bytes]]
-    #: different contexts -> (context, first window, windows) that start earlier elsewhere
-    solve: Callable[[Occurrences], Iterable[tuple[int, int, int]]]
+    #: different contexts -> (context, window, document, start) arrays: where each window of whole contexts starts first
+    solve: Callable[[Occurrences], Iterable[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
     #: text, [(start, windows)] -> result columns
     finish: Callable[[bytes, list[tuple[int, int]]], tuple]
     #: a window of the same document that starts earlier counts as well
@@ -153,94 +151,67 @@ def _all_contexts(texts: list[bytes], method: Method):
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _blob(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _open(blobs: Iterable[pa.Scalar]) -> list[pa.RecordBatch]:
-    return [b for blob in blobs for b in pa.ipc.open_stream(blob.as_buffer())]
+def first_runs(context: np.ndarray, window: np.ndarray, doc: np.ndarray, start: np.ndarray, within: bool) -> tuple[np.ndarray, ...]:
+    """Sorted windows as runs (context, window, windows, document, start) that lie side by side where they start first too."""
+    new = np.ones(len(context), bool)
+    new[1:] = (context[1:] != context[:-1]) | (doc[1:] != doc[:-1])
+    if within:
+        new[1:] |= start[1:] != start[:-1] + 1
+    first = np.flatnonzero(new)
+    return context[first], window[first], np.diff(np.append(first, len(context))), doc[first], start[first]
 
 
-def _dealt(columns: dict[str, pa.Array], to: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """The rows as one blob for each value of ``to``."""
-    order = np.argsort(to, kind="stable")
-    batch = pa.RecordBatch.from_pydict(columns).take(pa.array(order))
-    to = to[order]
-    cut = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else np.zeros(0, np.int64)
-    ends = np.append(cut, len(to))
-    return to[cut].tolist(), [_blob(batch.slice(a, b - a)) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+def matched(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (position in keys, position in sorted_keys) of equal keys."""
+    low, high = (np.searchsorted(sorted_keys, keys, side=side) for side in ("left", "right"))
+    n = high - low
+    return np.repeat(np.arange(len(keys)), n), np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def _documents(blocks: pa.Table) -> tuple[list[int | None], list[bytes]]:
-    """A block's rows in an order that does not hang on how they arrived."""
-    rows = []
-    for batch in _open(blocks.column("blob")):
-        rows += zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-    rows.sort(key=lambda r: (LAST if r[0] is None else r[0], r[0] is None, r[1]))
-    return [r[0] for r in rows], [r[1] for r in rows]
+def _earlier(first: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray], within: bool) -> np.ndarray:
+    """Whether the first place comes before the own one, in another document or, ``within``, in the same."""
+    less = first[0] < own[0]
+    return less | (first[0] == own[0]) & (first[1] < own[1]) if within else less
 
 
-def _runs(which: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted (context, window) pairs as runs (context, first window, windows)."""
-    if not len(which):
-        return which, offset, offset
-    new = np.concatenate([[True], (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1)])
-    first = np.flatnonzero(new)
-    return which[first], offset[first], np.diff(np.append(first, len(which)))
+ANCHORS, SHARED = ("u8", "u4"), ("u8", "?")
+#: Anchor, earliest document and start, windows, number in the block, whether it occurs there more often, text.
+CONTEXTS = ("u8", "i8", "i4", "i4", "i4", "?", "text")
+#: Number of the context in the block, row and start of an occurrence.
+PLACES = ("i4", "i4", "i4")
+#: Number of the context, first window, windows, document and start where they start first.
+FIRSTS = ("i4", "i4", "i4", "i8", "i4")
 
 
-def removed_windows(docs: DataFrame, method: Method, hot: int = HOT) -> DataFrame:
+def removed_windows(docs: DataFrame, method: Method, hot: int = HOT, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """One row per document: doc_id and the columns that method.finish returns."""
-    spark = docs.sparkSession
     _, volume = text_volume(docs)
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks_n = max(-(-volume // BLOCK_BYTES), min(shuffle, volume // (64 << 10) + 1))
-    blob_type = pa.schema([("part", pa.int32()), ("blob", pa.binary())])
-    sent_type = pa.schema([("part", pa.int32()), ("origin", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
-
-    def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
-        columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    def to_blocks(batches):
-        for batch in batches:
-            ids = batch.column("doc_id").cast(pa.int64())
-            part = mix64(ids.fill_null(LAST).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(blocks_n)
-            texts = pa.array([t or b"" for t in byte_rows(batch)], pa.binary())
-            where, blobs = _dealt({"doc_id": ids, "text": texts}, part.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(blobs, pa.binary())], schema=blob_type)
-
-    def send_anchors(key, blocks):
-        _, texts = _documents(blocks)
+    parts = block_count(volume, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), block_bytes)
+    anchors_, shared_, contexts_, firsts_ = (Exchange(parts, kinds, fan) for kinds in (ANCHORS, SHARED, CONTEXTS, FIRSTS))
+
+    def send_anchors(key, block):
+        home = key[0].as_py()
+        _, texts = documents(b.as_py() for b in block.column("blob"))
         anchor, times = np.unique(_all_contexts(texts, method)[3], return_counts=True)
-        where, blobs = _dealt({"anchor": pa.array(anchor), "n": pa.array(times.astype(np.uint32))}, (anchor % np.uint64(blocks_n)).astype(np.int32))
-        return table([(w, key[0].as_py(), 0, b) for w, b in zip(where, blobs, strict=True)], sent_type)
-
-    def shared_anchors(sent):
-        batches = _open(sent.column("blob"))
-        size = [b.num_rows for b in batches]
-        origin = np.repeat(sent.column("origin").to_numpy(), size)
-        anchor = np.concatenate([b.column("anchor").to_numpy() for b in batches])
-        n = np.concatenate([b.column("n").to_numpy() for b in batches]).astype(np.int64)
+        return anchors_.rows(anchors_.sent([anchor, times.astype(np.uint32)], anchor % np.uint64(parts), home, home))
+
+    def shared_anchors(key, got):
+        origin, anchor, n = anchors_.opened(got)
+        if not len(anchor):
+            return shared_.rows([])
         order = np.argsort(anchor, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
-        size_of = np.diff(np.append(first, len(order)))
         total = np.empty(len(order), np.int64)
-        total[order] = np.repeat(np.add.reduceat(n[order], first), size_of)
+        total[order] = np.repeat(np.add.reduceat(n[order].astype(np.int64), first), np.diff(np.append(first, len(order))))
         chosen = np.flatnonzero(total > 1)
-        where, blobs = _dealt({"anchor": pa.array(anchor[chosen]), "hot": pa.array(total[chosen] > hot)}, origin[chosen])
-        return table([(w, 0, 0, b) for w, b in zip(where, blobs, strict=True)], sent_type)
-
-    def send_contexts(key, blocks, shared):
-        if not blocks.num_rows or not shared.num_rows:
-            return table([], sent_type)
-        ids, texts = _documents(blocks)
-        batches = _open(shared.column("blob"))
-        known = np.concatenate([b.column("anchor").to_numpy() for b in batches])
-        common = np.concatenate([b.column("hot").to_numpy(zero_copy_only=False) for b in batches])
+        return shared_.rows(shared_.sent([anchor[chosen], total[chosen] > hot], origin[chosen], 0, key[0].as_py()))
+
+    def send_contexts(key, block, got):
+        if not block.num_rows or not got.num_rows:
+            return contexts_.rows([])
+        home = key[0].as_py()
+        ids, texts = documents(b.as_py() for b in block.column("blob"))
+        _, known, common = shared_.opened(got)
         order = np.argsort(known)
         known, common = known[order], common[order]
         doc, start, count, anchor = _all_contexts(texts, method)
@@ -254,103 +225,76 @@ def removed_windows(docs: DataFrame, method: Method, hot: int = HOT) -> DataFram
         number = np.array([LAST if i is None else i for i in ids], np.int64)
         order = np.lexsort((start, number[doc]))
         doc, start, count, anchor, alone = (x[order] for x in (doc, start, count, anchor, alone))
-        own = number[doc]
         first: dict[tuple[bytes, int], int] = {}
-        keep, text, gone = [], [], []
+        keep, text = [], []
+        which = np.empty(len(doc), np.int32)
         cut, last = None, -1
-        ids_, starts_, single = own.tolist(), start.tolist(), alone.tolist()
-        for i, (d, s, n) in enumerate(zip(doc.tolist(), starts_, count.tolist(), strict=True)):
+        single = alone.tolist()
+        for i, (d, s, n) in enumerate(zip(doc.tolist(), start.tolist(), count.tolist(), strict=True)):
             if d != last:
                 cut, last = method.slicer(texts[d]), d
             context = cut(s, n)
-            if single[i]:
-                anchor[i] = xxhash.xxh64_intdigest(context)
-            earlier = first.setdefault((context, n), i)
-            # contexts are in order of doc_id and start
-            if earlier != i and (ids_[earlier] != ids_[i] or method.within and starts_[earlier] != s):
-                gone.append(i)
-            else:
+            which[i] = k = first.setdefault((context, n), len(keep))
+            if k == len(keep):  # contexts are in order of doc_id and start
+                if single[i]:
+                    anchor[i] = xxhash.xxh64_intdigest(context)
                 keep.append(i)
                 text.append(context)
-        rows = []
-        if gone:
-            columns = {"row": pa.array(doc[gone].astype(np.int32)), "start": pa.array(start[gone].astype(np.int32)), "count": pa.array(count[gone].astype(np.int32))}
-            rows.append((key[0].as_py(), 0, 1, _blob(pa.RecordBatch.from_pydict(columns))))
         keep = np.array(keep, np.int64)
-        columns = {
-            "anchor": pa.array(anchor[keep]),
-            "doc": pa.array(own[keep]),
-            "row": pa.array(doc[keep].astype(np.int32)),
-            "start": pa.array(start[keep].astype(np.int32)),
-            "count": pa.array(count[keep].astype(np.int32)),
-            "text": pa.array(text, pa.binary()),
-        }
-        where, blobs = _dealt(columns, (anchor[keep] % np.uint64(blocks_n)).astype(np.int32))
-        return table(rows + [(w, key[0].as_py(), 0, b) for w, b in zip(where, blobs, strict=True)], sent_type)
-
-    def merge(key, sent):
-        """A bucket's contexts to windows to remove; what is settled passes through."""
-        kind = sent.column("kind").to_numpy()
-        blobs = sent.column("blob")
-        batches = _open([b for b, k in zip(blobs, kind, strict=True) if k == 0])
-        out = []
-        for b, k in zip(blobs, kind, strict=True):
-            if k == 1:
-                out.append((key[0].as_py(), 0, 1, b.as_py()))
-        if not batches:
-            return table(out, sent_type)
-        size = [b.num_rows for b in batches]
-        origin = np.repeat(sent.column("origin").to_numpy()[kind == 0], size)
-        anchor, doc, row, start, count = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("anchor", "doc", "row", "start", "count"))
-        text = [t for b in batches for t in b.column("text").to_pylist()]
+        often = np.bincount(which, minlength=len(keep)) > 1
+        columns = [anchor[keep], number[doc[keep]], start[keep].astype(np.int32), count[keep].astype(np.int32), np.arange(len(keep), dtype=np.int32), often, text]
+        order = np.argsort(which, kind="stable")
+        places = [x[order].astype(np.int32) for x in (which, doc, start)]
+        return contexts_.rows([*contexts_.kept(1, home, places), *contexts_.sent(columns, anchor[keep] % np.uint64(parts), home, home)])
+
+    def find_firsts(key, got):
+        """Where the windows of a bucket's contexts start first; the blocks' notes pass through."""
+        home = key[0].as_py()
+        rows = [(home // firsts_.step, home // firsts_.step, 1, home, b.as_py()) for b, k in zip(got.column("blob"), got.column("kind").to_pylist(), strict=True) if k]
+        origin, anchor, doc, start, count, number, often, text = contexts_.opened(got)
+        if not text:
+            return firsts_.rows(rows)
         order = np.lexsort((start, doc))
-        anchor, doc, row, start, count, origin = (x[order] for x in (anchor, doc, row, start, count, origin))
-        text = [text[i] for i in order.tolist()]
         first: dict[tuple[bytes, int], int] = {}
-        same, gone = np.zeros(len(text), np.int64), np.zeros(len(text), bool)
-        for i, pair in enumerate(zip(text, count.tolist(), strict=True)):
-            same[i] = first.setdefault(pair, i)
-        later = same != np.arange(len(text))
-        gone[later] = doc[later] != doc[same[later]]
-        if method.within:
-            gone[later] |= start[later] != start[same[later]]
-        # different contexts of one anchor go to the suffix structure
-        lead = np.flatnonzero(~later)
-        _, back, times = np.unique(anchor[lead], return_inverse=True, return_counts=True)
-        lead = lead[times[back] > 1]
+        same = np.empty(len(order), np.int64)
+        for i, n in zip(order.tolist(), count[order].tolist(), strict=True):
+            same[i] = first.setdefault((text[i], n), i)
+        lead = np.flatnonzero(same == np.arange(len(same)))
         lead = lead[np.argsort(anchor[lead], kind="stable")]
-        which, offset, width = [np.flatnonzero(gone)], [np.zeros(int(gone.sum()), np.int64)], [count[gone]]
-        if len(lead):
-            found = list(method.solve(Occurrences(anchor[lead], doc[lead], start[lead], count[lead], [text[i] for i in lead.tolist()])))
-            if found:
-                c, o, w = (np.array(x, np.int64) for x in zip(*found, strict=True))
-                # equal contexts in the same document share the verdict
-                twins = np.flatnonzero(~gone & np.isin(same, lead))
-                twins = twins[np.argsort(same[twins], kind="stable")]
-                low, high = (np.searchsorted(same[twins], lead[c], side=side) for side in ("left", "right"))
-                n = high - low
-                which.append(twins[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())])
-                offset.append(np.repeat(o, n))
-                width.append(np.repeat(w, n))
-        which, offset, width = (np.concatenate(x) for x in (which, offset, width))
-        columns = {"row": pa.array(row[which]), "start": pa.array((start[which] + offset).astype(np.int32)), "count": pa.array(width.astype(np.int32))}
-        where, packed = _dealt(columns, origin[which])
-        return table(out + [(w, 0, 1, b) for w, b in zip(where, packed, strict=True)], sent_type)
+        rank = np.empty(len(same), np.int64)
+        rank[lead] = np.arange(len(lead))
+        group = rank[same]
+        by_group = np.argsort(group, kind="stable")
+        seen = Occurrences(anchor[lead], doc[lead], start[lead].astype(np.int64), count[lead].astype(np.int64), [text[i] for i in lead.tolist()])
+        out = []
+        for context, window, at_doc, at_start in method.solve(seen):
+            context, window, width, at_doc, at_start = first_runs(context, window, at_doc, at_start, method.within)
+            run, own = matched(context, group[by_group])
+            own = by_group[own]
+            told = often[own] | _earlier((at_doc[run], at_start[run]), (doc[own], start[own] + window[run]), method.within)
+            run, own = run[told], own[told]
+            out.append([origin[own], number[own], window[run], width[run], at_doc[run], at_start[run]])
+        to, *columns = (np.concatenate(x) for x in zip(*out, strict=True))
+        columns = [c.astype(k) for c, k in zip(columns, FIRSTS, strict=True)]
+        return firsts_.rows([*rows, *firsts_.sent(columns, to, 0, home)])
 
     result_type = pa.schema([("doc_id", pa.int64()), *zip(method.names, method.types, strict=True)])
 
-    def finish(key, blocks, removed):
-        ids, texts = _documents(blocks)
+    def finish(key, block, got):
+        ids, texts = documents(b.as_py() for b in block.column("blob"))
+        own = np.array([LAST if i is None else i for i in ids], np.int64)
         spans: dict[int, list[tuple[int, int]]] = {}
-        for batch in _open(removed.column("blob")):
-            for r, s, n in zip(*(batch.column(c).to_pylist() for c in ("row", "start", "count")), strict=True):
-                spans.setdefault(r, []).append((s, n))
+        which, row, start = notes_of(got, 1, PLACES)
+        _, number, window, width, doc, at = firsts_.opened(got)
+        run, place = matched(number, which)
+        begin = start[place] + window[run]
+        late = _earlier((doc[run], at[run]), (own[row[place]], begin), method.within)
+        for r, s, n in zip(row[place[late]].tolist(), begin[late].tolist(), width[run[late]].tolist(), strict=True):
+            spans.setdefault(r, []).append((s, n))
         return table([(i, *method.finish(t, spans.get(k, []))) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], result_type)
 
-    blocks = docs.select("doc_id", "text").mapInArrow(to_blocks, "part int, blob binary")
-    sent = "part int, origin int, kind int, blob binary"
-    anchors = blocks.groupBy("part").applyInArrow(send_anchors, sent)
-    shared = anchors.groupBy("part").applyInArrow(shared_anchors, sent)
-    contexts = blocks.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(send_contexts, sent)
-    removed = contexts.groupBy("part").applyInArrow(merge, sent)
-    return blocks.groupBy("part").cogroup(removed.groupBy("part")).applyInArrow(finish, f"doc_id long, {method.ddl}")
+    blocks = in_blocks(docs, parts)
+    shared = shared_.delivered(anchors_.delivered(blocks.groupBy("part").applyInArrow(send_anchors, SENT)).groupBy("part").applyInArrow(shared_anchors, SENT))
+    contexts = contexts_.delivered(blocks.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(send_contexts, SENT))
+    firsts = firsts_.delivered(contexts.groupBy("part").applyInArrow(find_firsts, SENT))
+    return blocks.groupBy("part").cogroup(firsts.groupBy("part")).applyInArrow(finish, f"doc_id long, {method.ddl}")

@@ -2,8 +2,8 @@
 
 Every byte covered by a ``length``-byte string that starts earlier (in a
 smaller doc_id, or earlier in the document) goes.  The different contexts of
-shared anchors (see ``repeats``) are cut into shards; each shard gets a suffix
-array by Larsson-Sadakane refinement (groups of equal prefixes are split by
+shared anchors (see ``repeats``), each with the earliest place of its copies,
+are cut into shards; each shard gets a suffix array by Larsson-Sadakane refinement (groups of equal prefixes are split by
 the ranks that lie as far on as the prefix is long, doubling it), Kasai's
 common prefixes in text order, and strings that one shard shares with an
 earlier one are found by binary search in the earlier shard's sorted strings.
@@ -22,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skyloom.llm.repeats import HOT, Method, Occurrences, _runs, gram_anchors, removed_windows, rolled
+from skyloom.llm.blocks import BLOCK_BYTES, FAN
+from skyloom.llm.repeats import HOT, Method, Occurrences, gram_anchors, removed_windows, rolled
 
 LENGTH, GRAM = 100, 32
 #: Context bytes of one suffix array.
@@ -138,17 +139,28 @@ class Shard:
         new = common_prefixes(self.text, sa, length) < length
         mine = window[sa] >= 0
         string = np.cumsum(new)[mine]
-        self.window = window[sa[mine]]
-        self.head = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]])) if len(string) else np.zeros(0, np.int64)
-        self.string = np.cumsum(np.concatenate([[True], string[1:] != string[:-1]])) - 1 if len(string) else string
+        own = window[sa[mine]]
         doc, start = seen.doc[self.context], seen.start[self.context] + self.offset
-        order = np.lexsort((start[self.window], doc[self.window], self.string))
-        self.window = self.window[order]
-        lead = self.window[self.head]
+        head = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]])) if len(string) else np.zeros(0, np.int64)
+        size = np.diff(np.append(head, len(string)))
+        lead = own[head]
+        many = np.flatnonzero(size > 1)  # the earliest of several occurrences leads
+        rank = np.repeat(np.arange(len(many)), size[many])
+        inside = own[np.repeat(head[many] - np.cumsum(size[many]) + size[many], size[many]) + np.arange(len(rank))]
+        order = np.lexsort((start[inside], doc[inside], rank))
+        lead[many] = inside[order][np.cumsum(size[many]) - size[many]]
+        self.string = np.empty(len(own), np.int64)
+        self.string[own] = np.repeat(np.arange(len(head)), size)
         self.first_doc, self.first_start = doc[lead], start[lead]
-        self.doc, self.start = doc, start
-        self.strings = np.lib.stride_tricks.sliding_window_view(self.text, length)[place[lead]] if len(lead) else np.zeros((0, length), np.uint8)
-        self.strings = np.ascontiguousarray(self.strings).view(f"S{length}").reshape(-1)
+        self.place, self.length, self._strings = place[lead], length, None
+
+    @property
+    def strings(self) -> np.ndarray:
+        """The distinct strings in order, made when another shard asks for them."""
+        if self._strings is None:
+            rows = np.lib.stride_tricks.sliding_window_view(self.text, self.length)[self.place] if len(self.place) else np.zeros((0, self.length), np.uint8)
+            self._strings = np.ascontiguousarray(rows).view(f"S{self.length}").reshape(-1)
+        return self._strings
 
     def merge_earlier(self, other: Shard) -> None:
         """Lets strings that ``other`` holds too start where they start first, in both."""
@@ -162,12 +174,9 @@ class Shard:
         self.first_doc[mine], self.first_start[mine] = np.where(less, b[0], a[0]), np.where(less, b[1], a[1])
         other.first_doc[at], other.first_start[at] = self.first_doc[mine], self.first_start[mine]
 
-    def later(self) -> tuple[np.ndarray, np.ndarray]:
-        """(context, offset) of the windows whose string starts earlier too."""
-        doc, start = self.doc[self.window], self.start[self.window]
-        late = (self.first_doc[self.string] < doc) | (self.first_doc[self.string] == doc) & (self.first_start[self.string] < start)
-        gone = self.window[late]
-        return self.context[gone], self.offset[gone]
+    def firsts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(context, window, document, start) of all windows, in order: where their strings start first."""
+        return self.context, self.offset, self.first_doc[self.string], self.first_start[self.string]
 
 
 def solver(length: int, shard_bytes: int):
@@ -183,23 +192,21 @@ def solver(length: int, shard_bytes: int):
                 for other in shards[:-1]:
                     shards[-1].merge_earlier(other)
             elif len(shards) > 1:
-                yield from _gone(shards[:-1])
+                yield from _settled(shards[:-1])
                 shards = shards[-1:]
-        yield from _gone(shards)
+        yield from _settled(shards)
 
     return solve
 
 
-def _gone(shards: list[Shard]):
+def _settled(shards: list[Shard]):
     if len(shards) > 2:  # a start that a later shard lowered reaches the others
         for a in shards:
             for b in shards:
                 if a is not b:
                     a.merge_earlier(b)
     for shard in shards:
-        context, offset = shard.later()
-        order = np.lexsort((offset, context))
-        yield from zip(*(x.tolist() for x in _runs(context[order], offset[order])), strict=True)
+        yield shard.firsts()
 
 
 def byte_contexts(length: int, gram: int):
@@ -222,7 +229,7 @@ def byte_contexts(length: int, gram: int):
     return contexts
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot: int = HOT, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """doc_id, n_bytes, removed spans (start, end) and kept bytes' digest per document."""
 
     def finish(text: bytes, windows: list[tuple[int, int]]):
@@ -249,5 +256,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             ("n_bytes", "n_removed", "spans", "kept_sha256"), (pa.int64(), pa.int64(), span, pa.string()),
             "n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string",
         ),
-        hot,
+        hot, block_bytes, fan,
     )

@@ -2,12 +2,13 @@
 
 Words covered by a window of ``length`` words that also starts in a smaller
 doc_id go.  Of the different contexts of shared anchors (see ``repeats``) each
-window is a suffix.  Suffixes are split by variable-length prefixes: by their
-first word, and where a prefix has more suffixes than fit in memory by one
-more word, until every group fits.  Each group becomes a suffix tree, built
-from its sorted suffixes and their common prefixes; its internal nodes at
-least ``length`` words deep are the repeats, and the least doc_id below such a
-node keeps its words.
+window is a suffix that carries the least doc_id of its context's copies.
+Suffixes are split by variable-length prefixes: by their first word, and where
+a prefix has more suffixes than fit in memory by one more word, until every
+group fits.  Each group becomes a suffix tree, built from its sorted suffixes
+and their common prefixes; its internal nodes at least ``length`` words deep
+are the maximal repeats, and the least doc_id below such a node (or at a leaf
+of several copies) keeps its words.
 
 Defined cases: a null, empty or blank text has no words; a text of fewer words
 than a window loses none; rows that repeat a doc_id count as one document and
@@ -23,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from skyloom.llm.blocks import BLOCK_BYTES, FAN
 from skyloom.llm.common import mix64
-from skyloom.llm.repeats import _BASE, HOT, Method, Occurrences, _runs, gram_anchors, removed_windows, rolled
+from skyloom.llm.repeats import _BASE, HOT, Method, Occurrences, gram_anchors, removed_windows, rolled
 
 LENGTH, GRAM = 13, 5
 #: Suffixes of one tree.
@@ -165,22 +167,21 @@ def solver(length: int, limit: int):
         words = np.fromiter((ids.setdefault(w, len(ids)) for p in parts for w in p), np.int64, size.sum())
         base = np.cumsum(size) - size
         context = np.repeat(np.arange(len(parts)), seen.count)
-        offset = np.arange(seen.count.sum()) - np.repeat(np.cumsum(seen.count) - seen.count, seen.count)
-        starts = base[context] + offset
+        window = np.arange(seen.count.sum()) - np.repeat(np.cumsum(seen.count) - seen.count, seen.count)
+        starts = base[context] + window
         doc = seen.doc[context]
-        gone = np.zeros(len(starts), bool)
+        first = doc.copy()  # a leaf occurs where its context does
         for own in prefix_groups(words, starts, length, limit):
             suffix, common = _sorted_suffixes(words, starts, own, length)
             for low, high in SuffixTree(common.tolist()).deep(length):
                 below = suffix[low:high]
-                gone[below] |= doc[below] > doc[below].min()
-        at = np.flatnonzero(gone)
-        yield from zip(*(x.tolist() for x in _runs(context[at], offset[at])), strict=True)
+                first[below] = doc[below].min()
+        yield context, window, first, np.zeros(len(first), np.int64)
 
     return solve
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP, hot: int = HOT, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """doc_id, n_words, removed spans of words and the kept words' digest per document."""
 
     def finish(text: bytes, windows: list[tuple[int, int]]):
@@ -209,5 +210,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
             ("n_words", "n_removed", "spans", "kept_sha256"), (pa.int64(), pa.int64(), span, pa.string()),
             "n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string",
         ),
-        hot,
+        hot, block_bytes, fan,
     )

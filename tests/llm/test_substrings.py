@@ -10,8 +10,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyloom.llm import repeats, suffix_arrays, suffix_trees
-from skyloom.llm.repeats import LAST, Occurrences, rolled
+from skyloom.llm import blocks, repeats, suffix_arrays, suffix_trees
+from skyloom.llm.blocks import LAST
+from skyloom.llm.repeats import Occurrences, rolled
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -63,6 +64,53 @@ def test_suffix_arrays_equal_brute_force(docs, corpus, length, gram, hot):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize(("block_bytes", "fan"), [(2000, 1024), (2000, 2), (300, 5)])
+def test_small_blocks_and_two_hops(docs, block_bytes, fan):
+    for op, size in ((suffix_trees, 9), (suffix_arrays, 60)):
+        want = sorted(map(str, op.remove_repeats(docs, length=size, hot=20).collect()))
+        assert sorted(map(str, op.remove_repeats(docs, length=size, hot=20, block_bytes=block_bytes, fan=fan).collect())) == want
+
+
+def test_every_removal_comes_from_the_suffix_structure(docs, monkeypatch):
+    """With a structure that finds nothing, nothing goes, not even exact copies."""
+
+    def blind(*_):
+        def solve(seen):
+            context = np.repeat(np.arange(len(seen.text)), seen.count)
+            window = np.arange(seen.count.sum()) - np.repeat(np.cumsum(seen.count) - seen.count, seen.count)
+            yield context, window, np.full(len(context), LAST), np.full(len(context), LAST)
+
+        return solve
+
+    for op in (suffix_trees, suffix_arrays):
+        assert sum(r.n_removed for r in op.remove_repeats(docs).collect()) > 0
+        monkeypatch.setattr(op, "solver", blind)
+        assert sum(r.n_removed for r in op.remove_repeats(docs).collect()) == 0
+
+
+@pytest.mark.parametrize(("parts", "fan"), [(40, 1024), (40, 3), (41, 8), (1, 1)])
+def test_messages_arrive(spark, parts, fan):
+    exchange = blocks.Exchange(parts, ("u8", "text"), fan)
+
+    def send(key, rows):
+        home = key[0].as_py()
+        to = np.arange(0, parts, 1 + home % 3)
+        return exchange.rows([*exchange.kept(1, home, [np.array([home])]), *exchange.sent([to.astype(np.uint64) * 7, [b"%d>%d" % (home, t) for t in to]], to, home, home)])
+
+    def read(key, rows):
+        home = key[0].as_py()
+        origin, number, text = exchange.opened(rows)
+        assert all(number == home * 7) and blocks.notes_of(rows, 1, ("i8",))[0].tolist() == [home]
+        return blocks.table([(home, 0, t) for t in text], blocks._schema("part int, lane int, blob binary"))
+
+    sent = spark.range(parts).selectExpr("cast(id as int) part").groupBy("part").applyInArrow(send, blocks.SENT)
+    got = exchange.delivered(sent).groupBy("part").applyInArrow(read, "part int, lane int, blob binary").collect()
+    want = [(t, b"%d>%d" % (h, t)) for h in range(parts) for t in range(0, parts, 1 + h % 3)]
+    assert sorted((r.part, bytes(r.blob)) for r in got) == sorted(want)
+    if fan < parts:
+        assert sent.where("kind = 0").groupBy("home").count().agg(F.max("count")).first()[0] <= exchange.step
+
+
 def test_empty_tables_and_other_columns(docs, no_docs):
     for op in (suffix_trees, suffix_arrays):
         assert op.remove_repeats(no_docs).collect() == []
@@ -93,7 +141,7 @@ def test_suffix_array_and_prefixes(raw, depth):
 def test_suffix_tree_solver(texts, limit):
     length = 4
     seen = Occurrences(np.zeros(len(texts), np.uint64), np.arange(len(texts)), np.zeros(len(texts), np.int64), np.array([len(t) - length + 1 for t in texts]), [b" ".join(b"w%d" % w for w in t) for t in texts])
-    got = {(c, o + k) for c, o, n in suffix_trees.solver(length, limit)(seen) for k in range(n)}
+    got = {(c, w) for found in suffix_trees.solver(length, limit)(seen) for c, w, d, _ in zip(*(x.tolist() for x in found), strict=True) if d < c}
     first = {}
     for i, t in enumerate(texts):
         for a in range(len(t) - length + 1):
