@@ -5,23 +5,27 @@ each, the others share hashed ones (buckets).  The network predicts the word at
 position from the ``side`` words on its left and on its right: position-wise
 embeddings are summed, squashed and read out by a class softmax and a softmax
 within the class.  It is trained on a hashed share of masked positions of
-every document: each partition runs its own gradient steps from the shared
-parameters, which are then averaged by trained positions, block by block, for
-``rounds`` rounds.  A word of a bucket has the bucket's conditional probability
-times its own within the bucket: its count in the whole corpus, over those of
-all words of the bucket and an unknown word, which counts as often as there
-are words seen once (once at least).  A document's score is the sum of the
-conditional log-probabilities of all its words.
-
-The counts grow with the corpus and stay distributed: documents are dealt into
-packed blocks, each asks the shards of its words for their counts and scores
-its rows with the answers.  What is broadcast are the parameters and the
-totals of buckets, of a size that is fixed by VOCABULARY, HIDDEN and ``side``.
-As context, words of one bucket count alike.
-
-Defined cases: a null, empty or blank text has no words, sum 0 and no mean;
-repeated rows get equal results; a missing neighbour counts as nothing;
-further columns are ignored; an empty corpus trains nothing and gives no rows.
+every document: each lane of some blocks runs its own gradient steps from the
+shared parameters, which are then averaged by trained positions, block by
+block of parameters and 64 lanes at a time, for ``rounds`` rounds.  A word of a
+bucket has the bucket's conditional probability times its own within the
+bucket: its count in the whole corpus, over those of all words of the bucket
+and an unknown word, which counts as often as there are words seen once (once
+at least).  A document's score is the sum of the conditional log-probabilities
+of all its words.
+
+Documents are dealt by a hash into packed blocks, whose number hangs on the
+volume of text alone, so results do not hang on partitions.  Each block asks
+the shards of its words for their counts in the corpus; these grow with it and
+stay distributed.  What is broadcast are the parameters and the totals of
+buckets, of a size that is fixed by VOCABULARY, HIDDEN and ``side``.  As
+context, words of one bucket count alike.
+
+Defined cases: a null, empty or blank text has no words, sum 0 and no mean; a
+null doc_id is scored like any other; repeated rows get equal results; a
+missing neighbour counts as nothing; a long text is one text, worked on in
+parts; further columns are ignored; an empty corpus trains nothing and gives
+no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import LOWER, byte_rows, checkpointed, mix64, text_volume
-from skyloom.llm.repeats import BLOCK_BYTES, _dealt, _documents, _open
+from skyloom.llm.blocks import LAST, SENT, Exchange, block_count, documents, in_blocks, packed, unpacked
+from skyloom.llm.common import LOWER, checkpointed, mix64, text_volume
 from skyloom.llm.suffix_trees import word_hashes
 
 #: Numbers of words: half for frequent words, half shared by the others.
@@ -40,6 +44,10 @@ VOCABULARY, WITHIN, HIDDEN, SIDE = 2048, 64, 32, 3
 ROUNDS, MASKED, SEED = 2, 0.10, 5
 RATE, BATCH = 0.08, 4096
 PIECE_BYTES, CHUNK = 512 << 10, 1 << 15
+#: Text of a block, and blocks of a lane that trains on its own.
+BLOCK_BYTES, LANE_BLOCKS = 2 << 20, 4
+#: Lanes whose parameters a task averages.
+AVERAGED = 64
 
 Parameters = dict[str, np.ndarray]
 
@@ -90,25 +98,32 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+def _log_softmax_at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Logarithms of one value of each row's softmax; x is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), target]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def _hidden(p: Parameters, near: np.ndarray) -> np.ndarray:
-    total = p["near"][0][near[0]]
+    total = p["near"][0].take(near[0], axis=0)
+    one = np.empty_like(total)
     for j in range(1, len(near)):
-        total += p["near"][j][near[j]]
-    return np.tanh(total + p["bias"])
+        total += p["near"][j].take(near[j], axis=0, out=one, mode="clip")
+    total += p["bias"]
+    return np.tanh(total, out=total)
 
 
 def log_probabilities(p: Parameters, near: np.ndarray, word: np.ndarray) -> np.ndarray:
     h = _hidden(p, near)
     kind = word // WITHIN
-    rows = np.arange(len(word))
-    out = np.log(np.maximum(_softmax(h @ p["kind"] + p["kind_bias"])[rows, kind], 1e-30))
+    out = _log_softmax_at(h @ p["kind"] + p["kind_bias"], kind)
     order = np.argsort(kind, kind="stable")
     cut = np.searchsorted(kind[order], np.arange(len(p["word"]) + 1))
     for c in range(len(p["word"])):
         own = order[cut[c] : cut[c + 1]]
         if len(own):
-            q = _softmax(h[own] @ p["word"][c] + p["word_bias"][c])
-            out[own] += np.log(np.maximum(q[np.arange(len(own)), word[own] % WITHIN], 1e-30))
+            out[own] += _log_softmax_at(h[own] @ p["word"][c] + p["word_bias"][c], word[own] % WITHIN)
     return out
 
 
@@ -147,32 +162,78 @@ def gradient_step(p: Parameters, sums: Parameters, near: np.ndarray, word: np.nd
         p[name] -= rate * g / np.sqrt(sums[name])
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def lanes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """lane, part and blob of every block, and the number of blocks; a lane's blocks lie side by side, in order."""
+    _, volume = text_volume(docs)
+    parts = block_count(volume, block_bytes=block_bytes)
+
+    def unite(key, rows):
+        found: dict[int, list[bytes]] = {}
+        for part, blob in zip(*(rows.column(c).to_pylist() for c in ("part", "blob")), strict=True):
+            found.setdefault(part, []).append(blob)
+        blobs = []
+        for part in sorted(found):
+            ids, texts = documents(found.pop(part))
+            none = np.array([i is None for i in ids], bool)
+            blobs.append((part, packed([np.array([LAST if i is None else i for i in ids], np.int64), none, texts])))
+        return pa.table({"lane": pa.array([key[0].as_py()] * len(blobs), pa.int32()), "part": pa.array([p for p, _ in blobs], pa.int32()), "blob": pa.array([b for _, b in blobs], pa.binary())})
+
+    lane = F.floor(F.col("part") / LANE_BLOCKS).cast("int").alias("lane")
+    return checkpointed(in_blocks(docs, parts).groupBy(lane).applyInArrow(unite, "lane int, part int, blob binary")), parts
+
+
+def _rows(batches):
+    """Blocks one by one: lane, part, documents."""
+    for batch in batches:
+        for lane, part, blob in zip(*(batch.column(c) for c in ("lane", "part", "blob")), strict=True):
+            yield lane.as_py(), part.as_py(), documents([blob.as_py()])
+
+
+def distinct_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a block, and how often each occurs there."""
+    found = [np.unique(code, return_counts=True) for _, _, _, _, code in pieces(texts, np.zeros((0, 2), np.uint64))]
+    code, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c for c, _ in found)]), return_inverse=True)
+    return code, np.bincount(back, weights=np.concatenate([np.zeros(0), *(n for _, n in found)]), minlength=len(code)).astype(np.int64)
+
+
+#: Hash and count of a word.
+WORDS = ("u8", "i8")
+
+
+def counted(blocks: DataFrame, parts: int) -> DataFrame:
+    """Counts in the whole corpus: messages to the blocks that hold a word (kind 0), and each shard's table (kind 2)."""
+    exchange = Exchange(parts, WORDS)
+
+    def ask(batches):
+        for _, part, (_, texts) in _rows(batches):
+            code, n = distinct_words(texts)
+            yield from exchange.rows(exchange.sent([code, n], mix64(code) % np.uint64(parts), part, part)).to_batches()
+
+    def answer(key, asked):
+        home = key[0].as_py()
+        origin, code, n = exchange.opened(asked)
+        each, back = np.unique(code, return_inverse=True)
+        total = np.bincount(back, weights=n).astype(np.int64)
+        return exchange.rows([*exchange.kept(2, home, [each, total]), *exchange.sent([code, total[back]], origin, home, home)])
+
+    return checkpointed(exchange.delivered(blocks.mapInArrow(ask, SENT)).groupBy("part").applyInArrow(answer, SENT))
+
+
+def word_counts(counted: DataFrame) -> DataFrame:
     """code and n of every word of all texts."""
 
-    def count(batches):
+    def tell(batches):
         for batch in batches:
-            found, times, parts, size = [], [], [], 0
-            texts = byte_rows(batch)
-            for i, text in enumerate(texts, 1):
-                parts.append((text or b"").translate(LOWER))
-                size += len(parts[-1]) + 1
-                if size > PIECE_BYTES or i == len(texts):
-                    c, n = np.unique(word_hashes(np.frombuffer(b" ".join(parts), np.uint8))[1], return_counts=True)
-                    found.append(c)
-                    times.append(n)
-                    parts, size = [], 0
-            if found:
-                code, back = np.unique(np.concatenate(found), return_inverse=True)
-                total = np.bincount(back, weights=np.concatenate(times)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(total)], names=["code", "n"])
-
-    return docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def frequent_words(docs: DataFrame, counts: DataFrame | None = None) -> np.ndarray:
+            for blob in batch.column("blob"):
+                code, n = unpacked([blob.as_py()], WORDS)
+                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], names=["code", "n"])
+
+    return counted.where("kind = 2").select("blob").mapInArrow(tell, "code long, n long")
+
+
+def frequent_words(counts: DataFrame) -> np.ndarray:
     """Hash and number of the most frequent words, counted over all texts, in order of the hash."""
-    top = (word_counts(docs) if counts is None else counts).orderBy(F.desc("n"), "code").limit(VOCABULARY // 2).collect()
+    top = counts.orderBy(F.desc("n"), "code").limit(VOCABULARY // 2).collect()
     table = np.array([[int(r["code"]) % (1 << 64), i] for i, r in enumerate(top)], np.uint64).reshape(-1, 2)
     return table[np.argsort(table[:, 0])]
 
@@ -210,56 +271,67 @@ def _shaped(flat: np.ndarray, like: Parameters) -> Parameters:
     return out
 
 
-def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED) -> Parameters:
-    """Local gradient steps in every partition, averaged by positions after each round."""
-    context = docs.sparkSession.sparkContext
+def masked_positions(word: np.ndarray, text: np.ndarray, code: np.ndarray, share: float, turn: int, seed: int) -> np.ndarray:
+    """Positions to train on, by a hash of the word and its place in its text."""
+    place = np.arange(len(word))
+    place -= np.maximum.accumulate(np.where(np.diff(text, prepend=-1) != 0, place, 0))
+    with np.errstate(over="ignore"):
+        die = mix64(place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + code + np.uint64(turn * 7919 + seed))
+    return np.flatnonzero((die >> np.uint64(11)) / float(1 << 53) < share)
+
+
+def train(blocks: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED) -> Parameters:
+    """Local gradient steps in every lane, averaged by positions after each round."""
+    context = blocks.sparkSession.sparkContext
     now = fresh(side, seed)
     width = 1 << 14  # parameters of a block
+    message = "block int, lane int, seen double, values binary"
+
+    def packed_parameters(flat: np.ndarray, lane: int, seen: float) -> pa.RecordBatch:
+        cuts = range(0, len(flat), width)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(range(len(cuts)), pa.int32()), pa.array([lane] * len(cuts), pa.int32()), pa.array([float(seen)] * len(cuts)), pa.array([flat[c : c + width].tobytes() for c in cuts], pa.binary())],
+            names=["block", "lane", "seen", "values"],
+        )
+
     for turn in range(rounds):
         shared = context.broadcast((now, frequent))
 
         def learn(batches, shared=shared, turn=turn):
             start, known = shared.value
-            own = {k: v.copy() for k, v in start.items()}
-            sums = {k: np.full(v.shape, 1e-6, np.float32) for k, v in own.items()}
-            seen = 0
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            for batch in batches:
-                for _, _, word, text, _ in pieces(byte_rows(batch), known):
-                    if not len(word):
-                        continue
-                    place = np.arange(len(word), dtype=np.uint64)
-                    with np.errstate(over="ignore"):
-                        die = mix64(place * np.uint64(0x9E3779B97F4A7C15) + word.astype(np.uint64) + np.uint64(turn * 7919 + seed))
-                    at = np.flatnonzero((die >> np.uint64(11)) / float(1 << 53) < masked)
+            lane, seen, own, sums, held = None, 0, {}, {}, []
+            for at_lane, _, (_, texts) in _rows(batches):
+                if at_lane != lane:
+                    seen += _steps(own, sums, held, seed)
+                    if seen:
+                        yield packed_parameters(_flat(own), lane, seen)
+                    lane, seen, held = at_lane, 0, []
+                    own = {k: v.copy() for k, v in start.items()}
+                    sums = {k: np.full(v.shape, 1e-6, np.float32) for k, v in own.items()}
+                for _, _, word, text, code in pieces(texts, known):
+                    at = masked_positions(word, text, code, masked, turn, seed)
                     held.append((neighbours(word, text, at, side), word[at]))
                     if sum(len(w) for _, w in held) >= 8 * BATCH:
                         seen += _steps(own, sums, held, seed)
                         held = []
-            if held:
-                seen += _steps(own, sums, held, seed)
+            seen += _steps(own, sums, held, seed)
             if seen:
-                flat = _flat(own)
-                cuts = range(0, len(flat), width)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(len(cuts)), pa.int32()), pa.array([float(seen)] * len(cuts)), pa.array([flat[c : c + width].tobytes() for c in cuts], pa.binary())],
-                    names=["block", "seen", "values"],
-                )
+                yield packed_parameters(_flat(own), lane, seen)
 
         def average(batches):
-            total: dict[int, np.ndarray] = {}
-            weight: dict[int, float] = {}
+            total: dict[tuple[int, int], np.ndarray] = {}
+            weight: dict[tuple[int, int], float] = {}
             for batch in batches:
-                for block, n, values in zip(*(batch.column(c).to_pylist() for c in ("block", "seen", "values")), strict=True):
-                    total[block] = total.get(block, 0) + n * np.frombuffer(values, np.float32).astype(np.float64)
-                    weight[block] = weight.get(block, 0.0) + n
-            if total:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(total), pa.int32()), pa.array([(total[b] / weight[b]).astype(np.float32).tobytes() for b in total], pa.binary())], names=["block", "values"]
-                )
-
-        learnt = docs.select("text").mapInArrow(learn, "block int, seen double, values binary").repartition("block")
-        found = learnt.mapInArrow(average, "block int, values binary").collect()
+                for block, lane, n, values in zip(*(batch.column(c).to_pylist() for c in ("block", "lane", "seen", "values")), strict=True):
+                    total[block, lane] = total.get((block, lane), 0) + n * np.frombuffer(values, np.float32).astype(np.float64)
+                    weight[block, lane] = weight.get((block, lane), 0.0) + n
+            for (block, lane), n in weight.items():
+                mean = (total[block, lane] / n).astype(np.float32).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([lane], pa.int32()), pa.array([n]), pa.array([mean], pa.binary())], names=["block", "lane", "seen", "values"])
+
+        learnt = blocks.mapInArrow(learn, message)
+        some = learnt.withColumn("lane", F.floor(F.col("lane") / AVERAGED).cast("int")).repartition("block", "lane").mapInArrow(average, message)
+        found = some.withColumn("lane", F.lit(0)).repartition("block").mapInArrow(average, message).collect()
         if found:
             flat = np.concatenate([np.frombuffer(r["values"], np.float32) for r in sorted(found, key=lambda r: r["block"])])
             now = _shaped(flat, now)
@@ -268,6 +340,8 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, masked: f
 
 
 def _steps(own: Parameters, sums: Parameters, held: list[tuple[np.ndarray, np.ndarray]], seed: int) -> int:
+    if not held:
+        return 0
     near, word = np.concatenate([n for n, _ in held], axis=1), np.concatenate([w for _, w in held])
     order = np.random.default_rng(seed).permutation(len(word))
     for low in range(0, len(order), BATCH):
@@ -296,59 +370,25 @@ def score_texts(texts: list[bytes | None], p: Parameters, frequent: np.ndarray,
     return words, sums
 
 
-def score(docs: DataFrame, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED) -> DataFrame:
+def score(docs: DataFrame, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, pseudo_log_likelihood and its mean per word."""
-    spark = docs.sparkSession
-    counts = checkpointed(word_counts(docs))
-    frequent = frequent_words(docs, counts)
-    shared = spark.sparkContext.broadcast((train(docs, frequent, rounds, masked, side, seed), frequent, bucket_totals(counts, frequent)))
-    _, volume = text_volume(docs)
-    parts = max(-(-volume // BLOCK_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), volume // (64 << 10) + 1))
-    sent_type = pa.schema([("part", pa.int32()), ("origin", pa.int32()), ("blob", pa.binary())])
+    blocks, parts = lanes(docs, block_bytes)
+    found = counted(blocks, parts)
+    counts = word_counts(found)
+    frequent = frequent_words(counts)
+    shared = docs.sparkSession.sparkContext.broadcast((train(blocks, frequent, rounds, masked, side, seed), frequent, bucket_totals(counts, frequent)))
+    exchange = Exchange(parts, WORDS)
     scored_type = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("pseudo_log_likelihood", pa.float64())])
 
-    def to_blocks(batches):
-        for batch in batches:
-            texts = pa.array([t or b"" for t in byte_rows(batch)], pa.binary())
-            where, blobs = _dealt({"doc_id": batch.column("doc_id").cast(pa.int64()), "text": texts}, batch.column("part").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
-
-    def sent(where, origin, blobs):
-        return pa.Table.from_arrays([pa.array(where, pa.int32()), pa.array(origin, pa.int32()), pa.array(blobs, pa.binary())], schema=sent_type)
-
-    def ask(key, block):
-        """A block's words of buckets, with their counts there, to the words' shards."""
-        _, texts = _documents(block)
-        found = [np.unique(code[word >= VOCABULARY // 2], return_counts=True) for _, _, word, _, code in pieces(texts, shared.value[1])]
-        code, back = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-        n = np.bincount(back, weights=np.concatenate([n for _, n in found]), minlength=len(code)).astype(np.int64)
-        where, blobs = _dealt({"code": pa.array(code), "n": pa.array(n)}, (mix64(code) % np.uint64(parts)).astype(np.int32))
-        return sent(where, [key[0].as_py()] * len(where), blobs)
-
-    def answer(key, asked):
-        """The counts of the whole corpus to each block that asked."""
-        batches = _open(asked.column("blob"))
-        origin = np.repeat(asked.column("origin").to_numpy(), [b.num_rows for b in batches])
-        code = np.concatenate([b.column("code").to_numpy() for b in batches])
-        _, back = np.unique(code, return_inverse=True)
-        n = np.bincount(back, weights=np.concatenate([b.column("n").to_numpy() for b in batches])).astype(np.int64)[back]
-        where, blobs = _dealt({"code": pa.array(code), "n": pa.array(n)}, origin)
-        return sent(where, [key[0].as_py()] * len(where), blobs)
-
     def run(key, block, answers):
         p, known, totals = shared.value
-        ids, texts = _documents(block)
-        batches = _open(answers.column("blob"))
-        code = np.concatenate([np.zeros(0, np.uint64), *(b.column("code").to_numpy() for b in batches)])
-        n = np.concatenate([np.zeros(0, np.int64), *(b.column("n").to_numpy() for b in batches)])
+        ids, texts = documents(b.as_py() for b in block.column("blob"))
+        _, code, n = exchange.opened(answers)
         order = np.argsort(code)
         code, n = code[order], n[order]
         words, sums = score_texts(texts, p, known, side, (code, np.log(n / totals[(code % np.uint64(len(totals))).astype(np.int64)])))
         return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(words), pa.array(sums)], schema=scored_type)
 
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("part"))
-    blocks = dealt.mapInArrow(to_blocks, "part int, blob binary")
-    message = "part int, origin int, blob binary"
-    answers = blocks.groupBy("part").applyInArrow(ask, message).groupBy("part").applyInArrow(answer, message)
+    answers = exchange.delivered(found.where("kind = 0"))
     scored = blocks.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(run, "doc_id long, n_words long, pseudo_log_likelihood double")
     return scored.withColumn("mean_log_probability", F.try_divide("pseudo_log_likelihood", "n_words"))

@@ -220,28 +220,75 @@ def test_neighbours_stay_in_their_text():
     assert lm_scoring.neighbours(word, text, np.array([0, 2, 3]), 2).T.tolist() == [[none, none, 2, 3], [1, 2, none, none], [none] * 4]
 
 
+def counts_of(docs):
+    return lm_scoring.word_counts(lm_scoring.counted(*lm_scoring.lanes(docs)))
+
+
 def test_training_helps_and_scores_add_up(spark, data_dir, docs, no_docs, corpus):
     real = table(spark, data_dir, "documents").where("lang = 'en'")
-    frequent = lm_scoring.frequent_words(real)
+    frequent = lm_scoring.frequent_words(counts_of(real))
     texts = [r.text.encode() for r in real.limit(30).collect()]
     untrained = lm_scoring.score_texts(texts, lm_scoring.fresh(), frequent)
-    trained = lm_scoring.score_texts(texts, lm_scoring.train(real, frequent, masked=0.5), frequent)
+    trained = lm_scoring.score_texts(texts, lm_scoring.train(lm_scoring.lanes(real)[0], frequent, masked=0.5), frequent)
     assert trained[1].sum() > untrained[1].sum() and untrained[0].tolist() == [len(t.split()) for t in texts]
     alone = [lm_scoring.score_texts([t], lm_scoring.fresh(), frequent)[1][0] for t in texts]
     assert np.allclose(alone, untrained[1], rtol=1e-4)
     got = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
     assert got[500].n_words == 0 and got[500].pseudo_log_likelihood == 0 and got[500].mean_log_probability is None
-    assert got[504].n_words == 6000 and got[504].mean_log_probability < 0
+    assert got[504].n_words == 6000 and got[504].mean_log_probability < 0 and got[None].n_words == 30
     assert lm_scoring.score(no_docs).collect() == []
 
 
 def test_frequent_words(spark):
     text = "a a a b b c " * 3
-    found = lm_scoring.frequent_words(spark.createDataFrame([(text,), (None,), ("A",)], "text string"))
+    found = lm_scoring.frequent_words(counts_of(spark.createDataFrame([(1, text), (2, None), (3, "A")], "doc_id long, text string")))
     codes = word_hashes(np.frombuffer(b"a b c", np.uint8))[1]
     assert {int(c): int(i) for c, i in found} == {int(c): i for i, c in enumerate(codes)}
 
 
+def test_scores_do_not_hang_on_partitions(docs):
+    clash = docs.withColumns({"n_words": F.lit("x"), "part": F.lit(1), "lane": F.lit(2)})
+    few, many = (lm_scoring.score(d, block_bytes=3000).collect() for d in (docs.coalesce(1), clash.repartition(7)))
+    key = lambda r: (str(r.doc_id), r.n_words, r.pseudo_log_likelihood)
+    few, many = sorted(map(key, few)), sorted(map(key, many))
+    assert [r[:2] for r in few] == [r[:2] for r in many] and np.allclose([r[2] for r in few], [r[2] for r in many], rtol=1e-6, atol=1e-4)
+
+
+def test_scores_equal_brute_force_for_a_given_model(docs, corpus):
+    """Untrained parameters, a word at a time: whole softmaxes, counts by a Counter."""
+    p, side, half = lm_scoring.fresh(), lm_scoring.SIDE, lm_scoring.VOCABULARY // 2
+    words = [(r[1] or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode().split() for r in corpus]
+    code = {w: int(word_hashes(np.frombuffer(w, np.uint8))[1][0]) for own in words for w in own}
+    counts = Counter(code[w] for own in words for w in own)
+    signed = lambda c: c - (1 << 64) if c >> 63 else c
+    top = sorted(counts, key=lambda c: (-counts[c], signed(c)))[:half]
+    number = {c: top.index(c) if c in top else half + c % half for c in counts}
+    bucket, once = Counter(), Counter()
+    for c, n in counts.items():
+        if number[c] >= half:
+            bucket[c % half] += n
+            once[c % half] += n == 1
+    log_softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    got = defaultdict(list)
+    for r in lm_scoring.score(docs, rounds=0, block_bytes=3000).collect():
+        got[r.doc_id].append(r.pseudo_log_likelihood)
+    for row, own in list(zip(corpus, words, strict=True))[:70]:
+        own, want = [code[w] for w in own][:200], 0.0
+        if len(own) == 200:
+            continue
+        for i, c in enumerate(own):
+            total = p["bias"].astype(np.float64)
+            for j, step in enumerate([*range(-side, 0), *range(1, side + 1)]):
+                if 0 <= i + step < len(own):
+                    total = total + p["near"][j][number[own[i + step]]]
+            h = np.tanh(total)
+            kind, place = divmod(number[c], lm_scoring.WITHIN)
+            want += log_softmax(h @ p["kind"] + p["kind_bias"])[kind] + log_softmax(h @ p["word"][kind] + p["word_bias"][kind])[place]
+            if number[c] >= half:
+                want += math.log(counts[c] / (bucket[c % half] + max(once[c % half], 1)))
+        assert any(g == pytest.approx(want, rel=1e-4, abs=1e-3) for g in got[row[0]])
+
+
 def test_words_of_a_bucket_have_their_own_probabilities(spark):
     half = lm_scoring.VOCABULARY // 2
     names = [f"w{i}" for i in range(4000)]
@@ -257,7 +304,8 @@ def test_words_of_a_bucket_have_their_own_probabilities(spark):
     log = {texts[i]: r.pseudo_log_likelihood for i, r in found.items()}
     assert log[often] - log[once] == pytest.approx(math.log(20), abs=1e-4) and log[often] - log[twice] == pytest.approx(math.log(10), abs=1e-4)
     # 23 occurrences, and one of an unknown word
-    totals = lm_scoring.bucket_totals(lm_scoring.word_counts(docs), lm_scoring.frequent_words(docs))
+    counts = counts_of(docs)
+    totals = lm_scoring.bucket_totals(counts, lm_scoring.frequent_words(counts))
     assert sorted(totals.tolist())[-2:] == [1, 24]
 
 
