@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +17,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or the warehouse where it is unset.
+
+    A folder of the local machine would be lost to the others, so none is made up.
+    """
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return given or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{uuid.uuid4().hex[:8]}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, cut from its lineage by a copy in the shared checkpoint folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns named c0, c1, ... that clash with nothing, and the new name of each column."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def text_volume(docs: DataFrame, column: str = "text") -> tuple[int, int]:
     """Rows and UTF-8 bytes of a text column."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(column)).alias("b")).first()
