@@ -1,6 +1,8 @@
 """Language identification of words by a linear-chain conditional random field.
 
-Words are runs of letters, lower-cased.  A word's features are its byte
+Words are runs of letters a-z, after lower-casing, and of characters beyond
+ASCII, whose punctuation and digits thus count as letters of words.  A word's
+features are its byte
 n-grams of 2 to 4 bytes with a blank on either side (those with a blank are
 its affixes), hashed to a table of fixed size, and the word itself if the
 lexicon of the training words has it.  Transitions between neighbouring words
@@ -10,8 +12,8 @@ Forward-backward gives each word's label probabilities; a document's language
 is the label of the largest summed probability, its score that share.
 
 Training uses a hash sample of about ``per_language`` labelled documents a
-language (the documented bound), a random stretch of words from each.  Every
-document is then labelled whole.
+language (the documented bound), each whole, like every document that is then
+labelled.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0;
 without labelled documents everything is; a null lang is never learned from; a
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.suffix_trees import _powers
 
-PER_LANGUAGE, STRETCH, SEED = 500, 120, 11
+PER_LANGUAGE, SEED = 200, 11
 BUCKETS = 1 << 16
 LEXICON_COUNT = 3
 #: Text labelled at once, and text whose features are held at once.
@@ -166,12 +168,12 @@ def forward_backward(emission: np.ndarray, text: np.ndarray, move: np.ndarray, s
     return probability, moves, starts
 
 
-def spliced(stretches: list[tuple[str, bytes]], seed: int = SEED) -> tuple[list[bytes], list[list[tuple[str, int]]]]:
+def spliced(documents: list[tuple[str, bytes]], seed: int = SEED) -> tuple[list[bytes], list[list[tuple[str, int]]]]:
     """Sequences of pieces of different documents: texts, and (label, bytes) of their pieces."""
     dice = np.random.default_rng(seed)
     pieces = []
-    for label, text in stretches:
-        words = text.split(b" ")
+    for label, text in documents:
+        words = text.split()
         at = 0
         while at < len(words):
             n = int(dice.integers(4, 40))
@@ -186,17 +188,18 @@ def spliced(stretches: list[tuple[str, bytes]], seed: int = SEED) -> tuple[list[
     return texts, marks
 
 
-def train(stretches: list[tuple[str, bytes]], epochs: int = 8, batch: int = 100, rate: float = 0.2, seed: int = SEED) -> Model:
-    """stretches: (label, lower-cased words joined by a blank)."""
-    labels = sorted({label for label, _ in stretches})
+def train(documents: list[tuple[str, bytes]], epochs: int = 8, batch: int = 100, rate: float = 0.2, seed: int = SEED) -> Model:
+    """documents: (label, lower-cased words with blanks between them)."""
+    labels = sorted({label for label, _ in documents})
     k = len(labels)
     number = {label: i for i, label in enumerate(labels)}
-    texts, marks = spliced(stretches, seed)
+    texts, marks = spliced(documents, seed)
     model = Model(labels, np.zeros((BUCKETS + 1, k), np.float32), np.zeros(0, np.uint64), np.zeros((1, k), np.float32), np.zeros((k, k), np.float32), np.zeros(k, np.float32))
     if k < 2:
         return model
-    every = words_of(texts)
-    code, times = np.unique(every.code, return_counts=True)
+    found = [np.unique(words_of(texts[low : low + batch]).code, return_counts=True) for low in range(0, len(texts), batch)]
+    code, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c for c, _ in found)]), return_inverse=True)
+    times = np.bincount(back, weights=np.concatenate([np.zeros(0), *(n for _, n in found)]), minlength=len(code))
     model.lexicon = code[times >= LEXICON_COUNT]
     model.lexical = np.zeros((len(model.lexicon) + 1, k), np.float32)
     prepared = []
@@ -286,8 +289,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETCH, seed: int = SEED) -> Model:
-    """A model of the labelled documents outside the held-out fold."""
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = SEED) -> Model:
+    """A model of labelled documents outside the held-out fold, whole texts of about per_language of each language."""
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("doc_id is not null and text is not null and lang is not null").where(~held_out())
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
@@ -296,17 +299,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETC
     die = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
     chosen = rows.where(die < F.element_at(share, F.col("lang")))
 
-    def cut(batches):
+    def words(batches):
         for batch in batches:
-            out = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = _lowered(text).translate(_KEEP).split()
-                at = hash((int(doc), seed)) % max(1, len(words) - stretch + 1)
-                out.append(b" ".join(words[at : at + stretch]))
+            out = [_lowered(text).translate(_KEEP) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("lang"), pa.array(out, pa.binary())], names=["doc_id", "lang", "words"])
 
-    found = sorted((r[0], r[1], bytes(r[2])) for r in chosen.mapInArrow(cut, "doc_id long, lang string, words binary").collect())
-    return train([(lang, words) for _, lang, words in found if words], seed=seed)
+    found = sorted((r[0], r[1], bytes(r[2])) for r in chosen.mapInArrow(words, "doc_id long, lang string, words binary").collect())
+    return train([(lang, text) for _, lang, text in found if text.strip()], seed=seed)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:

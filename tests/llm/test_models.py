@@ -39,6 +39,44 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(p, want, atol=1e-5) and np.allclose(moves, want_moves, atol=1e-4) and np.allclose(starts, want_starts, atol=1e-4)
 
 
+def plain_language(text, model):
+    """Label and score of one text by log-space forward-backward over dictionaries of a word's byte n-grams."""
+    low = text.lower().encode() if text and any(c.isalpha() for c in text) else b""
+    words = [w for w in low.translate(language._KEEP).split(b" ") if w]
+    if not words or not model.labels:
+        return "und", 0.0
+    emission = []
+    for w in words:
+        one = language.words_of([w])
+        (row,) = model.lexicon_rows(one.code)
+        padded = b" " + w + b" "
+        total = model.lexical[row].astype(np.float64)
+        for k in (2, 3, 4):
+            for i in range(len(padded) - k + 1):
+                h = (int.from_bytes(padded[i : i + k], "big") ^ (0x9E3779B9 * k % (1 << 32))) * 0x85EBCA6B % (1 << 32)
+                h = ((h ^ (h >> 13)) * 0xC2B2AE35 % (1 << 32)) >> 16
+                total = total + model.grams[h]
+        emission.append(total)
+    a, b = [model.start + emission[0]], [np.zeros(len(model.labels))]
+    for e in emission[1:]:
+        a.append(e + np.logaddexp.reduce(a[-1][:, None] + model.move, axis=0))
+    for e in emission[:0:-1]:
+        b.append(np.logaddexp.reduce(model.move + e + b[-1], axis=1))
+    both = np.array(a) + np.array(b[::-1])
+    share = np.exp(both - np.logaddexp.reduce(both, axis=1, keepdims=True)).sum(axis=0) / len(words)
+    return model.labels[int(share.argmax())], float(share.max())
+
+
+def test_identify_equals_brute_force(spark, docs, corpus, data_dir):
+    model = language.fit(docs)
+    got = defaultdict(list)
+    for r in language.identify(docs, model).collect():
+        got[r.doc_id].append((r.lang_pred, r.score))
+    for doc, text, *_ in corpus:
+        label, score = plain_language(text, model)
+        assert any(g[0] == label and g[1] == pytest.approx(score, abs=2e-3) for g in got[doc])
+
+
 def test_features_belong_to_their_words():
     alone = [language.words_of([w]) for w in (b"the", b"maison")]
     both = language.words_of([b"the, maison", b"", b"the"])
@@ -127,6 +165,23 @@ def plain_kneser_ney(texts, order):
     return lambda t: sum(math.log(p((pad + t)[i : i + order])) for i in range(len(t)))
 
 
+def test_orders_beyond_the_key_are_refused(docs, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for order in (2, 8):
+        with pytest.raises(ValueError, match="order"):
+            kneser_ney.classify(docs, labels, order=order)
+
+
+def test_many_short_texts_at_every_order(spark):
+    texts = [f"text {i} of many" for i in range(700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for order in (6, 7):
+        models = kneser_ney.model_shards(docs.where("doc_id < 40"), order, shards=3)
+        got = {r.doc_id: r.log_probability for r in kneser_ney.log_likelihoods(docs, models, order, shards=3).collect()}
+        log = plain_kneser_ney([t.encode() for t in texts[:40]], order)
+        assert len(got) == 700 and all(got[i] == pytest.approx(log(texts[i].encode()), rel=1e-6) for i in range(0, 700, 7))
+
+
 @pytest.mark.parametrize("order", [3, 4, 5])
 def test_probabilities_equal_plain_model(spark, docs, corpus, order):
     trusted = [(r[1] or "").encode() for r in corpus[:30]]
@@ -169,6 +224,7 @@ def test_classifier_edges(spark, docs, no_docs):
     by_id = {r.doc_id: r for r in got}
     assert len(got) == docs.select("doc_id").distinct().count()
     assert by_id[500].perplexity is None and by_id[500].keep is False and by_id[501].keep is False
+    assert by_id[None].n_bytes > 0 and by_id[None].perplexity > 1 and by_id[None].keep is (by_id[None].perplexity <= by_id[None].threshold)
     assert kneser_ney.classify(no_docs, labels).collect() == []
     none = kneser_ney.classify(docs, labels.where("false"))
     assert all(r.perplexity == pytest.approx(256) for r in none.collect() if r.perplexity is not None)
