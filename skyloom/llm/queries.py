@@ -80,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op4_mix_sources": mixing.sql(),
+    "op7_histogram_shards": sharding.sql(),
     "op6_suffix_trees": oracles.SUFFIX_TREES,
     "op9_suffix_arrays": oracles.SUFFIX_ARRAYS,
     "op10_top_k": topk.sql(),

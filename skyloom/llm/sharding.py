@@ -1,7 +1,7 @@
 """Sharding by histogram sort.
 
-Documents are ordered by (hash of the text, doc_id), so equal texts lie side
-by side.  A splitter is the first key with at least i/shards of all bytes
+Documents are ordered by (60 bits of the text's MD5, doc_id), so equal texts
+lie side by side.  A splitter is the first key with at least i/shards of all bytes
 below it.  Its bracket shrinks by rounds: executors sample keys inside the
 open brackets, count the exact bytes and rows below these probes, and the
 driver keeps the two probes around each target; a bracket of few rows is
@@ -12,7 +12,7 @@ row counts give every row its slot.
 Law ``bytes``: a row's size is its UTF-8 bytes plus 8, and a shard's size
 differs from the mean by less than the largest row.
 
-Defined cases: a null text counts 0 bytes and hashes as null; rows of equal
+Defined cases: a null text counts 0 bytes and comes before all others; rows of equal
 doc_id and text may share a key and then stay in one shard; a null doc_id
 sorts first; an empty table gives no rows.  Columns shard_* that the operator
 adds replace columns of these names.
@@ -23,27 +23,30 @@ from __future__ import annotations
 import bisect
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyloom.llm.common import checkpointed
+from skyloom.llm.common import apart, checkpointed
 
 SHARDS = 24
 #: Keys sampled from a bracket in a round; a bracket of fewer rows is listed.
 SAMPLE = 64
-#: Ranges that a shard is cut into for the exchange, and rows aimed at in one.
+#: Ranges that a shard, or a partition of the exchange, is cut into at least, and rows aimed at in one.
 RANGES, RANGE_ROWS, REFINEMENTS = 8, 200_000, 4
+HASH_BITS = 60
 
 _NULL = -(1 << 63)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """docs with shard_hash, shard_id, shard_bytes and shard_crc."""
+    digest = F.md5(F.col("text").cast("binary"))
     return docs.withColumns(
         {
-            "shard_hash": F.xxhash64("text"),
+            "shard_hash": F.coalesce(F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long"), F.lit(-1)),
             "shard_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)),
             "shard_bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8,
             "shard_crc": F.crc32(F.coalesce("text", F.lit(""))).cast("long"),
@@ -59,12 +62,15 @@ def _codes(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return out.reshape(-1).view("S16")
 
 
+def _code_table(probes: list[tuple[int, int]]) -> np.ndarray:
+    return _codes(*(np.array([p[i] for p in probes], np.int64) for i in (0, 1)))
+
+
 def _positions(probes: list[tuple[int, int]], high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """How many of the sorted probes are at or below each key."""
     if not probes:
         return np.zeros(len(high), np.int64)
-    table = _codes(*(np.array([p[i] for p in probes], np.int64) for i in (0, 1)))
-    return np.searchsorted(table, _codes(high, low), side="right")
+    return np.searchsorted(_code_table(probes), _codes(high, low), side="right")
 
 
 def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -111,6 +117,11 @@ def _sampled(keys: DataFrame, bounds: list[tuple[int, int]], rates: dict[int, fl
     return [tuple(r) for r in keys.mapInArrow(pick, "at long, high long, low long, size long").collect()]
 
 
+def _after(key: tuple[int, int]) -> tuple[int, int]:
+    """The least key above this one."""
+    return (key[0], key[1] + 1) if key[1] < (1 << 63) - 1 else (key[0] + 1, _NULL)
+
+
 def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tuple[list[tuple[int, int] | None], int, int]:
     """The shards - 1 splitters (None: no such key), all bytes and all rows."""
     total, count = _histogram(keys, [])
@@ -134,7 +145,7 @@ def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tu
         seen = _sampled(keys, bounds, rates, salt)
         salt += 1
         # the key after a bracket's lower end settles many rows of one key
-        after = {(low[i][0][0], low[i][0][1] + 1) for i in open_ if low[i][0] is not None}
+        after = {_after(low[i][0]) for i in open_ if low[i][0] is not None}
         probes = sorted({(h, k) for _, h, k, _ in seen} | after)
         below, rows = _histogram(keys, probes)
         for i in open_:
@@ -148,7 +159,7 @@ def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tu
                 low[i] = (key, b, n)
             bottom = low[i][0]
             # every key of the bracket was a probe, or the bracket is one key
-            done[i] = inside <= sample or bottom is not None and high[i][0] == (bottom[0], bottom[1] + 1)
+            done[i] = inside <= sample or bottom is not None and high[i][0] == _after(bottom)
     return [h[0] for h in high], total, count
 
 
@@ -156,9 +167,11 @@ def _shard(docs: DataFrame, shards: int, sample: int, range_rows: int) -> DataFr
     rows = keyed(docs)
     keys = checkpointed(rows.select("shard_hash", "shard_id", "shard_bytes"))
     cuts, _, count = splitters(keys, shards, sample)
-    ranges = max(RANGES, -(-count // (shards * range_rows)))
-    step = (1 << 64) // (shards * ranges)
-    fine = sorted({c for c in cuts if c is not None} | {(-(1 << 63) + k * step, _NULL) for k in range(1, shards * ranges)})
+    # several ranges for each partition of the exchange, so that they even out
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    range_rows = min(range_rows, max(1, -(-count // (RANGES * max(shards, partitions)))))
+    ranges = max(RANGES * shards, -(-count // range_rows))
+    fine = sorted({c for c in cuts if c is not None} | {((k << HASH_BITS) // ranges, _NULL) for k in range(1, ranges)})
     for turn in range(REFINEMENTS):  # ranges that hold too many rows (copies of one text) are cut at sampled keys
         _, below = _histogram(keys, fine)
         rows_in = np.diff([0, *below])
@@ -182,19 +195,37 @@ def _shard(docs: DataFrame, shards: int, sample: int, range_rows: int) -> DataFr
         first.setdefault(s, starts[k])
     offset = [starts[k] - first[s] for k, s in enumerate(shard_of)]
 
-    @F.pandas_udf("int")
-    def range_of(high, low):
-        import pandas as pd
+    # a row for each range, of RANGE_ROWS rows of the table
+    table = docs.sparkSession.sparkContext.broadcast((_code_table(fine), np.array(offset, np.int64), np.array(shard_of, np.int32)))
 
-        return pd.Series(_positions(fine, high.to_numpy(), low.to_numpy()).astype("int32"))
+    @F.pandas_udf("number int, base long, shard int")
+    def range_of(high: pd.Series, low: pd.Series) -> pd.DataFrame:
+        codes, base, shard = table.value
+        at = np.searchsorted(codes, _codes(high.to_numpy(), low.to_numpy()), side="right") if len(codes) else np.zeros(len(high), np.int64)
+        return pd.DataFrame({"number": at.astype(np.int32), "base": base[at], "shard": shard[at]})
 
     rows = rows.withColumn("shard_range", range_of("shard_hash", "shard_id"))
-    lookup = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("shard_range") + 1)
+    rows = rows.select("*", F.col("shard_range.base").alias("shard_base"), F.col("shard_range.shard").alias("shard")).withColumn("shard_range", F.col("shard_range.number"))
     order = Window.partitionBy("shard_range").orderBy("shard_hash", "shard_id")
-    return rows.withColumn("shard_slot", lookup(offset).cast("long") + F.row_number().over(order) - 1).withColumn("shard", lookup(shard_of).cast("int"))
+    return rows.withColumn("shard_slot", F.col("shard_base") + F.row_number().over(order) - 1)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, sample: int = SAMPLE, range_rows: int = RANGE_ROWS) -> DataFrame:
     """docs with shard, shard_slot, shard_bytes and shard_crc; texts move once."""
-    docs = docs.drop("shard", "shard_slot", "shard_bytes", "shard_crc", "shard_hash", "shard_id", "shard_range")
-    return _shard(docs, shards, sample, range_rows).select(*docs.columns, "shard", "shard_slot", "shard_bytes", "shard_crc")
+    added = ("shard", "shard_slot", "shard_bytes", "shard_crc")
+    rows, names = apart(docs)
+    rows = _shard(rows.withColumnsRenamed({names["doc_id"]: "doc_id", names["text"]: "text"}), shards, sample, range_rows)
+    own = [F.col({"doc_id": "doc_id", "text": "text"}.get(c, name)).alias(c) for c, name in names.items() if c not in added]
+    return rows.select(*own, *added)
+
+
+def sql(shards: int = SHARDS) -> str:
+    """Sizes, CRC-32, shards and slots by one ordered pass, in DuckDB; the checksum goes bit by bit."""
+    return f"""
+WITH k AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 8 AS size, hex(encode(coalesce(text, ''))) AS h,
+             coalesce(('0x' || substr(md5(text), 1, {HASH_BITS // 4}))::BIGINT, -1) AS key FROM documents),
+c AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::BIGINT),
+        lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))), 4294967295) AS crc FROM k),
+p AS (SELECT *, ((sum(size) OVER (ORDER BY key, doc_id) - size) * {shards} // sum(size) OVER ())::INTEGER AS shard FROM c)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY key, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard FROM p"""
