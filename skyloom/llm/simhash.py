@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyloom.llm.common import LOWER, byte_rows, checkpointed
+from skyloom.llm.common import LOWER, apart, byte_rows, checkpointed
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Fingerprints of one slice value beyond which it is dealt again.
@@ -40,6 +40,8 @@ SPLIT = 4096
 TASK, MOST_HEAVY = 1 << 20, 10_000
 #: Tag of these second slices, which may differ in any bit.
 SECOND = 64
+#: Most texts that are broadcast (17 bytes each) as ones to drop or to look at again.
+FEW = 1 << 19
 
 #: For each byte a word whose eight byte lanes are its bits, least first.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").reshape(-1).view("<u8").copy()
@@ -60,15 +62,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the fingerprint as a signed long, and further long columns."""
 
     def run(batches):
         for batch in batches:
             values = np.fromiter((fingerprint(t, shingle) for t in byte_rows(batch)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(values.view(np.int64)), *map(batch.column, also)], names=["doc_id", "fp", *also])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", *also).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *also)))
 
 
 class BKForest:
@@ -256,13 +258,17 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.withColumnRenamed("u", "node").unionByName(tops)
 
 
+def _resolved(prints: DataFrame, radius: int, split: int, task: int) -> DataFrame:
+    """fp and component of every fingerprint; NULL where no document that has it has an id."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
+    found = components(links(nodes.where("node is not null"), radius, split, task))
+    return nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, split: int = SPLIT, task: int = TASK) -> DataFrame:
     """doc_id, fp and component: the least doc_id reachable over links."""
     prints = checkpointed(fingerprints(docs, shingle))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    found = components(links(nodes.where("node is not null"), radius, split, task))
-    resolved = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(resolved, "fp")
+    return prints.join(_resolved(prints, radius, split, task), "fp")
 
 
 def verdicts(found: DataFrame) -> DataFrame:
@@ -270,13 +276,32 @@ def verdicts(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, few: int = FEW) -> DataFrame:
     """docs of which one document of each component stays, the least doc_id, as one row.
 
-    Rows without doc_id cannot be told apart: they stay if one of them is alone.
+    Of rows that repeat this doc_id the one of the least text hash stays, and of
+    equal texts the least by its columns as JSON.  Of rows without doc_id one a
+    fingerprint stays, by the same order, if no row with an id has it.
     """
-    key = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
-    kept = near_duplicates(docs).where("doc_id <=> component").select(key(F.col("doc_id")).alias("_kept")).distinct()
-    found = docs.withColumn("_key", key(F.col("doc_id").cast("long"))).join(kept, F.col("_key") == F.col("_kept"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # in the order that the join leaves
-    return found.withColumn("_n", first).where("_n = 1 or doc_id is null").select(docs.columns)
+    rows, names = apart(docs)
+    doc, text = names["doc_id"], names["text"]
+    rows = rows.withColumn("_hash", F.xxhash64(text))
+    prints = checkpointed(fingerprints(rows.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"), "_hash"), shingle, ("_hash",)))
+    texts = prints.groupBy("doc_id", "_hash", "fp").agg(F.count(F.lit(1)).alias("_times"))
+    texts = checkpointed(texts.join(_resolved(prints, radius, SPLIT, TASK), "fp").withColumn("_lead", F.col("doc_id").eqNullSafe(F.col("component"))))
+    # the first text of each document that stays; one without an id is known by its fingerprint
+    document = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp"))
+    first = texts.where("_lead").groupBy(document.alias("_document")).agg(F.min("_hash").alias("_first"))
+    told = texts.withColumn("_document", document).join(first, "_document", "left")
+    stays = F.col("_lead") & (F.col("_hash") == F.col("_first"))
+    flags = told.where(~F.coalesce(stays, F.lit(False)) | (F.col("_times") > 1)).select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_text"), F.coalesce(stays, F.lit(False)).alias("_stays"))
+    flags = checkpointed(flags)
+    size = flags.agg(F.count(F.lit(1)).alias("n"), F.count_if("_stays").alias("repeated")).first()
+    # few flagged texts are sent to the rows, which then don't move
+    flags = F.broadcast(flags) if size["n"] <= few else flags
+    found = rows.join(flags, F.col(doc).cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left")
+    kept = found.where("_stays is null")
+    if size["repeated"]:
+        one = F.row_number().over(Window.partitionBy("_id", "_text").orderBy(F.to_json(F.struct(*names.values()))))
+        kept = kept.select(*names.values()).unionByName(found.where("_stays").withColumn("_n", one).where("_n = 1").select(*names.values()))
+    return kept.select(*[F.col(v).alias(k) for k, v in names.items()])

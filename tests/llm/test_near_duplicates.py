@@ -99,6 +99,41 @@ def test_keep_first_and_edges(docs, no_docs, corpus):
     assert sorted(map(str, simhash.near_duplicates(clash).collect())) == sorted(map(str, simhash.near_duplicates(docs).collect()))
 
 
+def plain_kept(rows):
+    """Rows that keep_first leaves, by brute force; repeated ids are one document."""
+    prints = [plain_fingerprint(r[1]) for r in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            for j in range(i):
+                ids = rows[i][0] is not None and rows[j][0] is not None
+                if prints[i] == prints[j] or ids and (rows[i][0] == rows[j][0] or (prints[i] ^ prints[j]).bit_count() <= 3):
+                    label[i] = label[j] = min(label[i], label[j])
+    kept = []
+    for group in set(label):
+        own = [r for r, g in zip(rows, label, strict=True) if g == group]
+        named = [r for r in own if r[0] is not None]
+        least = min((r[0] for r in named), default=None)
+        kept.append((least, {r[1] for r in own if r[0] == least}))
+    return kept
+
+
+@pytest.mark.parametrize("few", [simhash.FEW, 0])
+def test_one_row_of_each_group_stays(spark, few):
+    a, b, c = "one two three four five six", "quite another text of seven words", "and a third one that is alone"
+    rows = [(5, a), (5, b), (9, b), (7, a), (3, c), (3, c), (None, a), (None, "only without an id here at all"), (None, "only without an id here at all"), (None, "and another such text without an id"), (11, None), (12, ""), (None, " ")]
+    df = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, _n string").repartition(3)
+    got = simhash.keep_first(df, few=few)
+    assert got.columns == df.columns
+    found = sorted((str(r.doc_id), r.text, r._n) for r in got.collect())
+    want = plain_kept(rows)
+    assert len(found) == len(want)
+    for i, texts in want:
+        (own,) = [f for f in found if f[0] == str(i) and f[1] in texts] if i is not None else [next(f for f in found if f[0] == "None" and f[1] in texts)]
+        assert own
+    assert found == sorted((str(r.doc_id), r.text, r._n) for r in simhash.keep_first(df.repartition(7), few=few).collect())
+
+
 @pytest.mark.parametrize("text", [None, "", "one", "One two", "a b c", "a b c d " * 200, "é Ü x"])
 def test_fingerprints(text):
     assert simhash.fingerprint(None if text is None else text.encode()) == plain_fingerprint(text)
