@@ -9,8 +9,9 @@ equal smaller draws, so no distribution underflows.
 
 Defined cases: a null source is a source of its own; a null doc_id hashes as
 ``null``; repeated rows get equal counts; a null, empty or long text is
-carried along unread; an empty table gives no rows.  Columns named ``mix_*``
-are replaced.  A source without a weight in ``weights`` gets weight 0.
+carried along unread; an empty table gives no rows.  Of further columns only
+those named like the three that are added are replaced, and none without
+``marks``.  A source without a weight in ``weights`` gets weight 0.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.llm.common import apart
+
 SEED = 20_240_607
 #: Weights are proportional to the source's documents to this power.
 TEMPERATURE = 0.5
@@ -34,9 +37,9 @@ def uniform(*keys: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE) -> tuple[DataFrame, int]:
+def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, source: str = "source") -> tuple[DataFrame, int]:
     """mix_source, mix_rate for every source, and how many sources there are."""
-    counts = docs.groupBy(F.coalesce(F.col("source").cast("string"), F.lit("\0null")).alias("mix_source")).agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("\0null")).alias("mix_source")).agg(F.count(F.lit(1)).alias("n"))
     weight = F.pow(F.col("n").cast("double"), F.lit(temperature))
     if weights is not None:
         given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map().cast("map<string,double>")
@@ -61,39 +64,47 @@ def _with_distribution(rates: DataFrame) -> DataFrame:
     )
 
 
-def counted(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """docs with mix_rate and mix_count, the copies that each row is to get."""
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
-    rates, sources = source_rates(docs, weights, temperature)
+def _counted(docs: DataFrame, names: dict[str, str], weights: dict[str, float] | None, temperature: float, seed: int) -> tuple[DataFrame, Column]:
+    """docs (of columns set apart) with mix_rate and mix_count, and the hashed key of a document."""
+    rates, sources = source_rates(docs, weights, temperature, names["source"])
     rates = _with_distribution(rates)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    rows = docs.withColumn("mix_source", F.coalesce(F.col("source").cast("string"), F.lit("\0null")))
+    key = F.coalesce(F.col(names["doc_id"]).cast("string"), F.lit("null"))
+    rows = docs.withColumn("mix_source", F.coalesce(F.col(names["source"]).cast("string"), F.lit("\0null")))
     if sources <= BROADCAST_SOURCES:
         rows = rows.join(F.broadcast(rates), "mix_source")
     else:
         salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
         rates = rates.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rows = rows.withColumn("mix_salt", salt).join(rates, ["mix_source", "mix_salt"]).drop("mix_salt")
-    draw = lambda j: F.size(F.filter("mix_cdf", lambda c: uniform(F.lit(str(seed)), j.cast("string"), key) >= c))
-    count = F.aggregate(F.transform(F.sequence(F.lit(0), F.col("mix_draws") - 1), draw), F.lit(0), lambda a, b: a + b)
-    return rows.withColumn("mix_count", count).select(*docs.columns, "mix_rate", "mix_count")
+    # each draw hashes once; the distribution is then searched for that number
+    draws = F.transform(F.sequence(F.lit(0), F.col("mix_draws") - 1), lambda j: uniform(F.lit(str(seed)), j.cast("string"), key))
+    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("mix_cdf", lambda c: u >= c)))
+    return rows.withColumn("mix_count", count).select(*names.values(), "mix_rate", "mix_count"), key
+
+
+def counted(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
+    """docs with mix_rate and mix_count, the copies that each row is to get."""
+    rows, names = apart(docs)
+    rows, _ = _counted(rows, names, weights, temperature, seed)
+    return rows.select(*[F.col(v).alias(k) for k, v in names.items() if k not in ("mix_rate", "mix_count")], "mix_rate", "mix_count")
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """Every copy as a row with mix_rate, mix_copy and mix_key, in random order.
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED, marks: bool = True) -> DataFrame:
+    """Every copy as a row, in random order, with mix_rate, mix_copy and mix_key, or without these ``marks``.
 
     mix_key is uniform, so hash partitions of it, each sorted by it, are one
     global random permutation, without a sampling pass over the texts.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    rows, names = apart(docs)
+    rows, key = _counted(rows, names, weights, temperature, seed)
     copies = (
-        counted(docs, weights, temperature, seed)
-        .where("mix_count > 0")
+        rows.where("mix_count > 0")
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_count"))))
         .drop("mix_count")
         .withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), key, F.col("mix_copy")).cast("binary")))
     )
-    return copies.repartition("mix_key").sortWithinPartitions("mix_key")
+    added = ("mix_rate", "mix_copy", "mix_key") if marks else ()
+    return copies.repartition("mix_key").sortWithinPartitions("mix_key").select(*[F.col(v).alias(k) for k, v in names.items() if k not in added], *added)
 
 
 def sql(temperature: float = TEMPERATURE, seed: int = SEED) -> str:

@@ -1,16 +1,19 @@
 """Decontamination (1), mixing (4), sharding (7), top-k (10) and the pipeline."""
 
 import hashlib
+import math
+import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyloom.llm import decontaminate, mixing, queries, sharding, topk
+from skyloom.llm import decontaminate, language, mixing, queries, sharding, topk
 from skyloom.llm.common import table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -109,6 +112,10 @@ def test_mixing_edges(docs, no_docs):
         got.setdefault(str(r.doc_id), []).append(r.mix_copy)
     assert all(max(v) == counts[k] for k, v in got.items()) and set(got) == {k for k, v in counts.items() if v}
     assert mixing.mix(no_docs).collect() == []
+    own = docs.withColumns({"mix_key": F.lit("x"), "mix_source": F.lit("y"), "mix_cdf": F.lit("z"), "mix_copy": F.lit(0)})
+    plain = mixing.mix(own, marks=False)
+    assert plain.columns == own.columns and {(r.mix_key, r.mix_source, r.mix_cdf, r.mix_copy) for r in plain.collect()} == {("x", "y", "z", 0)}
+    assert plain.count() == mixed.count() and mixing.mix(own).where("mix_source = 'y' and mix_copy > 0").count() == mixed.count()
     keys = [r.mix_key for r in mixed.collect()]
     assert keys != sorted(keys) or len(keys) < 2 or mixed.rdd.getNumPartitions() == 1
 
@@ -127,8 +134,8 @@ def test_shards_equal_brute_force(docs, corpus, shards, sample):
     got = sharding.shard(docs, shards, sample).collect()
     total = sum(r.shard_bytes for r in got)
     assert sorted((str(r.doc_id), r.shard_bytes, r.shard_crc) for r in got) == sorted((str(d), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t, *_ in corpus)
-    hashes = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
-    key = lambda r: (hashes[r.doc_id, r.text], sharding._NULL if r.doc_id is None else r.doc_id)
+    digest = lambda t: -1 if t is None else int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    key = lambda r: (digest(r.text), sharding._NULL if r.doc_id is None else r.doc_id)
     below, order = 0, sorted(got, key=key)
     for i, r in enumerate(order):
         if not i or key(r) != key(order[i - 1]):
@@ -153,6 +160,19 @@ def test_many_copies_of_one_text_are_split(spark):
     assert {r.shard for r in sharding.shard(one).collect()} == {0}
 
 
+def test_largest_ids_are_sharded(spark):
+    last = (1 << 63) - 1
+    rows = spark.createDataFrame([(last, "x")] * 200 + [(last - 1, "x")] * 3 + [(-last - 1, "y"), (None, None)], "doc_id long, text string")
+    got = sharding.shard(rows, sample=8).collect()
+    assert len(got) == 205 and len({r.shard for r in got if r.doc_id == last}) == 1
+
+
+def test_sharding_keeps_other_columns(docs):
+    clash = docs.withColumns({"shard_hash": F.lit("a"), "shard_base": F.lit("b"), "c0": F.lit("c"), "shard_slot": F.lit("d")})
+    got = sharding.shard(clash).collect()
+    assert {(r.shard_hash, r.shard_base, r.c0) for r in got} == {("a", "b", "c")} and {type(r.shard_slot) for r in got} == {int}
+
+
 def test_sharding_edges(no_docs, docs):
     assert sharding.shard(no_docs).collect() == []
     assert sharding.shard(docs.withColumn("shard", F.lit("x"))).count() == docs.count()
@@ -206,27 +226,57 @@ def test_queries_cover_all_documents(spark, data_dir, name):
     assert sorted(r.doc_id for r in found) == sorted(r.doc_id for r in table(spark, data_dir, "documents").select("doc_id").collect())
 
 
+def plain_poisson(doc_id, rate):
+    """Copies of a document: the inverse of the Poisson distribution at a hashed number."""
+    u = int(hashlib.md5(f"{mixing.SEED}:0:{doc_id}".encode()).hexdigest()[:13], 16) / (1 << 52)
+    n, p, total = 0, math.exp(-rate), math.exp(-rate)
+    while u >= total:
+        n += 1
+        p *= rate / n
+        total += p
+    return n
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark, data_dir):
+    from tests.llm.test_models import plain_language
     from tests.llm.test_near_duplicates import plain_components, plain_fingerprint
 
     found = corpus_pipeline.run(spark, data_dir).collect()
     docs = table(spark, data_dir, "documents").orderBy("doc_id").collect()
-    from skyloom.llm import language
-
-    labels, scores = language.predict([r.text for r in docs], language.fit(table(spark, data_dir, "documents")))
-    left = [r for r, label, s in zip(docs, labels, scores, strict=True) if label != "und" and s >= 0.5]
+    model = language.fit(table(spark, data_dir, "documents"))
+    labels = [plain_language(r.text, model) for r in docs]
+    left = [r for r, (label, score) in zip(docs, labels, strict=True) if label != "und" and score >= 0.5]
     least = plain_components([plain_fingerprint(r.text) for r in left], [r.doc_id for r in left])
     left = [r for r, c in zip(left, least, strict=True) if r.doc_id == c]
     items = [(r.item_id, r.text) for r in table(spark, data_dir, "benchmark").collect()]
     left = [r for r in left if not plain_verdict(r.text, items)[-1]]
-    counts = {r.doc_id: r.mix_count for r in mixing.counted(spark.createDataFrame(left, table(spark, data_dir, "documents").schema)).collect()}
+    sources = Counter(r.source for r in left)
+    weights = {s: n**mixing.TEMPERATURE for s, n in sources.items()}
+    counts = {r.doc_id: plain_poisson(r.doc_id, weights[r.source] * len(left) / sum(weights.values()) / sources[r.source]) for r in left}
     want = sorted(i for i, n in counts.items() for _ in range(n))
     assert sorted(r.doc_id for r in found) == want
     assert {r.doc_id: r.text for r in found} == {r.doc_id: r.text for r in left if counts[r.doc_id]}
+    order = sorted(found, key=lambda r: (int(hashlib.md5(r.text.encode()).hexdigest()[:15], 16), r.doc_id))
+    below, total, before = 0, sum(r.shard_bytes for r in found), None
+    for r in order:
+        if (r.text, r.doc_id) != before:
+            place, before = below * sharding.SHARDS // total, (r.text, r.doc_id)
+        assert r.shard == place and r.shard_bytes == len(r.text.encode()) + 8
+        below += r.shard_bytes
     for s in {r.shard for r in found}:
         assert sorted(r.shard_slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
 
 
+def test_pipeline_keeps_clashing_columns_and_leaves_one_folder(spark, docs, tmp_path):
+    extra = {"_key": F.lit("a"), "_n": F.lit("b"), "mix_key": F.lit("c"), "mix_source": F.lit("d"), "shard_hash": F.lit("e"), "fp": F.lit("f"), "c0": F.lit("g"), "_stays": F.lit("h")}
+    docs.withColumns(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None), (None, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.count() and found.select(*extra).distinct().collect() == [tuple("abcdefgh")]
+    (folder,) = {f.rsplit("/", 2)[0] for f in found.inputFiles()}
+    assert os.listdir(folder.removeprefix("file://").removeprefix("file:")) == ["4-histogram_sharding"]
+
+
 def test_pipeline_on_awkward_rows(spark, docs, no_docs, tmp_path):
     bench = spark.createDataFrame([(1, None)], "item_id long, text string")
     for k, rows in enumerate((docs, no_docs)):
