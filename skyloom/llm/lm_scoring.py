@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.blocks import LAST, SENT, Exchange, block_count, documents, in_blocks, packed, unpacked
+from skyloom.llm.blocks import BLOCK_BYTES, FAN, LAST, SENT, Exchange, block_count, documents, in_blocks, packed, unpacked
 from skyloom.llm.common import LOWER, checkpointed, mix64, text_volume
 from skyloom.llm.suffix_trees import word_hashes
 
@@ -44,8 +44,8 @@ VOCABULARY, WITHIN, HIDDEN, SIDE = 2048, 64, 32, 3
 ROUNDS, MASKED, SEED = 2, 0.10, 5
 RATE, BATCH = 0.08, 4096
 PIECE_BYTES, CHUNK = 512 << 10, 1 << 15
-#: Text of a block, and blocks of a lane that trains on its own.
-BLOCK_BYTES, LANE_BLOCKS = 2 << 20, 4
+#: Text of a lane that trains on its own, and blocks that a small input is dealt into, of LEAST_BLOCK bytes at least.
+LANE_BYTES, LEAST_BLOCKS = 8 << 20, 32
 #: Lanes whose parameters a task averages.
 AVERAGED = 64
 
@@ -98,11 +98,17 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
-def _log_softmax_at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Logarithms of one value of each row's softmax; x is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
+def _log_softmax_at(x: np.ndarray, target: np.ndarray, small: bool) -> np.ndarray:
+    """Logarithms of one value of each row's softmax; x is overwritten.  small: no value can overflow."""
+    if not small:
+        x -= x.max(axis=1, keepdims=True)
     own = x[np.arange(len(x)), target]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
+
+
+def _small(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether exp() of no output can leave single precision: hidden values lie within -1 and 1."""
+    return float((np.abs(weights).sum(axis=-2) + np.abs(bias)).max()) < 80
 
 
 def _hidden(p: Parameters, near: np.ndarray) -> np.ndarray:
@@ -117,13 +123,14 @@ def _hidden(p: Parameters, near: np.ndarray) -> np.ndarray:
 def log_probabilities(p: Parameters, near: np.ndarray, word: np.ndarray) -> np.ndarray:
     h = _hidden(p, near)
     kind = word // WITHIN
-    out = _log_softmax_at(h @ p["kind"] + p["kind_bias"], kind)
+    out = _log_softmax_at(h @ p["kind"] + p["kind_bias"], kind, _small(p["kind"], p["kind_bias"]))
+    small = _small(p["word"], p["word_bias"])
     order = np.argsort(kind, kind="stable")
     cut = np.searchsorted(kind[order], np.arange(len(p["word"]) + 1))
     for c in range(len(p["word"])):
         own = order[cut[c] : cut[c + 1]]
         if len(own):
-            out[own] += _log_softmax_at(h[own] @ p["word"][c] + p["word_bias"][c], word[own] % WITHIN)
+            out[own] += _log_softmax_at(h[own] @ p["word"][c] + p["word_bias"][c], word[own] % WITHIN, small)
     return out
 
 
@@ -165,7 +172,8 @@ def gradient_step(p: Parameters, sums: Parameters, near: np.ndarray, word: np.nd
 def lanes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """lane, part and blob of every block, and the number of blocks; a lane's blocks lie side by side, in order."""
     _, volume = text_volume(docs)
-    parts = block_count(volume, block_bytes=block_bytes)
+    parts = block_count(volume, LEAST_BLOCKS, block_bytes)
+    together = max(1, parts * LANE_BYTES // max(1, volume))
 
     def unite(key, rows):
         found: dict[int, list[bytes]] = {}
@@ -178,7 +186,7 @@ def lanes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, i
             blobs.append((part, packed([np.array([LAST if i is None else i for i in ids], np.int64), none, texts])))
         return pa.table({"lane": pa.array([key[0].as_py()] * len(blobs), pa.int32()), "part": pa.array([p for p, _ in blobs], pa.int32()), "blob": pa.array([b for _, b in blobs], pa.binary())})
 
-    lane = F.floor(F.col("part") / LANE_BLOCKS).cast("int").alias("lane")
+    lane = F.floor(F.col("part") / together).cast("int").alias("lane")
     return checkpointed(in_blocks(docs, parts).groupBy(lane).applyInArrow(unite, "lane int, part int, blob binary")), parts
 
 
@@ -196,25 +204,36 @@ def distinct_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code, np.bincount(back, weights=np.concatenate([np.zeros(0), *(n for _, n in found)]), minlength=len(code)).astype(np.int64)
 
 
-#: Hash and count of a word.
-WORDS = ("u8", "i8")
+#: Hash and count of a word; shard and count in the corpus of a word that was asked for.
+WORDS, TOTALS = ("u8", "i8"), ("i4", "i8")
+
+
+def shard_of(code: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(code) % np.uint64(parts)).astype(np.int32)
+
+
+def asked_totals(code: np.ndarray, parts: int, shard: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Totals of a block's distinct words, from shards that each answer in the order of the words."""
+    out = np.empty(len(code), np.int64)
+    out[np.argsort(shard_of(code, parts), kind="stable")] = total[np.argsort(shard, kind="stable")]
+    return out
 
 
-def counted(blocks: DataFrame, parts: int) -> DataFrame:
-    """Counts in the whole corpus: messages to the blocks that hold a word (kind 0), and each shard's table (kind 2)."""
-    exchange = Exchange(parts, WORDS)
+def counted(blocks: DataFrame, parts: int, fan: int = FAN) -> DataFrame:
+    """Counts in the whole corpus: each shard's table (kind 2), and messages (kind 0) to the blocks that asked, in the order in which they did."""
+    exchange, back_ = Exchange(parts, WORDS, fan), Exchange(parts, TOTALS, fan)
 
     def ask(batches):
         for _, part, (_, texts) in _rows(batches):
             code, n = distinct_words(texts)
-            yield from exchange.rows(exchange.sent([code, n], mix64(code) % np.uint64(parts), part, part)).to_batches()
+            yield from exchange.rows(exchange.sent([code, n], shard_of(code, parts), part, part)).to_batches()
 
     def answer(key, asked):
         home = key[0].as_py()
         origin, code, n = exchange.opened(asked)
         each, back = np.unique(code, return_inverse=True)
         total = np.bincount(back, weights=n).astype(np.int64)
-        return exchange.rows([*exchange.kept(2, home, [each, total]), *exchange.sent([code, total[back]], origin, home, home)])
+        return back_.rows([*back_.kept(2, home, [each, total]), *back_.sent([np.full(len(code), home, np.int32), total[back]], origin, home, home)])
 
     return checkpointed(exchange.delivered(blocks.mapInArrow(ask, SENT)).groupBy("part").applyInArrow(answer, SENT))
 
@@ -370,22 +389,22 @@ def score_texts(texts: list[bytes | None], p: Parameters, frequent: np.ndarray,
     return words, sums
 
 
-def score(docs: DataFrame, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, rounds: int = ROUNDS, masked: float = MASKED, side: int = SIDE, seed: int = SEED, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """doc_id, n_words, pseudo_log_likelihood and its mean per word."""
     blocks, parts = lanes(docs, block_bytes)
-    found = counted(blocks, parts)
+    found = counted(blocks, parts, fan)
     counts = word_counts(found)
     frequent = frequent_words(counts)
     shared = docs.sparkSession.sparkContext.broadcast((train(blocks, frequent, rounds, masked, side, seed), frequent, bucket_totals(counts, frequent)))
-    exchange = Exchange(parts, WORDS)
+    exchange = Exchange(parts, TOTALS, fan)
     scored_type = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("pseudo_log_likelihood", pa.float64())])
 
     def run(key, block, answers):
         p, known, totals = shared.value
         ids, texts = documents(b.as_py() for b in block.column("blob"))
-        _, code, n = exchange.opened(answers)
-        order = np.argsort(code)
-        code, n = code[order], n[order]
+        _, shard, total = exchange.opened(answers)
+        code, _ = distinct_words(texts)
+        n = asked_totals(code, parts, shard, total)
         words, sums = score_texts(texts, p, known, side, (code, np.log(n / totals[(code % np.uint64(len(totals))).astype(np.int64)])))
         return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(words), pa.array(sums)], schema=scored_type)
 
