@@ -4,21 +4,24 @@ Benchmark items and documents are normalised alike: A-Z lower-cased, words
 are runs of digits, letters a-z and any character from U+0080 on.  The
 translation maps bytes one to one, so a word's offsets in the normalised
 text are its byte offsets in the original.  Every window of ``n`` item words
-(a shorter item is one window) becomes a pattern; each document is scanned
-by one automaton (by several in turn if the benchmark is large) and each word
-inside an occurrence counts as hit.  Rows are judged one by one whatever the
+(a shorter item is one window) becomes a pattern of word numbers; documents
+are scanned once by one automaton and each word inside an occurrence counts as
+hit.  The automaton lies in arrays, children of a node side by side, so that a
+node takes 16 bytes, and is built once and broadcast; up to AUTOMATON_BYTES of
+item text make one (some 35 bytes a byte).  Beyond that further automata are
+built in turn over the rows at hand.  Rows are judged one by one whatever the
 size of the benchmark; nothing is shuffled.
 
 Defined cases: a null or wordless text has no words and no hits; repeated
 rows and repeated items give repeated equal results; an empty benchmark hits
-nothing; an item without an item_id is no item (the SQL counts its hits); further columns are ignored, whatever their names.
+nothing; words that an item without an item_id holds are hit, but it is not
+listed; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,11 +30,12 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import byte_rows
 
 WINDOW = 13
-#: Item text that one automaton holds (its trie has some 13 nodes a byte); a
-#: larger benchmark is split by item.
-AUTOMATON_BYTES = 256 << 10
+#: Item text that one automaton holds; a larger benchmark is split by item.
+AUTOMATON_BYTES = 4 << 20
 #: Documents' text that several automata are built for, one after the other.
-HELD_BYTES = 32 << 20
+HELD_BYTES = 64 << 20
+#: Text scanned at once, and words of a lane of it; all lanes advance side by side.
+PIECE_BYTES, LANE = 4 << 20, 128
 
 _WORD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -42,52 +46,161 @@ _SCHEMA = (
     "spans array<struct<start: long, end: long>>"
 )
 
+Items = list[tuple[str | None, bytes | None]]
+Found = tuple[int, list[int], list[str], list[dict]]
+
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_WORD).split() if text else []
 
 
-def windows_of(items: list[tuple[str, bytes | None]], n: int = WINDOW) -> dict[bytes, tuple[int, list[str]]]:
-    """Window text -> (its words, ids of the items that hold it)."""
-    found: dict[bytes, tuple[int, set[str]]] = {}
-    for item, text in items:
-        words = words_of(text)
-        size = min(n, len(words))
-        for i in range(len(words) - size + 1 if words else 0):
-            found.setdefault(b" ".join(words[i : i + size]), (size, set()))[1].add(item)
-    return {k: (size, sorted(ids)) for k, (size, ids) in found.items()}
-
-
-def automaton(windows: dict[bytes, tuple[int, list[str]]]):
-    built = ahocorasick.Automaton()
-    for key, value in windows.items():
-        built.add_word(f" {key.decode()} ", value)
-    built.make_automaton()
-    return built
-
-
-def hits_of(words: list[bytes], machine) -> tuple[np.ndarray | None, set[str]]:
-    """Whether each word is hit (None if none is), and the items hit."""
-    if not words or not len(machine):
-        return None, set()
-    plain = f" {b' '.join(words).decode()} "
-    at = seen = 0
-    marks, items = [], set()
-    for end, (size, ids) in machine.iter(plain):
-        seen += plain.count(" ", at, end + 1)
-        at = end + 1
-        marks.append((seen - 1 - size, seen - 1))
-        items.update(ids)
-    if not marks:
-        return None, items
-    depth = np.zeros(len(words) + 1, np.int64)
-    for start, end in marks:
-        depth[start] += 1
-        depth[end] -= 1
-    return np.cumsum(depth[:-1]) > 0, items
-
-
-def described(text: bytes | None, n_words: int, hit: np.ndarray | None, items: set[str]) -> tuple[int, list[int], list[str], list[dict]]:
+class Automaton:
+    """Aho-Corasick over word numbers; node 0 is the root, nodes are numbered level by level.
+
+    Children of a node are ``first[node]`` to ``first[node + 1] - 1``, in order
+    of their words; ``fail`` is the node of the longest suffix, ``told`` the
+    nearest node on the way along the fails (itself first) that ends a window.
+    """
+
+    def __init__(self, items: Items, n: int = WINDOW):
+        self.ids = sorted({i for i, _ in items if i is not None})
+        place = {i: k for k, i in enumerate(self.ids)}
+        self.words: dict[bytes, int] = {}
+        texts = [(place.get(i, -1), [self.words.setdefault(w, len(self.words) + 1) for w in words_of(t)]) for i, t in items]
+        texts = [(i, w) for i, w in texts if w]
+        self.n = n
+        flat = np.array([x for _, w in texts for x in w], np.int32)
+        size = np.array([len(w) for _, w in texts], np.int64)
+        windows = np.maximum(size - n + 1, 1)
+        inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        start = np.repeat(np.cumsum(size) - size, windows) + inside
+        length = np.repeat(np.minimum(size, n), windows)
+        item = np.repeat(np.array([i for i, _ in texts], np.int64), windows)
+        self._grow(flat, start, length)
+        self._link()
+        ends = np.unique(np.stack([self._end, item]), axis=1)
+        self.end_node, self.end_item = ends[0].astype(np.int32), ends[1].astype(np.int32)
+
+    def _grow(self, flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
+        node, total, level = np.zeros(len(start), np.int64), 1, [0, 1]
+        word, parent = [np.zeros(1, np.int32)], [np.zeros(1, np.int64)]
+        for depth in range(self.n):
+            on = np.flatnonzero(length > depth)
+            if not len(on):
+                break
+            key, back = np.unique((node[on] << np.int64(32)) | flat[start[on] + depth], return_inverse=True)
+            node[on] = total + back
+            parent.append(key >> np.int64(32))
+            word.append((key & np.int64(0xFFFFFFFF)).astype(np.int32))
+            total += len(key)
+            level.append(total)
+        self.word, self._parent, self._level, self._end = np.concatenate(word), np.concatenate(parent), level, node
+        # levels lie one after the other, each in order of its parents
+        self.first = (1 + np.searchsorted(self._parent[1:], np.arange(total + 1))).astype(np.int32)
+        self.root = np.zeros(len(self.words) + 1, np.int32)
+        if len(level) > 2:
+            self.root[self.word[1 : level[2]]] = np.arange(1, level[2])
+
+    def _link(self) -> None:
+        self.fail, self.told = np.zeros(len(self.word), np.int32), np.zeros(len(self.word), np.int32)
+        self.told[self._end] = self._end
+        for low, high in zip(self._level[1:], self._level[2:], strict=False):
+            if low > 1:
+                self.fail[low:high] = self.step(self.fail[self._parent[low:high]], self.word[low:high])
+            own = self.told[low:high]
+            self.told[low:high] = np.where(own > 0, own, self.told[self.fail[low:high]])
+        del self._parent, self._level
+
+    def child(self, node: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The child of a node below the root by a word; 0 if there is none."""
+        low, high = self.first[node], self.first[node + 1]
+        many = np.flatnonzero(high - low > 1)
+        while len(many):
+            middle = (low[many] + high[many]) // 2
+            right = self.word[middle] <= word[many]
+            low[many] = np.where(right, middle, low[many])
+            high[many] = np.where(right, high[many], middle)
+            many = many[high[many] - low[many] > 1]
+        at = np.minimum(low, len(self.word) - 1)
+        return np.where((low < high) & (self.word[at] == word), at, 0)
+
+    def step(self, node: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Where each node goes by a word (0: a word of no item)."""
+        out = self.root[word]
+        open_ = np.flatnonzero((node > 0) & (word > 0))
+        node = node[open_]
+        while len(open_):
+            to = self.child(node, word[open_])
+            found = to > 0
+            out[open_[found]] = to[found]
+            node = self.fail[node[~found]]
+            open_ = open_[~found][node > 0]
+            node = node[node > 0]
+        return out
+
+    def occurrences(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position of the last word, node) of every window in the words (0 keeps texts apart)."""
+        # a state hangs on the last n words only: a lane starts n - 1 words early
+        early = self.n - 1
+        lanes = max(1, -(-len(words) // LANE))
+        padded = np.zeros(early + lanes * LANE, np.int32)
+        padded[early : early + len(words)] = words
+        base = np.arange(lanes) * LANE
+        node = np.zeros(lanes, np.int32)
+        at, ends = [], []
+        for t in range(early + LANE):
+            node = self.step(node, padded[base + t])
+            if t >= early:
+                own = np.flatnonzero(self.told[node])
+                end = self.told[node[own]]
+                while len(own):
+                    at.append(base[own] + t - early)
+                    ends.append(end)
+                    end = self.told[self.fail[end]]
+                    own, end = own[end > 0], end[end > 0]
+        return (np.concatenate(at), np.concatenate(ends)) if at else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+
+    def depths(self) -> np.ndarray:
+        """Words of each node's pattern."""
+        if not hasattr(self, "_depth"):
+            self._depth, low, high, depth = np.zeros(len(self.word), np.int32), 0, 1, 0
+            while high < len(self.word):
+                low, high, depth = high, int(self.first[high]), depth + 1
+                self._depth[low:high] = depth
+        return self._depth
+
+    def hits(self, texts: list[list[bytes]]) -> list[tuple[np.ndarray | None, set[str]]]:
+        """For each text whether each of its words is hit (None if none is), and the items hit."""
+        out: list[tuple[np.ndarray | None, set[str]]] = [(None, set()) for _ in texts]
+        if len(self.word) == 1:
+            return out
+        number = self.words.get
+        size = np.array([len(t) + 1 for t in texts], np.int64)
+        listed: list[int] = []
+        for t in texts:
+            listed += [number(w, 0) for w in t]
+            listed.append(0)
+        words = np.array(listed, np.int32)
+        at, node = self.occurrences(words)
+        if not len(at):
+            return out
+        start = np.cumsum(size) - size
+        depth = np.zeros(len(words) + 1, np.int32)
+        np.add.at(depth, at + 1 - self.depths()[node], 1)
+        np.add.at(depth, at + 1, -1)
+        hit = np.cumsum(depth[:-1]) > 0
+        text = np.searchsorted(start, at, side="right") - 1
+        both = np.unique((text << np.int64(32)) | node)
+        text, node = both >> np.int64(32), both & np.int64(0xFFFFFFFF)
+        low, high = np.searchsorted(self.end_node, node), np.searchsorted(self.end_node, node, side="right")
+        for i, a, b in zip(text.tolist(), low.tolist(), high.tolist(), strict=True):
+            if out[i][0] is None:
+                out[i] = (hit[start[i] : start[i] + size[i] - 1], set())
+            out[i][1].update(self.ids[k] for k in self.end_item[a:b].tolist() if k >= 0)
+        return out
+
+
+def described(text: bytes | None, n_words: int, hit: np.ndarray | None, items: set[str]) -> Found:
     """Words, hit word indexes, items hit and original byte spans of a text."""
     if hit is None:
         return n_words, [], [], []
@@ -103,9 +216,26 @@ def described(text: bytes | None, n_words: int, hit: np.ndarray | None, items: s
     return n_words, np.flatnonzero(hit).tolist(), sorted(items), spans
 
 
-def scan_text(text: bytes | None, machine) -> tuple[int, list[int], list[str], list[dict]]:
-    words = words_of(text)
-    return described(text, len(words), *hits_of(words, machine))
+def scan_texts(texts: list[bytes | None], machines: Iterable[Automaton]) -> list[Found]:
+    """What described() tells of each text, the hits of all automata united."""
+    sizes = [0] * len(texts)
+    hits: list[np.ndarray | None] = [None] * len(texts)
+    items: list[set[str]] = [set() for _ in texts]
+    for machine in machines:
+        first = 0
+        while first < len(texts):
+            end, held, part = first, 0, []
+            while end < len(texts) and (end == first or held + len(texts[end] or b"") <= PIECE_BYTES):
+                held += len(texts[end] or b"")
+                part.append(words_of(texts[end]))
+                end += 1
+            for i, (words, (hit, ids)) in enumerate(zip(part, machine.hits(part), strict=True), first):
+                sizes[i] = len(words)
+                if hit is not None:
+                    hits[i] = hit if hits[i] is None else hits[i] | hit
+                    items[i] |= ids
+            first = end
+    return [described(*x) for x in zip(texts, sizes, hits, items, strict=True)]
 
 
 def _held(batches: Iterable[pa.RecordBatch]) -> Iterable[list[pa.RecordBatch]]:
@@ -120,42 +250,41 @@ def _held(batches: Iterable[pa.RecordBatch]) -> Iterable[list[pa.RecordBatch]]:
         yield held
 
 
-def _scanned(batches: Iterable[pa.RecordBatch], groups: list[list[tuple[str, bytes | None]]], n: int):
-    """Each batch with what scan_text() would return for its rows by one automaton of all groups."""
+def _scanner(benchmark: DataFrame, n: int, max_bytes: int):
+    """batches -> each batch with what scan_texts() tells of its rows."""
+    context = benchmark.sparkSession.sparkContext
+    groups = _groups(benchmark, max_bytes)
     if len(groups) == 1:
-        machine = automaton(windows_of(groups[0], n))
-        for batch in batches:
-            yield batch, [scan_text(text, machine) for text in byte_rows(batch)]
-        return
-    for held in _held(batches):
-        texts = [text for batch in held for text in byte_rows(batch)]
-        sizes = [0] * len(texts)
-        hits: list[np.ndarray | None] = [None] * len(texts)
-        items: list[set[str]] = [set() for _ in texts]
-        for group in groups:
-            machine = automaton(windows_of(group, n))
-            for i, text in enumerate(texts):
-                words = words_of(text)
-                hit, ids = hits_of(words, machine)
-                sizes[i] = len(words)
-                if hit is not None:
-                    hits[i] = hit if hits[i] is None else hits[i] | hit
-                    items[i] |= ids
-            del machine  # before the next is built
-        at = 0
-        for batch in held:
-            yield batch, [described(texts[i], sizes[i], hits[i], items[i]) for i in range(at, at + batch.num_rows)]
-            at += batch.num_rows
+        shared = context.broadcast(vars(Automaton(groups[0], n)))  # plain arrays: workers need not have the package
+
+        def run(batches):
+            machine = Automaton.__new__(Automaton)
+            vars(machine).update(shared.value)
+            for batch in batches:
+                yield batch, scan_texts(byte_rows(batch), [machine])
+
+        return run
+    parts = context.broadcast(groups)
+
+    def run_parts(batches):
+        for held in _held(batches):
+            found = scan_texts([text for batch in held for text in byte_rows(batch)], (Automaton(group, n) for group in parts.value))
+            at = 0
+            for batch in held:
+                yield batch, found[at : at + batch.num_rows]
+                at += batch.num_rows
+
+    return run_parts
 
 
-def _groups(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, bytes | None]]]:
+def _groups(benchmark: DataFrame, max_bytes: int) -> list[Items]:
     """The items, dealt by hash into groups of about max_bytes."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     volume = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-volume // max_bytes))
     groups = []
     for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k)
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         rows = own.select("item_id", F.col("text").cast("binary").alias("text")).collect()
         groups.append([(r[0], None if r[1] is None else bytes(r[1])) for r in rows])
     return groups
@@ -168,11 +297,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_bytes: int
     dealt by item hash into parts whose automata are built in turn over the
     rows at hand, and each row's hits are united in place.
     """
-    groups = docs.sparkSession.sparkContext.broadcast(_groups(benchmark, max_bytes))
+    scanned = _scanner(benchmark, n, max_bytes)
 
     def run(batches):
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch, rows in _scanned(batches, groups.value, n):
+        for batch, rows in scanned(batches):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
@@ -200,10 +329,10 @@ def verdicts(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """docs without the rows of which a twentieth of the words is hit."""
-    groups = docs.sparkSession.sparkContext.broadcast(_groups(benchmark, max_bytes))
+    scanned = _scanner(benchmark, n, max_bytes)
 
     def clean(batches):
-        for batch, rows in _scanned(batches, groups.value, n):
+        for batch, rows in scanned(batches):
             yield batch.filter(pa.array([not (hit and 20 * len(hit) >= words) for words, hit, _, _ in rows], pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)

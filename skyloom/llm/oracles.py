@@ -12,7 +12,7 @@ dwin AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS key
          FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM dw, sizes WHERE len(w) >= k)),
 met AS (SELECT doc_id, dwin.k, p, item_id FROM dwin JOIN win USING (k, key)),
 words AS (SELECT doc_id, count(DISTINCT p + o) AS n_hit FROM met, LATERAL (SELECT unnest(range(0, k)) AS o) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM met) GROUP BY doc_id)
+items AS (SELECT doc_id, count(i) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM met) GROUP BY doc_id)
 SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN words ON dw.doc_id = words.doc_id LEFT JOIN items ON dw.doc_id = items.doc_id"""

@@ -10,6 +10,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -34,7 +36,7 @@ def plain_verdict(text, items):
         for i in range(len(words) - size + 1):
             if tuple(words[i : i + size]) in windows:
                 hit.update(range(i, i + size))
-                ids.add(str(item))
+                ids |= {str(item)} if item is not None else set()
     return len(words), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)
 
 
@@ -46,13 +48,11 @@ def items(corpus):
 @pytest.mark.parametrize("max_bytes", [decontaminate.AUTOMATON_BYTES, 200])
 def test_decontamination_equals_brute_force(spark, docs, corpus, items, max_bytes):
     bench = spark.createDataFrame(items, "item_id long, text string")
-    source = docs if max_bytes > 1000 else docs.dropDuplicates(["doc_id"])
-    found = decontaminate.verdicts(decontaminate.scan(source, bench, max_bytes=max_bytes)).collect()
-    known = [(i, t) for i, t in items if i is not None]
-    want = [(str(r[0]), *plain_verdict(r[1], known)) for r in corpus]
+    found = decontaminate.verdicts(decontaminate.scan(docs, bench, max_bytes=max_bytes)).collect()
+    want = [(str(r[0]), *plain_verdict(r[1], items)) for r in corpus]
     got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found)
-    assert got == sorted(want if max_bytes > 1000 else set(want))
-    clean = decontaminate.drop_contaminated(source, bench, max_bytes=max_bytes)
+    assert got == sorted(want)
+    clean = decontaminate.drop_contaminated(docs, bench, max_bytes=max_bytes)
     assert clean.columns == docs.columns
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(g[0] for g in got if not g[-1])
 
@@ -70,12 +70,31 @@ def test_size_of_the_benchmark_does_not_matter(spark, docs, corpus, items, monke
 
 def test_offsets_lead_to_the_original():
     text = "Quoth: «Ünder, the—Green» tree, and more of it."
-    machine = decontaminate.automaton(decontaminate.windows_of([("1", "the GREEN tree".encode()), ("2", b"of it")]))
-    words, hit, ids, spans = decontaminate.scan_text(text.encode(), machine)
+    machine = decontaminate.Automaton([("1", "the GREEN tree".encode()), ("2", b"of it")])
+    ((words, hit, ids, spans),) = decontaminate.scan_texts([text.encode()], [machine])
     assert plain_words(text)[hit[0]] in text.lower() and ids == ["2"] and words == len(plain_words(text))
     assert [text.encode()[s["start"] : s["end"]].decode() for s in spans] == ["of it"]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=12), max_size=8), st.lists(st.lists(st.integers(0, 4), max_size=40), max_size=5), st.integers(1, 6), st.sampled_from([1, 3, 256]))
+def test_automaton_finds_every_window(items, texts, n, lane):
+    join = lambda x: " ".join(f"w{i}" for i in x)
+    machine = decontaminate.Automaton([(str(i), join(t).encode()) for i, t in enumerate(items)], n)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decontaminate, "LANE", lane)
+        found = decontaminate.scan_texts([join(t).encode() for t in texts], [machine])
+    for (size, hit, ids, _), text in zip(found, texts, strict=True):
+        want, own = set(), set()
+        for i, item in enumerate(items):
+            k = min(n, len(item))
+            for a in range(len(text) - k + 1 if k else 0):
+                if any(text[a : a + k] == item[b : b + k] for b in range(len(item) - k + 1)):
+                    want |= set(range(a, a + k))
+                    own.add(str(i))
+        assert (size, hit, ids) == (len(text), sorted(want), sorted(own))
+
+
 def test_decontamination_edges(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontaminate.verdicts(decontaminate.scan(docs, none)).collect()} == {0}
@@ -185,13 +204,15 @@ def test_sharding_edges(no_docs, docs):
 def test_top_k_equals_brute_force(spark, rows, queries_):
     dice = np.random.default_rng(2)
     vectors = [(int(i) * 5, (dice.normal(size=40) + (1 if i % 3 else 4 * dice.normal())).tolist()) for i in range(200)]
+    vectors += [(150, [-x for x in vectors[30][1]]), (155, [1.0] * 40)]  # other vectors of known ids
     vectors += [(1001, vectors[3][1]), (1002, vectors[3][1]), (1050, vectors[3][1]), (2000, None), (None, [1.0]), (2050, [1.0]), (2100, [None, 3.0]), vectors[10]]
     df = spark.createDataFrame([(i, v, "x") for i, v in vectors], "vec_id long, embedding array<double>, distance string")
     got = sorted((r.query_id, r["rank"], r.neighbour_id, r.distance) for r in topk.top_k(df, k=4, shard_rows=rows, block_queries=queries_).collect())
     codes = {}
     for i, v in vectors:
         if i is not None and v is not None:
-            codes[i] = sum(1 << b for b, x in enumerate(v) if x is not None and x > 0)
+            code = sum(1 << b for b, x in enumerate(v) if x is not None and x > 0)
+            codes[i] = min(codes.get(i, code), code, key=lambda c: c.to_bytes(8, "little"))
     want = []
     for q in sorted(codes):
         if q % 50 == 0:
@@ -200,6 +221,16 @@ def test_top_k_equals_brute_force(spark, rows, queries_):
     assert got == want
 
 
+def test_each_shard_is_indexed_once_and_only_queries_are_copied(spark, monkeypatch):
+    monkeypatch.setattr(topk, "LEAST_ROWS", 50)
+    dice = np.random.default_rng(3)
+    vectors = spark.createDataFrame([(i, dice.normal(size=32).tolist()) for i in range(400)], "vec_id long, embedding array<double>").repartition(3)
+    plan = topk.top_k(vectors, every=10, block_queries=7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Join" not in plan
+    few, many = (sorted(map(tuple, topk.top_k(vectors, every=10, shard_rows=n, block_queries=7).collect())) for n in (1 << 18, 30))
+    assert few == many and len(few) == 400
+
+
 def test_top_k_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert topk.top_k(spark.createDataFrame([], schema)).collect() == []
