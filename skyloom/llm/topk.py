@@ -7,14 +7,16 @@ after the other, and verifies what it meets by full Hamming distance.  After
 segment a at radius r every code within segments * r + a bits has been met, so
 a query ends when k codes lie within that bound.
 
-Rows are dealt into shards and queries into blocks, both of bounded size; a
-shard meets a block in one task, and a window merges the shards' answers.
-Rows of one code are one entry with its least ids, of which k + 1 can matter.
+Rows are dealt into shards of bounded size.  Each shard is indexed once and
+stays where it is; only the queries, packed in blocks, are copied to every
+shard and streamed through its index, and a window merges the shards' answers.  Rows of one code are one entry with its least ids, of which
+k + 1 can matter.
 
 Defined cases: rows without id or vector are neither found nor searched for;
 missing components count as not positive, shorter vectors are filled up so; a
-row never finds its own id; equal distances go by id; repeated ids count once;
-an empty table gives no rows; further columns are ignored.
+row never finds its own id; equal distances go by id; of rows that repeat an id
+the one of the least code counts; an empty table gives no rows; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from skyloom.llm.common import mix64
 
 K, EVERY = 10, 50
 SEGMENT = 16
-SHARD_ROWS, BLOCK_QUERIES = 1 << 15, 1 << 10
+#: Rows of an index, rows at least where a small input is dealt to idle tasks, and queries of a block.
+SHARD_ROWS, LEAST_ROWS, BLOCK_QUERIES = 1 << 18, 1 << 13, 1 << 10
 #: Table look-ups made at once.
 CHUNK = 1 << 18
 
@@ -46,6 +49,10 @@ def binary_codes(vectors: list[list[float] | None], dims: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u2").astype(np.uint16)
 
 
+def _bytes(codes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(codes, "<u2").view(f"S{2 * codes.shape[1]}").reshape(-1)
+
+
 def _masks(radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT), radius)], np.uint16)
 
@@ -54,13 +61,13 @@ class MultiIndex:
     """Segment tables over distinct codes, each with its ``keep`` least ids."""
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray, keep: int):
+        order = np.lexsort((_bytes(codes), ids))
+        order = order[np.concatenate([np.ones(min(1, len(order)), bool), np.diff(ids[order]) != 0])]  # the least code of each id
+        ids, codes = ids[order], codes[order]
         order = np.lexsort((ids, *codes.T[::-1]))
         ids, codes = ids[order], codes[order]
         new = np.ones(len(ids), bool)
         new[1:] = (codes[1:] != codes[:-1]).any(axis=1)
-        once = np.ones(len(ids), bool)
-        once[1:] = new[1:] | (ids[1:] != ids[:-1])
-        ids, codes, new = ids[once], codes[once], new[once]
         self.codes = codes[new]
         first = np.flatnonzero(new)
         size = np.minimum(np.diff(np.append(first, len(ids))), keep)
@@ -141,43 +148,58 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard_rows: int =
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null and embedding is not null")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dims"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     dims = max(1, size["dims"] or 0)
-    shards, blocks = max(1, -(-size["n"] // shard_rows)), max(1, -(-size["q"] // block_queries))
-
-    def packed(source: DataFrame, parts: int) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                ids = batch.column("vec_id").to_numpy()
-                codes = binary_codes(batch.column("embedding").to_pylist(), dims)
-                part = (mix64(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-                there = np.unique(part)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(there),
-                        pa.array([ids[part == p].tobytes() for p in there], pa.binary()),
-                        pa.array([codes[part == p].tobytes() for p in there], pa.binary()),
-                    ],
-                    names=["part", "ids", "codes"],
-                )
-
-        return source.mapInArrow(run, "part int, ids binary, codes binary")
-
-    def opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int64)
-        return ids, np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint16).reshape(len(ids), -1)
-
-    def meet(data, queries):
-        if not data.num_rows or not queries.num_rows:
-            found = (np.zeros(0, np.int64),) * 3
-        else:
-            ids, codes = opened(queries)
-            ids, at = np.unique(ids, return_index=True)
-            found = nearest(MultiIndex(*opened(data), keep=k + 1), ids, codes[at], k)
-        return pa.Table.from_arrays([pa.array(x.astype(np.int64)) for x in found], names=["query_id", "neighbour_id", "distance"])
-
-    every_block, every_shard = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (blocks, shards))
-    data = packed(rows, shards).withColumnRenamed("part", "shard").withColumn("block", every_block)
-    queries = packed(rows.where(F.col("vec_id") % every == 0), blocks).withColumnRenamed("part", "block").withColumn("shard", every_shard)
-    found = data.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInArrow(meet, "query_id long, neighbour_id long, distance long")
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, -(-size["n"] // shard_rows), min(tasks, size["n"] // LEAST_ROWS))
+
+    def pack(cuts: list, ids: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in cuts], pa.int32()), pa.array([ids[c].tobytes() for _, c in cuts], pa.binary()), pa.array([codes[c].tobytes() for _, c in cuts], pa.binary())],
+            names=["shard", "ids", "codes"],
+        )
+
+    def to_shards(batches):
+        for batch in batches:
+            ids = batch.column("vec_id").to_numpy()
+            part = (mix64(ids.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
+            yield pack([(p, part == p) for p in np.unique(part).tolist()], ids, binary_codes(batch.column("embedding").to_pylist(), dims))
+
+    def coded(batches):
+        for batch in batches:
+            codes = binary_codes(batch.column("embedding").to_pylist(), dims)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([c.tobytes() for c in codes], pa.binary())], names=["vec_id", "code"])
+
+    def to_blocks(batches):
+        for batch in batches:
+            ids = batch.column("vec_id").to_numpy()
+            codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint16).reshape(len(ids), -1)
+            yield pack([(-1, slice(low, low + block_queries)) for low in range(0, len(ids), block_queries)], ids, codes)
+
+    def opened(ids: list[bytes], codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(b"".join(ids), np.int64)
+        return ids, np.frombuffer(b"".join(codes), np.uint16).reshape(len(ids), -1)
+
+    def search(batches):
+        """A partition's shards one after the other: first the rows, then the queries."""
+        shard, held, index = None, [], None
+        for batch in batches:
+            for at, asks, ids, codes in zip(*(batch.column(c).to_pylist() for c in ("shard", "asks", "ids", "codes")), strict=True):
+                if at != shard:
+                    shard, held, index = at, [], None
+                if not asks:
+                    held.append((ids, codes))
+                    continue
+                if held:
+                    index, held = MultiIndex(*opened(*zip(*held, strict=True)), keep=k + 1), []
+                if index is not None:
+                    found = nearest(index, *opened([ids], [codes]), k)
+                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], names=["query_id", "neighbour_id", "distance"])
+
+    columns = "shard int, ids binary, codes binary"
+    data = rows.mapInArrow(to_shards, columns).withColumn("asks", F.lit(False))
+    asked = rows.where(F.col("vec_id") % every == 0).mapInArrow(coded, "vec_id long, code binary").groupBy("vec_id").agg(F.min("code").alias("code"))
+    asked = asked.mapInArrow(to_blocks, columns).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("asks", F.lit(True))
+    dealt = data.unionByName(asked).repartition(min(shards, 1 << 15), "shard").sortWithinPartitions("shard", "asks")
+    found = dealt.mapInArrow(search, "query_id long, neighbour_id long, distance long")
     order = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
