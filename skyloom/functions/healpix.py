@@ -15,6 +15,8 @@ from skyloom.errors import LayoutError
 
 MAX_LEVEL = 13
 BASE_PIXELS = 12
+#: Angle from a pole within which its distance is taken from the sine.
+POLAR = 0.01
 
 
 def checked_level(level: int) -> int:
@@ -57,9 +59,13 @@ def add_pixel(df: DataFrame, ra: str, dec: str, level: int, name: str = "pixel")
     mask, edge = F.lit(ns - 1).cast("long"), F.lit(ns - 1).cast("long")
     good = c(dec).between(-90.0, 90.0) & ~F.isnan(c(ra)) & c(ra).isNotNull()
     turned = (c(ra) - 360.0 * F.floor(c(ra) / 360.0)) / 90.0
-    out = df.withColumns({"_z": F.when(good, F.sin(F.radians(c(dec)))), "_tt": F.when(good, turned)})
-    out = out.withColumns({"_za": F.abs(c("_z")), "_ntt": F.least(F.lit(3).cast("long"), low(c("_tt")))})
-    tp, t = c("_tt") - c("_ntt"), ns * F.sqrt(3.0 * (1.0 - c("_za")))
+    # the polar angle, as the public library takes it: directions on a border of pixels then fall on the same side
+    out = df.withColumns({"_theta": F.when(good, F.lit(math.pi / 2) - F.radians(c(dec))), "_tt": F.when(good, turned)})
+    out = out.withColumns({"_z": F.cos("_theta"), "_za": F.abs(F.cos("_theta")), "_ntt": F.least(F.lit(3).cast("long"), low(c("_tt")))})
+    # beside the poles 1 - |z| has lost its digits, and the sine has not
+    polar = (c("_theta") < POLAR) | (c("_theta") > math.pi - POLAR)
+    radius = F.when(polar, F.sin("_theta") / F.sqrt((1.0 + c("_za")) / 3.0)).otherwise(F.sqrt(3.0 * (1.0 - c("_za"))))
+    tp, t = c("_tt") - c("_ntt"), ns * radius
     base, tilt = ns * (0.5 + c("_tt")), ns * c("_z") * 0.75
     out = out.withColumns({"_jp": low(base - tilt), "_jm": low(base + tilt), "_cp": F.least(edge, low(tp * t)), "_cm": F.least(edge, low((1.0 - tp) * t))})
     out = out.withColumns({"_fp": F.shiftright(c("_jp"), level), "_fm": F.shiftright(c("_jm"), level)})
@@ -75,9 +81,11 @@ def add_pixel(df: DataFrame, ra: str, dec: str, level: int, name: str = "pixel")
     return out.withColumn(name, found).drop("_face", "_x", "_y")
 
 
-def parent(pix: Column, levels: int = 1) -> Column:
+def parent(pix: Column, levels: int | Column = 1) -> Column:
     """The pixel ``levels`` up that holds this one."""
-    return F.shiftright(pix, 2 * levels)
+    if isinstance(levels, int):
+        return F.shiftright(pix, 2 * levels)
+    return F.call_function("shiftright", pix, (levels * 2).cast("int"))
 
 
 def range_of(pix: int, level: int, at: int) -> tuple[int, int]:
@@ -98,5 +106,7 @@ def pixel_sql(ra: str, dec: str, level: int) -> str:
       FROM (SELECT *, jp >> {level} AS fp, jm >> {level} AS fm,
                    least({ns - 1}, floor((tt - ntt) * t)::BIGINT) AS cp, least({ns - 1}, floor((1.0 - (tt - ntt)) * t)::BIGINT) AS cm
             FROM (SELECT *, floor({ns} * (0.5 + tt) - {ns} * z * 0.75)::BIGINT AS jp, floor({ns} * (0.5 + tt) + {ns} * z * 0.75)::BIGINT AS jm,
-                         least(3, floor(tt)::BIGINT) AS ntt, {ns} * sqrt(3.0 * (1.0 - za)) AS t
-                  FROM (SELECT sin(radians({dec})) AS z, abs(sin(radians({dec}))) AS za, ({ra} - 360.0 * floor({ra} / 360.0)) / 90.0 AS tt)))))"""
+                         least(3, floor(tt)::BIGINT) AS ntt,
+                         {ns} * CASE WHEN theta < {POLAR}::DOUBLE OR theta > pi() - {POLAR}::DOUBLE THEN sin(theta) / sqrt((1.0 + za) / 3.0) ELSE sqrt(3.0 * (1.0 - za)) END AS t
+                  FROM (SELECT theta, cos(theta) AS z, abs(cos(theta)) AS za, ({ra} - 360.0 * floor({ra} / 360.0)) / 90.0 AS tt
+                        FROM (SELECT pi() / 2 - radians({dec}) AS theta))))))"""

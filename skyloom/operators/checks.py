@@ -11,7 +11,6 @@ from pyspark.sql.window import Window
 from skyloom.errors import LayoutError
 from skyloom.functions.names import number_in
 from skyloom.functions.numeric import same_in_single_precision
-from skyloom.operators.projection import schema_difference
 from skyloom.operators.rows import bounded_broadcast
 from skyloom.operators.spectra import coverage
 
@@ -36,6 +35,22 @@ def missing_kinds(found: DataFrame, kinds: list[str]) -> DataFrame:
     return every.join(found.select("skypatch", "kind").distinct(), ["skypatch", "kind"], "left_anti")
 
 
+def unavailable(requested: DataFrame, available: DataFrame) -> DataFrame:
+    """Requested patches that are not there."""
+    return requested.select(F.col("skypatch").cast("long")).subtract(available.select(F.col("skypatch").cast("long")))
+
+
+def missing_keys(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
+    """Keys of a table that the other lacks."""
+    return wanted.select(key).join(present.select(key), key, "left_anti")
+
+
+def empty_patches(catalog: DataFrame, patches: list[int]) -> DataFrame:
+    """Patches that hold no rows."""
+    wanted = catalog.sparkSession.createDataFrame([(int(p),) for p in patches], "skypatch int")
+    return wanted.join(catalog.select("skypatch").distinct(), "skypatch", "left_anti")
+
+
 def row_count_differences(catalog: DataFrame, others: dict[str, DataFrame]) -> DataFrame:
     """Patches whose sources have other numbers of rows than the catalogue."""
     counts = catalog.groupBy("skypatch").agg(F.count(F.lit(1)).alias("n_catalog"))
@@ -128,7 +143,7 @@ def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
 
 
 def require_appendable(df: DataFrame, overwrite: bool = False) -> None:
-    """Before spectra are appended: provenance is there, and no spectra, unless they are to be replaced."""
+    """Before spectra are appended: provenance is there, and no (complete) spectra, unless they are to be replaced."""
     require_columns(df, ("skypatch", "source_global_row"), "the catalogue")
     if "SED" in df.columns and not overwrite:
         raise LayoutError("the catalogue has spectra already")
@@ -136,11 +151,6 @@ def require_appendable(df: DataFrame, overwrite: bool = False) -> None:
         raise LayoutError("the catalogue has a wavelength grid as a column (an old layout)")
 
 
-def require_same_schema(a: DataFrame, b: DataFrame, what: str) -> None:
-    if difference := schema_difference(a, b):
-        raise LayoutError(f"{what} differ in columns: {sorted(difference)}")
-
-
 def adjacent_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows equal to the one before them in the order of the keys."""
     order = Window.partitionBy(keys[0]).orderBy(*keys[1:])

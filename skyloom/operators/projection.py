@@ -6,11 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skyloom.errors import LayoutError
 from skyloom.functions.arrays import element
-from skyloom.functions.names import check_new_names, sanitized_band
+from skyloom.functions.names import check_new_names, listed_bands, sanitized_band
 
 #: Luminosity matrices that become one column a band, and their fallback band lists.
 LUMINOSITY_MATRICES = {"M_ABS_SDSS": "_LUM_M_ABS_SDSS", "M_ABS_WISE": "_LUM_M_ABS_WISE"}
@@ -72,6 +71,11 @@ def resolve_columns(
     return specs
 
 
+def bands_listed(df: DataFrame) -> dict[str, list[str]]:
+    """Bands that matrix columns name themselves, by the metadata entry ``bands`` of their field."""
+    return {f.name: listed_bands(f.metadata["bands"], []) for f in df.schema.fields if "bands" in f.metadata}
+
+
 def matrix_widths(specs: list[ColumnSpec]) -> dict[tuple[str, str], int]:
     """Elements that each expanded matrix must have."""
     width: dict[tuple[str, str], int] = {}
@@ -109,16 +113,27 @@ def schema_difference(a: DataFrame, b: DataFrame) -> set[str]:
     return {f"{n} {t}" for n, t in set(a.dtypes) ^ set(b.dtypes)}
 
 
-def group_key_difference(listed: DataFrame) -> DataFrame:
-    """Symmetric difference of (grp, key) sets from the first group's: rows (grp, key, side)."""
-    first = listed.agg(F.min("grp").alias("grp"))
-    expected = listed.join(F.broadcast(first), "grp", "left_semi").select("key").distinct()
-    groups = listed.select("grp").distinct()
-    should = groups.crossJoin(F.broadcast(expected))
-    lacking = should.exceptAll(listed.select("grp", "key").distinct()).withColumn("side", F.lit("missing"))
-    extra = listed.select("grp", "key").distinct().join(F.broadcast(expected), "key", "left_anti").select("grp", "key").withColumn("side", F.lit("extra"))
-    return lacking.unionByName(extra)
+#: Groups that a plan may name one by one.
+NAMED_GROUPS = 10_000
 
 
-def is_numeric(kind: T.DataType) -> bool:
-    return isinstance(kind, T.NumericType)
+def group_key_difference(listed: DataFrame) -> DataFrame:
+    """Symmetric difference of (grp, key) sets from the first group's: rows (grp, key, side).
+
+    Only groups that lack a key are compared with the first one's whole set.
+    """
+    pairs = listed.select("grp", "key").distinct()
+    first = listed.agg(F.min("grp").alias("grp"))
+    expected = pairs.join(F.broadcast(first), "grp", "left_semi").select("key")  # one row is broadcast
+    extra = pairs.join(expected, "key", "left_anti").select("grp", "key").withColumn("side", F.lit("extra"))
+    whole = expected.count()
+    common = pairs.join(expected, "key", "left_semi").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    lacking = pairs.select("grp").distinct().join(common, "grp", "left").where(F.coalesce("n", F.lit(0)) < whole).select("grp")
+    named = [r[0] for r in lacking.limit(NAMED_GROUPS + 1).collect()]
+    if len(named) <= NAMED_GROUPS:
+        groups = F.array(*[F.lit(g) for g in named]).cast(f"array<{listed.schema['grp'].dataType.simpleString()}>")
+        should = expected.select(F.explode(groups).alias("grp"), "key")
+    else:
+        should = lacking.crossJoin(expected)
+    missing = should.join(pairs, ["grp", "key"], "left_anti").withColumn("side", F.lit("missing"))
+    return missing.unionByName(extra)

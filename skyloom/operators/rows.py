@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyloom.errors import LayoutError
 from skyloom.functions.names import group_number
 
 #: Rows of a numbering bucket; windows never hold more of dense keys.
@@ -46,14 +47,18 @@ def number_rows(catalog: DataFrame, row: str = "row_in_group", patch: str = "sky
 
     Two phases: a group's rows are cut into buckets of the row key, buckets
     get exclusive offsets from their counts, and only a bucket is ever sorted,
-    so a group of a tenth of all rows spreads over many tasks.
+    so a group of a tenth of all rows spreads over many tasks.  A row without
+    patch, group or row key raises: it has no place, and none may be lost.
     """
     bucketed = catalog.withColumn("_bucket", F.floor(F.col(row) / F.lit(bucket_rows)).cast("long"))
     sizes = bucketed.groupBy(patch, group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.withColumn("_offset", exclusive_sum(F.col("_n"), [patch], [group, "_bucket"])).drop("_n")
     rank = F.row_number().over(Window.partitionBy(patch, group, "_bucket").orderBy(row))
     ranked = bucketed.withColumn("_rank", rank.cast("long"))
-    return ranked.join(bounded_broadcast(offsets), [patch, group, "_bucket"]).withColumn("source_global_row", F.col("_offset") + F.col("_rank") - 1).drop("_bucket", "_offset", "_rank")
+    offsets = bounded_broadcast(offsets)
+    if offsets.where(" or ".join(f"`{c}` is null" for c in (patch, group, "_bucket"))).limit(1).count():
+        raise LayoutError(f"rows without {patch}, {group} or {row} have no place")
+    return ranked.join(offsets, [patch, group, "_bucket"]).withColumn("source_global_row", F.col("_offset") + F.col("_rank") - 1).drop("_bucket", "_offset", "_rank")
 
 
 def number_dense_rows(catalog: DataFrame, row: str = "row_in_group", patch: str = "skypatch", group: str = "core_group") -> DataFrame:
@@ -62,6 +67,27 @@ def number_dense_rows(catalog: DataFrame, row: str = "row_in_group", patch: str
     return catalog.join(offsets, [patch, group]).withColumn("source_global_row", F.col("row_offset") + F.col(row)).drop("row_offset")
 
 
+def with_place(df: DataFrame, by: list[str], major: list[str], row: str, name: str = "input_row", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Adds the 0-based place in each group of ``by``, in the order of ``major`` and then ``row``.
+
+    As in number_rows(), only buckets of the row are sorted; their counts give
+    them their offsets.  Rows of equal keys get places in any order.
+    """
+    bucketed = df.withColumn("_bucket", F.floor(F.col(row) / F.lit(bucket_rows)).cast("long"))
+    keys = [*by, *major, "_bucket"]
+    sizes = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn("_offset", exclusive_sum(F.col("_n"), by, [*major, "_bucket"])).drop("_n")
+    ranked = bucketed.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(row)))
+    return ranked.join(bounded_broadcast(offsets), keys).withColumn(name, F.col("_offset") + F.col("_rank") - 1).drop("_bucket", "_rank", "_offset")
+
+
+def dense_offsets(numbered: DataFrame, offsets: DataFrame, row: str = "row_in_group") -> DataFrame | None:
+    """The groups' offsets if every numbered row is its group's offset plus its own row, else None."""
+    offsets = bounded_broadcast(offsets.select("skypatch", "core_group", "row_offset"))
+    moved = numbered.join(offsets, ["skypatch", "core_group"]).where(F.col("source_global_row") != F.col("row_offset") + F.col(row))
+    return None if moved.limit(1).count() else offsets
+
+
 def positional_join(catalog: DataFrame, *others: DataFrame, keys: tuple[str, ...] = ("skypatch", "source_global_row")) -> DataFrame:
     """One row for each position that all sources have; sources share one partitioning."""
     out = catalog

@@ -11,6 +11,8 @@ from skyloom.operators.rows import bounded_broadcast, exclusive_sum
 
 #: Levels above the finest by which starts are summed first, so that no window holds all pixels.
 COARSER = 5
+#: Rows of a partition whose rows of one pixel are sorted together.
+PIXEL_BUCKET = 1 << 26
 
 
 def with_pixel(df: DataFrame, level: int, ra: str = "ra", dec: str = "dec", name: str = "pixel") -> DataFrame:
@@ -31,12 +33,16 @@ def with_starts(counts: DataFrame, by: str = "partition_index") -> DataFrame:
     return counts.withColumn("_in", inside).join(coarse, [by, "level", "_coarse"]).withColumn("start", F.col("_base") + F.col("_in")).drop("_coarse", "_base", "_in")
 
 
+def rolled_up(counts: DataFrame, level: int, by: str = "partition_index") -> DataFrame:
+    """Counts of the finest pixels as counts of the pixels of every level."""
+    levels = counts.drop("level").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(level))))
+    up = healpix.parent(F.col("pixel"), F.lit(level) - F.col("level"))
+    return levels.groupBy(by, "level", up.alias("pixel")).agg(F.sum("size").alias("size"))
+
+
 def sparse_index(df: DataFrame, level: int, by: str = "partition_index") -> DataFrame:
     """Occupied pixels of every level with start and size; one pass over the finest counts rolls them all up by shifts."""
-    finest = pixel_counts(df, level, by).drop("level")
-    levels = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(level))))
-    up = F.expr(f"shiftright(pixel, 2 * ({level} - level))")
-    rolled = levels.groupBy(by, "level", up.alias("pixel")).agg(F.sum("size").alias("size"))
+    rolled = rolled_up(pixel_counts(df, level, by), level, by)
     return with_starts(rolled, by).select(by, "level", "pixel", "start", F.col("size").cast("long").alias("size"))
 
 
@@ -65,17 +71,21 @@ def occupancy(dense_or_sparse: DataFrame, level: int, by: str = "partition_index
     )
 
 
-def ordered_rows(df: DataFrame, by: str = "partition_index", row: str = "input_row", counts_from: DataFrame | None = None) -> DataFrame:
+def ordered_rows(df: DataFrame, by: str = "partition_index", row: str = "input_row", bucket_rows: int = PIXEL_BUCKET) -> DataFrame:
     """Adds output_row: the place in its partition after the stable sort by pixel.
 
-    The start of a row's pixel plus its rank inside the pixel; both go by
-    (partition, pixel), so rows move once.  ``counts_from`` has the same pixels
-    in a cheaper table.
+    The start of a row's pixel, the rows before its bucket and its rank in the
+    bucket; all go by (partition, pixel, bucket), so rows move once, and a
+    pixel that holds most of a partition is sorted in parts.
     """
-    counts = (df if counts_from is None else counts_from).groupBy(by, "pixel").agg(F.count(F.lit(1)).alias("size"))
-    starts = with_starts(counts.withColumn("level", F.lit(0)), by).select(by, "pixel", "start")
-    rank = F.row_number().over(Window.partitionBy(by, "pixel").orderBy(row))
-    return df.withColumn("_rank", rank).join(starts, [by, "pixel"]).withColumn("output_row", (F.col("start") + F.col("_rank") - 1).cast("long")).drop("_rank", "start")
+    keys = [by, "pixel", "_bucket"]
+    placed = df.withColumn("_bucket", F.floor(F.col(row) / F.lit(bucket_rows)).cast("long"))
+    counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", exclusive_sum(F.col("_n"), [by, "pixel"], ["_bucket"]))
+    pixels = counts.groupBy(by, "pixel").agg(F.sum("_n").alias("size")).withColumn("level", F.lit(0))
+    starts = before.join(with_starts(pixels, by).select(by, "pixel", "start"), [by, "pixel"]).select(*keys, (F.col("start") + F.col("_before")).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(row))
+    return placed.withColumn("_rank", rank).join(starts, keys).withColumn("output_row", (F.col("_start") + F.col("_rank") - 1).cast("long")).drop("_rank", "_start", "_bucket")
 
 
 def in_file_order(df: DataFrame, by: str = "partition_index", row: str = "input_row", partitions: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyloom.errors import LayoutError
 from skyloom.functions.arrays import equal_arrays
 from skyloom.functions.numeric import is_close
 from skyloom.operators.rows import bounded_broadcast, sample_rows
@@ -27,6 +28,23 @@ def concatenated(spectra: DataFrame, shards: DataFrame) -> DataFrame:
     return spectra.join(offsets, ["patch", "shard"]).withColumn("source_global_row", F.col("row_offset") + F.col("local_row")).drop("row_offset").withColumnRenamed("patch", "skypatch")
 
 
+def require_datasets(spectra: DataFrame) -> None:
+    """Raises unless shard rows have an array SED, core_tag, redshift and their row."""
+    kinds = dict(spectra.dtypes)
+    if lost := [c for c in ("SED", "core_tag", "redshift", "local_row") if c not in kinds]:
+        raise LayoutError(f"spectra lack {lost}")
+    if not kinds["SED"].startswith("array<"):
+        raise LayoutError(f"SED is {kinds['SED']}, not an array")
+
+
+def checked_rows(spectra: DataFrame, shards: DataFrame) -> DataFrame:
+    """Shard rows whose SED, when it is read, must be as wide as declared; so no pass of its own reads all spectra."""
+    widths = bounded_broadcast(shards.select("patch", "shard", F.col("width").alias("_width")))
+    said = F.format_string("the spectrum of patch %d, shard %d, row %d is not %d wide", "patch", "shard", "local_row", "_width")
+    whole = F.when(F.size("SED") == F.col("_width"), F.col("SED")).otherwise(F.raise_error(said))
+    return spectra.join(widths, ["patch", "shard"]).withColumn("SED", whole).drop("_width")
+
+
 def coverage(shards: DataFrame) -> DataFrame:
     """Every shard with the offset that contiguous ranges would give it."""
     before = Window.partitionBy("patch").orderBy("row_offset", "shard").rowsBetween(Window.unboundedPreceding, -1)

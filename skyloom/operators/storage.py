@@ -41,8 +41,30 @@ def spectrum_shape(rows: int, width: int, chunk_rows: int = SPECTRUM_ROWS) -> tu
     return max(1, min(chunk_rows, rows)), width
 
 
-def writer_options(codec: str = "blosc", level: int = 5, chunk_bytes: int = 1 << 20) -> dict[str, str]:
+def item_bytes(kind: T.DataType) -> int:
+    """Bytes of a fixed-width value, 8 for any other."""
+    return {"tinyint": 1, "boolean": 1, "smallint": 2, "int": 4, "float": 4}.get(kind.simpleString(), 8)
+
+
+def page_rows(schema: T.StructType, widths: dict[str, int], rows: int, chunk_bytes: int = 1 << 20, chunk_rows: int = SPECTRUM_ROWS) -> int:
+    """Rows of a page, by the narrowest of the columns' block shapes; a spectrum's is that of chunk_rows.
+
+    widths: elements of array columns, as far as they are known.
+    """
+    shapes = []
+    for f in schema.fields:
+        if f.name == "SED":
+            shapes.append(spectrum_shape(rows, widths.get("SED", 1), chunk_rows))
+        elif isinstance(f.dataType, T.ArrayType):
+            shapes.append(chunk_shape(rows, widths.get(f.name, 1), item_bytes(f.dataType.elementType), chunk_bytes))
+        else:
+            shapes.append(chunk_shape(rows, None, item_bytes(f.dataType), chunk_bytes))
+    return max(1, min((s[0] for s in shapes), default=rows))
+
+
+def writer_options(codec: str = "blosc", level: int = 5, chunk_bytes: int = 1 << 20, rows_of_page: int | None = None) -> dict[str, str]:
     """Parquet options for a codec name, level and block size; pages are small so that narrow ranges read little."""
+    limit = {"parquet.page.row.count.limit": str(rows_of_page)} if rows_of_page else {}
     if codec not in _CODECS:
         raise ValueError(f"codec {codec!r} is not one of {sorted(_CODECS)}")
-    return {"compression": _CODECS[codec], "parquet.compression.codec.zstd.level": str(level), "parquet.page.size": str(chunk_bytes), "parquet.block.size": str(max(chunk_bytes, 64 << 20))}
+    return limit | {"compression": _CODECS[codec], "parquet.compression.codec.zstd.level": str(level), "parquet.page.size": str(chunk_bytes), "parquet.block.size": str(max(chunk_bytes, 64 << 20))}

@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from skyloom.functions import arrays, healpix, names, numeric
 from skyloom.operators import binning, checks, meta, projection, rows, spatial, spectra, storage
+from skyloom.plans import pipeline
 from skyloom.plans.standins import BINNED_SQL, BINS, CATALOG_SQL, DECIMALS, EDGES_SQL, LEVEL, NUMBERED_SQL, PATCHES, SHARDS_SQL, SKY_SQL
 from skyloom.plans.standins import catalog as catalog_of
 from skyloom.plans.standins import shards as shards_of
 from skyloom.plans.standins import sky as sky_of
 from skyloom.plans.standins import spectra as spectra_of
 from skyloom.plans.standins import table
+from skyloom.sources import layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,7 +105,7 @@ def target_dedupe(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT (user_id % 4)::INTEGER AS skypatch FROM events GROUP BY 1")
 def distinct_patches(spark: SparkSession, d: str) -> DataFrame:
-    return catalog_of(spark, d).select("skypatch").distinct()
+    return layout.distinct_patches(catalog_of(spark, d))
 
 
 @query("SELECT l_orderkey, l_linenumber, (count(*) - 1)::BIGINT AS n_repeats FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
@@ -205,8 +206,9 @@ def _pix_sql(level: int) -> str:
 
 @query(f"WITH {_pix_sql(4)} SELECT pixel, count(*) AS n_objects FROM pix GROUP BY 1")
 def pixel_index_rollup(spark: SparkSession, d: str) -> DataFrame:
-    fine = spatial.with_pixel(sky_of(spark, d), 5)
-    return fine.groupBy(healpix.parent(F.col("pixel")).alias("pixel")).agg(F.count(F.lit(1)).alias("n_objects"))
+    every = sky_of(spark, d).withColumn("partition_index", F.lit(0))
+    rolled = spatial.rolled_up(spatial.pixel_counts(spatial.with_pixel(every, LEVEL), LEVEL), LEVEL)
+    return rolled.where("level = 4").select("pixel", F.col("size").alias("n_objects"))
 
 
 _SPARSE_SQL = f"WITH {_pix_sql(LEVEL)}, c AS (SELECT partition_index, l::INTEGER AS level, pixel >> (2 * ({LEVEL} - l)) AS pixel, count(*) AS size FROM pix, range(0, {LEVEL + 1}) t(l) GROUP BY 1, 2, 3)"
@@ -247,18 +249,16 @@ def pixel_resolution(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {BINNED_SQL}, pos AS (SELECT b.*, {healpix.pixel_sql('((redshift * 7.3::DOUBLE) % 360.0::DOUBLE)', '(((core_tag * 0.5545::DOUBLE) % 180.0::DOUBLE) - 90.0::DOUBLE)', LEVEL)}::BIGINT AS pixel FROM binned b), inp AS (SELECT *, row_number() OVER (PARTITION BY partition_index ORDER BY skypatch, source_global_row) - 1 AS input_row FROM pos) SELECT partition_index, row_number() OVER (PARTITION BY partition_index ORDER BY pixel, input_row) - 1 AS output_row, input_row, pixel, skypatch, source_global_row, redshift, round(redshift * 2, 6) AS mag_u FROM inp")
 def published_catalogue(spark: SparkSession, d: str) -> DataFrame:
-    """The whole lazy run on the stand-ins: number, join three sources, bin, order by pixel."""
-    from skyloom.plans import pipeline
-
-    plain = catalog_of(spark, d).withColumns({"ra": F.pmod(F.col("redshift") * 7.3, F.lit(360.0)), "dec": F.pmod(F.col("core_tag") * F.lit(0.5545), F.lit(180.0)) - 90.0})
-    cat = rows.number_rows(plain)
+    """The whole run on the stand-ins: number, bin, order by pixel, join three sources."""
+    cat = catalog_of(spark, d).withColumns({"ra": F.pmod(F.col("redshift") * 7.3, F.lit(360.0)), "dec": F.pmod(F.col("core_tag") * F.lit(0.5545), F.lit(180.0)) - 90.0})
+    numbered = rows.number_rows(pipeline.narrow(cat))
+    places = pipeline.in_pixel_order(pipeline.placed(numbered, binning.quantile_edges(cat, "redshift", BINS, DECIMALS)), LEVEL)
     keys = ["skypatch", "source_global_row"]
-    lum = cat.select(*keys, F.col("redshift").cast("float").alias("redshift"), F.array("ra", "dec").alias("M_ABS_SDSS"))
-    phot = cat.select(*keys, F.array(F.col("redshift") * 2, F.col("redshift") * 3).alias("survey"))
+    lum = numbered.select(*keys, F.col("redshift").cast("float").alias("redshift"), F.array("ra", "dec").alias("M_ABS_SDSS"))
+    phot = numbered.select(*keys, F.array(F.col("redshift") * 2, F.col("redshift") * 3).alias("survey"))
     specs = projection.resolve_columns(cat, lum, phot, {"_LUM_M_ABS_SDSS": ["g", "r"], "survey": ["u.txt", "a.b-c"]})
-    found = pipeline.repartition(cat, lum, phot, specs, BINS, DECIMALS, plain)
-    indexed = pipeline.spatially_indexed(found.data, LEVEL, positions=found.positions, places=found.places)
-    return indexed.data.select("partition_index", "output_row", "input_row", "pixel", *keys, "redshift", F.round("mag_u", 6).alias("mag_u"))
+    found = pipeline.payload(cat, lum, phot, specs, places)
+    return found.select("partition_index", "output_row", "input_row", "pixel", *keys, "redshift", F.round("mag_u", 6).alias("mag_u"))
 
 
 # --- spectra --------------------------------------------------------------
@@ -440,7 +440,7 @@ def unit_annotations(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def missing_keys(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left_anti")
+    return checks.missing_keys(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id")
 
 
 # --- checks ---------------------------------------------------------------
@@ -463,16 +463,14 @@ def verify_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH f AS (SELECT DISTINCT o_custkey AS skypatch, CASE o_orderstatus WHEN 'O' THEN 'lightcone_catalogs' WHEN 'F' THEN 'luminosities' ELSE 'photometry' END AS kind FROM orders) SELECT p.skypatch, k.kind FROM (SELECT DISTINCT skypatch FROM f) p, (VALUES ('lightcone_catalogs'), ('luminosities'), ('photometry')) k(kind) WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.skypatch = p.skypatch AND f.kind = k.kind)")
 def patch_parity(spark: SparkSession, d: str) -> DataFrame:
-    from skyloom.sources.layout import KINDS
-
     kind = F.when(F.col("o_orderstatus") == "O", "lightcone_catalogs").when(F.col("o_orderstatus") == "F", "luminosities").otherwise("photometry")
     found = table(spark, d, "orders").select(F.col("o_custkey").alias("skypatch"), kind.alias("kind"))
-    return checks.missing_kinds(found, list(KINDS))
+    return checks.missing_kinds(found, list(layout.KINDS))
 
 
 @query("SELECT r.i AS skypatch FROM range(0, 8) r(i) EXCEPT SELECT user_id % 4 FROM events")
 def patch_selection(spark: SparkSession, d: str) -> DataFrame:
-    return spark.range(8).select(F.col("id").alias("skypatch")).subtract(catalog_of(spark, d).select(F.col("skypatch").cast("long")))
+    return checks.unavailable(spark.range(8).select(F.col("id").alias("skypatch")), catalog_of(spark, d))
 
 
 @query("WITH c AS (SELECT (user_id % 4)::INTEGER AS skypatch, count(*) AS n_catalog FROM events GROUP BY 1), o AS (SELECT (o_custkey % 4)::INTEGER AS skypatch, count(*) AS n_other FROM orders GROUP BY 1) SELECT skypatch, n_catalog, n_other, 'photometry' AS kind FROM c FULL JOIN o USING (skypatch) WHERE n_catalog IS DISTINCT FROM n_other")
@@ -530,7 +528,7 @@ def header_census(spark: SparkSession, d: str) -> DataFrame:
     return meta.header_census(table(spark, d, "events").select(F.col("event_id").alias("path"), kind.alias("kind")))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, rank() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS place FROM lineitem")
+@query("SELECT (user_id % 4)::INTEGER AS skypatch, (user_id % 13)::INTEGER AS grp, event_id, row_number() OVER (PARTITION BY user_id % 4 ORDER BY user_id % 13, event_id) - 1 AS place FROM events")
 def stable_order(spark: SparkSession, d: str) -> DataFrame:
-    order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.rank().over(order).cast("long").alias("place"))
+    found = table(spark, d, "events").select((F.col("user_id") % 4).cast("int").alias("skypatch"), (F.col("user_id") % 13).cast("int").alias("grp"), "event_id")
+    return rows.with_place(found, ["skypatch"], ["grp"], "event_id", "place")

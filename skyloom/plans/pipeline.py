@@ -1,7 +1,9 @@
-"""The whole run: number, join, bin, order, append spectra, publish.
+"""The whole run: number, bin, order, join the payload once, append spectra, publish.
 
-Everything is one lazy plan between two points that need results: the edges
-(n + 1 numbers on the driver) and the published tables.
+Numbering, bins, pixels and places are worked out on a few narrow columns and
+staged.  The payload of the three sources is then shuffled once to its
+positional join and once to its files; checks, provenance, index and medians
+come from the staged places.
 """
 
 from __future__ import annotations
@@ -9,6 +11,8 @@ from __future__ import annotations
 import functools
 import posixpath
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,97 +20,92 @@ from pyspark.sql import functions as F
 
 from skyloom.errors import LayoutError
 from skyloom.functions import healpix
-from skyloom.operators import binning, checks, meta, projection, rows, spatial, spectra
-from skyloom.operators.storage import writer_options
+from skyloom.operators import binning, checks, meta, projection, rows, spatial, spectra, storage
 from skyloom.sources import layout
 
 KEY = "redshift"
+KEYS = ["skypatch", "source_global_row"]
+#: The tables of a published catalogue.
+TABLES = ("data", "index", "provenance", "manifest", "header", "axes")
+_NARROW = ("skypatch", "core_group", "row_in_group", KEY, "ra", "dec", "core_tag")
+SOURCE_NOTE = "raw spectrum shards"
 
 
 @dataclass
-class Repartitioned:
-    data: DataFrame
-    edges: list[float]
-    counts: DataFrame
-    patches: list[int]
-    #: partition_index, ra and dec of every object by a scan of the catalogue alone.
-    positions: DataFrame | None = None
-    #: partition_index, skypatch and source_global_row of every object, before the other sources are joined.
-    places: DataFrame | None = None
+class Storage:
+    """How tables are written: codec and level of the catalogue and of spectra, bytes of a page, rows of a page of spectra."""
 
-    def manifest(self, prefix: str = "catalogue") -> DataFrame:
-        return meta.manifest(self.counts, self.edges, self.patches, prefix)
+    codec: str = "blosc"
+    level: int = 5
+    chunk_bytes: int = 1 << 20
+    sed_codec: str = "blosc-lz4"
+    sed_level: int = 5
+    sed_rows: int = storage.SPECTRUM_ROWS
 
+    def options(self, df: DataFrame, width: int | None = None) -> dict[str, str]:
+        wide = "SED" in df.columns
+        page = storage.page_rows(df.schema, {"SED": width or 1}, storage.SMALL_SPREAD, self.chunk_bytes, self.sed_rows)
+        return storage.writer_options(self.sed_codec if wide else self.codec, self.sed_level if wide else self.level, self.chunk_bytes, page)
 
-@dataclass
-class Indexed:
-    data: DataFrame
-    index: DataFrame
-    provenance: DataFrame
+
+def numbered_sources(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, patches: list[int]) -> DataFrame:
+    """The catalogue's narrow columns with the global row, after checks that no source is empty and all have as many rows."""
+    checks.require(
+        [
+            ("patches without rows", checks.empty_patches(catalog, patches)),
+            ("row counts differ", checks.row_count_differences(catalog, {"luminosities": luminosities, "photometry": photometry})),
+        ]
+    )
+    return rows.number_rows(narrow(catalog))
 
 
-def numbered_sources(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The catalogue with its global row, and checks that the flat sources match it."""
-    checks.require([("row counts differ", checks.row_count_differences(catalog, {"luminosities": luminosities, "photometry": photometry}))])
-    return rows.number_rows(catalog), luminosities, photometry
+def narrow(catalog: DataFrame) -> DataFrame:
+    return catalog.select(*[c for c in _NARROW if c in catalog.columns])
 
 
-def checked_specs(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, bands: dict[str, list[str]]) -> list[projection.ColumnSpec]:
-    """The output columns, after the checks that numbered sources are aligned and matrices as wide as their bands."""
+def checked_specs(numbered: DataFrame, catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, bands: dict[str, list[str]]) -> list[projection.ColumnSpec]:
+    """The output columns, after the checks that numbered sources are aligned and matrices as wide as their bands.
+
+    Matrices that name their bands themselves (see projection.bands_listed) need no list for them.
+    """
     if KEY in luminosities.columns:
-        checks.require([("sources are misaligned", checks.endpoint_differences(catalog, luminosities, KEY))])
-    specs = projection.resolve_columns(catalog, luminosities, photometry, bands)
+        checks.require([("sources are misaligned", checks.endpoint_differences(numbered, luminosities, KEY))])
+    listed = projection.bands_listed(luminosities) | projection.bands_listed(photometry)
+    specs = projection.resolve_columns(catalog, luminosities, photometry, bands, listed)
     sources = {"luminosities": luminosities, "photometry": photometry}
     checks.require((f"{d} is not {w} wide", projection.width_violations(sources[k], d, w)) for (k, d), w in projection.matrix_widths(specs).items())
     return specs
 
 
-def repartition(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], n_partitions: int = 16, decimals: int = 2, keys_from: DataFrame | None = None) -> Repartitioned:
-    """Lossless: each object to the range of its key.  Sources carry skypatch and source_global_row.
+def placed(numbered: DataFrame, edges: list[float]) -> DataFrame:
+    """Adds partition_index and input_row, the place in the partition by patch and row."""
+    return rows.with_place(binning.assign_bins(numbered, KEY, edges), ["partition_index"], ["skypatch"], "source_global_row")
 
-    Edges and counts need two columns only; ``keys_from`` is the catalogue
-    before it was numbered, which spares them the numbering.
-    """
-    source = catalog if keys_from is None else keys_from
-    plain = source.select("skypatch", KEY)
-    edges = binning.quantile_edges(plain, KEY, n_partitions, decimals)
-    own = {"lightcone_catalogs": catalog, "luminosities": luminosities, "photometry": photometry}
-    keys = ["skypatch", "source_global_row"]
-    parts = []
-    for kind, df in own.items():
-        mine = [s for s in specs if s.kind == kind]
-        extra = [*keys, "core_group"] if kind == "lightcone_catalogs" else keys
-        parts.append(projection.projected(df, mine, extra))
-    joined = rows.with_provenance(rows.positional_join(*parts)).drop("core_group")
-    data = binning.assign_bins(joined, KEY, edges)
-    counts = binning.bin_counts(binning.assign_bins(plain, KEY, edges), n_partitions)
-    patches = sorted(r[0] for r in layout.distinct_patches(plain).collect())
-    positions = binning.assign_bins(source, KEY, edges).select("partition_index", "ra", "dec") if {"ra", "dec"} <= set(source.columns) else None
-    places = binning.assign_bins(catalog.select(*keys, KEY), KEY, edges).drop(KEY)
-    return Repartitioned(data, edges, counts, patches, positions, places)
 
+def in_pixel_order(places: DataFrame, level: int) -> DataFrame:
+    """Adds pixel and output_row, the place in the partition by pixel and input_row."""
+    checks.require_columns(places, ("ra", "dec"), "the data")
+    return spatial.ordered_rows(spatial.with_pixel(places, healpix.checked_level(level)))
 
-def spatially_indexed(data: DataFrame, level: int = 5, row: str | None = None, positions: DataFrame | None = None, places: DataFrame | None = None) -> Indexed:
-    """Rows in pixel order with output_row, the sparse index of every level and the permutation.
 
-    ``positions`` and ``places`` (of the same objects, see Repartitioned) spare
-    the counts the joins behind data.
+def payload(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], places: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
+    """All output columns at their places, by one join on (skypatch, source_global_row).
+
+    offsets (see rows.dense_offsets) give the catalogue its rows without a
+    shuffle; without them it meets its places by (skypatch, core_group, row_in_group).
     """
-    level = healpix.checked_level(level)
-    checks.require_columns(data, ("ra", "dec"), "the data")
-    if row is None:  # the place before the sort: patch, then row in the patch
-        bucket = F.floor(F.col("source_global_row") / rows.BUCKET_ROWS).alias("_bucket")
-        sizes = (data if places is None else places).groupBy("partition_index", "skypatch", bucket).agg(F.count(F.lit(1)).alias("_n"))
-        offsets = sizes.withColumn("_offset", rows.exclusive_sum(F.col("_n"), ["partition_index"], ["skypatch", "_bucket"])).drop("_n")
-        ranked = data.withColumn("_bucket", bucket)
-        place = F.row_number().over(rows.Window.partitionBy("partition_index", "skypatch", "_bucket").orderBy("source_global_row"))
-        ranked = ranked.withColumn("_rank", place).join(rows.bounded_broadcast(offsets), ["partition_index", "skypatch", "_bucket"])
-        data = ranked.withColumn("input_row", F.col("_offset") + F.col("_rank") - 1).drop("_bucket", "_rank", "_offset")
-        row = "input_row"
-    placed = spatial.with_pixel(data, level)
-    pixels = (placed if positions is None else spatial.with_pixel(positions, level)).select("partition_index", "pixel")
-    ordered = spatial.ordered_rows(placed, row=row, counts_from=pixels)
-    return Indexed(ordered, spatial.sparse_index(pixels, level), spatial.provenance(ordered, row=row))
+    if offsets is not None:
+        numbered = catalog.join(offsets, ["skypatch", "core_group"]).withColumn("source_global_row", F.col("row_offset") + F.col("row_in_group"))
+    else:
+        keys = ["skypatch", "core_group", "row_in_group"]
+        numbered = catalog.join(places.select(*keys, "source_global_row"), keys)
+    own = {"lightcone_catalogs": numbered, "luminosities": luminosities, "photometry": photometry}
+    parts = []
+    for kind, df in own.items():
+        mine = [s for s in specs if s.kind == kind]
+        parts.append(projection.projected(df, mine, [*KEYS, "core_group"] if kind == "lightcone_catalogs" else KEYS))
+    where = [c for c in ("partition_index", "input_row", "pixel", "output_row") if c in places.columns]
+    return rows.with_provenance(rows.positional_join(*parts, places.select(*KEYS, *where))).drop("core_group")
 
 
 def shard_checks(rows: DataFrame, shards: DataFrame, grids: DataFrame) -> list[tuple[str, DataFrame]]:
@@ -131,10 +130,18 @@ def require_same_objects(source: DataFrame, catalog: DataFrame, luminosities: Da
         checks.require([("spectra are misaligned", spectra.source_violations(source, catalog, luminosities, shards, samples))])
 
 
-def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overwrite: bool = False, samples: int = spectra.SAMPLES, *, grids: DataFrame) -> DataFrame:
-    """final with SED from the shards, after all reference checks."""
+def spectra_of(spark: SparkSession, root: str, patches: list[int] | int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Shard table, grids, and all spectra at their global rows, of the width that is declared."""
+    shards = shard_table(spark, root, patches)
+    read = read_shards(spark, root, patches)
+    return shards, shard_grids(spark, root, shards), spectra.concatenated(spectra.checked_rows(read, shards), shards)
+
+
+def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overwrite: bool = False, samples: int = spectra.SAMPLES, *, grids: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """final with SED from the shards, after all reference checks; these read ``places``, a narrower table of the same rows, if it is given."""
     checks.require_appendable(final, overwrite)
-    refs = final.select("skypatch", "source_global_row")
+    places = final if places is None else places
+    refs = places.select(*KEYS)
     checks.require(
         [
             *shard_checks(source.select(F.col("skypatch").alias("patch"), "shard", "local_row"), shards, grids),
@@ -143,68 +150,83 @@ def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overw
             ("rows without a spectrum", spectra.missing_spectra(refs, source)),
         ]
     )
-    if {"core_tag", KEY, "output_row"} <= set(final.columns) and {"core_tag", KEY} <= set(source.columns):
-        checks.require([("identities differ", spectra.identity_violations(final, source, samples))])
+    if {"core_tag", KEY, "output_row"} <= set(places.columns) and {"core_tag", KEY} <= set(source.columns):
+        checks.require([("identities differ", spectra.identity_violations(places, source, samples))])
+    else:
+        print("identities of the spectra were not compared: core_tag, redshift or output_row is missing")
     return spectra.gathered(final.drop("SED"), source)
 
 
-def companions(spark: SparkSession, root: str, patches: list[int], required: bool) -> tuple[DataFrame, DataFrame] | None:
+def companions(spark: SparkSession, root: layout.Root, patches: list[int], required: bool) -> tuple[DataFrame, DataFrame] | None:
     """Numbered catalogue and luminosities of the patches, beside the spectra or in a raw root; None if there are none and none are required."""
     kinds = ("lightcone_catalogs", "luminosities")
-    if not required and not any(layout.exists(spark, path) for p in patches for k in kinds for path in (layout.patch_path(root, p, k), posixpath.join(root, posixpath.basename(layout.patch_path(root, p, k))))):
+    if not required and not any(layout.exists(spark, path) for p in patches for k in kinds for path in layout.companion_paths(root, p, k)):
         return None
     found = []
     for kind in kinds:
         parts = [spark.read.parquet(layout.companion_path(spark, root, p, kind)).withColumn("skypatch", F.lit(int(p))) for p in patches]
         found.append(functools.reduce(DataFrame.unionByName, parts))
-    return rows.number_rows(found[0]), found[1]
+    return rows.number_rows(narrow(found[0])), found[1]
 
 
-def verified_shards(spark: SparkSession, root: str, patch: int | None = None, raw_root: str | None = None, samples: int = spectra.SAMPLES) -> DataFrame:
+def verified_shards(spark: SparkSession, root: str, patches: list[int] | int | None = None, raw_root: layout.Root | None = None, samples: int = spectra.SAMPLES) -> DataFrame:
     """The shard table, after all checks of the shards and of the catalogue and luminosities.
 
     These are sought in raw_root, and then must be there, else beside the
     spectra; if there are none, that is printed.
     """
-    shards = shard_table(spark, root, patch)
-    read = read_shards(spark, root, patch)
+    shards = shard_table(spark, root, patches)
+    read = read_shards(spark, root, patches)
     checks.require(shard_checks(read, shards, shard_grids(spark, root, shards)))
-    patches = sorted({n[1] for n in layout.shard_names(spark, root, patch)})
-    found = companions(spark, root if raw_root is None else raw_root, patches, raw_root is not None)
+    chosen = sorted({n[1] for n in layout.shard_names(spark, root, patches)})
+    found = companions(spark, root if raw_root is None else raw_root, chosen, raw_root is not None)
     if found is None:
-        print(f"no catalogue and luminosities beside the spectra of {patches}: neither counts nor identities were compared")
+        print(f"no catalogue and luminosities beside the spectra of {chosen}: neither counts nor identities were compared")
     else:
         require_same_objects(spectra.concatenated(read, shards), *found, shards, samples)
     return shards
 
 
-def converted_spectra(spark: SparkSession, root: str, out: str, patch: int | None = None, overwrite: bool = False, raw_root: str | None = None, samples: int = spectra.SAMPLES) -> list[str]:
-    """One table a patch from its shards, rows in global order; an earlier good table stays until the new one is whole."""
-    shards = verified_shards(spark, root, patch, raw_root, samples)
+def converted_spectra(
+    spark: SparkSession, root: str, out: str, patches: list[int] | int | None = None, overwrite: bool = False, raw_root: layout.Root | None = None, samples: int = spectra.SAMPLES, how: Storage | None = None
+) -> list[str]:
+    """One table a patch from its shards, rows in global order, and its attributes with the wavelength grid beside it.
+
+    An earlier good table stays until the new one is whole.
+    """
+    how = how or Storage(sed_codec="blosc")
+    verified_shards(spark, root, patches, raw_root, samples)
     written = []
-    for p in sorted({n[1] for n in layout.shard_names(spark, root, patch)}):
+    for p in sorted({n[1] for n in layout.shard_names(spark, root, patches)}):
+        shards, grids, found = spectra_of(spark, root, p)
         target = posixpath.join(out, f"seds_skypatch_{p}.parquet")
-        publish_one(spectra.concatenated(read_shards(spark, root, p), shards.where(F.col("patch") == p)).repartitionByRange("source_global_row").sortWithinPartitions("source_global_row"), target, overwrite)
+        ordered = meta.annotated(found.repartitionByRange("source_global_row").sortWithinPartitions("source_global_row"))
+        publish_one(ordered, target, overwrite, options=how.options(ordered, shards.agg(F.max("width")).first()[0]))
+        n = shards.agg(F.max("n_global").alias("n_objects"))
+        grid = grids.orderBy("shard").limit(1).select("wave_rest").withMetadata("wave_rest", meta.WAVELENGTH_METADATA)
+        told = n.crossJoin(F.broadcast(grid)).withColumns({"skypatch": F.lit(p), "source_row_order": F.lit("producer global flat row order")})  # one row each
+        publish_one(told, posixpath.join(out, f"seds_skypatch_{p}.attributes.parquet"), overwrite)
         written.append(target)
     return written
 
 
-def read_shards(spark: SparkSession, root: str, patch: int | None = None) -> DataFrame:
+def read_shards(spark: SparkSession, root: str, patches: list[int] | int | None = None) -> DataFrame:
     """Rows of all shards with patch and shard, from their paths."""
-    paths = [n[0] for n in layout.shard_names(spark, root, patch)]
+    paths = [n[0] for n in layout.shard_names(spark, root, patches)]
     read = spark.read.parquet(*paths)
+    spectra.require_datasets(read)
     where = F.col("_metadata.file_path")
     found = lambda i: F.regexp_extract(where, r"seds_skypatch_(\d+)\.shard(\d+)of(\d+)", i).cast("int")
     return read.withColumns({"patch": found(1), "shard": found(2)})
 
 
-def shard_table(spark: SparkSession, root: str, patch: int | None = None) -> DataFrame:
+def shard_table(spark: SparkSession, root: str, patches: list[int] | int | None = None) -> DataFrame:
     """Shard metadata: declared columns of ``<root>/shards.parquet``, checked against the files there."""
-    names = [(posixpath.basename(n[0]), n[1], n[2], n[3]) for n in layout.shard_names(spark, root, patch)]
+    names = [(posixpath.basename(n[0]), n[1], n[2], n[3]) for n in layout.shard_names(spark, root, patches)]
     files = spark.createDataFrame(names, "name string, patch int, shard int, declared int")
     meta_ = spark.read.parquet(posixpath.join(root, "shards.parquet"))
-    meta_ = meta_ if patch is None else meta_.where(F.col("patch") == int(patch))
-    both = meta_.drop("name").join(F.broadcast(files), ["patch", "shard"], "full")
+    meta_ = meta_ if patches is None else meta_.where(F.col("patch").isin(layout.as_list(patches)))
+    both = meta_.drop("name").join(files, ["patch", "shard"], "full")
     checks.require_none(both.where("declared is null or nshards is null or declared <> nshards"), "shard files and metadata differ")
     return both.drop("declared")
 
@@ -220,51 +242,142 @@ def shard_grids(spark: SparkSession, root: str, shards: DataFrame) -> DataFrame:
         return shards.select(*keys, "width").join(grids.select(*keys, "wave_rest"), keys, "left")
     if grids.limit(2).count() != 1:
         raise LayoutError(f"{path} needs one row, or patch and shard of each")
-    return shards.select(*keys, "width").crossJoin(F.broadcast(grids.select("wave_rest")))
+    return shards.select(*keys, "width").crossJoin(F.broadcast(grids.select("wave_rest")))  # one row
 
 
-def publish_one(df: DataFrame, target: str, overwrite: bool = False, partition_by: str | None = None, codec: str = "blosc", level: int = 5) -> None:
-    """Writes beside the target and swaps on success, so a failure leaves the old table."""
-    spark = df.sparkSession
-    if layout.exists(spark, target) and not overwrite:
-        raise LayoutError(f"{target} exists")
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _renamed(system, a, b) -> bool:
+    return bool(system.rename(a, b))
+
+
+def swap(spark: SparkSession, new: str, target: str) -> None:
+    """Puts a finished folder in the place of target; a target that cannot be replaced is back where it was."""
+    system, path = _file_system(spark, target)
+    aside = f"{target}.old-{uuid.uuid4().hex[:8]}"
+    there = system.exists(path(target))
+    if there and not _renamed(system, path(target), path(aside)):
+        raise LayoutError(f"{target} could not be moved aside")
+    try:
+        system.mkdirs(path(target).getParent())
+        done = _renamed(system, path(new), path(target))
+    except Exception:
+        done = False
+    if not done:
+        if there and not _renamed(system, path(aside), path(target)):
+            raise LayoutError(f"{target} could not be replaced; the old table is {aside}")
+        raise LayoutError(f"{new} could not take the place of {target}")
+    if there:
+        system.delete(path(aside), True)
+
+
+@contextmanager
+def _partial(spark: SparkSession, target: str) -> Iterator[str]:
+    """A name beside target for what is being written; whatever is left of it goes."""
     partial = f"{target}.partial-{uuid.uuid4().hex[:8]}"
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    system = path(target).getFileSystem(conf)
     try:
-        writer = df.write.options(**writer_options(codec, level))
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(partial)
-        if system.exists(path(target)):
-            system.delete(path(target), True)
-        if not system.rename(path(partial), path(target)):
-            raise LayoutError(f"{partial} could not take the place of {target}")
+        yield partial
     finally:
+        system, path = _file_system(spark, target)
         if system.exists(path(partial)):
             system.delete(path(partial), True)
 
 
-def publish(found: Repartitioned, indexed: Indexed, out: str, overwrite: bool = False, headers: DataFrame | None = None, axes: DataFrame | None = None, codec: str = "blosc", level: int = 5) -> None:
-    """data (by partition, in pixel order), index, provenance, manifest and what else there is."""
-    spark = found.data.sparkSession
-    tables = {"data": None, "index": None, "provenance": None, "manifest": None} | ({"header": None} if headers is not None else {}) | ({"axes": None} if axes is not None else {})
-    if not overwrite and (there := [t for t in tables if layout.exists(spark, posixpath.join(out, t))]):
+def _written(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> None:
+    writer = df.write.options(**(storage.writer_options() if options is None else options))
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def publish_one(df: DataFrame, target: str, overwrite: bool = False, partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> None:
+    """Writes beside the target and swaps on success; the old table stays until the new one is in place."""
+    spark = df.sparkSession
+    if layout.exists(spark, target) and not overwrite:
+        raise LayoutError(f"{target} exists")
+    with _partial(spark, target) as partial:
+        _written(df, partial, partition_by, options)
+        swap(spark, partial, target)
+
+
+def publish_parts(df: DataFrame, target: str, partition_by: tuple[str, ...] = ("partition_index",), options: dict[str, str] | None = None) -> None:
+    """Writes some partitions beside the target and swaps each of them in; the others stay."""
+    spark = df.sparkSession
+    with _partial(spark, target) as partial:
+        _written(df, partial, partition_by, options)
+        for name in layout.listing(spark, partial):
+            if "=" in name:
+                swap(spark, posixpath.join(partial, name), posixpath.join(target, name))
+
+
+def publish(spark: SparkSession, out: str, tables: dict[str, tuple[DataFrame, tuple[str, ...], dict[str, str] | None]], expected: DataFrame, overwrite: bool = False) -> None:
+    """All tables of a catalogue, written beside ``out``, counted, and put in its place at once."""
+    refuse_populated(spark, out, overwrite)
+    if other := sorted(set(layout.listing(spark, out)) - set(TABLES)):
+        raise LayoutError(f"{out} holds other things, which would be lost: {other}")
+    with _partial(spark, out) as partial:
+        for name, (df, by, options) in tables.items():
+            _written(df, posixpath.join(partial, name), by, options)
+        written = spark.read.parquet(posixpath.join(partial, "data")).groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects"))
+        checks.require_none(checks.count_differences(expected, written, ["partition_index"]), "rows written differ from rows expected")
+        swap(spark, partial, out)
+
+
+def refuse_populated(spark: SparkSession, out: str, overwrite: bool) -> None:
+    if not overwrite and (there := [t for t in TABLES if layout.exists(spark, posixpath.join(out, t))]):
         raise LayoutError(f"{out} holds {there} already")
-    ordered = spatial.in_file_order(meta.annotated(indexed.data), row="output_row")
-    publish_one(ordered, posixpath.join(out, "data"), overwrite, "partition_index", codec, level)
-    publish_one(indexed.index, posixpath.join(out, "index"), overwrite, "level")
-    publish_one(indexed.provenance, posixpath.join(out, "provenance"), overwrite)
-    publish_one(found.manifest(), posixpath.join(out, "manifest"), overwrite)
-    for name, df in (("header", headers), ("axes", axes)):
-        if df is not None:
-            publish_one(df, posixpath.join(out, name), overwrite)
-    written = spark.read.parquet(posixpath.join(out, "data")).groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects"))
-    checks.require_none(checks.count_differences(found.counts, written, ["partition_index"]), "rows written differ from rows expected")
+
+
+def in_files(data: DataFrame, row: str = "output_row") -> DataFrame:
+    """data as it is published: columns in alphabetical order with their metadata, rows in ranges of (partition, pixel) or (partition, row)."""
+    named = meta.annotated(data.select(*projection.object_columns(data)))
+    if "pixel" in data.columns:
+        return spatial.in_file_order(named, row=row)
+    return named.repartitionByRange("partition_index", row).sortWithinPartitions("partition_index", row)
+
+
+@contextmanager
+def staging(spark: SparkSession, folder: str, keep: bool = False) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function that writes a table under ``folder`` and returns what it reads there; without ``keep`` the folder goes in the end."""
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        path = posixpath.join(folder, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        yield stage
+    finally:
+        system, path = _file_system(spark, folder)
+        if not keep and system.exists(path(folder)):
+            system.delete(path(folder), True)
+
+
+def scratch_folder(out: str, scratch: str | None) -> str:
+    return posixpath.join(scratch, "skyloom_staging") if scratch else f"{out.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
+
+
+def repartitioned(spark: SparkSession, raw_root: layout.Root, bands: dict[str, list[str]], n_partitions: int, decimals: int, patches: list[int] | None, stage, level: int | None = None):
+    """Raw sources to (data, places, counts, edges, patches, sources): lossless, each object to the range of its key."""
+    chosen = layout.selected_patches(layout.discover_skypatches(spark, raw_root), patches)
+    catalog, lum, phot = (layout.read_kind(spark, raw_root, kind, chosen) for kind in layout.KINDS)
+    numbered = numbered_sources(catalog, lum, phot, chosen)
+    plain = catalog.select("skypatch", KEY)
+    edges = binning.quantile_edges(plain, KEY, n_partitions, decimals)
+    places = placed(numbered, edges)
+    places = stage(places if level is None else in_pixel_order(places, level), "places")
+    specs = checked_specs(places, catalog, lum, phot, bands)
+    counts = binning.bin_counts(binning.assign_bins(plain, KEY, edges), n_partitions)
+    again = places.groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects"))
+    checks.require_none(checks.count_differences(counts, again, ["partition_index"]), "rows counted differ from rows placed")
+    offsets = rows.dense_offsets(places, rows.group_offsets(catalog))
+    return payload(catalog, lum, phot, specs, places, offsets), places, counts, edges, chosen, (catalog, lum)
 
 
 def run(
     spark: SparkSession,
-    raw_root: str,
+    raw_root: layout.Root,
     out: str,
     bands_path: str,
     n_partitions: int = 16,
@@ -276,27 +389,150 @@ def run(
     first_step: int = 0,
     overwrite: bool = False,
     samples: int = spectra.SAMPLES,
+    prefix: str = "catalogue",
+    grids_path: str | None = None,
+    how: Storage | None = None,
+    scratch: str | None = None,
+    keep_intermediates: bool = False,
 ) -> None:
-    """Raw sources to published tables.  A header is used whenever one is given."""
+    """Raw sources to published tables.  A header is used whenever one is given, and needed for spectra."""
     healpix.checked_level(level)
-    if not overwrite and layout.exists(spark, posixpath.join(out, "data")):
-        raise LayoutError(f"{out} holds data already")  # before any work
-    chosen = layout.selected_patches(layout.discover_skypatches(spark, raw_root), patches)
-    catalog, lum, phot = (layout.read_kind(spark, raw_root, kind, chosen) for kind in layout.KINDS)
-    plain = catalog
-    catalog, lum, phot = numbered_sources(catalog, lum, phot)
-    specs = checked_specs(catalog, lum, phot, layout.load_band_names(spark, bands_path))
-    found = repartition(catalog, lum, phot, specs, n_partitions, decimals, plain)
-    indexed = spatially_indexed(found.data, level, positions=found.positions, places=found.places)
-    if sed_root is not None:
-        shards = shard_table(spark, sed_root)
-        source = spectra.concatenated(read_shards(spark, sed_root), shards)
-        indexed.data = append_spectra(indexed.data, source, shards, overwrite, samples, grids=shard_grids(spark, sed_root, shards))
-        require_same_objects(source, catalog, lum, shards.where(F.col("patch").isin(chosen)), samples)
-    headers = None
-    if header_path is not None:
-        targets = found.counts.select("partition_index", F.lit(False).alias("is_source"), F.lit(False).alias("has_header"))
-        headers = meta.specialised_headers(targets, spark.read.parquet(header_path), found.data, found.manifest(), first_step, replace=True)
-        if sed_root is not None and layout.exists(spark, grid := posixpath.join(sed_root, "wave_rest.parquet")):
-            headers = meta.with_spectrum_header(headers, spark.read.parquet(grid))
-    publish(found, indexed, out, overwrite, headers)
+    how = how or Storage()
+    if sed_root is not None and header_path is None:
+        raise LayoutError("spectra need a header to describe them")
+    refuse_populated(spark, out, overwrite)  # before any work
+    axes = None if grids_path is None else meta.annotated(layout.load_time_grids(spark, grids_path))
+    with staging(spark, scratch_folder(out, scratch), keep_intermediates) as stage:
+        data, places, counts, edges, chosen, (catalog, lum) = repartitioned(spark, raw_root, layout.load_band_names(spark, bands_path), n_partitions, decimals, patches, stage, level)
+        manifest = meta.with_level(meta.manifest(counts, edges, chosen, prefix), level)
+        width = None
+        if sed_root is not None:
+            shards, grids, source = spectra_of(spark, sed_root, chosen)
+            data = append_spectra(data, source, shards, overwrite, samples, grids=grids, places=places)
+            require_same_objects(source, places, lum, shards, samples)
+            manifest = meta.with_status(manifest, True, SOURCE_NOTE)
+            width = shards.agg(F.max("width")).first()[0]
+        headers = None
+        if header_path is not None:
+            targets = counts.select("partition_index", F.lit(False).alias("is_source"), F.lit(False).alias("has_header"))
+            headers = meta.specialised_headers(targets, spark.read.parquet(header_path), places, manifest, first_step, replace=True)
+            if sed_root is not None:
+                headers = meta.with_spectrum_header(headers, grids.orderBy("patch", "shard").limit(1).select("wave_rest"))
+        ordered = in_files(data)
+        tables = {
+            "data": (ordered, ("partition_index",), how.options(ordered, width)),
+            "index": (spatial.sparse_index(places, level), ("partition_index", "level"), None),
+            "provenance": (spatial.provenance(places), ("partition_index",), None),
+            "manifest": (manifest, (), None),
+        }
+        tables |= {name: (df, (), None) for name, df in (("header", headers), ("axes", axes)) if df is not None}
+        publish(spark, out, tables, counts, overwrite)
+
+
+def spatial_catalogue(spark: SparkSession, source: str, out: str, level: int = 5, overwrite: bool = False, how: Storage | None = None) -> list[int]:
+    """Orders the partitions of a repartitioned catalogue by pixel and indexes them; returns those that were written.
+
+    Partitions that ``out`` lists are skipped unless they are to be replaced.
+    All are written by one job; if it fails, one by one, and every failure is
+    named in the end.  What is not per object (header, axes) is carried over.
+    """
+    level, how = healpix.checked_level(level), how or Storage()
+    if posixpath.normpath(source) == posixpath.normpath(out):
+        raise LayoutError("input and output folders are the same")
+    data = spark.read.parquet(posixpath.join(source, "data"))
+    manifest = spark.read.parquet(posixpath.join(source, "manifest"))
+    old = posixpath.join(out, "manifest")
+    done = {r[0] for r in spark.read.parquet(old).select("partition_index").collect()} if layout.exists(spark, old) and not overwrite else set()
+    todo = sorted(r[0] for r in manifest.select("partition_index").collect() if r[0] not in done)
+
+    def write(parts: list[int]) -> None:
+        own = data.where(F.col("partition_index").isin(parts))
+        with staging(spark, scratch_folder(out, None)) as stage:
+            keys = ["partition_index", "input_row"]
+            kept = own.select(*keys, "ra", "dec") if "input_row" in own.columns else None
+            if kept is None:
+                raise LayoutError("the data has no input_row; repartition it again")
+            places = stage(in_pixel_order(kept, level), "places")
+            ordered = in_files(own.drop("pixel", "output_row").join(places.select(*keys, "pixel", "output_row"), keys))
+            publish_parts(ordered, posixpath.join(out, "data"), options=how.options(ordered))
+            publish_parts(spatial.sparse_index(places, level), posixpath.join(out, "index"), ("partition_index", "level"))
+            publish_parts(spatial.provenance(places), posixpath.join(out, "provenance"))
+
+    good, failed = [], {}
+    if todo:
+        try:
+            write(todo)
+            good = todo
+        except LayoutError:
+            raise
+        except Exception:  # one bad partition must not hold back the others
+            for part in todo:
+                try:
+                    write([part])
+                    good.append(part)
+                except Exception as error:
+                    failed[part] = str(error).splitlines()[0]
+    told = meta.with_level(manifest.where(F.col("partition_index").isin(good)), level)
+    if good:
+        kept = spark.read.parquet(old).where(~F.col("partition_index").isin(good)) if layout.exists(spark, old) else None
+        publish_one(told if kept is None else told.unionByName(kept, allowMissingColumns=True), old, overwrite=True)
+        for name in ("header", "axes"):
+            if layout.exists(spark, posixpath.join(source, name)):
+                publish_one(spark.read.parquet(posixpath.join(source, name)), posixpath.join(out, name), overwrite=True)
+    if failed:
+        raise LayoutError(f"{len(failed)} partitions failed: " + "; ".join(f"{p}: {e}" for p, e in failed.items()))
+    return good
+
+
+def append_catalogue(spark: SparkSession, path: str, sed_root: str, out: str | None = None, overwrite: bool = False, samples: int = spectra.SAMPLES, how: Storage | None = None) -> None:
+    """A published catalogue with its spectra and their header, in its own place or as a catalogue ``out``.
+
+    The manifest says that spectra are not complete until all is written.
+    """
+    how = how or Storage()
+    own = posixpath.join(path, "data")
+    if not layout.exists(spark, posixpath.join(path, "header")):
+        raise LayoutError(f"spectra need a header to describe them, and {path} has none")
+    final = spark.read.parquet(own)
+    patches = sorted(r[0] for r in layout.distinct_patches(final).collect())
+    shards, grids, source = spectra_of(spark, sed_root, patches)
+    wide = in_files(append_spectra(final, source, shards, overwrite, samples, grids=grids), "output_row" if "output_row" in final.columns else "source_global_row")
+    header = meta.with_spectrum_header(spark.read.parquet(posixpath.join(path, "header")), grids.orderBy("patch", "shard").limit(1).select("wave_rest"))
+    manifest = spark.read.parquet(posixpath.join(path, "manifest"))
+    target = path if out is None else out
+    if out is not None:
+        refuse_populated(spark, out, overwrite)
+        for name in ("index", "provenance", "axes"):
+            if layout.exists(spark, posixpath.join(path, name)):
+                publish_one(spark.read.parquet(posixpath.join(path, name)), posixpath.join(out, name), overwrite, {"index": ("partition_index", "level"), "provenance": ("partition_index",)}.get(name, ()))
+    record = posixpath.join(target, "manifest")
+    publish_one(meta.with_status(manifest, False, None), record, overwrite=True)
+    publish_one(wide, posixpath.join(target, "data"), True, ("partition_index",), how.options(wide, shards.agg(F.max("width")).first()[0]))
+    publish_one(header, posixpath.join(target, "header"), overwrite=True)
+    publish_one(meta.with_status(spark.read.parquet(record), True, SOURCE_NOTE), record, overwrite=True)
+
+
+def header_catalogues(spark: SparkSession, source: str, targets: list[str], replace: bool = False, specialise: bool = True, first_step: int = 0) -> int:
+    """A donor's header on the partitions of each catalogue, steps counting on; returns how many partitions got one.
+
+    source: a header table, or a catalogue that holds one, which is skipped as a target.
+    """
+    inside = posixpath.join(source, "header")
+    donor_path = inside if layout.exists(spark, inside) else source
+    donor = spark.read.parquet(donor_path)
+    if donor_path == inside or "partition_index" in donor.columns:
+        donor = donor.where("not coalesce(skipped, false)").orderBy("partition_index").limit(1).drop("partition_index", "is_source", "has_header", "skipped", "copied_before", "warnings")
+    copied = 0
+    for target in targets:
+        place = posixpath.join(target, "header")
+        same, has = posixpath.normpath(place) == posixpath.normpath(donor_path), layout.exists(spark, place)
+        if same or has and not replace:
+            print(f"{target}: " + ("is the source" if same else "has a header already (--replace)") + ", skipped")
+            continue
+        manifest = spark.read.parquet(posixpath.join(target, "manifest"))
+        data = spark.read.parquet(posixpath.join(target, "data")) if specialise else None
+        names = manifest.select("partition_index", F.lit(False).alias("is_source"), F.lit(has).alias("has_header"))
+        headers = meta.specialised_headers(names, donor, data, manifest if specialise else None, first_step + copied, replace)
+        publish_one(headers, place, overwrite=replace)
+        copied += manifest.count()
+    return copied

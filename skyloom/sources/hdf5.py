@@ -1,8 +1,8 @@
 """Optional HDF5 source: ``spark.read.format("hdf5_rows")`` (needs h5py on the executors).
 
 Reads row-aligned datasets of a file, or of each of its groups in string
-order, in slabs of rows; a slab is a partition, so files of any size spread
-over tasks.  Parquet is the native format; convert once and go on from there.
+order, in slabs of rows that go to Spark as Arrow batches; a slab is a
+partition, so files of any size spread over tasks.  Parquet is the native format; convert once and go on from there.
 """
 
 from __future__ import annotations
@@ -40,12 +40,18 @@ def register(spark: SparkSession) -> None:
 
         def read(self, partition):
             import h5py
+            import pyarrow as pa
 
+            def column(values):
+                flat = pa.array(values.reshape(-1))
+                return flat if values.ndim == 1 else pa.FixedSizeListArray.from_arrays(flat, values.shape[1]).cast(pa.list_(flat.type))
+
+            n = partition.end - partition.start
             with h5py.File(partition.path, "r") as handle:
                 node = handle[partition.group]
-                data = [node[c][partition.start : partition.end].tolist() for c in self.columns]
-            for i, row in enumerate(zip(*data, strict=True)):
-                yield (partition.group, partition.start + i, *row)
+                data = [column(node[c][partition.start : partition.end]) for c in self.columns]
+            keys = [pa.array([partition.group] * n), pa.array(range(partition.start, partition.end), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*keys, *data], names=["core_group", "row_in_group", *self.columns])
 
     class Rows(DataSource):
         @classmethod

@@ -24,10 +24,18 @@ TIME_GRIDS = {"sfh_age_gyr": 117, "sfh_redshift": 117, "mah_age_gyr": 101, "mah_
 _SHARD = re.compile(r"seds_skypatch_(\d+)\.shard(\d+)of(\d+)\.parquet")
 
 
-def patch_path(root: str, patch: int, kind: str) -> str:
+#: A raw root, or the three folders of linked_roots().
+Root = str | dict[str, str]
+
+
+def kind_folder(root: Root, kind: str) -> str:
     if kind not in KINDS:
         raise LayoutError(f"there is no raw kind {kind!r}")
-    return posixpath.join(root, kind, f"{KINDS[kind]}_skypatch_{int(patch)}.parquet")
+    return root[kind] if isinstance(root, dict) else posixpath.join(root, kind)
+
+
+def patch_path(root: Root, patch: int, kind: str) -> str:
+    return posixpath.join(kind_folder(root, kind), f"{KINDS[kind]}_skypatch_{int(patch)}.parquet")
 
 
 def listing(spark: SparkSession, folder: str) -> list[str]:
@@ -43,15 +51,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def patches_by_kind(spark: SparkSession, root: str) -> dict[str, set[int]]:
+def patches_by_kind(spark: SparkSession, root: Root) -> dict[str, set[int]]:
     found = {}
     for kind, stem in KINDS.items():
-        names = (re.fullmatch(rf"{re.escape(stem)}_skypatch_(\d+)\.parquet", n) for n in listing(spark, posixpath.join(root, kind)) if ".shard" not in n)
+        names = (re.fullmatch(rf"{re.escape(stem)}_skypatch_(\d+)\.parquet", n) for n in listing(spark, kind_folder(root, kind)) if ".shard" not in n)
         found[kind] = {int(m[1]) for m in names if m}
     return found
 
 
-def discover_skypatches(spark: SparkSession, root: str) -> list[int]:
+def discover_skypatches(spark: SparkSession, root: Root) -> list[int]:
     """Sorted patches; each must lie in every kind."""
     found = patches_by_kind(spark, root)
     every = sorted(set().union(*found.values()))
@@ -70,17 +78,20 @@ def selected_patches(available: list[int], requested: list[int] | None = None) -
     return chosen
 
 
-def read_kind(spark: SparkSession, root: str, kind: str, patches: list[int]) -> DataFrame:
-    """One kind of all patches with its skypatch, by column name."""
-    parts = [spark.read.parquet(patch_path(root, p, kind)).withColumn("skypatch", F.lit(int(p))) for p in patches]
-    first = set(parts[0].dtypes)
-    for p, part in zip(patches, parts, strict=True):
-        if set(part.dtypes) != first:
-            raise LayoutError(f"{kind} of patch {p} differs in columns: {sorted(set(part.dtypes) ^ first)}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def read_kind(spark: SparkSession, root: Root, kind: str, patches: list[int]) -> DataFrame:
+    """One kind of all patches with its skypatch, by column name: one scan, whose paths tell the patch.
+
+    Only the patches' footers are compared beforehand.
+    """
+    paths = [patch_path(root, p, kind) for p in patches]
+    schemas = [spark.read.parquet(p).schema for p in paths]
+    kinds = [{(f.name, f.dataType.simpleString()) for f in s.fields} for s in schemas]
+    for p, own in zip(patches, kinds, strict=True):
+        if own != kinds[0]:
+            raise LayoutError(f"{kind} of patch {p} differs in columns: {sorted(f'{n} {t}' for n, t in own ^ kinds[0])}")
+    found = spark.read.schema(schemas[0]).parquet(*paths)
+    patch = F.regexp_extract(F.col("_metadata.file_path"), rf"{KINDS[kind]}_skypatch_(\d+)\.parquet", 1).cast("int")
+    return found.withColumn("skypatch", patch)
 
 
 def read_json_file(spark: SparkSession, path: str) -> dict:
@@ -107,10 +118,15 @@ def load_time_grids(spark: SparkSession, path: str) -> DataFrame:
     return grids.select(*TIME_GRIDS)
 
 
-def companion_path(spark: SparkSession, root: str, patch: int, kind: str) -> str:
-    """A companion beside the spectra: directly under root, else in its kind's folder."""
+def companion_paths(root: Root, patch: int, kind: str) -> list[str]:
+    """Where a companion may lie: directly under root, or in its kind's folder."""
     nested = patch_path(root, patch, kind)
-    for path in (posixpath.join(root, posixpath.basename(nested)), nested):
+    return [nested] if isinstance(root, dict) else [posixpath.join(root, posixpath.basename(nested)), nested]
+
+
+def companion_path(spark: SparkSession, root: Root, patch: int, kind: str) -> str:
+    """The first of companion_paths() that is there."""
+    for path in companion_paths(root, patch, kind):
         if exists(spark, path):
             return path
     raise LayoutError(f"no {kind} of patch {patch} under {root!r}")
@@ -126,19 +142,23 @@ def resolve_data_path(spark: SparkSession, relative: str, path: str | None = Non
     return posixpath.join("raw", relative)
 
 
+def final_paths(spark: SparkSession, folder: str) -> list[str]:
+    """Published catalogues: the folder itself if it holds data, else those of its folders that do, in order."""
+    if exists(spark, posixpath.join(folder, "data")):
+        return [folder]
+    return [path for n in listing(spark, folder) if exists(spark, posixpath.join(path := posixpath.join(folder, n), "data"))]
+
+
 def collect_targets(spark: SparkSession, paths: list[str], folder: str | None = None, required: bool = False) -> list[str]:
-    """Explicit targets and a folder's, each once, in order."""
-    found = [*paths, *(posixpath.join(folder, n) for n in listing(spark, folder) if n.endswith(".parquet"))] if folder else list(paths)
-    unique = list({posixpath.normpath(p): p for p in reversed(found)}.values())[::-1]
-    order = {posixpath.normpath(p): i for i, p in reversed(list(enumerate(found)))}
-    unique.sort(key=lambda p: order[posixpath.normpath(p)])
+    """Explicit catalogues and a folder's, each once, in order."""
+    unique: dict[str, str] = {}
+    for path in [*paths, *(final_paths(spark, folder) if folder else [])]:
+        unique.setdefault(posixpath.normpath(path), path)
     if required and not unique:
         raise LayoutError("there are no targets")
-    return unique
-
-
-def final_paths(spark: SparkSession, folder: str) -> list[str]:
-    return [posixpath.join(folder, n) for n in listing(spark, folder) if n.endswith(".parquet")]
+    if lost := [p for p in unique.values() if required and not exists(spark, p)]:
+        raise LayoutError(f"targets are missing: {lost}")
+    return list(unique.values())
 
 
 def linked_roots(catalogs: str, luminosities: str, photometry: str) -> dict[str, str]:
@@ -149,12 +169,17 @@ def linked_roots(catalogs: str, luminosities: str, photometry: str) -> dict[str,
     return roots
 
 
-def shard_names(spark: SparkSession, root: str, patch: int | None = None) -> list[tuple[str, int, int, int]]:
-    """(path, patch, shard, declared shards) of the spectra under root."""
+def as_list(patches: list[int] | int | None) -> list[int] | None:
+    return [int(patches)] if isinstance(patches, int) else None if patches is None else sorted({int(p) for p in patches})
+
+
+def shard_names(spark: SparkSession, root: str, patches: list[int] | int | None = None) -> list[tuple[str, int, int, int]]:
+    """(path, patch, shard, declared shards) of the spectra under root, of all patches or the given ones."""
+    wanted = as_list(patches)
     found = [(posixpath.join(root, n), *map(int, m.groups())) for n in listing(spark, root) if (m := _SHARD.fullmatch(n))]
-    found = [f for f in found if patch is None or f[1] == int(patch)]
-    if not found:
-        raise LayoutError(f"no spectra under {root!r}" + (f" for patch {patch}" if patch is not None else ""))
+    found = [f for f in found if wanted is None or f[1] in wanted]
+    if not found or wanted is not None and (set(wanted) - {f[1] for f in found}):
+        raise LayoutError(f"no spectra under {root!r}" + (f" for patches {sorted(set(wanted) - {f[1] for f in found})}" if wanted is not None else ""))
     return found
 
 

@@ -137,7 +137,7 @@ def test_discovery(spark, raw):
     with pytest.raises(LayoutError):
         layout.discover_skypatches(spark, str(raw / "nothing"))
     assert layout.companion_path(spark, root, 0, "photometry").endswith("photometry/photometry_skypatch_0.parquet")
-    assert layout.collect_targets(spark, ["/a/x.parquet", "/a/./x.parquet", "/b"]) == ["/a/x.parquet", "/b"]
+    assert layout.collect_targets(spark, ["/a/x", "/a/./x", "/b"]) == ["/a/x", "/b"]
     assert layout.resolve_data_path(spark, "bands.json", None, (str(raw),)) == f"{raw}/bands.json" and layout.resolve_data_path(spark, "n.json") == "raw/n.json"
     with pytest.raises(LayoutError):
         layout.collect_targets(spark, [], str(raw / "nothing"), required=True)
@@ -256,6 +256,9 @@ def test_commands(spark, raw):
     cli.main(["repartition", *args, "--verify"], spark)
     cli.main(["repartition", *args, "--n-partitions", "3", "--output-dir", str(raw / "r")], spark)
     cli.main(["spatial", "--level", "3", "--input-dir", str(raw / "r"), "--output-dir", str(raw / "s")], spark)
+    with pytest.raises(LayoutError, match="header"):
+        cli.main(["append", "--catalog-dir", str(raw / "s"), "--sed-dir", str(raw / "sed"), "--output-dir", str(raw / "a")], spark)
+    cli.main(["header", "--source", str(raw / "donor"), "--target-dir", str(raw / "s")], spark)
     cli.main(["append", "--catalog-dir", str(raw / "s"), "--sed-dir", str(raw / "sed"), "--output-dir", str(raw / "a")], spark)
     cli.main(["convert", "--input-dir", str(raw / "sed"), "--output-dir", str(raw / "c")], spark)
     cli.main(["convert", "--input-dir", str(raw / "sed"), "--output-dir", str(raw / "c"), "--patch", "1", "--verify"], spark)
@@ -266,7 +269,7 @@ def test_commands(spark, raw):
     spectra_of = spark.read.parquet(str(raw / "c" / "seds_skypatch_0.parquet")).orderBy("source_global_row").collect()
     assert [r.core_tag for r in spectra_of] == [r[6] for r in catalog_rows() if r[0] == 0]
     assert sorted(r.file_step for r in spark.read.parquet(str(raw / "r" / "header")).collect()) == [2, 3, 4]
-    with pytest.raises(SystemExit):
+    with pytest.raises(LayoutError, match="same"):
         cli.main(["spatial", "--input-dir", str(raw / "r"), "--output-dir", str(raw / "r")], spark)
 
 
@@ -324,6 +327,168 @@ def test_missing_spectra_and_misaligned_repartition_are_refused(spark, raw):
         cli.main(["repartition", "--raw-root", str(raw / "raw"), "--bands", str(raw / "bands.json"), "--n-partitions", "3", "--output-dir", str(raw / "r")], spark)
 
 
+def test_failed_renames_restore_the_old_table(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    pipeline.publish_one(spark.range(3), target)
+    real, calls = pipeline._renamed, []
+
+    def second_fails(system, a, b):
+        calls.append((str(a), str(b)))
+        return len(calls) != 2 and real(system, a, b)
+
+    monkeypatch.setattr(pipeline, "_renamed", second_fails)
+    with pytest.raises(LayoutError, match="could not take the place"):
+        pipeline.publish_one(spark.range(5), target, overwrite=True)
+    assert len(calls) == 3 and layout.listing(spark, str(tmp_path)) == ["t"] and spark.read.parquet(target).count() == 3
+    monkeypatch.setattr(pipeline, "_renamed", lambda system, a, b: False)
+    with pytest.raises(LayoutError, match="moved aside"):
+        pipeline.publish_one(spark.range(5), target, overwrite=True)
+    assert layout.listing(spark, str(tmp_path)) == ["t"] and spark.read.parquet(target).count() == 3
+
+
+def test_three_folders_prefix_axes_and_staging(spark, raw):
+    grids = spark.range(1).select(*[F.array_repeat(F.lit(1.0), n).alias(k) for k, n in layout.TIME_GRIDS.items()])
+    grids.write.parquet(str(raw / "grids"))
+    folders = ["--catalog-dir", str(raw / "raw/lightcone_catalogs"), "--luminosity-dir", str(raw / "raw/luminosities"), "--photometry-dir", str(raw / "raw/photometry")]
+    args = [*folders, "--bands", str(raw / "bands.json"), "--n-partitions", "3", "--level", "2", "--prefix", "sky", "--time-grids", str(raw / "grids"), "--scratch-dir", str(raw / "scratch"), "--compression", "gzip"]
+    cli.main(["pipeline", *args, "--patch", "0", "--keep-intermediates", "--output-dir", str(raw / "one")], spark)
+    out = {t: spark.read.parquet(str(raw / "one" / t)) for t in ("data", "manifest", "axes")}
+    rows = out["manifest"].collect()
+    assert all(r.name.startswith("sky_") and (r.spatial_index_level, r.spatial_index_nside, list(r.skypatches)) == (2, 4, [0]) for r in rows)
+    assert out["data"].count() == sum(GROUPS[0].values()) and out["axes"].schema["sfh_age_gyr"].metadata["unit"] == "Gyr"
+    stored = [c for c in out["data"].columns if c != "partition_index"]
+    assert stored == sorted(stored) and "SED" not in stored
+    assert spark.read.parquet(str(raw / "scratch/skyloom_staging/places")).count() == out["data"].count()
+    assert any(".gz.parquet" in f for f in out["data"].inputFiles())
+    with pytest.raises(LayoutError, match="header"):
+        cli.main(["pipeline", *args, "--sed-dir", str(raw / "sed"), "--output-dir", str(raw / "two")], spark)
+    with pytest.raises(LayoutError, match="either"):
+        cli.main(["pipeline", *args, "--raw-root", str(raw), "--output-dir", str(raw / "two")], spark)
+    with pytest.raises(LayoutError, match="no folder"):
+        cli.main(["pipeline", *folders[:4], "--output-dir", str(raw / "two")], spark)
+    assert not layout.exists(spark, str(raw / "two")) and not [n for n in layout.listing(spark, str(raw)) if "staging" in n]
+    spark.range(1).write.parquet(str(raw / "one/mine"))
+    with pytest.raises(LayoutError, match="other things"):
+        cli.main(["pipeline", *args, "--output-dir", str(raw / "one"), "--overwrite"], spark)
+
+
+def test_partitions_that_are_done_are_skipped_and_failures_are_named(spark, raw, monkeypatch):
+    args = ["--raw-root", str(raw / "raw"), "--bands", str(raw / "bands.json")]
+    cli.main(["repartition", *args, "--n-partitions", "3", "--output-dir", str(raw / "r")], spark)
+    real = pipeline.publish_parts
+
+    def fails_on_one(df, target, *more, **named):
+        if df.where("partition_index = 1").count():
+            raise RuntimeError("disk of partition 1")
+        real(df, target, *more, **named)
+
+    monkeypatch.setattr(pipeline, "publish_parts", fails_on_one)
+    with pytest.raises(LayoutError, match="1 partitions failed: 1: disk"):
+        pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 3)
+    record = lambda: sorted(r.partition_index for r in spark.read.parquet(str(raw / "s/manifest")).collect())
+    assert record() == [0, 2]
+    monkeypatch.setattr(pipeline, "publish_parts", real)
+    assert pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 3) == [1] and record() == [0, 1, 2]
+    assert pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 3) == []
+    assert pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 2, overwrite=True) == [0, 1, 2]
+    assert {r.spatial_index_level for r in spark.read.parquet(str(raw / "s/manifest")).collect()} == {2}
+    assert spark.read.parquet(str(raw / "s/data")).count() == len(catalog_rows()) and spark.read.parquet(str(raw / "s/index")).agg(F.max("level")).first()[0] == 2
+
+
+def test_spectra_are_appended_in_place_with_a_status(spark, raw):
+    args = ["--raw-root", str(raw / "raw"), "--bands", str(raw / "bands.json"), "--n-partitions", "2", "--level", "1", "--header-source", str(raw / "donor")]
+    for patch in ("0", "1"):
+        cli.main(["pipeline", *args, "--patch", patch, "--output-dir", str(raw / "all" / patch)], spark)
+    sed = str(raw / "sed")
+    _rewritten(spark, f"{sed}/shards.parquet", lambda d: d.withColumn("complete", F.col("patch") == 0))  # patch 1 is still being copied
+    cli.main(["append", str(raw / "all/0"), "--sed-dir", sed, "--compression", "none", "--chunk-rows", "2"], spark)
+    own = {t: spark.read.parquet(str(raw / "all/0" / t)) for t in ("data", "manifest", "header")}
+    assert own["data"].where("SED is null").count() == 0 and own["data"].schema["SED"].metadata["sed_format"] == "fnu_jy_obs_on_restgrid"
+    assert {(r.sed_append_complete, r.sed_append_source) for r in own["manifest"].collect()} == {(True, "raw spectrum shards")} and own["header"].first().sed_wave_rest == [1.0, 2.0, 3.0]
+    with pytest.raises(LayoutError, match="spectra already"):
+        cli.main(["append", "--catalog-dir", str(raw / "all/0"), "--sed-dir", sed], spark)
+    with pytest.raises(LayoutError, match="not complete"):
+        cli.main(["append", str(raw / "all/0"), "--catalog-dir", str(raw / "all"), "--sed-dir", sed, "--overwrite"], spark)
+    with pytest.raises(LayoutError, match="one catalogue"):
+        cli.main(["append", "--catalog-dir", str(raw / "all"), "--sed-dir", sed, "--output-dir", str(raw / "x")], spark)
+    with pytest.raises(LayoutError, match="missing"):
+        cli.main(["append", str(raw / "none"), "--sed-dir", sed], spark)
+    assert [p.rsplit("/", 1)[1] for p in layout.final_paths(spark, str(raw / "all"))] == ["0", "1"]
+    # headers: the source catalogue is skipped, steps count on over the others
+    for k in ("2", "3"):
+        for t in ("data", "manifest"):
+            spark.read.parquet(str(raw / "all/1" / t)).write.parquet(str(raw / "all" / k / t))
+    cli.main(["header", "--source", str(raw / "all/0"), "--target-dir", str(raw / "all"), "--first-step", "10"], spark)
+    steps = [sorted(r.file_step for r in spark.read.parquet(str(raw / "all" / k / "header")).collect()) for k in "0123"]
+    assert steps == [[0, 1], [0, 1], [10, 11], [12, 13]]
+
+
+def test_wrong_spectra_are_refused(spark, raw):
+    sed = str(raw / "sed")
+    file = f"{sed}/seds_skypatch_0.shard0of2.parquet"
+    good = spark.read.parquet(file)
+    held = spark.createDataFrame(good.collect(), good.schema)
+    convert = ["convert", "--input-dir", sed, "--output-dir", str(raw / "c"), "--compression", "gzip"]
+    held.withColumn("SED", F.slice("SED", 1, 2)).write.mode("overwrite").parquet(file)
+    with pytest.raises(Exception, match="is not 3 wide"):
+        cli.main(convert, spark)
+    assert not layout.listing(spark, str(raw / "c"))
+    held.withColumn("SED", F.get("SED", F.lit(0))).write.mode("overwrite").parquet(file)
+    with pytest.raises(LayoutError, match="not an array"):
+        pipeline.spectra.require_datasets(spark.read.parquet(file))
+    held.drop("core_tag").write.mode("overwrite").parquet(file)
+    with pytest.raises(LayoutError, match="core_tag"):
+        pipeline.spectra.require_datasets(spark.read.parquet(file))
+    held.write.mode("overwrite").parquet(file)
+    cli.main([*convert, "--patch", "0"], spark)
+    told = spark.read.parquet(str(raw / "c/seds_skypatch_0.attributes.parquet")).first()
+    assert (told.skypatch, told.n_objects, told.wave_rest) == (0, 16, [1.0, 2.0, 3.0])
+    assert spark.read.parquet(str(raw / "c/seds_skypatch_0.parquet")).schema["SED"].metadata["unit"] == "Jy"
+
+
+def test_bands_that_matrices_list_themselves(spark, raw):
+    path = layout.patch_path(str(raw / "raw"), 0, "luminosities")
+    for patch in GROUPS:
+        path = layout.patch_path(str(raw / "raw"), patch, "luminosities")
+        _rewritten(spark, path, lambda d: d)
+        held = spark.read.parquet(path)
+        spark.createDataFrame(held.collect(), held.schema).withMetadata("M_ABS_SDSS", {"bands": "u,i mag"}).write.mode("overwrite").parquet(path)
+    found = run(spark, raw)["data"]
+    assert {"M_ABS_SDSS_u", "M_ABS_SDSS_i"} <= set(found.columns) and "M_ABS_SDSS_g" not in found.columns
+
+
+def test_one_scan_reads_all_patches(spark, raw):
+    found = layout.read_kind(spark, str(raw / "raw"), "photometry", [0, 1])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan and {r.skypatch for r in found.collect()} == {0, 1}
+    other = layout.patch_path(str(raw / "raw"), 1, "photometry")
+    _rewritten(spark, other, lambda d: d.withColumn("more", F.lit(1)))
+    with pytest.raises(LayoutError, match="more int"):
+        layout.read_kind(spark, str(raw / "raw"), "photometry", [0, 1])
+
+
+def test_empty_patches_are_refused(spark, raw):
+    for kind in layout.KINDS:
+        _rewritten(spark, layout.patch_path(str(raw / "raw"), 1, kind), lambda d: d.where("false"))
+    with pytest.raises(LayoutError, match="without rows"):
+        run(spark, raw)
+
+
+def test_key_sets_are_compared_without_a_cross_join(spark, monkeypatch):
+    listed = spark.createDataFrame([(g, k) for g, ks in {"a": "xyz", "b": "xyz", "c": "yw", "d": ""}.items() for k in ks], "grp string, key string")
+    found = projection.group_key_difference(listed)
+    want = [("c", "w", "extra"), ("c", "x", "missing"), ("c", "z", "missing")]
+    assert sorted(map(tuple, found.collect())) == want and "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(projection, "NAMED_GROUPS", 0)
+    assert sorted(map(tuple, projection.group_key_difference(listed).collect())) == want
+
+
+def test_page_shapes(spark):
+    schema = spark.createDataFrame([], "SED array<float>, sfh array<double>, x float").schema
+    assert storage.page_rows(schema, {"SED": 1000, "sfh": 117}, 10_000) == 64
+    assert storage.page_rows(spark.createDataFrame([], "x float, y tinyint").schema, {}, 1 << 30, 1 << 20) == 1 << 18
+
+
 def test_hdf5_needs_its_library(spark):
     try:
         import h5py  # noqa: F401

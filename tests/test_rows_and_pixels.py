@@ -130,3 +130,52 @@ def test_stream_assignment_equals_batch(spark, tmp_path):
         assert sorted(map(tuple, spark.table("assigned").collect())) == sorted(map(tuple, assign(df, edges, 4).collect()))
     finally:
         q.stop()
+
+
+def test_rows_without_a_place_are_refused(spark):
+    schema = "skypatch int, core_group string, row_in_group long"
+    for bad in ((None, "core_1", 0), (0, None, 0), (0, "core_1", None)):
+        with pytest.raises(LayoutError, match="no place"):
+            rows.number_rows(spark.createDataFrame([(0, "core_1", 5), bad], schema))
+
+
+def test_places_and_pixel_order_in_small_buckets(spark):
+    made = [(i % 3, i % 2, (i * 37) % 200, (i * 7) % 5) for i in range(200)]
+    df = spark.createDataFrame(made, "partition_index int, skypatch int, source_global_row long, pixel long")
+    placed = rows.with_place(df, ["partition_index"], ["skypatch"], "source_global_row", bucket_rows=9)
+    for bucket in (7, 1 << 20):
+        got = spatial.ordered_rows(placed, bucket_rows=bucket).collect()
+        for p in range(3):
+            own = [r for r in got if r.partition_index == p]
+            by_row = sorted(own, key=lambda r: (r.skypatch, r.source_global_row))
+            assert [r.input_row for r in by_row] == list(range(len(own)))
+            assert [r.output_row for r in sorted(own, key=lambda r: (r.pixel, r.input_row))] == list(range(len(own)))
+
+
+def ring_of(nested, level):
+    """Ring number of a nested pixel, by the published index formulas."""
+    ns = 1 << level
+    face, inside = divmod(nested, ns * ns)
+    x = sum(((inside >> (2 * b)) & 1) << b for b in range(level))
+    y = sum(((inside >> (2 * b + 1)) & 1) << b for b in range(level))
+    ring = (face // 4 + 2) * ns - x - y - 1
+    if ring < ns:
+        nr, before, shift = ring, 2 * ring * (ring - 1), 0
+    elif ring > 3 * ns:
+        nr = 4 * ns - ring
+        before, shift = 12 * ns * ns - 2 * nr * (nr + 1), 0
+    else:
+        nr, before, shift = ns, 2 * ns * (ns - 1) + (ring - ns) * 4 * ns, (ring - ns) & 1
+    along = ((1, 3, 5, 7, 0, 2, 4, 6, 1, 3, 5, 7)[face] * nr + x - y + 1 + shift) // 2
+    return before + (along - 1) % (4 * nr if nr < ns else 4 * ns)
+
+
+def test_published_pixel_numbers(spark):
+    """Ring numbers of nside 16 that the documentation of the public library prints, and poles and seams of other sides."""
+    quarter, half = 45.0, 90.0
+    known = [(4, 0.0, 90.0 - half, 1440), (4, quarter, 90.0 - quarter, 427), (4, half, 90.0 - half, 1520), (4, 0.0, 90.0, 0), (4, 0.0, -90.0, 3068)]
+    known += [(0, 45.0, 90.0, 0), (0, 45.0, -90.0, 8), (0, 0.0, 0.0, 4), (1, 45.0, 80.0, 0), (13, 45.0, 90.0, 0), (13, 315.0, -90.0, 12 * 4**13 - 1)]
+    for level, ra, dec, ring in known:
+        for turn in (0.0, 360.0):
+            df = spark.createDataFrame([(ra + turn, dec)], "ra double, dec double")
+            assert ring_of(healpix.add_pixel(df, "ra", "dec", level).first().pixel, level) == ring, (level, ra, dec)
