@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.suffix_trees import _powers
 
-PER_LANGUAGE, SEED = 200, 11
+PER_LANGUAGE, SEED = 120, 11
 BUCKETS = 1 << 16
 LEXICON_COUNT = 3
 #: Text labelled at once, and text whose features are held at once.
