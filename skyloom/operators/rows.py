@@ -42,6 +42,15 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if found.num_rows <= limit else df
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, cut from its lineage by a copy in the checkpoint folder, or in the warehouse where none is set: both are shared."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return df.checkpoint(eager=True)
+
+
 def number_rows(catalog: DataFrame, row: str = "row_in_group", patch: str = "skypatch", group: str = "core_group", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Adds source_global_row: 0, 1, ... per patch, by group and row.
 

@@ -168,7 +168,8 @@ def catalog_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {BINNED_SQL} SELECT partition_index, round(median(redshift), 6) AS median FROM binned GROUP BY 1")
 def median_per_bin(spark: SparkSession, d: str) -> DataFrame:
-    return binning.medians(_binned(spark, d)[0], "redshift").select("partition_index", F.round("median", 6).alias("median"))
+    binned = binning.assign_bins(catalog_of(spark, d), "redshift", _edges(spark, d))
+    return binning.medians(binned, "redshift").select("partition_index", F.round("median", 6).alias("median"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round_even(l_extendedprice / 7.0 * 100.0::DOUBLE, 0) / 100.0::DOUBLE AS rounded FROM lineitem")
@@ -252,10 +253,10 @@ def published_catalogue(spark: SparkSession, d: str) -> DataFrame:
     """The whole run on the stand-ins: number, bin, order by pixel, join three sources."""
     cat = catalog_of(spark, d).withColumns({"ra": F.pmod(F.col("redshift") * 7.3, F.lit(360.0)), "dec": F.pmod(F.col("core_tag") * F.lit(0.5545), F.lit(180.0)) - 90.0})
     numbered = rows.number_rows(pipeline.narrow(cat))
-    places = pipeline.in_pixel_order(pipeline.placed(numbered, binning.quantile_edges(cat, "redshift", BINS, DECIMALS)), LEVEL)
+    places = rows.checkpointed(pipeline.in_pixel_order(pipeline.placed(numbered, binning.quantile_edges(cat, "redshift", BINS, DECIMALS)), LEVEL))
     keys = ["skypatch", "source_global_row"]
-    lum = numbered.select(*keys, F.col("redshift").cast("float").alias("redshift"), F.array("ra", "dec").alias("M_ABS_SDSS"))
-    phot = numbered.select(*keys, F.array(F.col("redshift") * 2, F.col("redshift") * 3).alias("survey"))
+    lum = places.select(*keys, F.col("redshift").cast("float").alias("redshift"), F.array("ra", "dec").alias("M_ABS_SDSS"))
+    phot = places.select(*keys, F.array(F.col("redshift") * 2, F.col("redshift") * 3).alias("survey"))
     specs = projection.resolve_columns(cat, lum, phot, {"_LUM_M_ABS_SDSS": ["g", "r"], "survey": ["u.txt", "a.b-c"]})
     found = pipeline.payload(cat, lum, phot, specs, places)
     return found.select("partition_index", "output_row", "input_row", "pixel", *keys, "redshift", F.round("mag_u", 6).alias("mag_u"))
@@ -514,7 +515,8 @@ def key_violations(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {BINNED_SQL}, t AS (SELECT b.i::INTEGER AS partition_index, b.i = 2 OR b.i = 5 AS skipped, es[b.i + 1] AS a, es[b.i + 2] AS b FROM edges, range(0, {BINS}) b(i)), m AS (SELECT partition_index, median(redshift) AS median FROM binned GROUP BY 1) SELECT t.partition_index, t.skipped, CASE WHEN skipped THEN NULL ELSE round(coalesce(median, 9.0), 6) END AS file_redshift, CASE WHEN skipped THEN -1 ELSE 10 + (row_number() OVER (PARTITION BY skipped ORDER BY t.partition_index)) - 1 END AS file_step, CASE WHEN skipped THEN 0.0::DOUBLE ELSE a END AS z_min, CASE WHEN skipped THEN 9.0::DOUBLE ELSE b END AS z_max, 'run-7' AS simulation FROM t LEFT JOIN m USING (partition_index)")
 def header_specialise(spark: SparkSession, d: str) -> DataFrame:
-    binned, edges = _binned(spark, d)
+    edges = _edges(spark, d)
+    binned = binning.assign_bins(catalog_of(spark, d), "redshift", edges)
     counts = binning.bin_counts(binned, BINS)
     targets = counts.select("partition_index", (F.col("partition_index") == 2).alias("is_source"), (F.col("partition_index") == 5).alias("has_header"))
     donor = spark.range(1).select(F.lit(9.0).alias("file_redshift"), F.lit(0).cast("long").alias("file_step"), F.array(F.lit(0.0), F.lit(9.0)).alias("z_range"), F.lit("run-7").alias("simulation"))
