@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.blocks import BLOCK_BYTES, FAN, LAST, SENT, Exchange, block_count, documents, in_blocks, packed, unpacked
+from skyloom.llm.blocks import FAN, LAST, SENT, Exchange, block_count, documents, in_blocks, packed, unpacked
 from skyloom.llm.common import LOWER, checkpointed, mix64, text_volume
 from skyloom.llm.suffix_trees import word_hashes
 
@@ -44,8 +44,8 @@ VOCABULARY, WITHIN, HIDDEN, SIDE = 2048, 64, 32, 3
 ROUNDS, MASKED, SEED = 2, 0.10, 5
 RATE, BATCH = 0.08, 4096
 PIECE_BYTES, CHUNK = 512 << 10, 1 << 15
-#: Text of a lane that trains on its own, and blocks that a small input is dealt into, of LEAST_BLOCK bytes at least.
-LANE_BYTES, LEAST_BLOCKS = 8 << 20, 32
+#: Text of a block, of a lane that trains on its own, and blocks that a small input is dealt into, of LEAST_BLOCK bytes at least.
+BLOCK_BYTES, LANE_BYTES, LEAST_BLOCKS = 4 << 20, 8 << 20, 32
 #: Lanes whose parameters a task averages.
 AVERAGED = 64
 
