@@ -257,7 +257,7 @@ def _renamed(system, a, b) -> bool:
 def swap(spark: SparkSession, new: str, target: str) -> None:
     """Puts a finished folder in the place of target; a target that cannot be replaced is back where it was."""
     system, path = _file_system(spark, target)
-    aside = f"{target}.old-{uuid.uuid4().hex[:8]}"
+    aside = f"{target.rstrip('/')}.old-{uuid.uuid4().hex[:8]}"
     there = system.exists(path(target))
     if there and not _renamed(system, path(target), path(aside)):
         raise LayoutError(f"{target} could not be moved aside")
@@ -277,7 +277,7 @@ def swap(spark: SparkSession, new: str, target: str) -> None:
 @contextmanager
 def _partial(spark: SparkSession, target: str) -> Iterator[str]:
     """A name beside target for what is being written; whatever is left of it goes."""
-    partial = f"{target}.partial-{uuid.uuid4().hex[:8]}"
+    partial = f"{target.rstrip('/')}.partial-{uuid.uuid4().hex[:8]}"
     try:
         yield partial
     finally:
