@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, kneser_ney, language, lm_scoring, mixing, oracles, sharding, simhash, suffix_arrays, suffix_trees, topk
+from skyloom.llm import decontaminate, exact, importance, kneser_ney, language, lm_scoring, mixing, oracles, sharding, simhash, suffix_arrays, suffix_trees, topk, whitening
 from skyloom.llm.common import table
 
 
@@ -61,6 +61,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.verdicts(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate,
@@ -73,8 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_suffix_arrays,
         op10_top_k,
+        op11_importance_resampling,
+        op12_whiten,
+        op13_exact_dedup,
     )
-
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -84,4 +98,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_suffix_trees": oracles.SUFFIX_TREES,
     "op9_suffix_arrays": oracles.SUFFIX_ARRAYS,
     "op10_top_k": topk.sql(),
+    "op11_importance_resampling": importance.sql(),
+    "op13_exact_dedup": exact.sql(),
 }
