@@ -12,7 +12,7 @@ out as a group of one.
 
 Planes are made in parts: a task sends the words that it set, by segment of
 the filter, and no task or driver holds more than the ``twice`` plane of
-``filter_rows`` rows (a byte a row, 32 MB by default).  More rows take further
+``filter_rows`` rows (two bytes a row, 32 MB by default).  More rows take further
 filters, each for a range of hashes, over the same narrow rows.
 
 Groups of over HOT_ROWS rows (and over a ten-thousandth of all, so at most
@@ -41,10 +41,12 @@ from skyloom.llm.common import apart, checkpointed, pack, unpack
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 VERDICT = ("keep_id", "group_size", "kept", "text_sha256")
 #: Rows of one filter, bits for a row, words of 64 bits of a segment.
-FILTER_ROWS, ROW_BITS, SEGMENT = 1 << 25, 8, 1 << 14
+FILTER_ROWS, ROW_BITS, SEGMENT = 1 << 24, 16, 1 << 14
 #: Rows of a group whose verdict is broadcast, and most such groups.
 HOT_ROWS, HOT_GROUPS = 1000, 10_000
 HASH_BITS = 60
+#: Odd numbers that spread a hash to its bits: of rows that are alone one in 700 is taken for repeated.
+MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
 def fingerprint(text: Column) -> Column:
@@ -52,25 +54,23 @@ def fingerprint(text: Column) -> Column:
     return F.sha2(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER).cast("binary"), 256)
 
 
-def _places(hashes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word of the filter, and three of its bits, for each hash."""
+def _places(hashes: np.ndarray, words: int) -> np.ndarray:
+    """The bits of the filter for each hash, a row for each of them."""
     h = hashes.astype(np.uint64)
-    bits = np.zeros(len(h), np.uint64)
-    for k in (0, 6, 12):
-        bits |= np.uint64(1) << ((h >> np.uint64(k)) & np.uint64(63))
-    return ((h >> np.uint64(18)) % np.uint64(words)).astype(np.int64), bits
+    return np.stack([((h * np.uint64(odd)) >> np.uint64(16)) % np.uint64(64 * words) for odd in MULTIPLIERS]).astype(np.int64)
 
 
-def _set(once: np.ndarray, twice: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
-    """Meets each hash with the planes; hashes of one word take turns."""
-    order = np.argsort(at, kind="stable")
-    at, bits = at[order], bits[order]
-    while len(at):
-        first = np.r_[True, at[1:] != at[:-1]]
-        w, b = at[first], bits[first]
-        twice[w] |= once[w] & b
-        once[w] |= b
-        at, bits = at[~first], bits[~first]
+def _set(once: np.ndarray, twice: np.ndarray, places: np.ndarray) -> None:
+    """Meets bits with the planes; one that is met again, here or before, goes to the second."""
+    at, times = np.unique(places, return_counts=True)
+    word, bit = at >> 6, np.uint64(1) << (at & 63).astype(np.uint64)
+    again = (times > 1) | (once[word] & bit > 0)
+    np.bitwise_or.at(twice, word[again], bit[again])
+    np.bitwise_or.at(once, word, bit)
+
+
+def _holds(plane: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.all(plane[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1) > 0, axis=0)
 
 
 def _planes(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -79,11 +79,7 @@ def _planes(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
         for batch in batches:
-            hashes, times = np.unique(batch.column(0).to_numpy(), return_counts=True)
-            at, bits = _places(hashes, words)
-            _set(once, twice, at, bits)
-            again = times > 1  # what a batch itself repeats, however often
-            _set(once, twice, at[again], bits[again])
+            _set(once, twice, _places(batch.column(0).to_numpy(), words))
         used = np.flatnonzero(once)
         for part in np.split(used, np.flatnonzero(np.diff(used // SEGMENT)) + 1):
             if len(part):
@@ -119,8 +115,7 @@ def _test(plane: Broadcast):
 
     @F.pandas_udf("boolean")
     def possible(h: pd.Series) -> pd.Series:
-        at, bits = _places(h.to_numpy(), len(plane.value))
-        return pd.Series(plane.value[at] & bits == bits)
+        return pd.Series(_holds(plane.value, _places(h.to_numpy(), len(plane.value))))
 
     return possible
 
