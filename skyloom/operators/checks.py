@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from skyloom.errors import LayoutError
 from skyloom.functions.names import number_in
 from skyloom.functions.numeric import same_in_single_precision
-from skyloom.operators.rows import bounded_broadcast
+from skyloom.operators.rows import bounded_broadcast, few_of
 from skyloom.operators.spectra import coverage
 
 
@@ -66,7 +66,10 @@ def endpoint_differences(catalog: DataFrame, flat: DataFrame, key: str = "redshi
     """Groups whose first or last row differs from the flat source, compared in its single precision."""
     ends = catalog.groupBy("skypatch", "core_group").agg(F.min("source_global_row").alias("a"), F.max("source_global_row").alias("b"))
     ends = ends.select("skypatch", "core_group", F.explode(F.array_distinct(F.array("a", "b"))).alias("source_global_row"))
-    return aligned_differences(catalog.drop("core_group").join(bounded_broadcast(ends), ["skypatch", "source_global_row"]), flat, key)
+    keys = ["skypatch", "source_global_row"]
+    ends = bounded_broadcast(ends)
+    few = bounded_broadcast(catalog.drop("core_group").join(ends, keys))
+    return aligned_differences(few, few_of(flat.select(*keys, key), ends, keys), key)
 
 
 def aligned_differences(catalog: DataFrame, flat: DataFrame, key: str = "redshift") -> DataFrame:
@@ -142,10 +145,15 @@ def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
         raise LayoutError(f"{what} lacks {lost}")
 
 
-def require_appendable(df: DataFrame, overwrite: bool = False) -> None:
-    """Before spectra are appended: provenance is there, and no (complete) spectra, unless they are to be replaced."""
+def require_appendable(df: DataFrame, manifest: DataFrame | None = None, overwrite: bool = False) -> None:
+    """Before spectra are appended: provenance is there, and no complete spectra, unless they are to be replaced.
+
+    The manifest's status decides; where it records none, spectra among the data are complete ones.
+    """
     require_columns(df, ("skypatch", "source_global_row"), "the catalogue")
-    if "SED" in df.columns and not overwrite:
+    told = manifest is not None and "sed_append_complete" in manifest.columns
+    complete = manifest.where("sed_append_complete").limit(1).count() > 0 if told else "SED" in df.columns
+    if complete and not overwrite:
         raise LayoutError("the catalogue has spectra already")
     if "wave_rest" in df.columns:
         raise LayoutError("the catalogue has a wavelength grid as a column (an old layout)")

@@ -42,6 +42,11 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if found.num_rows <= limit else df
 
 
+def few_of(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of df that a few keys name, computed once: one scan of df without a shuffle where the keys are broadcast."""
+    return bounded_broadcast(df.join(keys.select(*on), on, "left_semi"))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, cut from its lineage by a copy in the checkpoint folder, or in the warehouse where none is set: both are shared."""
     spark = df.sparkSession
@@ -51,6 +56,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def interval_join(rows: DataFrame, spans: DataFrame, row: str, by: list[str], low: str = "low", high: str = "high") -> DataFrame:
+    """rows with the other columns of each span [low, high) of their ``by`` that holds them.
+
+    Spans are cut at cells about as wide as a mean span, so there are at most
+    some three times as many pieces, and rows meet them by (by, cell): an equal
+    join at any number of spans, broadcast while the pieces are few, and never
+    with all rows of a patch under one key.
+    """
+    told = spans.agg(F.count(F.lit(1)), F.sum(F.col(high) - F.col(low))).first()
+    bits = max(0, (int(told[1] or 0) // max(1, told[0])).bit_length())
+    cell = lambda c: F.shiftright(c.cast("long"), bits)
+    pieces = spans.where(F.col(high) > F.col(low)).withColumn("_cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high) - 1))))
+    met = rows.withColumn("_cell", cell(F.col(row))).join(bounded_broadcast(pieces), [*by, "_cell"])
+    return met.where((F.col(row) >= F.col(low)) & (F.col(row) < F.col(high))).drop("_cell", low, high)
+
+
 def number_rows(catalog: DataFrame, row: str = "row_in_group", patch: str = "skypatch", group: str = "core_group", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Adds source_global_row: 0, 1, ... per patch, by group and row.
 
@@ -106,11 +127,11 @@ def positional_join(catalog: DataFrame, *others: DataFrame, keys: tuple[str, ...
 
 
 def group_of_rows(rows: DataFrame, offsets: DataFrame, patch: str = "skypatch", row: str = "source_global_row") -> DataFrame:
-    """As-of lookup: the group with the last offset at or below each row, by the few offsets of its patch."""
-    spans = offsets.where("n_rows > 0").select(F.col(patch), "core_group", F.col("row_offset").alias("_low"), (F.col("row_offset") + F.col("n_rows")).alias("_high"))
-    near = (F.col(row) >= F.col("_low")) & (F.col(row) < F.col("_high"))
-    spans = bounded_broadcast(spans).withColumnRenamed(patch, "_patch")
-    return rows.join(spans, (F.col(patch) == F.col("_patch")) & near).select(*rows.columns, "core_group", (F.col(row) - F.col("_low")).alias("row_in_group"))
+    """As-of lookup: the group with the last offset at or below each row, by the offsets of its patch."""
+    start = F.col("row_offset")
+    spans = offsets.select(F.col(patch), "core_group", start.alias("_start"), start.alias("_low"), (start + F.col("n_rows")).alias("_high"))
+    met = interval_join(rows, spans, row, [patch], "_low", "_high")
+    return met.select(*rows.columns, "core_group", (F.col(row) - F.col("_start")).alias("row_in_group"))
 
 
 def with_provenance(catalog: DataFrame, group: str = "core_group") -> DataFrame:

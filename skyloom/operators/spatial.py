@@ -12,7 +12,7 @@ from skyloom.operators.rows import bounded_broadcast, exclusive_sum
 #: Levels above the finest by which starts are summed first, so that no window holds all pixels.
 COARSER = 5
 #: Rows of a partition whose rows of one pixel are sorted together.
-PIXEL_BUCKET = 1 << 26
+PIXEL_BUCKET = 1 << 20
 
 
 def with_pixel(df: DataFrame, level: int, ra: str = "ra", dec: str = "dec", name: str = "pixel") -> DataFrame:
@@ -88,11 +88,22 @@ def ordered_rows(df: DataFrame, by: str = "partition_index", row: str = "input_r
     return placed.withColumn("_rank", rank).join(starts, keys).withColumn("output_row", (F.col("_start") + F.col("_rank") - 1).cast("long")).drop("_rank", "_start", "_bucket")
 
 
-def in_file_order(df: DataFrame, by: str = "partition_index", row: str = "input_row", partitions: int | None = None) -> DataFrame:
-    """Range partitions by (partition, pixel), each sorted with the tie-break: files with narrow pixel ranges."""
-    keys = [F.col(by), F.col("pixel")]
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(by, "pixel", row)
+def in_file_order(df: DataFrame, sizes: dict[int, int], by: str = "partition_index", row: str = "output_row", files: int | None = None) -> DataFrame:
+    """Ranges of (partition, row), each sorted: files of equally many rows with narrow pixel ranges.
+
+    sizes: rows of each partition, whose rows are numbered 0, 1, ... in ``row``.
+    They tell each row's file, so no pass samples the rows and each is computed
+    once.  files: how many to aim at (spark.sql.shuffle.partitions by default);
+    every partition has at least one.
+    """
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, -(-sum(sizes.values()) // files))
+    first, total = [0] * (max(sizes, default=-1) + 1), 0
+    for part in sorted(sizes):
+        first[part] = total
+        total += max(1, -(-sizes[part] // most))
+    at = F.get(F.array(*[F.lit(f) for f in first]).cast("array<int>"), F.col(by)) + F.floor(F.col(row) / most).cast("int")
+    return df.repartitionById(max(1, total), at).sortWithinPartitions(by, row)
 
 
 def provenance(ordered: DataFrame, by: str = "partition_index", row: str = "input_row") -> DataFrame:

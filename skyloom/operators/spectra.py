@@ -9,17 +9,18 @@ from pyspark.sql.window import Window
 from skyloom.errors import LayoutError
 from skyloom.functions.arrays import equal_arrays
 from skyloom.functions.numeric import is_close
-from skyloom.operators.rows import bounded_broadcast, sample_rows
+from skyloom.operators.rows import bounded_broadcast, few_of, interval_join, sample_rows
 
 FINAL_TOLERANCE, CATALOG_TOLERANCE, FLAT_TOLERANCE = 1e-6, 1e-10, 1e-6
 SAMPLES = 16
 
 
 def shard_of_rows(rows: DataFrame, shards: DataFrame, row: str = "source_global_row") -> DataFrame:
-    """Interval lookup: the shard whose range holds each row, with the row inside it (patch is the equi-key)."""
-    spans = bounded_broadcast(shards.select(F.col("patch").alias("_patch"), "shard", "row_offset", "n_rows"))
-    near = (F.col("skypatch") == F.col("_patch")) & (F.col(row) >= F.col("row_offset")) & (F.col(row) < F.col("row_offset") + F.col("n_rows"))
-    return rows.join(spans, near).select(*rows.columns, "shard", (F.col(row) - F.col("row_offset")).alias("local_row"))
+    """Interval lookup: the shard whose range holds each row, with the row inside it."""
+    start = F.col("row_offset")
+    spans = shards.select(F.col("patch").alias("skypatch"), "shard", start, start.alias("_low"), (start + F.col("n_rows")).alias("_high"))
+    met = interval_join(rows, spans, row, ["skypatch"], "_low", "_high")
+    return met.select(*rows.columns, "shard", (F.col(row) - start).alias("local_row"))
 
 
 def concatenated(spectra: DataFrame, shards: DataFrame) -> DataFrame:
@@ -57,6 +58,12 @@ def gathered(final: DataFrame, spectra: DataFrame, row: str = "source_global_row
     return final.join(wide.hint("merge"), ["skypatch", row], "left")
 
 
+def with_aligned(data: DataFrame, wide: DataFrame) -> DataFrame:
+    """data with the SED of the table of spectra, which has the same places."""
+    keys = ["partition_index", "output_row" if "output_row" in wide.columns else "input_row"]
+    return data.join(wide.select(*keys, "SED"), keys)
+
+
 def missing_spectra(final: DataFrame, spectra: DataFrame, row: str = "source_global_row") -> DataFrame:
     """Final rows without a spectrum; only keys are read."""
     return final.join(spectra.select("skypatch", F.col("source_global_row").alias(row)), ["skypatch", row], "left_anti")
@@ -77,10 +84,11 @@ def identity_violations(final: DataFrame, spectra: DataFrame, samples: int = SAM
     """Evenly sampled final rows whose tag or redshift differs from the spectrum's (needs output_row)."""
     sizes = final.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
     picked = sample_rows(sizes, samples).select(by, F.col("sample_row").alias("output_row"))
-    rows = final.join(bounded_broadcast(picked), [by, "output_row"], "left_semi")
-    source = spectra.select("skypatch", "source_global_row", F.col("core_tag").alias("sed_tag"), F.col("redshift").alias("sed_redshift"))
+    keys = ["skypatch", "source_global_row"]
+    rows = bounded_broadcast(final.join(bounded_broadcast(picked), [by, "output_row"], "left_semi"))
+    source = few_of(spectra.select(*keys, F.col("core_tag").alias("sed_tag"), F.col("redshift").alias("sed_redshift")), rows, keys)
     same = (F.col("core_tag") == F.col("sed_tag")) & is_close(F.col("redshift"), F.col("sed_redshift"), FINAL_TOLERANCE)
-    return rows.join(source, ["skypatch", "source_global_row"], "left").where(~F.coalesce(same, F.lit(False)))
+    return rows.join(source, keys, "left").where(~F.coalesce(same, F.lit(False)))
 
 
 def source_violations(spectra: DataFrame, catalog: DataFrame, luminosities: DataFrame, shards: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -88,9 +96,10 @@ def source_violations(spectra: DataFrame, catalog: DataFrame, luminosities: Data
     picked = sample_rows(shards.select("patch", "row_offset", "n_rows"), samples)
     picked = picked.select(F.col("patch").alias("skypatch"), (F.col("row_offset") + F.col("sample_row")).alias("source_global_row"))
     keys = ["skypatch", "source_global_row"]
-    rows = spectra.join(bounded_broadcast(picked), keys, "left_semi").select(*keys, "core_tag", "redshift")
-    cat = catalog.select(*keys, F.col("core_tag").alias("cat_tag"), F.col("redshift").alias("cat_redshift"))
-    lum = luminosities.select(*keys, F.col("redshift").alias("lum_redshift"))
+    picked = bounded_broadcast(picked)
+    rows = bounded_broadcast(few_of(spectra.select(*keys, "core_tag", "redshift"), picked, keys))
+    cat = few_of(catalog.select(*keys, F.col("core_tag").alias("cat_tag"), F.col("redshift").alias("cat_redshift")), picked, keys)
+    lum = few_of(luminosities.select(*keys, F.col("redshift").alias("lum_redshift")), picked, keys)
     same = (
         (F.col("core_tag") == F.col("cat_tag"))
         & is_close(F.col("redshift"), F.col("cat_redshift"), CATALOG_TOLERANCE)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import posixpath
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from skyloom.errors import LayoutError
 from skyloom.functions import healpix
 from skyloom.operators import binning, checks, spatial
 from skyloom.plans import pipeline
-from skyloom.sources import layout
+from skyloom.sources import layout, snapshots
 
 CODECS = ["blosc", "blosc-lz4", "gzip", "lzf", "none"]
 
@@ -137,18 +136,18 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         pipeline.refuse_populated(spark, a.output_dir, a.overwrite)
         bands = layout.load_band_names(spark, bands_of(spark, a, a.raw_root))
         with pipeline.staging(spark, pipeline.scratch_folder(a.output_dir, a.scratch_dir)) as stage:
-            data, _, counts, edges, patches, _ = pipeline.repartitioned(spark, a.raw_root, bands, a.n_partitions, a.decimals, a.patch, stage)
-            ordered = pipeline.in_files(data, "input_row")
+            data, _, counts, edges, patches, _, proof = pipeline.repartitioned(spark, a.raw_root, bands, a.n_partitions, a.decimals, a.patch, stage)
+            ordered = pipeline.in_files(data, pipeline.sizes_of(counts), "input_row")
             manifest = pipeline.meta.manifest(counts, edges, patches, a.prefix)
             tables = {"data": (ordered, ("partition_index",), pipeline.Storage().options(ordered)), "manifest": (manifest, (), None)}
-            pipeline.publish(spark, a.output_dir, tables, counts, a.overwrite)
+            pipeline.publish(spark, a.output_dir, tables, {"data": proof}, a.overwrite)
         binning.balance(counts, edges).orderBy("partition_index").show(1000)
     elif a.command == "spatial":
         how = pipeline.Storage(a.compression, a.compression_level, a.chunk_kib << 10)
         done = pipeline.spatial_catalogue(spark, a.input_dir, a.output_dir, a.level, a.overwrite, how)
         print(f"level {a.level}, {healpix.pixel_count(a.level)} pixels of {healpix.resolution_degrees(a.level):.3f} degrees; partitions written: {done or 'none, nothing to do'}")
         if done:
-            spatial.occupancy(spark.read.parquet(posixpath.join(a.output_dir, "index")), a.level).orderBy("partition_index").show(1000)
+            spatial.occupancy(snapshots.read(spark, a.output_dir, "index"), a.level).orderBy("partition_index").show(1000)
     elif a.command == "append":
         found = layout.collect_targets(spark, a.catalog, a.catalog_dir, required=True)
         if a.output_dir and len(found) > 1:

@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from skyloom.errors import LayoutError
 from skyloom.functions import healpix
-from skyloom.operators import binning, checks, meta, projection, rows, spatial, spectra, storage
-from skyloom.sources import layout
+from skyloom.operators import binning, checks, fingerprint, meta, projection, regions, rows, spatial, spectra, storage
+from skyloom.sources import layout, snapshots
 
 KEY = "redshift"
 KEYS = ["skypatch", "source_global_row"]
 #: The tables of a published catalogue.
-TABLES = ("data", "index", "provenance", "manifest", "header", "axes")
+TABLES = ("data", "index", "provenance", "manifest", "header", "axes", "spectra")
+_PLACE = ("partition_index", "input_row", "pixel", "output_row")
 _NARROW = ("skypatch", "core_group", "row_in_group", KEY, "ra", "dec", "core_tag")
 SOURCE_NOTE = "raw spectrum shards"
 
@@ -42,10 +43,10 @@ class Storage:
     sed_level: int = 5
     sed_rows: int = storage.SPECTRUM_ROWS
 
-    def options(self, df: DataFrame, width: int | None = None) -> dict[str, str]:
-        wide = "SED" in df.columns
-        page = storage.page_rows(df.schema, {"SED": width or 1}, storage.SMALL_SPREAD, self.chunk_bytes, self.sed_rows)
-        return storage.writer_options(self.sed_codec if wide else self.codec, self.sed_level if wide else self.level, self.chunk_bytes, page)
+    def options(self, df: DataFrame) -> dict[str, str]:
+        if "SED" in df.columns:  # a table of spectra: pages of as many rows as asked, also in its few narrow columns
+            return storage.writer_options(self.sed_codec, self.sed_level, self.chunk_bytes, self.sed_rows)
+        return storage.writer_options(self.codec, self.level, self.chunk_bytes)
 
 
 def numbered_sources(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, patches: list[int]) -> DataFrame:
@@ -88,8 +89,8 @@ def in_pixel_order(places: DataFrame, level: int) -> DataFrame:
     return spatial.ordered_rows(spatial.with_pixel(places, healpix.checked_level(level)))
 
 
-def payload(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], places: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
-    """All output columns at their places, by one join on (skypatch, source_global_row).
+def payload(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame, specs: list[projection.ColumnSpec], places: DataFrame, offsets: DataFrame | None = None, proof: fingerprint.Proof | None = None) -> DataFrame:
+    """All output columns at their places, by one join on (skypatch, source_global_row); a proof watches each source.
 
     offsets (see rows.dense_offsets) give the catalogue its rows without a
     shuffle; without them it meets its places by (skypatch, core_group, row_in_group).
@@ -103,8 +104,9 @@ def payload(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame,
     parts = []
     for kind, df in own.items():
         mine = [s for s in specs if s.kind == kind]
-        parts.append(projection.projected(df, mine, [*KEYS, "core_group"] if kind == "lightcone_catalogs" else KEYS))
-    where = [c for c in ("partition_index", "input_row", "pixel", "output_row") if c in places.columns]
+        part = projection.projected(df, mine, [*KEYS, "core_group"] if kind == "lightcone_catalogs" else KEYS)
+        parts.append(proof.source(kind, part, [c for c in part.columns if c != "core_group"]) if proof else part)
+    where = [c for c in _PLACE if c in places.columns]
     return rows.with_provenance(rows.positional_join(*parts, places.select(*KEYS, *where))).drop("core_group")
 
 
@@ -137,10 +139,11 @@ def spectra_of(spark: SparkSession, root: str, patches: list[int] | int | None =
     return shards, shard_grids(spark, root, shards), spectra.concatenated(spectra.checked_rows(read, shards), shards)
 
 
-def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overwrite: bool = False, samples: int = spectra.SAMPLES, *, grids: DataFrame, places: DataFrame | None = None) -> DataFrame:
-    """final with SED from the shards, after all reference checks; these read ``places``, a narrower table of the same rows, if it is given."""
-    checks.require_appendable(final, overwrite)
-    places = final if places is None else places
+def appended_spectra(places: DataFrame, source: DataFrame, shards: DataFrame, samples: int = spectra.SAMPLES, *, grids: DataFrame, row: str = "output_row") -> tuple[DataFrame, fingerprint.Proof]:
+    """The spectrum of every row of ``places``, at its place, after all reference checks; and the proof that each has one.
+
+    Of the final rows only keys and places move, not their payload.
+    """
     refs = places.select(*KEYS)
     checks.require(
         [
@@ -154,7 +157,14 @@ def append_spectra(final: DataFrame, source: DataFrame, shards: DataFrame, overw
         checks.require([("identities differ", spectra.identity_violations(places, source, samples))])
     else:
         print("identities of the spectra were not compared: core_tag, redshift or output_row is missing")
-    return spectra.gathered(final.drop("SED"), source)
+    own = places.select("partition_index", row, *KEYS)
+    proof = fingerprint.Proof()
+    proof.expect("the catalogue", own, own.columns)
+    if own.count() == shards.agg(F.sum("n_rows")).first()[0]:  # all spectra are wanted, so all must arrive
+        source = proof.source("the spectra", source, [*KEYS, "SED"])
+    wide = spectra.gathered(own, source)
+    said = F.format_string("row %d of patch %d has no spectrum", "source_global_row", "skypatch")
+    return wide.withColumn("SED", F.coalesce("SED", F.raise_error(said))), proof
 
 
 def companions(spark: SparkSession, root: layout.Root, patches: list[int], required: bool) -> tuple[DataFrame, DataFrame] | None:
@@ -201,7 +211,7 @@ def converted_spectra(
         shards, grids, found = spectra_of(spark, root, p)
         target = posixpath.join(out, f"seds_skypatch_{p}.parquet")
         ordered = meta.annotated(found.repartitionByRange("source_global_row").sortWithinPartitions("source_global_row"))
-        publish_one(ordered, target, overwrite, options=how.options(ordered, shards.agg(F.max("width")).first()[0]))
+        publish_one(ordered, target, overwrite, options=how.options(ordered))
         n = shards.agg(F.max("n_global").alias("n_objects"))
         grid = grids.orderBy("shard").limit(1).select("wave_rest").withMetadata("wave_rest", meta.WAVELENGTH_METADATA)
         told = n.crossJoin(F.broadcast(grid)).withColumns({"skypatch": F.lit(p), "source_row_order": F.lit("producer global flat row order")})  # one row each
@@ -301,40 +311,84 @@ def publish_one(df: DataFrame, target: str, overwrite: bool = False, partition_b
         swap(spark, partial, target)
 
 
-def publish_parts(df: DataFrame, target: str, partition_by: tuple[str, ...] = ("partition_index",), options: dict[str, str] | None = None) -> None:
-    """Writes some partitions beside the target and swaps each of them in; the others stay."""
-    spark = df.sparkSession
-    with _partial(spark, target) as partial:
-        _written(df, partial, partition_by, options)
-        for name in layout.listing(spark, partial):
-            if "=" in name:
-                swap(spark, posixpath.join(partial, name), posixpath.join(target, name))
+def publish_parts(df: DataFrame, target: str, partition_by: tuple[str, ...] = ("partition_index",), options: dict[str, str] | None = None) -> list[str]:
+    """Writes a new folder of partitions and returns their names; no reader knows it before a snapshot does."""
+    _written(df, target, partition_by, options)
+    return snapshots.partitions(df.sparkSession, target)
+
+
+Tables = dict[str, tuple[DataFrame, tuple[str, ...], dict[str, str] | None]]
 
 
-def publish(spark: SparkSession, out: str, tables: dict[str, tuple[DataFrame, tuple[str, ...], dict[str, str] | None]], expected: DataFrame, overwrite: bool = False) -> None:
-    """All tables of a catalogue, written beside ``out``, counted, and put in its place at once."""
+def publish(spark: SparkSession, out: str, tables: Tables, proofs: dict[str, fingerprint.Proof], overwrite: bool = False) -> None:
+    """A whole catalogue in place of what ``out`` holds, by one commit."""
     refuse_populated(spark, out, overwrite)
-    if other := sorted(set(layout.listing(spark, out)) - set(TABLES)):
+    if other := sorted(n for n in layout.listing(spark, out) if n.split(".")[0] not in (*TABLES, snapshots.FOLDER)):
         raise LayoutError(f"{out} holds other things, which would be lost: {other}")
-    with _partial(spark, out) as partial:
+    changed(spark, out, tables, proofs, keep=False)
+
+
+def changed(spark: SparkSession, path: str, tables: Tables, proofs: dict[str, fingerprint.Proof] | None = None, keep: bool = True) -> None:
+    """Puts new tables into a catalogue by one commit; the others stay as they are, files and all (without ``keep``: go).
+
+    proofs: what must hold for a table, seen while it is written.
+    """
+    before, old = snapshots.state(spark, path, TABLES)
+    if not old:
+        snapshots.start(spark, path)
+    after, made = dict(old) if keep else {}, []
+    try:
         for name, (df, by, options) in tables.items():
-            _written(df, posixpath.join(partial, name), by, options)
-        written = spark.read.parquet(posixpath.join(partial, "data")).groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects"))
-        checks.require_none(checks.count_differences(expected, written, ["partition_index"]), "rows written differ from rows expected")
-        swap(spark, partial, out)
+            folder, proof = snapshots.new_folder(name), (proofs or {}).get(name)
+            made.append(folder)
+            _written(proof.result(df) if proof else df, posixpath.join(path, folder), by, options)
+            if proof:
+                proof.require(spark.read.parquet(posixpath.join(path, folder)))
+            after[name] = [[folder, None]]
+        snapshots.commit(spark, path, before, after)
+    except Exception:
+        snapshots.abandon(spark, path, made)
+        raise
+
+
+def read_catalogue(spark: SparkSession, path: str, with_spectra: bool = False) -> DataFrame:
+    """The objects of a catalogue; with spectra, SED from their own table, which has the data's places and order.
+
+    Only the rows and columns that are asked for are read: a filter on
+    partition_index and output_row reaches both tables' files.
+    """
+    _, state = snapshots.state(spark, path, TABLES)
+    data = snapshots.read(spark, path, "data", state)
+    if not with_spectra or "SED" in data.columns:
+        return data
+    return spectra.with_aligned(data, snapshots.read(spark, path, "spectra", state))
+
+
+def read_region(spark: SparkSession, path: str, region: list[regions.Cap], with_spectra: bool = False) -> DataFrame:
+    """The objects inside a region, read by the slices that the index has for it."""
+    _, state = snapshots.state(spark, path, TABLES)
+    level = snapshots.read(spark, path, "manifest", state).agg(F.max("spatial_index_level")).first()[0]
+    data, index = (snapshots.read(spark, path, t, state) for t in ("data", "index"))
+    found = regions.select(data, index, region, level)
+    if not with_spectra or "SED" in data.columns:
+        return found
+    wide = snapshots.read(spark, path, "spectra", state)
+    return spectra.with_aligned(found, wide.where(regions.near(index, region, level)))
 
 
 def refuse_populated(spark: SparkSession, out: str, overwrite: bool) -> None:
-    if not overwrite and (there := [t for t in TABLES if layout.exists(spark, posixpath.join(out, t))]):
+    if not overwrite and (there := sorted(snapshots.state(spark, out, TABLES)[1])):
         raise LayoutError(f"{out} holds {there} already")
 
 
-def in_files(data: DataFrame, row: str = "output_row") -> DataFrame:
-    """data as it is published: columns in alphabetical order with their metadata, rows in ranges of (partition, pixel) or (partition, row)."""
-    named = meta.annotated(data.select(*projection.object_columns(data)))
-    if "pixel" in data.columns:
-        return spatial.in_file_order(named, row=row)
-    return named.repartitionByRange("partition_index", row).sortWithinPartitions("partition_index", row)
+def sizes_of(manifest: DataFrame) -> dict[int, int]:
+    """Objects of each partition (few)."""
+    return {int(p): int(n) for p, n in manifest.select("partition_index", "n_objects").collect()}
+
+
+def in_files(data: DataFrame, sizes: dict[int, int], row: str = "output_row") -> DataFrame:
+    """data as it is published: columns in alphabetical order with their metadata, rows in ranges of (partition, row)."""
+    return spatial.in_file_order(meta.annotated(data.select(*projection.object_columns(data))), sizes, row=row)
 
 
 @contextmanager
@@ -359,7 +413,11 @@ def scratch_folder(out: str, scratch: str | None) -> str:
 
 
 def repartitioned(spark: SparkSession, raw_root: layout.Root, bands: dict[str, list[str]], n_partitions: int, decimals: int, patches: list[int] | None, stage, level: int | None = None):
-    """Raw sources to (data, places, counts, edges, patches, sources): lossless, each object to the range of its key."""
+    """Raw sources to (data, places, counts, edges, patches, sources, proof): lossless, each object to the range of its key.
+
+    proof: once data is written, it tells whether every value of the three
+    sources is there, in the row where it belongs.
+    """
     chosen = layout.selected_patches(layout.discover_skypatches(spark, raw_root), patches)
     catalog, lum, phot = (layout.read_kind(spark, raw_root, kind, chosen) for kind in layout.KINDS)
     numbered = numbered_sources(catalog, lum, phot, chosen)
@@ -372,7 +430,9 @@ def repartitioned(spark: SparkSession, raw_root: layout.Root, bands: dict[str, l
     again = places.groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects"))
     checks.require_none(checks.count_differences(counts, again, ["partition_index"]), "rows counted differ from rows placed")
     offsets = rows.dense_offsets(places, rows.group_offsets(catalog))
-    return payload(catalog, lum, phot, specs, places, offsets), places, counts, edges, chosen, (catalog, lum)
+    proof = fingerprint.Proof()
+    proof.expect("places", places, [c for c in (*KEYS, *_PLACE) if c in places.columns])
+    return payload(catalog, lum, phot, specs, places, offsets, proof), places, counts, edges, chosen, (catalog, lum), proof
 
 
 def run(
@@ -403,60 +463,85 @@ def run(
     refuse_populated(spark, out, overwrite)  # before any work
     axes = None if grids_path is None else meta.annotated(layout.load_time_grids(spark, grids_path))
     with staging(spark, scratch_folder(out, scratch), keep_intermediates) as stage:
-        data, places, counts, edges, chosen, (catalog, lum) = repartitioned(spark, raw_root, layout.load_band_names(spark, bands_path), n_partitions, decimals, patches, stage, level)
-        manifest = meta.with_level(meta.manifest(counts, edges, chosen, prefix), level)
-        width = None
+        data, places, counts, edges, chosen, (catalog, lum), proof = repartitioned(spark, raw_root, layout.load_band_names(spark, bands_path), n_partitions, decimals, patches, stage, level)
+        manifest, sizes = meta.with_level(meta.manifest(counts, edges, chosen, prefix), level), sizes_of(counts)
+        proofs, wide = {"data": proof}, None
         if sed_root is not None:
             shards, grids, source = spectra_of(spark, sed_root, chosen)
-            data = append_spectra(data, source, shards, overwrite, samples, grids=grids, places=places)
+            wide, proofs["spectra"] = appended_spectra(places, source, shards, samples, grids=grids)
             require_same_objects(source, places, lum, shards, samples)
             manifest = meta.with_status(manifest, True, SOURCE_NOTE)
-            width = shards.agg(F.max("width")).first()[0]
         headers = None
         if header_path is not None:
             targets = counts.select("partition_index", F.lit(False).alias("is_source"), F.lit(False).alias("has_header"))
             headers = meta.specialised_headers(targets, spark.read.parquet(header_path), places, manifest, first_step, replace=True)
             if sed_root is not None:
                 headers = meta.with_spectrum_header(headers, grids.orderBy("patch", "shard").limit(1).select("wave_rest"))
-        ordered = in_files(data)
+        ordered = in_files(data, sizes)
         tables = {
-            "data": (ordered, ("partition_index",), how.options(ordered, width)),
+            "data": (ordered, ("partition_index",), how.options(ordered)),
             "index": (spatial.sparse_index(places, level), ("partition_index", "level"), None),
             "provenance": (spatial.provenance(places), ("partition_index",), None),
             "manifest": (manifest, (), None),
         }
         tables |= {name: (df, (), None) for name, df in (("header", headers), ("axes", axes)) if df is not None}
-        publish(spark, out, tables, counts, overwrite)
+        if wide is not None:
+            tables["spectra"] = spectra_table(wide, sizes, how)
+        publish(spark, out, tables, proofs, overwrite)
+
+
+def spectra_table(wide: DataFrame, sizes: dict[int, int], how: Storage, row: str = "output_row") -> tuple[DataFrame, tuple[str, ...], dict[str, str]]:
+    """Spectra as a table of their own, in the data's ranges of rows, with pages of their own size."""
+    ordered = in_files(wide, sizes, row)
+    return ordered, ("partition_index",), how.options(ordered)
 
 
 def spatial_catalogue(spark: SparkSession, source: str, out: str, level: int = 5, overwrite: bool = False, how: Storage | None = None) -> list[int]:
     """Orders the partitions of a repartitioned catalogue by pixel and indexes them; returns those that were written.
 
     Partitions that ``out`` lists are skipped unless they are to be replaced.
-    All are written by one job; if it fails, one by one, and every failure is
-    named in the end.  What is not per object (header, axes) is carried over.
+    All are written by one job and one commit; if it fails, one by one, and
+    every failure is named in the end.  What is not per object (header, axes) is
+    carried over.
     """
     level, how = healpix.checked_level(level), how or Storage()
     if posixpath.normpath(source) == posixpath.normpath(out):
         raise LayoutError("input and output folders are the same")
-    data = spark.read.parquet(posixpath.join(source, "data"))
-    manifest = spark.read.parquet(posixpath.join(source, "manifest"))
-    old = posixpath.join(out, "manifest")
-    done = {r[0] for r in spark.read.parquet(old).select("partition_index").collect()} if layout.exists(spark, old) and not overwrite else set()
-    todo = sorted(r[0] for r in manifest.select("partition_index").collect() if r[0] not in done)
+    _, given = snapshots.state(spark, source, TABLES)
+    data, manifest = (snapshots.read(spark, source, t, given) for t in ("data", "manifest"))
+    if "input_row" not in data.columns:
+        raise LayoutError("the data has no input_row; repartition it again")
+    old = snapshots.state(spark, out, TABLES)[1]
+    done = {r[0] for r in snapshots.read(spark, out, "manifest", old).select("partition_index").collect()} if "manifest" in old and not overwrite else set()
+    sizes = {p: n for p, n in sizes_of(manifest).items() if p not in done}
+    todo = sorted(sizes)
 
     def write(parts: list[int]) -> None:
-        own = data.where(F.col("partition_index").isin(parts))
+        own = data.where(F.col("partition_index").isin(parts)).drop("pixel", "output_row")
+        before, state = snapshots.state(spark, out, TABLES)
+        after, replaced = dict(state), [f"partition_index={p}" for p in parts]
+        if not state:
+            snapshots.start(spark, out)
         with staging(spark, scratch_folder(out, None)) as stage:
-            keys = ["partition_index", "input_row"]
-            kept = own.select(*keys, "ra", "dec") if "input_row" in own.columns else None
-            if kept is None:
-                raise LayoutError("the data has no input_row; repartition it again")
-            places = stage(in_pixel_order(kept, level), "places")
-            ordered = in_files(own.drop("pixel", "output_row").join(places.select(*keys, "pixel", "output_row"), keys))
-            publish_parts(ordered, posixpath.join(out, "data"), options=how.options(ordered))
-            publish_parts(spatial.sparse_index(places, level), posixpath.join(out, "index"), ("partition_index", "level"))
-            publish_parts(spatial.provenance(places), posixpath.join(out, "provenance"))
+            keys, proof = ["partition_index", "input_row"], fingerprint.Proof()
+            places = stage(in_pixel_order(own.select(*keys, "ra", "dec"), level), "places")
+            proof.expect("places", places, [*keys, "pixel", "output_row"])
+            own = proof.source("the input", own, own.columns)
+            ordered = in_files(own.join(places.select(*keys, "pixel", "output_row"), keys), {p: sizes[p] for p in parts})
+            made = {"data": (proof.result(ordered), ("partition_index",), how.options(ordered)), "index": (spatial.sparse_index(places, level), ("partition_index", "level"), None), "provenance": (spatial.provenance(places), ("partition_index",), None)}
+            for name, (df, by, options) in made.items():
+                folder = snapshots.new_folder(name)
+                written = publish_parts(df, posixpath.join(out, folder), by, options)
+                if name == "data":
+                    proof.require(spark.read.parquet(posixpath.join(out, folder)))
+                after[name] = snapshots.merged(snapshots.listed(spark, out, state.get(name, [])), folder, written, replaced)
+        told = meta.with_level(manifest.where(F.col("partition_index").isin(parts)), level)
+        if "manifest" in state:
+            told = told.unionByName(snapshots.read(spark, out, "manifest", state).where(~F.col("partition_index").isin(parts)), allowMissingColumns=True)
+        for name, df in (("manifest", told), *((n, snapshots.read(spark, source, n, given)) for n in ("header", "axes") if n in given)):
+            after[name] = [[snapshots.new_folder(name), None]]
+            _written(df, posixpath.join(out, after[name][0][0]))
+        snapshots.commit(spark, out, before, after)
 
     good, failed = [], {}
     if todo:
@@ -472,13 +557,6 @@ def spatial_catalogue(spark: SparkSession, source: str, out: str, level: int = 5
                     good.append(part)
                 except Exception as error:
                     failed[part] = str(error).splitlines()[0]
-    told = meta.with_level(manifest.where(F.col("partition_index").isin(good)), level)
-    if good:
-        kept = spark.read.parquet(old).where(~F.col("partition_index").isin(good)) if layout.exists(spark, old) else None
-        publish_one(told if kept is None else told.unionByName(kept, allowMissingColumns=True), old, overwrite=True)
-        for name in ("header", "axes"):
-            if layout.exists(spark, posixpath.join(source, name)):
-                publish_one(spark.read.parquet(posixpath.join(source, name)), posixpath.join(out, name), overwrite=True)
     if failed:
         raise LayoutError(f"{len(failed)} partitions failed: " + "; ".join(f"{p}: {e}" for p, e in failed.items()))
     return good
@@ -487,29 +565,33 @@ def spatial_catalogue(spark: SparkSession, source: str, out: str, level: int = 5
 def append_catalogue(spark: SparkSession, path: str, sed_root: str, out: str | None = None, overwrite: bool = False, samples: int = spectra.SAMPLES, how: Storage | None = None) -> None:
     """A published catalogue with its spectra and their header, in its own place or as a catalogue ``out``.
 
-    The manifest says that spectra are not complete until all is written.
+    The spectra are a table of their own with the data's places; the data's files
+    are not touched.  Spectra, header and manifest appear by one commit.
     """
     how = how or Storage()
-    own = posixpath.join(path, "data")
-    if not layout.exists(spark, posixpath.join(path, "header")):
+    _, state = snapshots.state(spark, path, TABLES)
+    if "header" not in state:
         raise LayoutError(f"spectra need a header to describe them, and {path} has none")
-    final = spark.read.parquet(own)
+    final, manifest, header = (snapshots.read(spark, path, t, state) for t in ("data", "manifest", "header"))
+    checks.require_appendable(final, manifest, overwrite)
+    row = "output_row" if "output_row" in final.columns else "input_row"
+    checks.require_columns(final, (row,), "the catalogue")
+    if out is not None:
+        refuse_populated(spark, out, overwrite)
     patches = sorted(r[0] for r in layout.distinct_patches(final).collect())
     shards, grids, source = spectra_of(spark, sed_root, patches)
-    wide = in_files(append_spectra(final, source, shards, overwrite, samples, grids=grids), "output_row" if "output_row" in final.columns else "source_global_row")
-    header = meta.with_spectrum_header(spark.read.parquet(posixpath.join(path, "header")), grids.orderBy("patch", "shard").limit(1).select("wave_rest"))
-    manifest = spark.read.parquet(posixpath.join(path, "manifest"))
-    target = path if out is None else out
+    wide, proof = appended_spectra(final, source, shards, samples, grids=grids, row=row)
+    sizes = sizes_of(manifest)
+    header = meta.with_spectrum_header(header, grids.orderBy("patch", "shard").limit(1).select("wave_rest"))
+    tables: Tables = {"spectra": spectra_table(wide, sizes, how, row), "header": (header, (), None), "manifest": (meta.with_status(manifest, True, SOURCE_NOTE), (), None)}
+    if "SED" in final.columns:  # an older catalogue, with spectra among the data
+        tables["data"] = (in_files(final.drop("SED"), sizes, row), ("partition_index",), how.options(final.drop("SED")))
     if out is not None:
-        refuse_populated(spark, out, overwrite)
-        for name in ("index", "provenance", "axes"):
-            if layout.exists(spark, posixpath.join(path, name)):
-                publish_one(spark.read.parquet(posixpath.join(path, name)), posixpath.join(out, name), overwrite, {"index": ("partition_index", "level"), "provenance": ("partition_index",)}.get(name, ()))
-    record = posixpath.join(target, "manifest")
-    publish_one(meta.with_status(manifest, False, None), record, overwrite=True)
-    publish_one(wide, posixpath.join(target, "data"), True, ("partition_index",), how.options(wide, shards.agg(F.max("width")).first()[0]))
-    publish_one(header, posixpath.join(target, "header"), overwrite=True)
-    publish_one(meta.with_status(spark.read.parquet(record), True, SOURCE_NOTE), record, overwrite=True)
+        by = {"index": ("partition_index", "level"), "provenance": ("partition_index",)}
+        copied = in_files(final.drop("SED"), sizes, row)
+        tables["data"] = (copied, ("partition_index",), how.options(copied))
+        tables |= {t: (snapshots.read(spark, path, t, state), by.get(t, ()), None) for t in ("index", "provenance", "axes") if t in state}
+    changed(spark, path if out is None else out, tables, {"spectra": proof}, keep=out is None)
 
 
 def header_catalogues(spark: SparkSession, source: str, targets: list[str], replace: bool = False, specialise: bool = True, first_step: int = 0) -> int:
@@ -517,22 +599,21 @@ def header_catalogues(spark: SparkSession, source: str, targets: list[str], repl
 
     source: a header table, or a catalogue that holds one, which is skipped as a target.
     """
-    inside = posixpath.join(source, "header")
-    donor_path = inside if layout.exists(spark, inside) else source
-    donor = spark.read.parquet(donor_path)
-    if donor_path == inside or "partition_index" in donor.columns:
+    inside = snapshots.has(spark, source, "header")
+    donor = snapshots.read(spark, source, "header") if inside else spark.read.parquet(source)
+    if inside or "partition_index" in donor.columns:
         donor = donor.where("not coalesce(skipped, false)").orderBy("partition_index").limit(1).drop("partition_index", "is_source", "has_header", "skipped", "copied_before", "warnings")
     copied = 0
     for target in targets:
-        place = posixpath.join(target, "header")
-        same, has = posixpath.normpath(place) == posixpath.normpath(donor_path), layout.exists(spark, place)
+        _, state = snapshots.state(spark, target, TABLES)
+        same, has = inside and posixpath.normpath(target) == posixpath.normpath(source), "header" in state
         if same or has and not replace:
             print(f"{target}: " + ("is the source" if same else "has a header already (--replace)") + ", skipped")
             continue
-        manifest = spark.read.parquet(posixpath.join(target, "manifest"))
-        data = spark.read.parquet(posixpath.join(target, "data")) if specialise else None
+        manifest = snapshots.read(spark, target, "manifest", state)
+        data = snapshots.read(spark, target, "data", state) if specialise else None
         names = manifest.select("partition_index", F.lit(False).alias("is_source"), F.lit(has).alias("has_header"))
         headers = meta.specialised_headers(names, donor, data, manifest if specialise else None, first_step + copied, replace)
-        publish_one(headers, place, overwrite=replace)
+        changed(spark, target, {"header": (headers, (), None)})
         copied += manifest.count()
     return copied

@@ -144,9 +144,10 @@ def resolve_data_path(spark: SparkSession, relative: str, path: str | None = Non
 
 def final_paths(spark: SparkSession, folder: str) -> list[str]:
     """Published catalogues: the folder itself if it holds data, else those of its folders that do, in order."""
-    if exists(spark, posixpath.join(folder, "data")):
+    holds = lambda path: any(exists(spark, posixpath.join(path, n)) for n in ("data", "_snapshots"))
+    if holds(folder):
         return [folder]
-    return [path for n in listing(spark, folder) if exists(spark, posixpath.join(path := posixpath.join(folder, n), "data"))]
+    return [path for n in listing(spark, folder) if holds(path := posixpath.join(folder, n))]
 
 
 def collect_targets(spark: SparkSession, paths: list[str], folder: str | None = None, required: bool = False) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from skyloom.errors import LayoutError
 from skyloom.operators import checks, meta, projection, spectra, storage
 from skyloom.plans import cli, pipeline
-from skyloom.sources import hdf5, layout
+from skyloom.sources import hdf5, layout, snapshots
 
 GROUPS = {0: {"core_1": 5, "core_10": 4, "core_2": 7}, 1: {"core_0": 6, "core_3": 0}}
 
@@ -55,12 +55,13 @@ def raw(spark, tmp_path):
 
 def run(spark, raw, out="out", **more):
     pipeline.run(spark, str(raw / "raw"), str(raw / out), str(raw / "bands.json"), n_partitions=3, level=3, sed_root=str(raw / "sed"), header_path=str(raw / "donor"), first_step=5, **more)
-    return {t: spark.read.parquet(str(raw / out / t)) for t in ("data", "index", "provenance", "manifest", "header")}
+    return {t: snapshots.read(spark, str(raw / out), t) for t in ("data", "index", "provenance", "manifest", "header", "spectra")}
 
 
 def test_published_tables(spark, raw):
     found = run(spark, raw)
-    data = found["data"].collect()
+    assert "SED" not in found["data"].columns
+    data = pipeline.read_catalogue(spark, str(raw / "out"), with_spectra=True).collect()
     made = catalog_rows()
     assert sorted(r.core_tag for r in data) == sorted(r[6] for r in made)  # nothing lost
     by_tag = {r[6]: r for r in made}
@@ -95,7 +96,7 @@ def test_existing_output_is_refused_before_work_and_replaced_on_demand(spark, ra
     with pytest.raises(LayoutError, match="already"):
         run(spark, raw)
     assert run(spark, raw, overwrite=True)["data"].count() == len(catalog_rows())
-    assert not [n for n in layout.listing(spark, str(raw / "out")) if "partial" in n]
+    assert len(layout.listing(spark, str(raw / "out"))) == 13  # two states of six tables, and their record
 
 
 def test_failed_write_leaves_the_old_table(spark, tmp_path):
@@ -201,6 +202,10 @@ def test_references_and_identities(spark):
     assert spectra.gathered(final, source.where("source_global_row < 4")).where("SED is null").count() == 6
     with pytest.raises(LayoutError, match="spectra already"):
         checks.require_appendable(final.withColumn("SED", F.lit(1)))
+    status = lambda done: meta.with_status(final.limit(1), done, None)
+    with pytest.raises(LayoutError, match="spectra already"):
+        checks.require_appendable(final, status(True))
+    checks.require_appendable(final.withColumn("SED", F.lit(1)), status(False))  # an append that did not end
     with pytest.raises(LayoutError, match="old layout"):
         checks.require_appendable(final.withColumn("wave_rest", F.lit(1)))
     with pytest.raises(LayoutError, match="lacks"):
@@ -264,11 +269,11 @@ def test_commands(spark, raw):
     cli.main(["convert", "--input-dir", str(raw / "sed"), "--output-dir", str(raw / "c"), "--patch", "1", "--verify"], spark)
     cli.main(["header", "--source", str(raw / "donor"), "--target-dir", str(raw / "r"), "--first-step", "2"], spark)
     cli.main(["pipeline", *args, "--n-partitions", "3", "--level", "3", "--output-dir", str(raw / "p"), "--sed-dir", str(raw / "sed"), "--header-source", str(raw / "donor")], spark)
-    pick = lambda folder: sorted(map(str, spark.read.parquet(str(raw / folder / "data")).select("partition_index", "output_row", "core_tag", "SED").collect()))
+    pick = lambda folder: sorted(map(str, pipeline.read_catalogue(spark, str(raw / folder), True).select("partition_index", "output_row", "core_tag", "SED").collect()))
     assert pick("a") == pick("p")
     spectra_of = spark.read.parquet(str(raw / "c" / "seds_skypatch_0.parquet")).orderBy("source_global_row").collect()
     assert [r.core_tag for r in spectra_of] == [r[6] for r in catalog_rows() if r[0] == 0]
-    assert sorted(r.file_step for r in spark.read.parquet(str(raw / "r" / "header")).collect()) == [2, 3, 4]
+    assert sorted(r.file_step for r in snapshots.read(spark, str(raw / "r"), "header").collect()) == [2, 3, 4]
     with pytest.raises(LayoutError, match="same"):
         cli.main(["spatial", "--input-dir", str(raw / "r"), "--output-dir", str(raw / "r")], spark)
 
@@ -318,10 +323,10 @@ def test_missing_spectra_and_misaligned_repartition_are_refused(spark, raw):
     shards = pipeline.shard_table(spark, str(raw / "sed"))
     source = pipeline.spectra.concatenated(pipeline.read_shards(spark, str(raw / "sed")), shards)
     grids = pipeline.shard_grids(spark, str(raw / "sed"), shards)
-    final = source.select("skypatch", "source_global_row")
-    assert pipeline.append_spectra(final, source, shards, grids=grids).where("SED is null").count() == 0
+    final = source.select("skypatch", "source_global_row", F.lit(0).alias("partition_index"), F.monotonically_increasing_id().alias("output_row"))
+    assert pipeline.appended_spectra(final, source, shards, grids=grids)[0].where("SED is not null").count() == source.count()
     with pytest.raises(LayoutError, match="without a spectrum"):
-        pipeline.append_spectra(final, source.where("source_global_row <> 3"), shards, grids=grids)
+        pipeline.appended_spectra(final, source.where("source_global_row <> 3"), shards, grids=grids)
     _rewritten(spark, layout.patch_path(str(raw / "raw"), 1, "luminosities"), lambda d: d.withColumn("redshift", F.col("redshift") + F.lit(1).cast("float")))
     with pytest.raises(LayoutError, match="misaligned"):
         cli.main(["repartition", "--raw-root", str(raw / "raw"), "--bands", str(raw / "bands.json"), "--n-partitions", "3", "--output-dir", str(raw / "r")], spark)
@@ -352,7 +357,7 @@ def test_three_folders_prefix_axes_and_staging(spark, raw):
     folders = ["--catalog-dir", str(raw / "raw/lightcone_catalogs"), "--luminosity-dir", str(raw / "raw/luminosities"), "--photometry-dir", str(raw / "raw/photometry")]
     args = [*folders, "--bands", str(raw / "bands.json"), "--n-partitions", "3", "--level", "2", "--prefix", "sky", "--time-grids", str(raw / "grids"), "--scratch-dir", str(raw / "scratch"), "--compression", "gzip"]
     cli.main(["pipeline", *args, "--patch", "0", "--keep-intermediates", "--output-dir", str(raw / "one")], spark)
-    out = {t: spark.read.parquet(str(raw / "one" / t)) for t in ("data", "manifest", "axes")}
+    out = {t: snapshots.read(spark, str(raw / "one"), t) for t in ("data", "manifest", "axes")}
     rows = out["manifest"].collect()
     assert all(r.name.startswith("sky_") and (r.spatial_index_level, r.spatial_index_nside, list(r.skypatches)) == (2, 4, [0]) for r in rows)
     assert out["data"].count() == sum(GROUPS[0].values()) and out["axes"].schema["sfh_age_gyr"].metadata["unit"] == "Gyr"
@@ -380,19 +385,20 @@ def test_partitions_that_are_done_are_skipped_and_failures_are_named(spark, raw,
     def fails_on_one(df, target, *more, **named):
         if df.where("partition_index = 1").count():
             raise RuntimeError("disk of partition 1")
-        real(df, target, *more, **named)
+        return real(df, target, *more, **named)
 
     monkeypatch.setattr(pipeline, "publish_parts", fails_on_one)
     with pytest.raises(LayoutError, match="1 partitions failed: 1: disk"):
         pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 3)
-    record = lambda: sorted(r.partition_index for r in spark.read.parquet(str(raw / "s/manifest")).collect())
+    table = lambda name: snapshots.read(spark, str(raw / "s"), name)
+    record = lambda: sorted(r.partition_index for r in table("manifest").collect())
     assert record() == [0, 2]
     monkeypatch.setattr(pipeline, "publish_parts", real)
     assert pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 3) == [1] and record() == [0, 1, 2]
     assert pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 3) == []
     assert pipeline.spatial_catalogue(spark, str(raw / "r"), str(raw / "s"), 2, overwrite=True) == [0, 1, 2]
-    assert {r.spatial_index_level for r in spark.read.parquet(str(raw / "s/manifest")).collect()} == {2}
-    assert spark.read.parquet(str(raw / "s/data")).count() == len(catalog_rows()) and spark.read.parquet(str(raw / "s/index")).agg(F.max("level")).first()[0] == 2
+    assert {r.spatial_index_level for r in table("manifest").collect()} == {2}
+    assert table("data").count() == len(catalog_rows()) and table("index").agg(F.max("level")).first()[0] == 2
 
 
 def test_spectra_are_appended_in_place_with_a_status(spark, raw):
@@ -402,8 +408,9 @@ def test_spectra_are_appended_in_place_with_a_status(spark, raw):
     sed = str(raw / "sed")
     _rewritten(spark, f"{sed}/shards.parquet", lambda d: d.withColumn("complete", F.col("patch") == 0))  # patch 1 is still being copied
     cli.main(["append", str(raw / "all/0"), "--sed-dir", sed, "--compression", "none", "--chunk-rows", "2"], spark)
-    own = {t: spark.read.parquet(str(raw / "all/0" / t)) for t in ("data", "manifest", "header")}
-    assert own["data"].where("SED is null").count() == 0 and own["data"].schema["SED"].metadata["sed_format"] == "fnu_jy_obs_on_restgrid"
+    own = {t: snapshots.read(spark, str(raw / "all/0"), t) for t in ("data", "spectra", "manifest", "header")}
+    assert own["spectra"].where("SED is null").count() == 0 and own["spectra"].schema["SED"].metadata["sed_format"] == "fnu_jy_obs_on_restgrid"
+    assert own["spectra"].count() == own["data"].count()
     assert {(r.sed_append_complete, r.sed_append_source) for r in own["manifest"].collect()} == {(True, "raw spectrum shards")} and own["header"].first().sed_wave_rest == [1.0, 2.0, 3.0]
     with pytest.raises(LayoutError, match="spectra already"):
         cli.main(["append", "--catalog-dir", str(raw / "all/0"), "--sed-dir", sed], spark)
@@ -417,9 +424,9 @@ def test_spectra_are_appended_in_place_with_a_status(spark, raw):
     # headers: the source catalogue is skipped, steps count on over the others
     for k in ("2", "3"):
         for t in ("data", "manifest"):
-            spark.read.parquet(str(raw / "all/1" / t)).write.parquet(str(raw / "all" / k / t))
+            snapshots.read(spark, str(raw / "all/1"), t).write.parquet(str(raw / "all" / k / t))  # an older catalogue
     cli.main(["header", "--source", str(raw / "all/0"), "--target-dir", str(raw / "all"), "--first-step", "10"], spark)
-    steps = [sorted(r.file_step for r in spark.read.parquet(str(raw / "all" / k / "header")).collect()) for k in "0123"]
+    steps = [sorted(r.file_step for r in snapshots.read(spark, str(raw / "all" / k), "header").collect()) for k in "0123"]
     assert steps == [[0, 1], [0, 1], [10, 11], [12, 13]]
 
 
