@@ -38,6 +38,13 @@ def resolution_degrees(level: int) -> float:
     return math.degrees(math.sqrt(4 * math.pi / pixel_count(level)))
 
 
+def level_columns(level: Column) -> dict[str, Column]:
+    """Side, number of pixels and resolution in minutes of arc of a column of levels."""
+    each = [(side(k), pixel_count(k), 60 * resolution_degrees(k)) for k in range(MAX_LEVEL + 1)]
+    pick = lambda i: F.get(F.array(*[F.lit(row[i]) for row in each]), level)
+    return {"nside": pick(0).cast("long"), "npix": pick(1).cast("long"), "resolution_arcmin": pick(2)}
+
+
 def _spread(x: Column, level: int) -> Column:
     """Bit b to bit 2b."""
     bits = [F.shiftleft(F.shiftright(x, b).bitwiseAND(F.lit(1).cast("long")), 2 * b) for b in range(max(level, 1))]

@@ -71,6 +71,12 @@ def occupancy(dense_or_sparse: DataFrame, level: int, by: str = "partition_index
     )
 
 
+def level_summary(index: DataFrame) -> DataFrame:
+    """Side, pixels and resolution of each level of an index, and what the index holds of it."""
+    found = index.groupBy("level").agg(F.count(F.lit(1)).alias("n_entries"), F.sum("size").alias("n_objects"))
+    return found.select("level", *[c.alias(n) for n, c in healpix.level_columns(F.col("level")).items()], "n_entries", "n_objects")
+
+
 def ordered_rows(df: DataFrame, by: str = "partition_index", row: str = "input_row", bucket_rows: int = PIXEL_BUCKET) -> DataFrame:
     """Adds output_row: the place in its partition after the stable sort by pixel.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import arrays, healpix, names, numeric
-from skyloom.operators import binning, checks, meta, projection, rows, spatial, spectra, storage
+from skyloom.operators import binning, checks, fingerprint, meta, projection, regions, rows, spatial, spectra, storage, tree
 from skyloom.plans import pipeline
 from skyloom.plans.standins import BINNED_SQL, BINS, CATALOG_SQL, DECIMALS, EDGES_SQL, LEVEL, NUMBERED_SQL, PATCHES, SHARDS_SQL, SKY_SQL
 from skyloom.plans.standins import catalog as catalog_of
@@ -242,10 +242,37 @@ def region_read(spark: SparkSession, d: str) -> DataFrame:
     return found.where(spatial.in_region(F.col("pixel"), 17, 1, LEVEL)).select("partition_index", "input_row", "pixel")
 
 
-@query("SELECT l::INTEGER AS level, (1 << l)::BIGINT AS nside, (12 * (1 << (2 * l)))::BIGINT AS npix, round(degrees(sqrt(4 * pi() / (12 * (1 << (2 * l))))) * 60, 6) AS resolution_arcmin FROM range(0::BIGINT, 14::BIGINT) t(l)")
+@query(_SPARSE_SQL + " SELECT level, (1 << level)::BIGINT AS nside, (12 * (1 << (2 * level)))::BIGINT AS npix, round(degrees(sqrt(4 * pi() / (12 * (1 << (2 * level))))) * 60, 6) AS resolution_arcmin, count(*) AS n_entries, sum(size)::BIGINT AS n_objects FROM c GROUP BY level")
 def pixel_resolution(spark: SparkSession, d: str) -> DataFrame:
-    made = [(level, healpix.side(level), healpix.pixel_count(level), round(healpix.resolution_degrees(level) * 60, 6)) for level in range(healpix.MAX_LEVEL + 1)]
-    return spark.createDataFrame(made, "level int, nside long, npix long, resolution_arcmin double")
+    """What the levels of a written index are, and hold."""
+    index = spatial.sparse_index(spatial.with_pixel(sky_of(spark, d), LEVEL), LEVEL)
+    return spatial.level_summary(index).withColumn("resolution_arcmin", F.round("resolution_arcmin", 6))
+
+
+#: A disc across partitions and base pixels, and a quadrangle on the celestial equator.
+CONE = regions.cone(200.0, -35.0, 18.0)
+QUADRANGLE = regions.polygon([(40.0, -20.0), (95.0, -12.0), (88.0, 31.0), (35.0, 22.0)])
+
+
+@query(f"WITH {SKY_SQL} SELECT partition_index, input_row FROM sky WHERE {regions.inside_sql(CONE)}")
+def cone_search(spark: SparkSession, d: str) -> DataFrame:
+    """Pixels of the cover first, which sorted files can answer, then the exact distance."""
+    found = spatial.with_pixel(sky_of(spark, d), LEVEL).where(regions.in_ranges(F.col("pixel"), regions.cover(CONE, LEVEL)))
+    return found.where(regions.inside(CONE)).select("partition_index", "input_row")
+
+
+@query(f"WITH {SKY_SQL} SELECT partition_index, input_row FROM sky WHERE {regions.inside_sql(QUADRANGLE)}")
+def polygon_search(spark: SparkSession, d: str) -> DataFrame:
+    found = spatial.with_pixel(sky_of(spark, d), LEVEL).where(regions.in_ranges(F.col("pixel"), regions.cover(QUADRANGLE, LEVEL)))
+    return found.where(regions.inside(QUADRANGLE)).select("partition_index", "input_row")
+
+
+@query(f"WITH {_pix_sql(LEVEL)}, o AS (SELECT *, row_number() OVER (PARTITION BY partition_index ORDER BY pixel, input_row) - 1 AS output_row FROM pix) SELECT partition_index, output_row, input_row FROM o WHERE {regions.inside_sql(CONE)}")
+def cone_slices(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a disc by the index alone: (start, size) slices of the files' rows, then the exact distance."""
+    pixels = rows.checkpointed(spatial.with_pixel(sky_of(spark, d), LEVEL))
+    near = regions.near(spatial.sparse_index(pixels, LEVEL), CONE, LEVEL)
+    return spatial.ordered_rows(pixels).where(near).where(regions.inside(CONE)).select("partition_index", "output_row", "input_row")
 
 
 @query(f"WITH RECURSIVE {BINNED_SQL}, pos AS (SELECT b.*, {healpix.pixel_sql('((redshift * 7.3::DOUBLE) % 360.0::DOUBLE)', '(((core_tag * 0.5545::DOUBLE) % 180.0::DOUBLE) - 90.0::DOUBLE)', LEVEL)}::BIGINT AS pixel FROM binned b), inp AS (SELECT *, row_number() OVER (PARTITION BY partition_index ORDER BY skypatch, source_global_row) - 1 AS input_row FROM pos) SELECT partition_index, row_number() OVER (PARTITION BY partition_index ORDER BY pixel, input_row) - 1 AS output_row, input_row, pixel, skypatch, source_global_row, redshift, round(redshift * 2, 6) AS mag_u FROM inp")
@@ -262,6 +289,19 @@ def published_catalogue(spark: SparkSession, d: str) -> DataFrame:
     return found.select("partition_index", "output_row", "input_row", "pixel", *keys, "redshift", F.round("mag_u", 6).alias("mag_u"))
 
 
+_PROOF_SQL = ", ".join(f"sum(('0x' || substr(h, {8 * k + 1}, 8))::BIGINT)::BIGINT AS h{k}" for k in range(4))
+
+
+@query(f"WITH {NUMBERED_SQL}, d AS (SELECT md5(skypatch || ':' || source_global_row || ':' || core_tag) AS h FROM num) SELECT side, count(*) AS n, {_PROOF_SQL} FROM d, (VALUES ('published'), ('source')) v(side) GROUP BY side")
+def lossless_proof(spark: SparkSession, d: str) -> DataFrame:
+    """Sums of row hashes of the numbered catalogue and of the same rows binned and put in their places."""
+    numbered = rows.number_rows(catalog_of(spark, d))
+    after = pipeline.placed(numbered, _edges(spark, d)).repartition("partition_index")
+    digest = F.md5(F.concat_ws(":", "skypatch", "source_global_row", "core_tag").cast("binary"))
+    sums = [x.agg(*fingerprint.digest_sums(digest)).withColumn("side", F.lit(side)) for side, x in (("source", numbered), ("published", after))]
+    return sums[0].unionByName(sums[1])
+
+
 # --- spectra --------------------------------------------------------------
 
 
@@ -392,13 +432,25 @@ def band_list(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.posexplode(names.listed_bands_column(text)).alias("position", "band"))
 
 
-@query("SELECT * FROM (VALUES ('redshift','lightcone_catalogs','redshift',-1::INTEGER),('core_tag','lightcone_catalogs','core_tag',-1),('M_ABS_SDSS_g','luminosities','M_ABS_SDSS',0),('M_ABS_SDSS_r','luminosities','M_ABS_SDSS',1),('L_BOL_LSUN','luminosities','L_BOL_LSUN',-1),('mag_u','photometry','survey',0),('mag_a_b_c','photometry','survey',1)) v(name, kind, dataset, col_index)")
+_RESOLVED = (("redshift", "lightcone_catalogs", "redshift", -1, 1), ("core_tag", "lightcone_catalogs", "core_tag", -1, None), ("M_ABS_SDSS_g", "luminosities", "M_ABS_SDSS", 0, 2), ("M_ABS_SDSS_r", "luminosities", "M_ABS_SDSS", 1, 3), ("L_BOL_LSUN", "luminosities", "L_BOL_LSUN", -1, 4), ("mag_u", "photometry", "survey", 0, 5), ("mag_a_b_c", "photometry", "survey", 1, 6))
+
+
+@query(f"WITH {CATALOG_SQL} " + " UNION ALL ".join(f"SELECT '{n}' AS name, '{k}' AS kind, '{s}' AS dataset, {i}::INTEGER AS col_index, count(*) AS n_values, max({f'redshift * {m}' if m else 'core_tag'})::DOUBLE AS largest FROM cat" for n, k, s, i, m in _RESOLVED))
 def column_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """The output columns that three sources resolve to, with what they hold once they are taken."""
     base = catalog_of(spark, d)
-    lum = base.select("skypatch", "redshift", F.array("redshift").alias("M_ABS_SDSS"), F.col("redshift").alias("L_BOL_LSUN"))
-    phot = base.select("skypatch", F.array("redshift").alias("survey"))
+    z = lambda k: F.col("redshift") * k
+    lum = base.select("skypatch", "redshift", F.array(z(2), z(3)).alias("M_ABS_SDSS"), z(4).alias("L_BOL_LSUN"))
+    phot = base.select("skypatch", F.array(z(5), z(6)).alias("survey"))
     specs = projection.resolve_columns(base, lum, phot, {"_LUM_M_ABS_SDSS": ["g", "r"], "survey": ["u.txt", "a.b-c"]})
-    return spark.createDataFrame([(s.name, s.kind, s.dataset, -1 if s.index is None else s.index) for s in specs], "name string, kind string, dataset string, col_index int")
+    out = None
+    for kind, df in (("lightcone_catalogs", base), ("luminosities", lum), ("photometry", phot)):
+        mine = [s for s in specs if s.kind == kind]
+        told = projection.projected(df, mine, []).agg(*[f(s.name).alias(f"{s.name}_{n}") for s in mine for f, n in ((F.count, "n"), (F.max, "m"))])
+        each = [F.struct(F.lit(s.name).alias("name"), F.lit(s.kind).alias("kind"), F.lit(s.dataset).alias("dataset"), F.lit(-1 if s.index is None else s.index).alias("col_index"), F.col(f"{s.name}_n").alias("n_values"), F.col(f"{s.name}_m").cast("double").alias("largest")) for s in mine]
+        told = told.select(F.inline(F.array(*each)))
+        out = told if out is None else out.unionByName(told)
+    return out
 
 
 @query("SELECT vec_id FROM embeddings WHERE len(embedding) <> 64 OR vec_id % 50 = 7")
@@ -430,13 +482,14 @@ def int_spread_policy(spark: SparkSession, d: str) -> DataFrame:
     return storage.compress_advice(table(spark, d, "part")).withColumn("spread", F.coalesce("spread", F.lit(-1)))
 
 
-_UNIT_ROWS = ["ra", "stellar_mass", "x", "vx", "sfh", "mag_u", "M_ABS_SDSS_g", "mah_age_gyr", "other_age_gyr", "central", "skypatch", "redshift"]
+_UNITS_SQL = {"ra": "'deg', NULL", "dec": "'deg', NULL", "core_tag": "NULL, 'Unique identifier of the galaxy core'", "skypatch": "NULL, 'Source skypatch identifier'", "redshift": "NULL, NULL", "mag_u": "'mag', NULL", "M_ABS_SDSS_g": "'mag', NULL", "mah_age_gyr": "'Gyr', NULL", "other_age_gyr": "'Gyr', NULL", "sfh": "'solMass / yr', NULL", "vx": "'km / s', 'x-component of the galaxy velocity'", "stellar_mass": "'solMass / littleh', 'Stellar mass of the galaxy'"}
 
 
-@query("SELECT * FROM (VALUES ('ra','deg',NULL),('stellar_mass','solMass / littleh','Stellar mass of the galaxy'),('x','Mpc / littleh',NULL),('vx','km / s','x-component of the galaxy velocity'),('sfh','solMass / yr',NULL),('mag_u','mag',NULL),('M_ABS_SDSS_g','mag',NULL),('mah_age_gyr','Gyr',NULL),('other_age_gyr','Gyr',NULL),('central',NULL,'Whether the galaxy is in a central core'),('skypatch',NULL,'Source skypatch identifier'),('redshift',NULL,NULL)) v(\"column\", unit, description)")
+@query("WITH n AS (SELECT count(*) AS n, count(CASE WHEN event_id % 3 = 0 THEN 1 END) AS few FROM events) SELECT \"column\", unit, description, CASE WHEN \"column\" = 'vx' THEN few ELSE n END AS n_values FROM n, (VALUES " + ", ".join(f"('{c}', {told})" for c, told in _UNITS_SQL.items()) + ") v(\"column\", unit, description)")
 def unit_annotations(spark: SparkSession, d: str) -> DataFrame:
-    made = meta.annotated(spark.range(1).select(*[F.lit(1.0).alias(c) for c in _UNIT_ROWS]))
-    return spark.createDataFrame([(f.name, f.metadata.get("unit"), f.metadata.get("description")) for f in made.schema.fields], "column string, unit string, description string")
+    """Units and descriptions of a published table's own columns, and how many values stand under them."""
+    base = catalog_of(spark, d).select("core_tag", "skypatch", "redshift", *[F.col("redshift").alias(c) for c in _UNITS_SQL if c not in ("core_tag", "skypatch", "redshift", "vx")], F.when(F.col("core_tag") % 3 == 0, F.col("redshift")).alias("vx"))
+    return meta.described(meta.annotated(base))
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -524,10 +577,42 @@ def header_specialise(spark: SparkSession, d: str) -> DataFrame:
     return found.select("partition_index", "skipped", F.round("file_redshift", 6).alias("file_redshift"), F.coalesce("file_step", F.lit(-1)).alias("file_step"), F.get("z_range", F.lit(0)).alias("z_min"), F.get("z_range", F.lit(1)).alias("z_max"), "simulation")
 
 
-@query("SELECT count(*) FILTER (event_type = 'click') AS n_groups, count(*) FILTER (event_type = 'view') AS n_datasets, count(*) FILTER (event_type = 'error') AS n_attributes FROM events")
+def _donor(spark: SparkSession, d: str) -> DataFrame:
+    """A header of two levels and more, from the events."""
+    z = F.col("redshift")
+    told = catalog_of(spark, d).agg(F.max(z).alias("z"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("skypatch")).alias("patches"))
+    return told.select(
+        F.struct(F.round("z", 4).alias("redshift"), F.lit(7).cast("long").alias("step"), F.lit("run-7").alias("origin")).alias("file"),
+        F.struct(F.array(F.lit(0.0), F.round("z", 4)).alias("z_range"), F.struct("patches", F.col("n").alias("rows")).alias("sources")).alias("lightcone"),
+        F.struct(F.struct(F.struct(F.lit(0.31).alias("omega_m")).alias("matter")).alias("densities"), F.lit(None).cast("string").alias("note")).alias("cosmology"),
+    )
+
+
+_DONOR_SQL = f"""{CATALOG_SQL}, a AS (SELECT round(max(redshift), 4) AS z, count(*) AS n, '[' || string_agg(DISTINCT skypatch, ',' ORDER BY skypatch) || ']' AS p FROM cat),
+tree AS (SELECT unnest([{{'path': 'file', 'kind': 'group', 'number': NULL, 'value': NULL}}, {{'path': 'file/redshift', 'kind': 'attribute', 'number': z, 'value': NULL}}, {{'path': 'file/step', 'kind': 'attribute', 'number': 7, 'value': NULL}},
+  {{'path': 'file/origin', 'kind': 'attribute', 'number': NULL, 'value': 'run-7'}}, {{'path': 'lightcone', 'kind': 'group', 'number': NULL, 'value': NULL}}, {{'path': 'lightcone/z_range', 'kind': 'dataset', 'number': NULL, 'value': 'range'}},
+  {{'path': 'lightcone/sources', 'kind': 'group', 'number': NULL, 'value': NULL}}, {{'path': 'lightcone/sources/patches', 'kind': 'dataset', 'number': NULL, 'value': p}}, {{'path': 'lightcone/sources/rows', 'kind': 'attribute', 'number': n, 'value': NULL}},
+  {{'path': 'cosmology', 'kind': 'group', 'number': NULL, 'value': NULL}}, {{'path': 'cosmology/densities', 'kind': 'group', 'number': NULL, 'value': NULL}}, {{'path': 'cosmology/densities/matter', 'kind': 'group', 'number': NULL, 'value': NULL}},
+  {{'path': 'cosmology/densities/matter/omega_m', 'kind': 'attribute', 'number': 0.31, 'value': NULL}}, {{'path': 'cosmology/note', 'kind': 'attribute', 'number': NULL, 'value': NULL}}], recursive := true) FROM a)"""
+
+
+@query(f"WITH {_DONOR_SQL} SELECT count(*) FILTER (kind = 'group') AS n_groups, count(*) FILTER (kind = 'dataset') AS n_datasets, count(*) FILTER (kind = 'attribute') AS n_attributes FROM tree")
 def header_census(spark: SparkSession, d: str) -> DataFrame:
-    kind = F.when(F.col("event_type") == "click", "group").when(F.col("event_type") == "view", "dataset").when(F.col("event_type") == "error", "attribute")
-    return meta.header_census(table(spark, d, "events").select(F.col("event_id").alias("path"), kind.alias("kind")))
+    return tree.census(tree.rows_of(_donor(spark, d)))
+
+
+@query(f"WITH RECURSIVE {_DONOR_SQL}, {EDGES_SQL}, binned AS (SELECT redshift, greatest(0, least({BINS - 1}, len(list_filter(es, lambda x: x <= redshift)) - 1))::INTEGER AS partition_index FROM cat, edges), m AS (SELECT partition_index, round(median(redshift), 6) AS median FROM binned GROUP BY 1), t AS (SELECT i::INTEGER AS partition_index, es[i + 1] AS a, es[i + 2] AS b, 10 + row_number() OVER (ORDER BY i) - 1 AS step FROM edges, range(0, {BINS}) r(i) WHERE i <> 2) SELECT t.partition_index, path, CASE path WHEN 'lightcone/z_range' THEN 'attribute' ELSE kind END AS kind, CASE path WHEN 'file/redshift' THEN coalesce(median, number) WHEN 'file/step' THEN step ELSE number END::DOUBLE AS number, CASE path WHEN 'lightcone/z_range' THEN printf('%.2f %.2f', a, b) ELSE value END AS value FROM t LEFT JOIN m USING (partition_index), tree")
+def header_tree(spark: SparkSession, d: str) -> DataFrame:
+    """A donor of four levels on every partition but one, with the fields that vary."""
+    edges = _edges(spark, d)
+    binned = binning.assign_bins(catalog_of(spark, d), "redshift", edges)
+    counts = binning.bin_counts(binned, BINS)
+    targets = counts.select("partition_index", F.lit(False).alias("is_source"), (F.col("partition_index") == 2).alias("has_header"))
+    found = meta.specialised_headers(targets, _donor(spark, d), binned, meta.manifest(counts, edges, list(PATCHES)), first_step=10).where("not skipped")
+    number = F.round(F.when((F.col("kind") == "attribute") & F.col("type").isin("double", "bigint", "int"), F.expr("try_cast(value AS double)")), 6)
+    range_ = F.from_json("value", "array<double>")
+    text = F.when(F.col("path") == "lightcone/z_range", F.format_string("%.2f %.2f", F.get(range_, F.lit(0)), F.get(range_, F.lit(1)))).when(number.isNull(), F.col("value"))
+    return found.select("partition_index", "path", "kind", number.alias("number"), text.alias("value"))
 
 
 @query("SELECT (user_id % 4)::INTEGER AS skypatch, (user_id % 13)::INTEGER AS grp, event_id, row_number() OVER (PARTITION BY user_id % 4 ORDER BY user_id % 13, event_id) - 1 AS place FROM events")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skyloom.errors import LayoutError
 from skyloom.functions import healpix
-from skyloom.operators import binning, checks, fingerprint, meta, projection, regions, rows, spatial, spectra, storage
+from skyloom.operators import binning, checks, fingerprint, meta, projection, regions, rows, spatial, spectra, storage, tree
 from skyloom.sources import layout, snapshots
 
 KEY = "redshift"
@@ -601,8 +601,15 @@ def header_catalogues(spark: SparkSession, source: str, targets: list[str], repl
     """
     inside = snapshots.has(spark, source, "header")
     donor = snapshots.read(spark, source, "header") if inside else spark.read.parquet(source)
-    if inside or "partition_index" in donor.columns:
+    if inside and tree.is_tree(donor):
+        first = donor.where("not skipped").agg(F.min("partition_index")).first()[0]
+        donor = tree.rows_of(donor.where(F.col("partition_index") == first).where("not skipped"))
+    elif inside or "partition_index" in donor.columns:
         donor = donor.where("not coalesce(skipped, false)").orderBy("partition_index").limit(1).drop("partition_index", "is_source", "has_header", "skipped", "copied_before", "warnings")
+    if tree.is_tree(donor):
+        checks.require_none(tree.problems(tree.rows_of(donor)), "the header is no tree")
+        found = tree.census(tree.rows_of(donor)).first()
+        print(f"header: {found['n_groups']} subgroups, {found['n_datasets']} datasets, {found['n_attributes']} attributes")
     copied = 0
     for target in targets:
         _, state = snapshots.state(spark, target, TABLES)
