@@ -59,7 +59,8 @@ def value_of(rows: DataFrame, path: str, kind: str, **keys: int) -> object:
     found = rows.where(F.col("path") == path)
     for k, v in keys.items():
         found = found.where(F.col(k) == v)
-    row = found.select(F.from_json(F.concat(F.lit('{"v":'), F.when(F.lit(kind) == "string", F.to_json(F.struct("value"))).otherwise(F.col("value")), F.lit("}")), f"v {kind}").getField("v").alias("v")).first()
+    parsed = F.col("value") if kind == "string" else F.from_json(F.concat(F.lit('{"v":'), "value", F.lit("}")), f"v {kind}").getField("v")
+    row = found.select(parsed.alias("v")).first()
     return None if row is None else row["v"]
 
 
