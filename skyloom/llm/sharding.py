@@ -1,21 +1,28 @@
 """Sharding by histogram sort.
 
 Documents are ordered by (60 bits of the text's MD5, doc_id), so equal texts
-lie side by side.  A splitter is the first key with at least i/shards of all bytes
-below it.  Its bracket shrinks by rounds: executors sample keys inside the
-open brackets, count the exact bytes and rows below these probes, and the
-driver keeps the two probes around each target; a bracket of few rows is
-listed whole and settles the splitter exactly (tolerance 0).  Only then are
-the rows exchanged, once, to ranges a fraction of a shard wide, whose exact
-row counts give every row its slot.
+lie side by side.  A splitter is a row of that order: the first with at least
+i/shards of all bytes below it.  The bracket of its key shrinks by rounds:
+executors sample keys inside the open brackets, count the exact bytes and rows
+below these probes, and the driver keeps the two probes around each target; a
+bracket of few rows is listed whole and settles the key exactly (tolerance 0).
+Rows of one key are alike, so a division tells how many of them lie below the
+splitter.  Only then are the rows exchanged, once, to ranges a fraction of a
+shard wide, whose exact row counts give every row its place, and by that its
+shard and slot.
+
+A key that very many rows share has a range of its own, which no order can cut:
+its rows are staged, keep the partition where they lie, and are numbered there
+behind the counts of the partitions before, so no task gets all of them.
 
 Law ``bytes``: a row's size is its UTF-8 bytes plus 8, and a shard's size
-differs from the mean by less than the largest row.
+differs from the mean by less than the largest row, whatever rows are alike.
 
-Defined cases: a null text counts 0 bytes and comes before all others; rows of equal
-doc_id and text may share a key and then stay in one shard; a null doc_id
-sorts first; an empty table gives no rows.  Columns shard_* that the operator
-adds replace columns of these names.
+Defined cases: a null text counts 0 bytes and comes before all others; a null
+doc_id sorts first; rows of equal doc_id and text are in any order among
+themselves, and a splitter may part them; a very long text is hashed and moved
+whole; an empty table gives no rows.  Columns shard_* that the operator adds
+replace columns of these names.
 """
 
 from __future__ import annotations
@@ -122,8 +129,8 @@ def _after(key: tuple[int, int]) -> tuple[int, int]:
     return (key[0], key[1] + 1) if key[1] < (1 << 63) - 1 else (key[0] + 1, _NULL)
 
 
-def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tuple[list[tuple[int, int] | None], int, int]:
-    """The shards - 1 splitters (None: no such key), all bytes and all rows."""
+def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tuple[list[tuple[int, int] | None], list[int], int]:
+    """The keys at or after the shards - 1 splitters (None: no such key), the rows below each splitter, and all rows."""
     total, count = _histogram(keys, [])
     total, count = total[-1], count[-1]
     # bracket of splitter i: greatest key known to be too low, least key known to do
@@ -160,18 +167,33 @@ def splitters(keys: DataFrame, shards: int = SHARDS, sample: int = SAMPLE) -> tu
             bottom = low[i][0]
             # every key of the bracket was a probe, or the bracket is one key
             done[i] = inside <= sample or bottom is not None and high[i][0] == _after(bottom)
-    return [h[0] for h in high], total, count
+    below = []
+    for i in range(shards - 1) if count else ():
+        # the splitter lies among the rows between the bracket's ends, which all have the key of its lower end
+        (_, first, rows), (_, last, end) = low[i], high[i]
+        size = (last - first) // (end - rows)
+        below.append(rows + -(-(target[i] - shards * first) // (shards * size)))
+    return [h[0] for h in high], below, count
 
 
-def _shard(docs: DataFrame, shards: int, sample: int, range_rows: int) -> DataFrame:
-    rows = keyed(docs)
-    keys = checkpointed(rows.select("shard_hash", "shard_id", "shard_bytes"))
-    cuts, _, count = splitters(keys, shards, sample)
-    # several ranges for each partition of the exchange, so that they even out
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    range_rows = min(range_rows, max(1, -(-count // (RANGES * max(shards, partitions)))))
-    ranges = max(RANGES * shards, -(-count // range_rows))
-    fine = sorted({c for c in cuts if c is not None} | {((k << HASH_BITS) // ranges, _NULL) for k in range(1, ranges)})
+def _hot_keys(keys: DataFrame, fine: list[tuple[int, int]], heavy: list[int], most: int) -> list[tuple[int, int]]:
+    """Keys of more than ``most`` rows inside some ranges; there are at most all rows / ``most`` of them."""
+    if not heavy:
+        return []
+
+    def inside(batches):
+        for batch in batches:
+            high, low = _columns(batch, "shard_hash", "shard_id")
+            keep = np.isin(_positions(fine, high, low), heavy)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (high, low)], names=["high", "low"])
+
+    counted = keys.mapInArrow(inside, "high long, low long").groupBy("high", "low").count().where(F.col("count") > most)
+    return [(h, i) for h, i, _ in counted.collect()]
+
+
+def _ranges(keys: DataFrame, cuts: list[tuple[int, int]], count: int, ranges: int, range_rows: int) -> tuple[list[tuple[int, int]], list[int], list[bool]]:
+    """Least keys of ranges of at most some range_rows rows, the rows before each range, and which have one key of more rows."""
+    fine = sorted(set(cuts) | {((k << HASH_BITS) // ranges, _NULL) for k in range(1, ranges)})
     for turn in range(REFINEMENTS):  # ranges that hold too many rows (copies of one text) are cut at sampled keys
         _, below = _histogram(keys, fine)
         rows_in = np.diff([0, *below])
@@ -187,27 +209,54 @@ def _shard(docs: DataFrame, shards: int, sample: int, range_rows: int) -> DataFr
             fine = [*fine, *(found[len(found) * j // parts] for j in range(1, parts))]
         fine = sorted(set(fine))
     _, below = _histogram(keys, fine)
-    starts = [0, *below[:-1]]  # rows before each range
-    of = [sum(c is not None and c <= p for c in cuts) for p in fine]
-    shard_of = [0, *of]
-    first: dict[int, int] = {}
-    for k, s in enumerate(shard_of):
-        first.setdefault(s, starts[k])
-    offset = [starts[k] - first[s] for k, s in enumerate(shard_of)]
+    hot = set(_hot_keys(keys, fine, [k for k, n in enumerate(np.diff([0, *below]).tolist()) if n > 2 * range_rows], range_rows))
+    fine = sorted({*fine, *hot, *map(_after, hot)})
+    _, below = _histogram(keys, fine)
+    return fine, [0, *below[:-1]], [False, *(k in hot for k in fine)]
+
+
+def _placed(docs: DataFrame, shards: int, sample: int, range_rows: int) -> tuple[DataFrame, list[int]]:
+    """docs with shard_range, shard_part and shard_place, the place in the whole order; and the rows below each splitter."""
+    rows = keyed(docs)
+    keys = checkpointed(rows.select("shard_hash", "shard_id", "shard_bytes"))
+    cuts, below, count = splitters(keys, shards, sample)
+    # several ranges for each partition of the exchange, so that they even out
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    range_rows = min(range_rows, max(1, -(-count // (RANGES * max(shards, partitions)))))
+    fine, starts, hot = _ranges(keys, [c for c in cuts if c is not None], count, max(RANGES * shards, -(-count // range_rows)), range_rows)
 
     # a row for each range, of RANGE_ROWS rows of the table
-    table = docs.sparkSession.sparkContext.broadcast((_code_table(fine), np.array(offset, np.int64), np.array(shard_of, np.int32)))
+    table = docs.sparkSession.sparkContext.broadcast((_code_table(fine), np.array(starts, np.int64), np.array(hot, bool)))
 
-    @F.pandas_udf("number int, base long, shard int")
+    @F.pandas_udf("number int, base long, hot boolean")
     def range_of(high: pd.Series, low: pd.Series) -> pd.DataFrame:
-        codes, base, shard = table.value
+        codes, base, hot = table.value
         at = np.searchsorted(codes, _codes(high.to_numpy(), low.to_numpy()), side="right") if len(codes) else np.zeros(len(high), np.int64)
-        return pd.DataFrame({"number": at.astype(np.int32), "base": base[at], "shard": shard[at]})
+        return pd.DataFrame({"number": at.astype(np.int32), "base": base[at], "hot": hot[at]})
 
     rows = rows.withColumn("shard_range", range_of("shard_hash", "shard_id"))
-    rows = rows.select("*", F.col("shard_range.base").alias("shard_base"), F.col("shard_range.shard").alias("shard")).withColumn("shard_range", F.col("shard_range.number"))
-    order = Window.partitionBy("shard_range").orderBy("shard_hash", "shard_id")
-    return rows.withColumn("shard_slot", F.col("shard_base") + F.row_number().over(order) - 1)
+    rows = rows.select("*", F.col("shard_range.base").alias("shard_base"), F.col("shard_range.hot").alias("shard_hot")).withColumn("shard_range", F.col("shard_range.number"))
+    order = Window.partitionBy("shard_range", "shard_part").orderBy("shard_hash", "shard_id")
+    place = (F.col("shard_base") + F.row_number().over(order) - 1).alias("shard_place")
+    plain = rows.where("not shard_hot").withColumn("shard_part", F.lit(0))
+    if any(hot):
+        # where these rows lie is fixed by the checkpoint
+        staged = checkpointed(rows.where("shard_hot").withColumn("shard_part", F.spark_partition_id()))
+        parts = staged.groupBy("shard_range", "shard_part").agg(F.count(F.lit(1)).alias("n"))
+        before = Window.partitionBy("shard_range").orderBy("shard_part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.select("shard_range", "shard_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_before")).toArrow()  # as many as hot keys have partitions
+        offsets = F.broadcast(docs.sparkSession.createDataFrame(parts))
+        staged = staged.join(offsets, ["shard_range", "shard_part"]).withColumn("shard_base", F.col("shard_base") + F.col("shard_before"))
+        plain = plain.unionByName(staged.select(*plain.columns))
+    return plain.select("*", place), below
+
+
+def _shard(docs: DataFrame, shards: int, sample: int, range_rows: int) -> DataFrame:
+    rows, below = _placed(docs, shards, sample, range_rows)
+    at = F.col("shard_place")
+    shard = sum((F.when(at >= b, 1).otherwise(0) for b in below), F.lit(0)).cast("int")
+    first = F.get(F.array(*[F.lit(b).cast("long") for b in [0, *below]]), F.col("shard"))
+    return rows.withColumn("shard", shard).withColumn("shard_slot", at - first)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, sample: int = SAMPLE, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -226,6 +275,6 @@ WITH k AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 8 AS size, h
              coalesce(('0x' || substr(md5(text), 1, {HASH_BITS // 4}))::BIGINT, -1) AS key FROM documents),
 c AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::BIGINT),
         lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))), 4294967295) AS crc FROM k),
-p AS (SELECT *, ((sum(size) OVER (ORDER BY key, doc_id) - size) * {shards} // sum(size) OVER ())::INTEGER AS shard FROM c)
+p AS (SELECT *, ((sum(size) OVER (ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) - size) * {shards} // sum(size) OVER ())::INTEGER AS shard FROM c)
 SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY key, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard FROM p"""
