@@ -58,6 +58,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--chunk-kib", type=at_least(1), default=1024, help="bytes of a page")
     p.add_argument("--overwrite", action="store_true")
     storage(p)
+    p = sub.add_parser("stage", help="raw sources as tables in buckets of their common key, which later runs join without moving them")
+    p.add_argument("--raw-root", required=True)
+    p.add_argument("--output-dir", required=True)
+    p.add_argument("--patch", type=int, action="append", help="only this patch (repeatable)")
+    p.add_argument("--buckets", type=int, help="files of each kind (default: spark.sql.shuffle.partitions)")
+
     p = sub.add_parser("append", help="join spectra to catalogues that have a header")
     p.add_argument("catalog", nargs="*")
     p.add_argument("--catalog-dir", help="a catalogue, or a folder of catalogues")
@@ -142,6 +148,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             tables = {"data": (ordered, ("partition_index",), pipeline.Storage().options(ordered)), "manifest": (manifest, (), None)}
             pipeline.publish(spark, a.output_dir, tables, {"data": proof}, a.overwrite)
         binning.balance(counts, edges).orderBy("partition_index").show(1000)
+    elif a.command == "stage":
+        pipeline.stage_sources(spark, a.raw_root, a.output_dir, a.patch, a.buckets)
     elif a.command == "spatial":
         how = pipeline.Storage(a.compression, a.compression_level, a.chunk_kib << 10)
         done = pipeline.spatial_catalogue(spark, a.input_dir, a.output_dir, a.level, a.overwrite, how)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from skyloom.errors import LayoutError
 from skyloom.functions import healpix
 from skyloom.operators import binning, checks, fingerprint, meta, projection, regions, rows, spatial, spectra, storage, tree
-from skyloom.sources import layout, snapshots
+from skyloom.sources import layout, snapshots, staged
 
 KEY = "redshift"
 KEYS = ["skypatch", "source_global_row"]
@@ -95,7 +95,9 @@ def payload(catalog: DataFrame, luminosities: DataFrame, photometry: DataFrame,
     offsets (see rows.dense_offsets) give the catalogue its rows without a
     shuffle; without them it meets its places by (skypatch, core_group, row_in_group).
     """
-    if offsets is not None:
+    if "source_global_row" in catalog.columns:  # staged
+        numbered = catalog
+    elif offsets is not None:
         numbered = catalog.join(offsets, ["skypatch", "core_group"]).withColumn("source_global_row", F.col("row_offset") + F.col("row_in_group"))
     else:
         keys = ["skypatch", "core_group", "row_in_group"]
@@ -206,18 +208,22 @@ def converted_spectra(
     """
     how = how or Storage(sed_codec="blosc")
     verified_shards(spark, root, patches, raw_root, samples)
-    written = []
-    for p in sorted({n[1] for n in layout.shard_names(spark, root, patches)}):
-        shards, grids, found = spectra_of(spark, root, p)
-        target = posixpath.join(out, f"seds_skypatch_{p}.parquet")
-        ordered = meta.annotated(found.repartitionByRange("source_global_row").sortWithinPartitions("source_global_row"))
-        publish_one(ordered, target, overwrite, options=how.options(ordered))
-        n = shards.agg(F.max("n_global").alias("n_objects"))
-        grid = grids.orderBy("shard").limit(1).select("wave_rest").withMetadata("wave_rest", meta.WAVELENGTH_METADATA)
-        told = n.crossJoin(F.broadcast(grid)).withColumns({"skypatch": F.lit(p), "source_row_order": F.lit("producer global flat row order")})  # one row each
-        publish_one(told, posixpath.join(out, f"seds_skypatch_{p}.attributes.parquet"), overwrite)
-        written.append(target)
-    return written
+    chosen = sorted({n[1] for n in layout.shard_names(spark, root, patches)})
+    targets = {p: (posixpath.join(out, f"seds_skypatch_{p}.parquet"), posixpath.join(out, f"seds_skypatch_{p}.attributes.parquet")) for p in chosen}
+    if not overwrite and (there := [t for pair in targets.values() for t in pair if layout.exists(spark, t)]):
+        raise LayoutError(f"{there} exist")
+    shards, grids, found = spectra_of(spark, root, chosen)
+    sizes = {int(p): int(n) for p, n in shards.groupBy("patch").agg(F.max("n_global")).collect()}
+    ordered = spatial.in_file_order(meta.annotated(found), sizes, by="skypatch", row="source_global_row")
+    grid = grids.orderBy("patch", "shard").limit(1).select("wave_rest").withMetadata("wave_rest", meta.WAVELENGTH_METADATA)
+    told = shards.groupBy(F.col("patch").alias("skypatch")).agg(F.max("n_global").alias("n_objects")).crossJoin(F.broadcast(grid)).withColumn("source_row_order", F.lit("producer global flat row order"))  # one row
+    with _partial(spark, posixpath.join(out, "seds")) as partial:  # all patches by one job each, then each in its place
+        for name, df, options in (("spectra", ordered.withColumn("_patch", F.col("skypatch")), how.options(ordered)), ("attributes", told.withColumn("_patch", F.col("skypatch")), None)):
+            _written(df, posixpath.join(partial, name), ("_patch",), options)
+        for p, pair in targets.items():
+            for name, target in zip(("spectra", "attributes"), pair, strict=True):
+                swap(spark, posixpath.join(partial, name, f"_patch={p}"), target)
+    return [t for t, _ in targets.values()]
 
 
 def read_shards(spark: SparkSession, root: str, patches: list[int] | int | None = None) -> DataFrame:
@@ -412,15 +418,47 @@ def scratch_folder(out: str, scratch: str | None) -> str:
     return posixpath.join(scratch, "skyloom_staging") if scratch else f"{out.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
 
 
+def opened(spark: SparkSession, root: layout.Root, patches: list[int] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, list[int]]:
+    """Catalogue, luminosities and photometry of a raw root or of staged sources, the numbered keys, and the patches."""
+    if staged.is_staged(spark, root):
+        every = staged.record_of(spark, root)["patches"]
+        chosen = layout.selected_patches(every, patches)
+        catalog, lum, phot = (staged.read(spark, root, kind) for kind in layout.KINDS)
+        if chosen != every:
+            catalog, lum, phot = (df.where(F.col("skypatch").isin(chosen)) for df in (catalog, lum, phot))
+        return catalog, lum, phot, catalog.select(*[c for c in (*_NARROW, "source_global_row") if c in catalog.columns]), chosen
+    chosen = layout.selected_patches(layout.discover_skypatches(spark, root), patches)
+    catalog, lum, phot = (layout.read_kind(spark, root, kind, chosen) for kind in layout.KINDS)
+    return catalog, lum, phot, numbered_sources(catalog, lum, phot, chosen), chosen
+
+
+def stage_sources(spark: SparkSession, raw_root: layout.Root, out: str, patches: list[int] | None = None, buckets: int | None = None) -> None:
+    """Raw sources, checked and numbered, as tables in buckets of their common key.
+
+    The payload moves here once; runs on ``out`` join it where it lies, however
+    often it is binned anew.
+    """
+    if staged.is_staged(spark, out):
+        raise LayoutError(f"{out} holds staged sources already")
+    catalog, lum, phot, numbered, chosen = opened(spark, raw_root, patches)
+    keys = ["skypatch", "core_group", "row_in_group"]
+    with staging(spark, scratch_folder(out, None)) as stage:
+        numbered = stage(numbered, "numbered")
+        offsets = rows.dense_offsets(numbered, rows.group_offsets(catalog))
+        if offsets is not None:
+            whole = catalog.join(offsets, ["skypatch", "core_group"]).withColumn("source_global_row", F.col("row_offset") + F.col("row_in_group")).drop("row_offset")
+        else:
+            whole = catalog.join(numbered.select(*keys, "source_global_row"), keys)
+        staged.write(spark, out, dict(zip(layout.KINDS, (whole, lum, phot), strict=True)), chosen, buckets)
+
+
 def repartitioned(spark: SparkSession, raw_root: layout.Root, bands: dict[str, list[str]], n_partitions: int, decimals: int, patches: list[int] | None, stage, level: int | None = None):
     """Raw sources to (data, places, counts, edges, patches, sources, proof): lossless, each object to the range of its key.
 
     proof: once data is written, it tells whether every value of the three
     sources is there, in the row where it belongs.
     """
-    chosen = layout.selected_patches(layout.discover_skypatches(spark, raw_root), patches)
-    catalog, lum, phot = (layout.read_kind(spark, raw_root, kind, chosen) for kind in layout.KINDS)
-    numbered = numbered_sources(catalog, lum, phot, chosen)
+    catalog, lum, phot, numbered, chosen = opened(spark, raw_root, patches)
     plain = catalog.select("skypatch", KEY)
     edges = binning.quantile_edges(plain, KEY, n_partitions, decimals)
     places = placed(numbered, edges)
@@ -429,7 +467,7 @@ def repartitioned(spark: SparkSession, raw_root: layout.Root, bands: dict[str, l
     counts = binning.bin_counts(binning.assign_bins(plain, KEY, edges), n_partitions)
     again = places.groupBy("partition_index").agg(F.count(F.lit(1)).alias("n_objects"))
     checks.require_none(checks.count_differences(counts, again, ["partition_index"]), "rows counted differ from rows placed")
-    offsets = rows.dense_offsets(places, rows.group_offsets(catalog))
+    offsets = None if "source_global_row" in catalog.columns else rows.dense_offsets(places, rows.group_offsets(catalog))
     proof = fingerprint.Proof()
     proof.expect("places", places, [c for c in (*KEYS, *_PLACE) if c in places.columns])
     return payload(catalog, lum, phot, specs, places, offsets, proof), places, counts, edges, chosen, (catalog, lum), proof

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.errors import LayoutError
 from skyloom.operators import checks, fingerprint, meta, rows, spatial, spectra, tree
-from skyloom.plans import pipeline
+from skyloom.plans import cli, pipeline
 from skyloom.sources import layout, snapshots
 from tests.test_pipeline import catalog_rows, raw, run  # noqa: F401
 
@@ -240,3 +240,32 @@ def test_trees_are_counted_and_checked(spark):
     assert all(len(r.warnings) == 2 for r in found if not r.skipped)
     plain = meta.specialised_headers(targets, rows_.where("path not like 'file%'"), spark.createDataFrame([(1, 2.0)], "partition_index int, redshift double"), None, replace=True)
     assert "header has no group file" in plain.first().warnings and json.loads(plain.where("path = 'lightcone/z_range'").first()["value"]) == [0.0, 9.0]
+
+
+# --- staged sources -------------------------------------------------------
+
+
+def test_staged_sources_join_without_an_exchange(spark, raw):  # noqa: F811
+    """Runs on staged sources give the same catalogue, and the join moves places only."""
+    bands = ["--bands", str(raw / "bands.json"), "--n-partitions", "3", "--level", "2"]
+    cli.main(["stage", "--raw-root", str(raw / "raw"), "--output-dir", str(raw / "staged"), "--buckets", "5"], spark)
+    with pytest.raises(LayoutError, match="already"):
+        cli.main(["stage", "--raw-root", str(raw / "raw"), "--output-dir", str(raw / "staged")], spark)
+    cli.main(["pipeline", "--raw-root", str(raw / "staged"), *bands, "--output-dir", str(raw / "a")], spark)
+    cli.main(["pipeline", "--raw-root", str(raw / "raw"), *bands, "--output-dir", str(raw / "b")], spark)
+    a, b = (snapshots.read(spark, str(raw / k), "data") for k in "ab")
+    assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        catalog, lum, phot, _, chosen = pipeline.opened(spark, str(raw / "staged"))
+        assert chosen == [0, 1] and len(catalog.inputFiles()) <= 5
+        joined = rows.positional_join(catalog.drop("redshift"), lum, phot)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange" not in text and joined.count() == len(catalog_rows())
+        places = catalog.select("skypatch", "source_global_row", F.lit(1).alias("place")).repartition(3)
+        text = joined.join(places, ["skypatch", "source_global_row"])._jdf.queryExecution().executedPlan().toString()
+        assert all("place" in line for line in text.splitlines() if "Exchange hashpartitioning" in line) or text.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    one = pipeline.opened(spark, str(raw / "staged"), [1])
+    assert one[4] == [1] and one[0].count() == 6
