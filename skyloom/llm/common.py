@@ -20,10 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir, or the warehouse where it is unset.
 
-    A folder of the local machine would be lost to the others, so none is made up.
+    A warehouse in a local file system is shared by one process only, so on a
+    cluster the setting must be there.
     """
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return given or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{uuid.uuid4().hex[:8]}"
+    context = spark.sparkContext
+    if given := spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
+        return given
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    scheme = context._jvm.org.apache.hadoop.fs.Path(warehouse).getFileSystem(context._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{warehouse}/_checkpoints-{uuid.uuid4().hex[:8]}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

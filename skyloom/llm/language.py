@@ -11,6 +11,12 @@ likelihood, on code-switched sequences spliced from labelled documents.
 Forward-backward gives each word's label probabilities; a document's language
 is the label of the largest summed probability, its score that share.
 
+A text of over LONG_BYTES is cut into lanes of LANE words that advance side by
+side: each lane's transfer matrix is taken first, a scan over the lanes joins
+them to the messages that enter and leave every lane, and these make its
+probabilities the same as those of one pass over the whole text.  Its features
+are made in pieces cut between words.
+
 Training uses a hash sample of about ``per_language`` labelled documents a
 language (the documented bound), each whole, like every document that is then
 labelled.
@@ -18,7 +24,7 @@ labelled.
 Defined cases: a null text, or one without letters, is ``und`` with score 0;
 without labelled documents everything is; a null lang is never learned from; a
 null doc_id is neither held out nor learned from; repeated rows get equal
-results; further columns are ignored.
+results; a very long text is labelled whole, in lanes; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +45,8 @@ LEXICON_COUNT = 3
 #: Text labelled at once, and text whose features are held at once.
 PIECE_BYTES, FEATURE_BYTES = 4 << 20, 384 << 10
 UNKNOWN = "und"
+#: Text that is labelled in lanes, words of a lane, lanes at once.
+LONG_BYTES, LANE, LANES = 1 << 20, 512, 1024
 
 _LETTER = re.compile(r"[^\W\d_]")
 _KEEP = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
@@ -115,11 +123,13 @@ class Model:
         return np.add.reduceat(each, words.first, axis=0) + self.lexical[rows]
 
 
-def forward_backward(emission: np.ndarray, text: np.ndarray, move: np.ndarray, start: np.ndarray, pairs: bool = False):
+def forward_backward(emission: np.ndarray, text: np.ndarray, move: np.ndarray, start: np.ndarray, pairs: bool = False, enter: np.ndarray | None = None, leave: np.ndarray | None = None):
     """Label probabilities of each word; with ``pairs`` also expected starts and moves.
 
     Sequences (runs of one ``text``) advance side by side, longest first, so a
-    step's words lie together.
+    step's words lie together.  ``enter`` and ``leave`` have a row for each
+    sequence that is a part of a longer one: the weights of its first word's
+    labels by what comes before it, and of its last word's by what comes after.
     """
     n, k = emission.shape
     probability = np.zeros((n, k), np.float32)
@@ -138,7 +148,7 @@ def forward_backward(emission: np.ndarray, text: np.ndarray, move: np.ndarray, s
     e = np.exp(emission[source] - emission[source].max(axis=1, keepdims=True))
     a = np.empty_like(e)
     trans = np.exp(move - move.max()).astype(np.float32)
-    now = e[: active[0]] * np.exp(start - start.max()).astype(np.float32)
+    now = e[: active[0]] * (np.exp(start - start.max()) if enter is None else enter[order]).astype(np.float32)
     now /= now.sum(axis=1, keepdims=True)
     a[: active[0]] = now
     ones = np.ones(k, np.float32)
@@ -147,7 +157,7 @@ def forward_backward(emission: np.ndarray, text: np.ndarray, move: np.ndarray, s
         now = (now[:m] @ trans) * e[low : low + m]
         now /= (now @ ones)[:, None]
         a[low : low + m] = now
-    back = np.ones((len(begin), k), np.float32) / k
+    back = np.ones((len(begin), k), np.float32) / k if leave is None else leave[order].astype(np.float32)
     for t in range(len(spans) - 1, -1, -1):
         low, m = spans[t]
         here = a[low : low + m] * back[:m]
@@ -168,6 +178,59 @@ def forward_backward(emission: np.ndarray, text: np.ndarray, move: np.ndarray, s
     return probability, moves, starts
 
 
+def _transfers(emission: np.ndarray, lane: int, trans: np.ndarray) -> np.ndarray:
+    """For each lane the product of the steps from its first word to its last (the first word's own weights left out), scaled."""
+    n, k = emission.shape
+    lanes = -(-n // lane)
+    out = np.broadcast_to(np.eye(k), (lanes, k, k)).copy()
+    weight = np.exp(emission.astype(np.float64) - emission.max(axis=1, keepdims=True))
+    for t in range(1, min(lane, n)):
+        own = weight[t::lane]  # the t-th word of the lanes that have one
+        step = (out[: len(own)] @ trans) * own[:, None, :]
+        out[: len(own)] = step / step.sum(axis=(1, 2), keepdims=True)
+    return out
+
+
+def long_share(emission: np.ndarray, model: Model, lane: int | None = None, at_once: int | None = None) -> np.ndarray:
+    """Summed label probabilities of the words of one long text."""
+    lane, at_once = lane or LANE, at_once or LANES
+    n, k = emission.shape
+    trans = np.exp(model.move.astype(np.float64) - model.move.max())
+    lanes = -(-n // lane)
+    first = emission[::lane].astype(np.float64)
+    first = np.exp(first - first.max(axis=1, keepdims=True))
+    block = lane * at_once
+    through = np.concatenate([_transfers(emission[at : at + block], lane, trans) for at in range(0, n, block)])
+    enter, leave = np.empty((lanes, k)), np.empty((lanes, k))
+    now = np.exp(model.start.astype(np.float64) - model.start.max())
+    for j in range(lanes):  # the scan over lanes
+        enter[j] = now / now.sum()
+        now = (enter[j] * first[j]) @ through[j] @ trans
+    now = np.ones(k)
+    for j in range(lanes - 1, -1, -1):
+        leave[j] = now / now.sum()
+        now = trans @ (first[j] * (through[j] @ leave[j]))
+    share = np.zeros(k)
+    for at in range(0, n, block):
+        own = emission[at : at + block]
+        some = slice(at // lane, at // lane + -(-len(own) // lane))
+        p, _, _ = forward_backward(own, np.arange(len(own)) // lane, model.move, model.start, enter=enter[some], leave=leave[some])
+        share += p.sum(axis=0, dtype=np.float64)
+    return share
+
+
+def long_emissions(low: bytes, model: Model) -> np.ndarray:
+    """What each word of a long text says of its label, by pieces cut between words."""
+    kept, at, out = low.translate(_KEEP), 0, []
+    while at < len(kept):
+        end = kept.find(b" ", at + FEATURE_BYTES)
+        end = len(kept) if end < 0 else end
+        words = words_of([kept[at:end]])
+        out.append(model.emissions(words, model.lexicon_rows(words.code)))
+        at = end
+    return np.concatenate(out)
+
+
 def spliced(documents: list[tuple[str, bytes]], seed: int = SEED) -> tuple[list[bytes], list[list[tuple[str, int]]]]:
     """Sequences of pieces of different documents: texts, and (label, bytes) of their pieces."""
     dice = np.random.default_rng(seed)
@@ -265,7 +328,12 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], list[floa
             low, start = [], end
             held = 0
             while end < len(texts) and held < FEATURE_BYTES:
-                low.append(_lowered(texts[end]))
+                own = _lowered(texts[end])
+                if len(own) > LONG_BYTES:
+                    share = long_share(long_emissions(own, model), model)
+                    labels[end], scores[end] = model.labels[int(share.argmax())], min(1.0, float(share.max() / share.sum()))
+                    own = b""
+                low.append(own)
                 held += len(low[-1]) + 1
                 end += 1
             size += held

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -77,6 +78,39 @@ def test_identify_equals_brute_force(spark, docs, corpus, data_dir):
         assert any(g[0] == label and g[1] == pytest.approx(score, abs=2e-3) for g in got[doc])
 
 
+@pytest.mark.parametrize("lane, at_once", [(1, 3), (4, 1), (7, 2), (64, 64)])
+def test_lanes_equal_one_pass(lane, at_once):
+    """The transfer products join lanes of a text to the probabilities of the whole."""
+    dice = np.random.default_rng(lane)
+    for n in (1, 5, 28, 65):
+        emission = (3 * dice.normal(size=(n, 4))).astype(np.float32)
+        model = language.Model(list("abcd"), np.zeros((1, 4)), np.zeros(0), np.zeros((1, 4)), (2 * dice.normal(size=(4, 4))).astype(np.float32), dice.normal(size=4).astype(np.float32))
+        whole, _, _ = language.forward_backward(emission, np.zeros(n, int), model.move, model.start)
+        assert language.long_share(emission, model, lane, at_once) == pytest.approx(whole.sum(axis=0), abs=1e-4)
+
+
+def test_long_texts_equal_brute_force(docs, corpus, monkeypatch):
+    model = language.fit(docs)
+    for name, value in {"LONG_BYTES": 60, "LANE": 5, "LANES": 3, "FEATURE_BYTES": 50}.items():
+        monkeypatch.setattr(language, name, value)
+    labels, scores = language.predict([r[1] for r in corpus], model)
+    for (_, text, *_), label, score in zip(corpus, labels, scores, strict=True):
+        want, share = plain_language(text, model)
+        assert label == want and score == pytest.approx(share, abs=2e-3)
+
+
+def test_one_long_text_takes_no_longer_than_many_short_ones(docs, corpus):
+    model = language.fit(docs)
+    text = " ".join(r[1] for r in corpus if r[1]) + " "
+    long = text * (4_000_000 // len(text))
+    times = {}
+    for name, texts in (("short", [text[:10_000]] * (len(long) // 10_000)), ("long", [long])) * 2:
+        began = time.process_time()
+        language.predict(texts, model)
+        times[name] = time.process_time() - began
+    assert times["long"] < 2.5 * times["short"]
+
+
 def test_features_belong_to_their_words():
     alone = [language.words_of([w]) for w in (b"the", b"maison")]
     both = language.words_of([b"the, maison", b"", b"the"])
