@@ -101,19 +101,26 @@ def range_of(pix: int, level: int, at: int) -> tuple[int, int]:
     return pix << shift, ((pix + 1) << shift) - 1
 
 
+# Ring of the southern corner, and longitude of the centre in eighths of a turn, of the twelve base pixels.
+BASE_RING = (2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4)
+BASE_TURN = (1, 3, 5, 7, 0, 2, 4, 6, 1, 3, 5, 7)
+
+
 def pixel_sql(ra: str, dec: str, level: int) -> str:
-    """The same arithmetic as SQL text."""
+    """The nested pixel as SQL text, found in another way than add_pixel() does.
+
+    A direction's ring coordinate (0 at the north pole, 2 at the equator) and
+    longitude give its place in the frame of each base pixel; the one that
+    holds it is taken.
+    """
     ns = side(level)
     spread = lambda v: " + ".join(f"((({v} >> {b}) & 1) << {2 * b})" for b in range(max(level, 1)))
-    return f"""(SELECT (face << {2 * level}) + ({spread('x')}) + 2 * ({spread('y')}) FROM (
-      SELECT CASE WHEN za <= 2.0::DOUBLE / 3.0::DOUBLE THEN CASE WHEN fp = fm THEN fp | 4 WHEN fp < fm THEN fp ELSE fm + 8 END
-                  WHEN z >= 0 THEN ntt ELSE ntt + 8 END AS face,
-             CASE WHEN za <= 2.0::DOUBLE / 3.0::DOUBLE THEN jm & {ns - 1} WHEN z >= 0 THEN {ns - 1} - cm ELSE cp END AS x,
-             CASE WHEN za <= 2.0::DOUBLE / 3.0::DOUBLE THEN {ns - 1} - (jp & {ns - 1}) WHEN z >= 0 THEN {ns - 1} - cp ELSE cm END AS y
-      FROM (SELECT *, jp >> {level} AS fp, jm >> {level} AS fm,
-                   least({ns - 1}, floor((tt - ntt) * t)::BIGINT) AS cp, least({ns - 1}, floor((1.0 - (tt - ntt)) * t)::BIGINT) AS cm
-            FROM (SELECT *, floor({ns} * (0.5 + tt) - {ns} * z * 0.75)::BIGINT AS jp, floor({ns} * (0.5 + tt) + {ns} * z * 0.75)::BIGINT AS jm,
-                         least(3, floor(tt)::BIGINT) AS ntt,
-                         {ns} * CASE WHEN theta < {POLAR}::DOUBLE OR theta > pi() - {POLAR}::DOUBLE THEN sin(theta) / sqrt((1.0 + za) / 3.0) ELSE sqrt(3.0 * (1.0 - za)) END AS t
-                  FROM (SELECT theta, cos(theta) AS z, abs(cos(theta)) AS za, ({ra} - 360.0 * floor({ra} / 360.0)) / 90.0 AS tt
-                        FROM (SELECT pi() / 2 - radians({dec}) AS theta))))))"""
+    bases = ", ".join(f"({f}, {r}, {t})" for f, (r, t) in enumerate(zip(BASE_RING, BASE_TURN, strict=True)))
+    return f"""(SELECT min((f << {2 * level}) + ({spread('ix')}) + 2 * ({spread('iy')})) FROM (
+      SELECT f, least({ns - 1}, floor(x * {ns})::BIGINT) AS ix, least({ns - 1}, floor(y * {ns})::BIGINT) AS iy
+      FROM (SELECT f, w, d, (r - h + d * w) / 2 AS x, (r - h - d * w) / 2 AS y
+            FROM (SELECT f, r, h, least(1.0, h, 4.0 - h) AS w, ((turn - c + 12.0) % 8.0) - 4.0 AS d
+                  FROM (SELECT CASE WHEN abs(sin(radians({dec}))) <= 2.0::DOUBLE / 3.0::DOUBLE THEN 2.0 - 1.5 * sin(radians({dec}))
+                                    WHEN {dec} > 0 THEN sqrt(6.0::DOUBLE) * sin(radians(90.0 - {dec}) / 2) ELSE 4.0 - sqrt(6.0::DOUBLE) * sin(radians(90.0 + {dec}) / 2) END AS h,
+                               ({ra} - 360.0 * floor({ra} / 360.0)) / 45.0::DOUBLE AS turn), (VALUES {bases}) b(f, r, c)))
+      WHERE x BETWEEN 0 AND 1 AND y BETWEEN 0 AND 1 AND (w = 1 OR d >= -1 AND d < 1)))"""

@@ -26,12 +26,9 @@ from skyloom.functions import healpix
 from skyloom.operators.rows import interval_join
 
 #: Ranges that a cover has at most, and those that a scan filters by.
-MOST_RANGES, SCAN_RANGES = 4096, 64
+MOST_RANGES, SCAN_RANGES = 4096, 24
 #: Slack of a pixel's circumscribed circle, in parts of its radius.
 SLACK = 0.1
-# Ring of the southern corner, and longitude of the centre in eighths of a turn, of the twelve base pixels.
-BASE_RING = (2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4)
-BASE_TURN = (1, 3, 5, 7, 0, 2, 4, 6, 1, 3, 5, 7)
 
 
 @dataclass(frozen=True)
@@ -98,10 +95,10 @@ def directions(pix: np.ndarray, level: int, dx: float = 0.5, dy: float = 0.5) ->
     """Unit vectors of a place (dx, dy in 0 to 1) inside nested pixels; 0.5, 0.5 is the centre."""
     face, own = pix >> (2 * level), pix & ((1 << (2 * level)) - 1)
     x, y = (_squeezed(own) + dx) / (1 << level), (_squeezed(own >> 1) + dy) / (1 << level)
-    ring = np.array(BASE_RING)[face] - x - y  # 0 at the north pole, 2 at the equator, 4 at the south pole
+    ring = np.array(healpix.BASE_RING)[face] - x - y  # 0 at the north pole, 2 at the equator, 4 at the south pole
     wide = np.minimum(1.0, np.minimum(ring, 4 - ring))
     z = np.where(ring < 1, 1 - ring**2 / 3, np.where(ring > 3, (4 - ring) ** 2 / 3 - 1, (2 - ring) * 2 / 3))
-    turn = np.where(wide > 0, np.array(BASE_TURN)[face] + np.divide(x - y, wide, out=np.zeros_like(x), where=wide > 0), 0)
+    turn = np.where(wide > 0, np.array(healpix.BASE_TURN)[face] + np.divide(x - y, wide, out=np.zeros_like(x), where=wide > 0), 0)
     flat = np.sqrt(np.maximum(0, (1 - z) * (1 + z)))
     return np.stack([flat * np.cos(turn * math.pi / 4), flat * np.sin(turn * math.pi / 4), z], axis=-1)
 
