@@ -182,11 +182,13 @@ def plain_kneser_ney(texts, order):
         for g, c in grams.items():
             context[m][g[:-1]].append(c)
     total = sum(single.values())
+    alone = kneser_ney.discounts(np.array([sum(c == j for c in single.values()) for j in (1, 2, 3, 4)]))
 
     def p(g):
         m = len(g)
         if m == 1:
-            return (max(single[g] - 0.5, 0) + 0.5 * len(single) / 256) / total if total else 1 / 256
+            own = [single[g]] if single[g] else []
+            return (sum(c - alone[min(c, 3) - 1] for c in own) + sum(alone[min(c, 3) - 1] for c in single.values()) / 256) / total if total else 1 / 256
         own = context[m][g[:-1]]
         below = p(g[1:])
         if not own:
