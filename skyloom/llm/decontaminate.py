@@ -13,8 +13,8 @@ built in turn over the rows at hand.  Rows are judged one by one whatever the
 size of the benchmark; nothing is shuffled.
 
 Defined cases: a null or wordless text has no words and no hits; repeated
-rows and repeated items give repeated equal results; an empty benchmark hits
-nothing; words that an item without an item_id holds are hit, but it is not
+rows and repeated items give repeated equal results; a very long text is
+scanned whole, in lanes; an empty benchmark hits nothing; words that an item without an item_id holds are hit, but it is not
 listed; further columns are ignored, whatever their names.
 """
 
@@ -36,6 +36,8 @@ AUTOMATON_BYTES = 4 << 20
 HELD_BYTES = 64 << 20
 #: Text scanned at once, and words of a lane of it; all lanes advance side by side.
 PIECE_BYTES, LANE = 4 << 20, 128
+#: Rows of a batch whose texts are held as Python bytes at once.
+SLICE_ROWS = 1024
 
 _WORD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -261,7 +263,8 @@ def _scanner(benchmark: DataFrame, n: int, max_bytes: int):
             machine = Automaton.__new__(Automaton)
             vars(machine).update(shared.value)
             for batch in batches:
-                yield batch, scan_texts(byte_rows(batch), [machine])
+                parts = (batch.slice(at, SLICE_ROWS) for at in range(0, batch.num_rows, SLICE_ROWS))
+                yield batch, [found for part in parts for found in scan_texts(byte_rows(part), [machine])]
 
         return run
     parts = context.broadcast(groups)

@@ -44,9 +44,11 @@ BUCKETS = 1 << 16
 LEXICON_COUNT = 3
 #: Text labelled at once, and text whose features are held at once.
 PIECE_BYTES, FEATURE_BYTES = 4 << 20, 384 << 10
+#: Rows of a batch whose texts are held as Python strings at once.
+SLICE_ROWS = 1024
 UNKNOWN = "und"
 #: Text that is labelled in lanes, words of a lane, lanes at once.
-LONG_BYTES, LANE, LANES = 1 << 20, 512, 1024
+LONG_BYTES, LANE, LANES = 256 << 10, 512, 256
 
 _LETTER = re.compile(r"[^\W\d_]")
 _KEEP = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
@@ -352,6 +354,16 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], list[floa
     return labels, scores
 
 
+def predict_column(texts: pa.Array, model: Model) -> tuple[list[str], list[float]]:
+    """predict() of a batch, a slice of its rows at a time."""
+    labels, scores = [], []
+    for at in range(0, len(texts), SLICE_ROWS):
+        some, shares = predict(texts.slice(at, SLICE_ROWS).to_pylist(), model)
+        labels += some
+        scores += shares
+    return labels, scores
+
+
 def held_out():
     """The fold that is never learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -384,7 +396,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     def run(batches):
         own = Model(*shared.value)
         for batch in batches:
-            labels, scores = predict(batch.column("text").to_pylist(), own)
+            labels, scores = predict_column(batch.column("text"), own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -400,7 +412,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     def run(batches):
         own = Model(*shared.value)
         for batch in batches:
-            labels, scores = predict(batch.column("text").to_pylist(), own)
+            labels, scores = predict_column(batch.column("text"), own)
             yield batch.filter(pa.array([label != UNKNOWN and s >= least for label, s in zip(labels, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
