@@ -261,10 +261,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, prints: DataFrame, radius: int, split: int, task: int, share: int = SHARE) -> DataFrame:
-    """rows (doc_id, fp, ...) with the component of their fingerprint; NULL where no document that has it has an id.
+    """rows (doc_id, fp, _deal, ...) with the component of their fingerprint; NULL where no document that has it has an id.
 
     A fingerprint that more than a ``share``-th of all rows have, of which there
-    are at most so many, is joined in parts.
+    are at most so many, is joined in parts; ``_deal`` tells each row's part.
     """
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n"))
     found = components(links(nodes.where("node is not null").select("fp", "node"), radius, split, task))
@@ -272,14 +272,16 @@ def _labelled(rows: DataFrame, prints: DataFrame, radius: int, split: int, task:
     parts = F.when(F.col("n") > most, F.ceil(F.col("n") / most)).otherwise(1).cast("int")
     resolved = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     heavy = nodes.where(F.col("n") > most).select("fp", parts.alias("parts"))
-    salted = rows.join(F.broadcast(heavy), "fp", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(0)).cast("int"))
-    return salted.drop("parts").join(resolved, ["fp", "part"]).drop("part")
+    salted = rows.join(F.broadcast(heavy), "fp", "left").withColumn("part", F.coalesce(F.pmod(F.col("_deal"), F.col("parts")), F.lit(0)).cast("int"))
+    return salted.drop("parts", "_deal").join(resolved, ["fp", "part"]).drop("part")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, split: int = SPLIT, task: int = TASK) -> DataFrame:
     """doc_id, fp and component: the least doc_id reachable over links."""
+    # rows without an id are dealt by their place in the checkpoint
     prints = checkpointed(fingerprints(docs, shingle))
-    return _labelled(prints, prints, radius, split, task).select("doc_id", "fp", "component")
+    dealt = prints.withColumn("_deal", F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id())))
+    return _labelled(dealt, prints, radius, split, task).select("doc_id", "fp", "component")
 
 
 def verdicts(found: DataFrame) -> DataFrame:
@@ -299,6 +301,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, fe
     rows = rows.withColumn("_hash", F.xxhash64(text))
     prints = checkpointed(fingerprints(rows.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"), "_hash"), shingle, ("_hash",)))
     texts = prints.groupBy("doc_id", "_hash", "fp").agg(F.count(F.lit(1)).alias("_times"))
+    texts = texts.withColumn("_deal", F.xxhash64("doc_id", "_hash"))
     texts = checkpointed(_labelled(texts, prints, radius, SPLIT, TASK).withColumn("_lead", F.col("doc_id").eqNullSafe(F.col("component"))))
     # the first text of each document that stays; one without an id is known by its fingerprint
     document = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp"))

@@ -137,3 +137,19 @@ def test_one_row_of_each_group_stays(spark, few):
 @pytest.mark.parametrize("text", [None, "", "one", "One two", "a b c", "a b c d " * 200, "é Ü x"])
 def test_fingerprints(text):
     assert simhash.fingerprint(None if text is None else text.encode()) == plain_fingerprint(text)
+
+
+def test_rows_without_ids_of_one_text_are_dealt(spark, monkeypatch):
+    """A fingerprint that most rows have, all of them without an id, is joined in parts; none is lost."""
+    parts = []
+    real = simhash._labelled
+
+    def seen(rows, *more, **named):
+        parts.append(rows.where("doc_id is null").select((F.pmod("_deal", F.lit(50))).alias("p")).groupBy("p").count().agg(F.count("p"), F.max("count")).first())
+        return real(rows, *more, **named)
+
+    monkeypatch.setattr(simhash, "_labelled", seen)
+    docs = spark.range(3000, numPartitions=6).select(F.when(F.col("id") >= 2500, F.col("id")).alias("doc_id"), F.when(F.col("id") < 2500, "one text that all of these have").otherwise(F.concat(F.lit("other words of row number "), "id", F.lit(" x"), F.col("id") * 7)).alias("text"))
+    found = simhash.near_duplicates(docs).collect()
+    assert len(found) == 3000 and sum(r.component is None for r in found) == 2500
+    assert parts[0][0] == 50 and parts[0][1] < 100
