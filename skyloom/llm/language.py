@@ -43,9 +43,9 @@ PER_LANGUAGE, SEED = 120, 11
 BUCKETS = 1 << 16
 LEXICON_COUNT = 3
 #: Text labelled at once, and text whose features are held at once.
-PIECE_BYTES, FEATURE_BYTES = 4 << 20, 384 << 10
+PIECE_BYTES, FEATURE_BYTES = 2 << 20, 256 << 10
 #: Rows of a batch whose texts are held as Python strings at once.
-SLICE_ROWS = 1024
+SLICE_ROWS = 512
 UNKNOWN = "und"
 #: Text that is labelled in lanes, words of a lane, lanes at once.
 LONG_BYTES, LANE, LANES = 256 << 10, 512, 256
