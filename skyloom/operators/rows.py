@@ -48,11 +48,20 @@ def few_of(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage by a copy in the checkpoint folder, or in the warehouse where none is set: both are shared."""
+    """df, cut from its lineage by a copy in the checkpoint folder, or in the warehouse where none is set.
+
+    Driver and executors must share it: on a cluster a local warehouse won't do.
+    """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+            system = context._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(context._jsc.hadoopConfiguration())
+            if system.getScheme() == "file" and not (context.master == "local" or context.master.startswith("local[")):
+                raise LayoutError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
