@@ -8,17 +8,23 @@ the discounts are common.  Documents send the distinct grams of each piece of
 text, with the documents that hold them, to the same shards; the join there
 gives each document's partial log-probabilities, which are summed.  A document
 is kept if its perplexity is at most the ``quantile`` of trusted documents of
-its language that were not trained on.
+its language.
 
-Trusted text: documents labelled quality 1 and toxic 0.  A hash half of each
-language's counts grams, at most about ``max_trusted`` documents in all (the
-documented bound; what exceeds it is taken from the largest languages).  All
-others set the thresholds, by exact quantiles.  Every document is scored whole.
+Trusted text: documents labelled quality 1 and toxic 0.  All of them count
+grams and all of them set the thresholds, by exact quantiles.  No document is
+scored by a model that counted it: a hash of its id deals each to one of FOLDS
+folds, grams are counted by fold, and a trusted document is scored by the model
+of all trusted documents of the other folds (cross-validation), every other
+document by the model of all.  Every document is scored whole.
+
+Trusted texts are found by a filter of one hash of their ids (two bytes an id,
+32 MB at most, broadcast); what passes it meets the ids themselves by a
+shuffle, so the other texts do not move.
 
 Defined cases: rows that repeat a doc_id are one document, and so are all rows
 without one, for a verdict is found again by its id alone; a very long text is
 counted in pieces and scored whole; a null or empty text has no perplexity and is not kept; a null lang, or one without trusted
-documents outside the training half, has the threshold of all languages; without trusted text every byte
+documents, has the threshold of all languages; without trusted text (for a trusted document: in other folds) every byte
 is equally likely; further columns are ignored; an empty table gives no rows.
 """
 
@@ -27,6 +33,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +42,20 @@ from skyloom.llm.common import byte_rows, checkpointed, mix64, pack, text_volume
 from skyloom.operators.binning import order_statistics
 
 ORDER, SHARDS = 4, 16
-MAX_TRUSTED, SEED = 20_000, 3
+SEED = 3
 QUANTILE = 0.99
+#: Folds of the trusted documents; bits of a fold right of a gram, and the fold that is never left out.
+FOLDS, FOLD_BITS, ALWAYS = 5, 3, 7
+#: The model of all folds, where a fold to leave out is named.
+NONE_OUT = -1
+#: Bits of the filter for a trusted document, and at most.
+ID_BITS, FILTER_BITS = 16, 1 << 28
+#: Grams that a task holds before it sends their counts on.
+HELD_GRAMS = 1 << 21
 #: Text of a piece, and text whose postings meet one copy of a shard's model.
 PIECE_BYTES, SALT_BYTES = 3 << 20, 256 << 20
+#: Text for each byte of all copies of the model together, at least.
+MODEL_COPIES = 8
 
 _ROW = "shard int, salt int, blob binary"
 
@@ -87,6 +104,58 @@ def pieces(texts: list[bytes], most: int = 1 << 20):
         first = end
 
 
+def folds_of(ids: pa.Array, seed: int) -> np.ndarray:
+    """The fold of each document; what has no id is in none that is left out."""
+    known = ids.cast(pa.int64())
+    hashed = mix64(known.fill_null(0).to_numpy(zero_copy_only=False).astype(np.uint64) ^ np.uint64(seed))
+    return np.where(known.is_null().to_numpy(zero_copy_only=False), ALWAYS, (hashed % np.uint64(FOLDS)).astype(np.int64))
+
+
+def _heads(sorted_: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(sorted_) else np.zeros(0, np.int64)
+
+
+class Tally:
+    """Counts by key; what came in is added up when it is more than what is held."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = self.waiting = 0
+
+    def add(self, key: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((key, n))
+        self.waiting += len(key)
+        if self.waiting > max(1 << 18, self.held):
+            self.counts()
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys in order, and the sum of each."""
+        key = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in self.parts)])
+        n = np.concatenate([np.zeros(0, np.int64), *(m for _, m in self.parts)])
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+        first = _heads(key)
+        self.parts = [(key[first], np.add.reduceat(n, first) if len(first) else n)]
+        self.held, self.waiting = len(first), 0
+        return self.parts[0]
+
+
+def without(key: np.ndarray, n: np.ndarray, fold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams and their counts in all folds but one, from the counts by (gram, fold)."""
+    if fold != NONE_OUT:
+        left = (key & np.uint64((1 << FOLD_BITS) - 1)) != np.uint64(fold)
+        key, n = key[left], n[left]
+    key = key >> np.uint64(FOLD_BITS)
+    first = _heads(key)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def folds_in(key: np.ndarray) -> list[int]:
+    """Folds that can be left out of counts by (gram, fold)."""
+    return [int(f) for f in np.unique(key & np.uint64((1 << FOLD_BITS) - 1)) if f != ALWAYS]
+
+
 def discounts(times: np.ndarray) -> np.ndarray:
     """D1, D2, D3+ from the numbers of grams counted 1, 2, 3 and 4 times."""
     n1, n2, n3, n4 = (max(float(x), 1.0) for x in times)
@@ -163,43 +232,89 @@ def _dealt(columns: dict[str, np.ndarray], shard: np.ndarray):
         yield int(shard[a]), {k: v[order[a:b]] for k, v in columns.items()}
 
 
-def model_shards(trusted: DataFrame, order: int = ORDER, shards: int = SHARDS) -> DataFrame:
-    """shard, blob (sorted grams with counts) and stats of each shard, from the trusted texts."""
+def model_shards(trusted: DataFrame, order: int = ORDER, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """shard, blob (sorted grams with their counts in each fold) and stats of each shard, from the trusted texts.
+
+    Stats: the folds met, and for the model of all folds and for those without
+    one of them the counts of counts and the byte pairs (model << 16 | pair) with
+    what they follow.  Without a doc_id no text is ever left out.
+    """
+    with_ids = "doc_id" in trusted.columns
+
+    def sent(tally):
+        key, n = tally.counts()
+        rows = [(s, pack({k: pa.array(v) for k, v in c.items()})) for s, c in _dealt({"key": key, "n": n}, shard_of(key >> np.uint64(FOLD_BITS), order, shards))]
+        return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.binary()))], names=["shard", "blob"])
 
     def count(batches):
+        tally = Tally()
         for batch in batches:
-            for _, texts in pieces([t or b"" for t in byte_rows(batch)]):
-                key, n = np.unique(gram_keys(texts, order)[0], return_counts=True)
-                rows = [(s, pack({k: pa.array(v) for k, v in c.items()})) for s, c in _dealt({"key": key, "n": n}, shard_of(key, order, shards))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s for s, _ in rows], pa.int32()), pa.array([0] * len(rows), pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["shard", "salt", "blob"]
-                )
+            folds = folds_of(batch.column("doc_id"), seed) if with_ids else np.full(batch.num_rows, ALWAYS)
+            for first, texts in pieces([t or b"" for t in byte_rows(batch)]):
+                key, text = gram_keys(texts, order)
+                key = (key << np.uint64(FOLD_BITS)) | folds[first + text].astype(np.uint64)
+                if len(key):
+                    tally.add(*np.unique(key, return_counts=True))
+            if tally.held > HELD_GRAMS:
+                yield sent(tally)
+                tally = Tally()
+        if tally.parts:
+            yield sent(tally)
 
     def merge(key, table):
-        parts = [unpack(b) for b in table.column("blob").to_pylist()]
-        grams, back = np.unique(np.concatenate([p.column("key").to_numpy() for p in parts]), return_inverse=True)
-        n = np.bincount(back, weights=np.concatenate([p.column("n").to_numpy() for p in parts])).astype(np.int64)
-        model = ShardModel(grams, n, order)
-        pairs, followed = model.pairs()
+        tally = Tally()
+        for blob in table.column("blob"):
+            part = unpack(blob.as_py())
+            tally.add(part.column("key").to_numpy(), part.column("n").to_numpy())
+        grams, n = tally.counts()
+        met = folds_in(grams)
+        stats = []
+        for fold in (NONE_OUT, *range(FOLDS)):
+            if fold == NONE_OUT or fold in met:
+                model = ShardModel(*without(grams, n, fold), order)
+                stats.append((model.counts_of_counts().reshape(-1), *model.pairs()))
+            else:  # a fold that is not met takes nothing from the whole
+                stats.append(stats[0])
+        times, pairs, followed = zip(*stats, strict=True)
+        marked = [p.astype(np.int32) | np.int32(i << 16) for i, p in enumerate(pairs)]
         return pa.Table.from_arrays(
             [
                 pa.array([key[0].as_py()], pa.int32()),
                 pa.array([pack({"key": pa.array(grams), "n": pa.array(n)})], pa.binary()),
-                pa.array([model.counts_of_counts().reshape(-1).tolist()], pa.list_(pa.int64())),
-                pa.array([pairs.astype(np.int32).tolist()], pa.list_(pa.int32())),
-                pa.array([followed.tolist()], pa.list_(pa.int64())),
+                pa.array([met], pa.list_(pa.int32())),
+                pa.array([np.concatenate(times).tolist()], pa.list_(pa.int64())),
+                pa.array([np.concatenate(marked)], pa.list_(pa.int32())),
+                pa.array([np.concatenate(followed)], pa.list_(pa.int64())),
             ],
-            names=["shard", "blob", "times", "pairs", "followed"],
+            names=["shard", "blob", "folds", "times", "pairs", "followed"],
         )
 
-    counted = trusted.select("text").mapInArrow(count, _ROW)
-    return counted.groupBy("shard").applyInArrow(merge, "shard int, blob binary, times array<long>, pairs array<int>, followed array<long>")
+    counted = trusted.select(*(["doc_id"] if with_ids else []), "text").mapInArrow(count, "shard int, blob binary")
+    return counted.groupBy("shard").applyInArrow(merge, "shard int, blob binary, folds array<int>, times array<long>, pairs array<int>, followed array<long>")
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
 
 
+def trusted_texts(docs: DataFrame, trusted: DataFrame, most_bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id and text of the documents whose ids are in trusted (doc_id, each once)."""
+    bits = max(64, min(most_bits, trusted.count() * ID_BITS))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(bits))
+    words = trusted.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
+    plane = np.zeros(-(-bits // 64), np.uint64)
+    plane[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    sent = docs.sparkSession.sparkContext.broadcast(plane)
+
+    @F.pandas_udf("boolean")
+    def possible(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        return pd.Series(sent.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) > 0)
+
+    met = docs.select("doc_id", "text").where("doc_id is not null").where(possible(place))
+    return met.hint("shuffle_merge").join(trusted, "doc_id", "left_semi")  # at any size as at a large one
+
+
 def language_quota(halves: list[tuple[float, int]], bound: float) -> float:
     """Documents a language may train on, from (half, languages of that half), so that all stay within the bound."""
     left, languages = bound, sum(n for _, n in halves)
@@ -210,8 +325,8 @@ def language_quota(halves: list[tuple[float, int]], bound: float) -> float:
     return float("inf")
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED, seed: int = SEED, known: DataFrame | None = None) -> DataFrame:
-    """doc_id of the trusted documents to train on: a hash half of each language, about max_trusted in all at most.
+def trusted_ids(labels: DataFrame, max_trusted: int, seed: int = SEED, known: DataFrame | None = None) -> DataFrame:
+    """doc_id of a hash half of each language's trusted documents, about max_trusted in all at most, for callers who want a smaller model.
 
     known: doc_id and lang of the documents; without it all are of one language.
     """
@@ -227,15 +342,18 @@ def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED, seed: int = S
     return half.join(cut, F.col("lang").eqNullSafe(F.col("_lang")), "left").where(die < F.coalesce(quota / F.col("_half"), F.lit(1.0))).select("doc_id")
 
 
-def log_likelihoods(docs: DataFrame, models: DataFrame, order: int = ORDER, shards: int = SHARDS) -> DataFrame:
-    """doc_id, n_bytes and log_probability by the sharded join of grams."""
+def log_likelihoods(docs: DataFrame, models: DataFrame, order: int = ORDER, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """doc_id, n_bytes, log_probability and held_out (by the model without the document's fold) by the sharded join of grams."""
     _, volume = text_volume(docs)
-    salts = max(1, -(-volume // SALT_BYTES))
-    stats = models.select("times", F.transform(F.arrays_zip("pairs", "followed"), lambda x: x).alias("pairs")).collect()
-    times = sum((np.array(r["times"]).reshape(-1, 4) for r in stats), np.zeros((order - 2, 4), np.int64))
-    taken = np.array([discounts(t) for t in times])
-    seen = [(x["pairs"], x["followed"]) for r in stats for x in r["pairs"]]
-    pairs = pair_table(*(np.array(x, np.int64) for x in zip(*seen, strict=True))) if seen else np.full(1 << 16, 1 / 256)
+    size = models.agg(F.sum(F.octet_length("blob"))).first()[0] or 1
+    salts = max(1, min(-(-volume // SALT_BYTES), volume // (MODEL_COPIES * size)))
+    stats = models.select("folds", "times").collect()
+    folds = sorted({f for r in stats for f in r["folds"]})
+    times = sum((np.array(r["times"]).reshape(FOLDS + 1, order - 2, 4) for r in stats), np.zeros((FOLDS + 1, order - 2, 4), np.int64))
+    taken = [np.array([discounts(t) for t in own]) for own in times]
+    followed = models.select(F.explode(F.arrays_zip("pairs", "followed")).alias("x")).groupBy("x.pairs").agg(F.sum("x.followed").alias("n")).toArrow()  # 65,536 a model at most
+    pair, follows = (c.to_numpy() for c in followed.columns)
+    pairs = [pair_table(pair[own] & 0xFFFF, follows[own]) for own in (pair >> 16 == i for i in range(FOLDS + 1))]
 
     def send(batches):
         for batch in batches:
@@ -270,32 +388,49 @@ def log_likelihoods(docs: DataFrame, models: DataFrame, order: int = ORDER, shar
                     })))
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["shard", "salt", "blob"])
 
+    def read(blob):
+        """ids, and for each posting the place of its gram, its text and how often; distinct grams."""
+        row = unpack(blob).to_pylist()[0]
+        grams, postings = unpack(row["grams"]), unpack(row["postings"])
+        key, times = np.cumsum(grams.column("key").to_numpy(), dtype=np.uint64), grams.column("n").to_numpy().astype(np.int64)
+        step, n = postings.column("step").to_numpy().astype(np.int64), postings.column("n").to_numpy().astype(np.int64)
+        step[step == 255] = row["big"]
+        n[row["often_at"]] = row["often"]
+        head = np.cumsum(times) - times
+        run = np.cumsum(step)
+        text = run - np.repeat(run[head] - step[head], times)
+        return pa.array(row["ids"], pa.int64()), key, np.repeat(np.arange(len(key)), times), text, n
+
     def join(model, sent):
         own = [unpack(b) for b in model.column("blob").to_pylist()]
-        counts = ShardModel(own[0].column("key").to_numpy(), own[0].column("n").to_numpy(), order) if own else ShardModel(np.zeros(0, np.uint64), np.zeros(0, np.int64), order)
-        out = []
-        for blob in sent.column("blob").to_pylist():
-            row = unpack(blob).to_pylist()[0]
-            grams, postings = unpack(row["grams"]), unpack(row["postings"])
-            key, times = np.cumsum(grams.column("key").to_numpy(), dtype=np.uint64), grams.column("n").to_numpy().astype(np.int64)
-            step, n = postings.column("step").to_numpy().astype(np.int64), postings.column("n").to_numpy().astype(np.int64)
-            step[step == 255] = row["big"]
-            n[row["often_at"]] = row["often"]
-            head = np.cumsum(times) - times
-            run = np.cumsum(step)
-            text = run - np.repeat(run[head] - step[head], times)
-            log = np.repeat(counts.log_probability(key, taken, pairs), times) * n
-            size = len(row["ids"])
-            bytes_, sums = np.bincount(text, weights=n, minlength=size), np.bincount(text, weights=log, minlength=size)
-            used = np.flatnonzero(bytes_)
-            ids = pa.array(row["ids"], pa.int64()).take(pa.array(used))
-            out.append(pa.Table.from_arrays([ids, pa.array(bytes_[used].astype(np.int64)), pa.array(sums[used])], names=["doc_id", "n", "log"]))
-        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "log": pa.array([], pa.float64())})
+        counted = (own[0].column("key").to_numpy(), own[0].column("n").to_numpy()) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        blobs, found = sent.column("blob").to_pylist(), []
+        for out in (NONE_OUT, *folds):  # one model at a time
+            counts = ShardModel(*without(*counted, out), order)
+            for i, blob in enumerate(blobs):
+                if out != NONE_OUT and not (found[i][1] == out).any():
+                    continue
+                ids, key, gram, text, n = read(blob)
+                if out != NONE_OUT:
+                    at = np.flatnonzero((found[i][1] == out)[text])
+                    used, gram = np.unique(gram[at], return_inverse=True)
+                    key, text, n = key[used], text[at], n[at]
+                sums = np.bincount(text, weights=counts.log_probability(key, taken[out + 1], pairs[out + 1])[gram] * n, minlength=len(ids))
+                if out == NONE_OUT:
+                    found.append((ids, folds_of(ids, seed), np.bincount(text, weights=n, minlength=len(ids)), sums, sums.copy()))
+                else:
+                    own_fold, held = found[i][1] == out, found[i][4]
+                    held[own_fold] = sums[own_fold]
+        tables = []
+        for ids, _, n, log, held in found:
+            used = np.flatnonzero(n)
+            tables.append(pa.Table.from_arrays([ids.take(pa.array(used)), pa.array(n[used].astype(np.int64)), pa.array(log[used]), pa.array(held[used])], names=["doc_id", "n", "log", "held"]))
+        return pa.concat_tables(tables) if tables else pa.table({"doc_id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "log": pa.array([], pa.float64()), "held": pa.array([], pa.float64())})
 
     sent = docs.select("doc_id", "text").mapInArrow(send, _ROW)
     copies = models.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "blob")
-    joined = copies.groupBy("shard", "salt").cogroup(sent.groupBy("shard", "salt")).applyInArrow(join, "doc_id long, n long, log double")
-    return joined.groupBy("doc_id").agg(F.sum("n").alias("n_bytes"), F.sum("log").alias("log_probability"))
+    joined = copies.groupBy("shard", "salt").cogroup(sent.groupBy("shard", "salt")).applyInArrow(join, "doc_id long, n long, log double, held double")
+    return joined.groupBy("doc_id").agg(F.sum("n").alias("n_bytes"), F.sum("log").alias("log_probability"), F.sum("held").alias("held_out"))
 
 
 def thresholds(trusted: DataFrame, quantile: float, by: str | None = None) -> dict:
@@ -305,18 +440,27 @@ def thresholds(trusted: DataFrame, quantile: float, by: str | None = None) -> di
     return {g: found[g, rank(n)] for g, (n, *_) in stats.items() if n}
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, shards: int = SHARDS, max_trusted: int = MAX_TRUSTED, quantile: float = QUANTILE, seed: int = SEED) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity, threshold and keep of every document; order: 3 to 7."""
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, shards: int = SHARDS, max_trusted: int | None = None, quantile: float = QUANTILE, seed: int = SEED) -> DataFrame:
+    """doc_id, lang, n_bytes, perplexity, threshold and keep of every document; order: 3 to 7.
+
+    max_trusted: instead of all folds, count a hash half of the trusted documents, at most about so many, and let the others set the thresholds.
+    """
     if not 3 <= order <= 7:
         raise ValueError(f"order {order} is not 3 to 7: a gram and a text's number share 64 bits")
     known = docs.groupBy("doc_id").agg(F.max("lang").alias("lang"))
-    train = F.broadcast(checkpointed(trusted_ids(labels, max_trusted, seed, known)))  # of bounded size
-    models = checkpointed(model_shards(docs.select("doc_id", "text").join(train, "doc_id", "left_semi"), order, shards))
-    logs = log_likelihoods(docs, models, order, shards).withColumnRenamed("doc_id", "_doc_id")
+    trusted = checkpointed(trusted_documents(labels))
+    if max_trusted is None:
+        texts = trusted_texts(docs, trusted)
+    else:
+        train = F.broadcast(checkpointed(trusted_ids(labels, max_trusted, seed, known)))  # of bounded size
+        texts, trusted = docs.join(train, "doc_id", "left_semi").select("text"), trusted.join(train, "doc_id", "left_anti")
+    models = checkpointed(model_shards(texts, order, shards, seed))
+    logs = log_likelihoods(docs, models, order, shards, seed).withColumnRenamed("doc_id", "_doc_id")
     scored = known.join(logs, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left").drop("_doc_id")
-    scored = checkpointed(scored.withColumn("perplexity", F.exp(-F.try_divide("log_probability", "n_bytes"))))
-    trusted = scored.join(trusted_documents(labels), "doc_id", "left_semi").join(train, "doc_id", "left_anti")
-    trusted = checkpointed(trusted.where("perplexity is not null").select("lang", "perplexity"))
+    scored = scored.join(trusted.withColumn("_trusted", F.lit(True)), "doc_id", "left")
+    log = F.when(F.col("_trusted"), F.col("held_out")).otherwise(F.col("log_probability"))
+    scored = checkpointed(scored.withColumn("perplexity", F.exp(-F.try_divide(log, "n_bytes"))))
+    trusted = scored.where("_trusted and perplexity is not null").select("lang", "perplexity")
     overall = thresholds(trusted, quantile).get(0)
     found = [(lang, level) for lang, level in thresholds(trusted.where("lang is not null"), quantile, "lang").items()]
     by_lang = docs.sparkSession.createDataFrame(found, "lang string, threshold double")  # as many as languages

@@ -7,11 +7,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from skyloom.llm import kneser_ney, language, lm_scoring
-from skyloom.llm.common import table
+from skyloom.llm.common import table, unpack
 from skyloom.llm.suffix_trees import word_hashes
 
 
@@ -280,6 +281,56 @@ def test_thresholds_use_all_trusted_documents(spark):
     assert kneser_ney.language_quota([(270.0, 1), (30.0, 1)], 60) == 30 and kneser_ney.language_quota([(4.0, 2), (90.0, 1)], 20) == 12
 
 
+def test_all_trusted_documents_are_counted_and_set_the_thresholds(spark):
+    dice = random.Random(5)
+    text = lambda: "".join(dice.choice("abcdeé ") for _ in range(dice.randint(3, 25)))
+    rows = [(i, text(), ("en", "fr", None)[min(2, i % 9)] if i % 4 else "en") for i in range(120)]
+    rows += [(4, text(), "en"), (4, text(), "en"), (None, text(), "en"), (200, None, "en"), (201, "", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    good = {i for i in range(120) if i % 5 < 3} | {4, 200, 201}
+    labels = spark.createDataFrame([(i, 1, 0) for i in good] + [(4, 1, None), (5, 1, 0), (3, 0, 0), (999, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    fold = dict(zip(sorted(good), kneser_ney.folds_of(pa.array(sorted(good), pa.int64()), kneser_ney.SEED).tolist(), strict=True))
+    assert set(fold.values()) == set(range(kneser_ney.FOLDS))
+    plain = {f: plain_kneser_ney([(t or "").encode() for i, t, _ in rows if i in good and fold[i] != f], 4) for f in (None, *fold.values())}
+    texts = defaultdict(list)
+    for i, t, _ in rows:
+        texts[i].append((t or "").encode())
+    found = {r.doc_id: r for r in kneser_ney.classify(docs, labels).collect()}
+    assert found.keys() == texts.keys()
+    for i, own in texts.items():
+        size = sum(map(len, own))
+        if size:
+            log = plain[fold.get(i)]
+            assert found[i].perplexity == pytest.approx(math.exp(-sum(map(log, own)) / size), rel=1e-6)
+        else:
+            assert found[i].perplexity is None and found[i].keep is False
+    for lang in ("en", "fr", None):
+        own = sorted(r.perplexity for r in found.values() if r.doc_id in good and r.perplexity and lang in (r.lang, None))
+        assert {r.threshold for r in found.values() if r.lang == lang} == {own[math.ceil(0.99 * len(own)) - 1]}
+
+
+def test_no_bound_on_trusted_documents(spark):
+    docs = spark.range(45_000).selectExpr("id as doc_id", "cast(id as string) as text")
+    trusted = docs.where("doc_id % 10 < 9").select("doc_id")
+    want = docs.where("doc_id % 10 < 9").agg(F.sum(F.octet_length("text"))).first()[0]
+    for bits in (kneser_ney.FILTER_BITS, 1 << 12):  # the second lets every document through
+        texts = kneser_ney.trusted_texts(docs, trusted, bits)
+        assert texts.count() == 40_500
+    blobs = kneser_ney.model_shards(texts, 4, shards=3).select("blob").collect()
+    assert sum(unpack(bytes(r.blob)).column("n").to_numpy().sum() for r in blobs) == want
+
+
+def test_counts_of_many_parts_are_added_up():
+    parts = kneser_ney.Tally()
+    dice = np.random.default_rng(3)
+    keys = dice.integers(0, 1 << 18, 1 << 20).astype(np.uint64)
+    for own in np.split(keys, 8):
+        parts.add(*np.unique(own, return_counts=True))
+    assert parts.held <= 1 << 18
+    want = np.unique(keys, return_counts=True)
+    assert all((a == b).all() for a, b in zip(parts.counts(), want, strict=True))
+
+
 # --- masked language model ----------------------------------------------------
 
 
